@@ -301,3 +301,389 @@ SQL = {
     "rolling_all_fields": sql_rolling_all_fields(),
     "rolling_data": sql_rolling_data(),
 }
+
+
+# --- quality / cleaning ---------------------------------------------------------------------
+
+QALL = ("bid_price", "ask_price", "bid_qty", "ask_qty")
+
+
+def sql_dedupe_seq() -> str:
+    return f"""WITH {Q_CTE}
+SELECT exchange, symbol, seq, {r6(QALL)}, epoch_us(time) AS time_us FROM q
+QUALIFY row_number() OVER (PARTITION BY exchange, symbol, seq
+  ORDER BY time DESC, bid_price DESC, ask_price DESC, bid_qty DESC, ask_qty DESC) = 1"""
+
+
+def sql_dedupe_rows() -> str:
+    return f"""WITH {Q_CTE}
+SELECT exchange, symbol, {r6(QALL)}, max(epoch_us(time)) AS time_us FROM q
+GROUP BY exchange, symbol, bid_price, ask_price, bid_qty, ask_qty"""
+
+
+def sql_seq_gaps() -> str:
+    return f"""WITH {Q_CTE},
+p AS (SELECT exchange, symbol, seq, lag(seq) OVER ({PART} ORDER BY time, seq) AS seq_previous, epoch_us(time) AS time_us FROM q)
+SELECT * FROM p WHERE seq - 1 IS DISTINCT FROM seq_previous"""
+
+
+def sql_coverage_map() -> str:
+    return f"""WITH {Q_CTE}
+SELECT DISTINCT exchange, symbol, exchange || '_' || symbol AS instrument, strftime(time, '%Y%m%d') AS date,
+  strftime(time, '%U') AS week, 'OK' AS status FROM q"""
+
+
+def sql_missing_partitions() -> str:
+    return f"""WITH {Q_CTE},
+cov AS (SELECT DISTINCT exchange, symbol, strftime(time, '%Y%m%d') AS date FROM q),
+inst AS (SELECT DISTINCT exchange, symbol FROM cov),
+days AS (SELECT DISTINCT date FROM cov)
+SELECT i.exchange, i.symbol, d.date FROM inst i CROSS JOIN days d
+WHERE NOT EXISTS (SELECT 1 FROM cov c WHERE c.exchange = i.exchange AND c.symbol = i.symbol AND c.date = d.date)"""
+
+
+def sql_feed_dates() -> str:
+    return f"""WITH {Q_CTE}
+SELECT exchange, symbol, epoch_us(min(time) FILTER (WHERE bid_price IS NOT NULL)) AS first_us,
+  epoch_us(max(time) FILTER (WHERE bid_price IS NOT NULL)) AS last_us FROM q GROUP BY ALL"""
+
+
+def sql_null_profile() -> str:
+    cols = ["exchange", "symbol", "seq", "time", "bid_price", "ask_price", "bid_qty", "ask_qty"]
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column, count({c}) AS non_null, count(*) - count({c}) AS nulls, count(*) AS rows FROM q"
+        for c in cols)
+    return f"WITH {Q_CTE}\n{parts}"
+
+
+LI = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+LI_DS = """ds AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+  CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label FROM lineitem)"""
+
+
+def sql_clean_numeric() -> str:
+    cond = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c}) AND NOT isinf({c})" for c in LI)
+    return f"WITH {LI_DS}\nSELECT l_orderkey, l_linenumber, {r6(LI)}, label FROM ds WHERE {cond}"
+
+
+def sql_length_guard() -> str:
+    return f"""WITH {Q_CTE}
+SELECT exchange, symbol, seq, {r6(QALL)}, epoch_us(time) AS time_us FROM q
+QUALIFY count(*) OVER ({PART}) >= {P['guard_rows']}"""
+
+
+def sql_label_encode() -> str:
+    return """SELECT event_id, event_type, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS event_type_index
+FROM events"""
+
+
+# --- patterns -------------------------------------------------------------------------------
+
+def _offsets() -> list[int]:
+    return [1] + [(i + 1) * P["pat_step"] for i in range(P["pat_samples"])]
+
+
+def _x(o: int) -> str:
+    return "bid_price" if o == 1 else f"lag(bid_price, {o - 1}) OVER {ordw()}"
+
+
+def _hexchar(nib: str) -> str:
+    return f"substr('0123456789abcdef', CAST(({nib}) AS INTEGER) + 1, 1)"
+
+
+def _signature(kind: str) -> str:
+    w = frame(P["window"])
+    mean = f"avg(bid_price) OVER {w}"
+    med = f"quantile_cont(bid_price, 0.5) OVER {w}"
+    chars = []
+    for o in _offsets():
+        a = f"(CASE WHEN {_x(o)} > {mean} THEN 1 ELSE 0 END)"
+        m = f"(CASE WHEN {_x(o)} > {med} THEN 1 ELSE 0 END)"
+        if kind == "mean":
+            nib = f"{a} * 8 + 7"
+        elif kind == "median":
+            nib = f"{m} * 8 + 7"
+        else:
+            nib = f"{a} * 8 + {m} * 4 + 3"
+        chars.append(_hexchar(nib))
+    k = P["window"] // FREQ
+    return f"CASE WHEN count(bid_price) OVER {w} >= {k} THEN ltrim(concat({', '.join(chars)}), '0') END"
+
+
+def _pattern_table_sql(kind: str) -> str:
+    return f"""WITH {grid_ctes(FREQ, BA)},
+pt AS (SELECT exchange, symbol, g, bid_price, ask_price, {_signature(kind)} AS pattern,
+  {label(P['shift'], 0.0)} AS profit FROM grid)"""
+
+
+def sql_pattern(kind: str) -> str:
+    return (_pattern_table_sql(kind) + f"\nSELECT exchange, symbol, g, {r6(BA)}, pattern, profit FROM pt "
+            f"WHERE {nn(['bid_price', 'ask_price', 'pattern'])}")
+
+
+def sql_pattern_ohlc() -> str:
+    c = P["pat_candle"]
+    n = P["pat_candles"]
+    cw = "(PARTITION BY exchange, symbol ORDER BY cb)"
+    gts = ", ".join(f"lag(CASE WHEN open > close THEN 1 ELSE 0 END, {k - 1}) OVER {cw} AS gt_{k}" for k in range(2, n + 1))
+    chars = [_hexchar("(CASE WHEN open > bid_price THEN 1 ELSE 0 END) * 12 + 3")]
+    chars += [_hexchar(f"gt_{k} * 12 + 3") for k in range(2, n + 1)]
+    return f"""WITH {grid_ctes(FREQ, BA)},
+g2 AS (SELECT *, CAST(floor(g / {c}) AS BIGINT) * {c} AS cb FROM grid),
+cand AS (SELECT exchange, symbol, cb, arg_min(bid_price, g) AS open, arg_max(bid_price, g) AS close FROM g2 GROUP BY ALL),
+cl AS (SELECT exchange, symbol, cb, open, {gts} FROM cand),
+j AS (SELECT g2.exchange, g2.symbol, g2.g, g2.bid_price, g2.ask_price,
+  CASE WHEN gt_{n} IS NOT NULL THEN ltrim(concat({', '.join(chars)}), '0') END AS pattern
+  FROM g2 JOIN cl ON g2.exchange = cl.exchange AND g2.symbol = cl.symbol AND g2.cb = cl.cb),
+pt AS (SELECT *, {label(P['shift'], 0.0)} AS profit FROM j)
+SELECT exchange, symbol, g, {r6(BA)}, pattern, profit FROM pt WHERE pattern IS NOT NULL"""
+
+
+def _score_sql() -> str:
+    return f"""sc AS (SELECT exchange, symbol, pattern, avg(CAST(profit AS DOUBLE)) AS score, count(*) AS count
+  FROM pt WHERE {nn(['bid_price', 'ask_price', 'pattern'])} GROUP BY ALL
+  HAVING avg(CAST(profit AS DOUBLE)) > {P['pat_threshold']} AND count(*) > 1)"""
+
+
+def sql_pattern_score() -> str:
+    return _pattern_table_sql("mean") + f",\n{_score_sql()}\nSELECT exchange, symbol, pattern, {r6(['score'])}, count FROM sc"
+
+
+def sql_pattern_match() -> str:
+    return _pattern_table_sql("mean") + f""",
+{_score_sql()},
+buy AS (SELECT DISTINCT exchange, symbol, pattern FROM sc WHERE score = 1.0)
+SELECT pt.exchange, pt.symbol, pt.g, {', '.join(rnd('pt.' + c, c) + ' AS ' + c for c in BA)}, pt.pattern, pt.profit,
+  CASE WHEN buy.pattern IS NULL THEN 0 ELSE 1 END AS signal
+FROM pt LEFT JOIN buy ON pt.exchange = buy.exchange AND pt.symbol = buy.symbol AND pt.pattern = buy.pattern
+WHERE pt.bid_price IS NOT NULL AND pt.ask_price IS NOT NULL AND pt.pattern IS NOT NULL"""
+
+
+# --- portfolio ------------------------------------------------------------------------------
+
+INSTRUMENTS = ("SIM_click", "SIM_error", "SIM_purchase", "SIM_signup", "SIM_view")
+
+
+def _returns_cte() -> str:
+    w = P["ret_window"]
+    o = ordw()
+    fee = f"(lag(ask_price, {w}) OVER {o} - lag(bid_price, {w}) OVER {o}) + (ask_price - bid_price)"
+    ret = div(f"lag(bid_price, {w}) OVER {o} - ask_price - ({fee})", "ask_price")
+    return f"""{grid_ctes(FREQ, BA)},
+rt AS (SELECT exchange, symbol, exchange || '_' || symbol AS instrument, g, {ret} AS ret FROM grid)"""
+
+
+def _merged_cte() -> str:
+    cols = ", ".join(f"first(ret) FILTER (WHERE instrument = '{i}') AS {i}" for i in INSTRUMENTS)
+    return f"""{_returns_cte()},
+wide AS (SELECT g, {cols} FROM rt GROUP BY g),
+mg AS (SELECT * FROM wide WHERE {nn(INSTRUMENTS)})"""
+
+
+def sql_returns() -> str:
+    return f"WITH {_returns_cte()}\nSELECT exchange, symbol, instrument, g, {r6(['ret'])} FROM rt"
+
+
+def sql_merge_returns() -> str:
+    return f"WITH {_merged_cte()}\nSELECT g, {r6(INSTRUMENTS)} FROM mg"
+
+
+def sql_correlation() -> str:
+    parts = []
+    for a in INSTRUMENTS:
+        for b in INSTRUMENTS:
+            if a == b:
+                parts.append(f"SELECT '{a}' AS a, '{b}' AS b, {rnd('1.0', 'corr')} AS corr")
+            else:
+                parts.append(f"SELECT '{a}' AS a, '{b}' AS b, {rnd(f'corr({a}, {b})', 'corr')} AS corr FROM mg")
+    return f"WITH {_merged_cte()}\n" + " UNION ALL ".join(parts)
+
+
+def sql_portfolio() -> str:
+    names = ", ".join(f"('{i}')" for i in INSTRUMENTS)
+    inst_cols = ", ".join(f"'{i}'" for i in INSTRUMENTS)
+    return f"""WITH {_merged_cte()},
+inst(name) AS (VALUES {names}),
+perm AS (SELECT a.name AS p1, b.name AS p2, c.name AS p3 FROM inst a, inst b, inst c
+         WHERE a.name <> b.name AND a.name <> c.name AND b.name <> c.name),
+lng AS (UNPIVOT mg ON {', '.join(INSTRUMENTS)} INTO NAME name VALUE ret),
+pr AS (SELECT p1 || '_' || p2 || '_' || p3 AS portfolio, l.g, sum(l.ret) AS r
+       FROM perm JOIN lng l ON l.name IN (p1, p2, p3) GROUP BY ALL),
+st AS (SELECT portfolio, avg(r) / stddev_samp(r) * sqrt(count(*)) AS sharpe_ratio, sum(r) AS total,
+       count(*) FILTER (WHERE r >= 0) * 1.0 / count(*) * 100.0 AS pct_win FROM pr GROUP BY portfolio)
+SELECT portfolio, {r6(['sharpe_ratio', 'total', 'pct_win'])} FROM st"""
+
+
+# --- reports --------------------------------------------------------------------------------
+
+PRED = "pred AS (SELECT doc_id, quality AS actual, 1 - toxic AS predicted FROM labels)"
+
+
+def sql_confusion_margins() -> str:
+    return f"""WITH {PRED}
+SELECT CASE WHEN grouping(actual) = 1 THEN 'All' ELSE CAST(actual AS VARCHAR) END AS actual,
+       CASE WHEN grouping(predicted) = 1 THEN 'All' ELSE CAST(predicted AS VARCHAR) END AS predicted,
+       count(*) AS count
+FROM pred GROUP BY CUBE (actual, predicted)"""
+
+
+def _cc() -> str:
+    return f"""{PRED},
+cls AS (SELECT actual AS label FROM pred UNION SELECT predicted FROM pred),
+cc AS (SELECT label,
+  count(*) FILTER (WHERE actual = label AND predicted = label) AS tp,
+  count(*) FILTER (WHERE actual <> label AND predicted = label) AS fp,
+  count(*) FILTER (WHERE actual = label AND predicted <> label) AS fn,
+  count(*) FILTER (WHERE actual = label) AS support,
+  count(*) AS n
+  FROM cls, pred GROUP BY label)"""
+
+
+def sql_classification_report() -> str:
+    z = "coalesce({}, 0.0)"
+    pre = z.format(div("tp * 1.0", "tp + fp"))
+    rec = z.format(div("tp * 1.0", "tp + fn"))
+    return f"""WITH {_cc()},
+per AS (SELECT CAST(label AS VARCHAR) AS label, {pre} AS precision, {rec} AS recall, support, tp, n FROM cc),
+per2 AS (SELECT *, coalesce({div('2 * precision * recall', 'precision + recall')}, 0.0) AS f1_score FROM per),
+tot AS (SELECT sum(tp) AS tp, max(n) AS n, avg(precision) AS mp, avg(recall) AS mr, avg(f1_score) AS mf,
+  sum(precision * support) AS wp, sum(recall * support) AS wr, sum(f1_score * support) AS wf FROM per2),
+allr AS (
+  SELECT label, precision, recall, f1_score, support FROM per2
+  UNION ALL SELECT 'accuracy', NULL, NULL, tp * 1.0 / n, n FROM tot
+  UNION ALL SELECT 'macro avg', mp, mr, mf, n FROM tot
+  UNION ALL SELECT 'weighted avg', wp / n, wr / n, wf / n, n FROM tot)
+SELECT label, {r6(['precision', 'recall', 'f1_score'])}, support FROM allr"""
+
+
+def sql_imbalanced_report() -> str:
+    z = "coalesce({}, 0.0)"
+    return f"""WITH {_cc()},
+per AS (SELECT CAST(label AS VARCHAR) AS label, {z.format(div('tp * 1.0', 'tp + fp'))} AS pre,
+  {z.format(div('tp * 1.0', 'tp + fn'))} AS rec,
+  {z.format(div('(n - tp - fp - fn) * 1.0', 'n - tp - fn'))} AS spe, support AS sup FROM cc),
+per2 AS (SELECT *, coalesce({div('2 * pre * rec', 'pre + rec')}, 0.0) AS f1, sqrt(rec * spe) AS geo,
+  (1.0 + 0.1 * (rec - spe)) * rec * spe AS iba FROM per),
+allr AS (SELECT label, pre, rec, spe, f1, geo, iba, sup FROM per2
+  UNION ALL SELECT 'avg / total', sum(pre * sup) / sum(sup), sum(rec * sup) / sum(sup), sum(spe * sup) / sum(sup),
+    sum(f1 * sup) / sum(sup), sum(geo * sup) / sum(sup), sum(iba * sup) / sum(sup), sum(sup) FROM per2)
+SELECT label, {r6(['pre', 'rec', 'spe', 'f1', 'geo', 'iba'])}, sup FROM allr"""
+
+
+SIG = """sig AS (SELECT o_orderpriority AS instrument_id, CAST(epoch(o_orderdate) AS BIGINT) AS created_at,
+  o_totalprice AS sharp_ratio, o_orderkey FROM orders)"""
+
+
+def sql_last_report() -> str:
+    return f"""WITH {SIG}
+SELECT instrument_id, created_at, {r6(['sharp_ratio'])}, o_orderkey FROM sig
+QUALIFY row_number() OVER (PARTITION BY instrument_id ORDER BY created_at DESC, o_orderkey DESC) = 1"""
+
+
+def sql_last_sharpe_ttl() -> str:
+    lo = P["now_epoch"] - P["ttl"]
+    return f"""WITH {SIG}
+SELECT instrument_id, {rnd(f"arg_max(sharp_ratio, (created_at, o_orderkey)) FILTER (WHERE created_at > {lo})", 'sharp_ratio')} AS sharp_ratio
+FROM sig GROUP BY instrument_id"""
+
+
+VOL = "vol AS (SELECT 'SIM' AS exchange, s_name AS symbol, s_acctbal AS volume, s_suppkey AS position FROM supplier)"
+
+
+def sql_top_volume() -> str:
+    return f"""WITH {VOL}
+SELECT exchange, symbol, {r6(['volume'])}, upper(exchange) || '_' || symbol AS instrument FROM vol
+WHERE volume > {P['min_volume']}"""
+
+
+def sql_pair_filter() -> str:
+    return f"""WITH {VOL}
+SELECT replace(symbol, '/', '_') AS pair, position FROM vol
+WHERE regexp_matches(replace(symbol, '/', '_'), '^(?:{P['pair_regex']})')
+ORDER BY position LIMIT {P['pair_n']}"""
+
+
+def _split_cte() -> str:
+    return f"""{Q_CTE},
+sp AS (SELECT *, CASE WHEN row_number() OVER ({PART} ORDER BY time DESC, seq DESC)
+          <= ceil(count(*) OVER ({PART}) * {P['test_size']}) THEN 'test' ELSE 'train' END AS split FROM q)"""
+
+
+def sql_chrono_split() -> str:
+    return f"WITH {_split_cte()}\nSELECT exchange, symbol, seq, split FROM sp"
+
+
+def sql_split_summary() -> str:
+    return f"""WITH {_split_cte()}
+SELECT CASE WHEN grouping(split) = 1 THEN 'all' ELSE split END AS split,
+  epoch_us(min(time)) AS start_us, epoch_us(max(time)) AS end_us, count(*) AS size
+FROM sp GROUP BY ROLLUP (split)"""
+
+
+def _scaled_cte() -> str:
+    mm = ", ".join(f"min({c}) AS {c}_min, max({c}) AS {c}_max" for c in LI)
+    sc = ", ".join(f"coalesce({div(f'{c} - {c}_min', f'{c}_max - {c}_min')}, 0.0) AS {c}" for c in LI)
+    return f"""{LI_DS},
+mm AS (SELECT {mm} FROM ds),
+sc AS (SELECT l_orderkey, l_linenumber, {sc}, label FROM ds, mm)"""
+
+
+def sql_minmax_scale() -> str:
+    return f"WITH {_scaled_cte()}\nSELECT l_orderkey, l_linenumber, {r6(LI)}, label FROM sc"
+
+
+def sql_chi2_kbest() -> str:
+    parts = []
+    for c in LI:
+        parts.append(f"""SELECT '{c}' AS feature, sum(coalesce({div(f'(obs - ex) * (obs - ex)', 'ex')}, 0.0)) AS score
+FROM (SELECT {c} AS obs, nc * 1.0 / n * t AS ex FROM
+      (SELECT label, count(*) AS nc, sum({c}) AS {c} FROM sc GROUP BY label) pc,
+      (SELECT count(*) AS n, sum({c}) AS t FROM sc) tt)""")
+    return f"WITH {_scaled_cte()},\nsco AS ({' UNION ALL '.join(parts)})\nSELECT feature, {r6(['score'])} FROM sco"
+
+
+def sql_nearest_centroid() -> str:
+    cen = ", ".join(f"avg({c}) AS c_{c}" for c in LI)
+    dist = " + ".join(f"(ds.{c} - cen.c_{c}) * (ds.{c} - cen.c_{c})" for c in LI)
+    return f"""WITH {LI_DS},
+ds2 AS (SELECT *, row_number() OVER () AS rid FROM ds),
+cen AS (SELECT label AS clabel, {cen} FROM ds GROUP BY label),
+dd AS (SELECT ds.rid, ds.l_orderkey, ds.l_linenumber, ds.label, cen.clabel, {dist} AS d FROM ds2 ds, cen)
+SELECT l_orderkey, l_linenumber, label, CAST(clabel AS INTEGER) AS prediction FROM dd
+QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, clabel) = 1"""
+
+
+SQL.update({
+    "dedupe_seq": sql_dedupe_seq(),
+    "dedupe_rows": sql_dedupe_rows(),
+    "seq_gaps": sql_seq_gaps(),
+    "coverage_map": sql_coverage_map(),
+    "missing_partitions": sql_missing_partitions(),
+    "feed_dates": sql_feed_dates(),
+    "null_profile": sql_null_profile(),
+    "clean_numeric": sql_clean_numeric(),
+    "length_guard": sql_length_guard(),
+    "label_encode": sql_label_encode(),
+    "pattern_mean": sql_pattern("mean"),
+    "pattern_median": sql_pattern("median"),
+    "pattern_mean_median": sql_pattern("mean_median"),
+    "pattern_ohlc": sql_pattern_ohlc(),
+    "pattern_score": sql_pattern_score(),
+    "pattern_match": sql_pattern_match(),
+    "returns": sql_returns(),
+    "merge_returns": sql_merge_returns(),
+    "correlation": sql_correlation(),
+    "portfolio": sql_portfolio(),
+    "confusion_margins": sql_confusion_margins(),
+    "classification_report": sql_classification_report(),
+    "imbalanced_report": sql_imbalanced_report(),
+    "last_report": sql_last_report(),
+    "last_sharpe_ttl": sql_last_sharpe_ttl(),
+    "top_volume": sql_top_volume(),
+    "pair_filter": sql_pair_filter(),
+    "chrono_split": sql_chrono_split(),
+    "split_summary": sql_split_summary(),
+    "minmax_scale": sql_minmax_scale(),
+    "chi2_kbest": sql_chi2_kbest(),
+    "nearest_centroid": sql_nearest_centroid(),
+})

@@ -17,9 +17,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import grid as G
+from tidemark.operators import patterns as T_
+from tidemark.operators import portfolio as PF
+from tidemark.operators import quality as Q
+from tidemark.operators import reports as R
+from tidemark.operators.ml import prep as MP
+from tidemark.operators.ml import select as MS
+from tidemark.operators.ml import train as MT
 from tidemark.plans import datasets as B
 from tidemark.schema import KEYS, QUOTE_COLUMNS
-from tidemark.sources.adapters import quotes
+from tidemark.sources.adapters import (
+    LINEITEM_FEATURES,
+    dataset_from_lineitem,
+    predictions_from_labels,
+    quotes,
+    signal_report_from_orders,
+    table,
+    volumes_from_supplier,
+)
 
 HOUR = 3600
 # Decimal places both engines round doubles to before comparison.
@@ -44,6 +59,19 @@ P = {
     "all_fields_guard": 24,
     "min_periods": 6,
     "candle_freq": 6 * HOUR,
+    "guard_rows": 2000,
+    "pat_step": 2,
+    "pat_samples": 8,
+    "pat_candle": 6 * HOUR,
+    "pat_candles": 4,
+    "pat_threshold": 0.5,
+    "ret_window": 4,
+    "now_epoch": 901929600,     # 1998-08-01 00:00:00 UTC
+    "ttl": 90 * DAY,
+    "min_volume": 5000.0,
+    "pair_regex": "Supplier#0000000",
+    "pair_n": 20,
+    "test_size": 0.25,
     "rolling_data_features": (
         "bid_price.rolling_mean", "ask_price.rolling_var", "bid_qty.rolling_coeff", "ask_qty.rolling_min",
         "bid_price.rolling_max", "bid_price.rolling_open", "ask_price.rolling_close", "bid_price",
@@ -146,6 +174,203 @@ def q_rolling_data(spark, sf):
                               P["min_periods"], freq=P["freq"]))
 
 
+# --- quality / cleaning ---------------------------------------------------------------------
+
+def _qus(df: DataFrame) -> DataFrame:
+    """Times as epoch micros (exact, engine-neutral)."""
+    return df.withColumn("time_us", F.unix_micros(F.col("time").cast("timestamp"))).drop("time")
+
+
+def q_dedupe_seq(spark, sf):
+    return round6(_qus(Q.dedupe_seq(_q(spark, sf))))
+
+
+def q_dedupe_rows(spark, sf):
+    return round6(_qus(Q.dedupe_rows(_q(spark, sf).drop("seq"))))
+
+
+def q_seq_gaps(spark, sf):
+    return _qus(Q.seq_gaps(_q(spark, sf)).select("exchange", "symbol", "seq", "seq_previous", "time"))
+
+
+def q_coverage_map(spark, sf):
+    return Q.coverage(_q(spark, sf))
+
+
+def q_missing_partitions(spark, sf):
+    return Q.missing_partitions(_q(spark, sf))
+
+
+def q_feed_dates(spark, sf):
+    d = Q.feed_dates(_q(spark, sf))
+    return d.select("exchange", "symbol", F.unix_micros("first").alias("first_us"),
+                    F.unix_micros("last").alias("last_us"))
+
+
+def q_null_profile(spark, sf):
+    return Q.null_profile(_q(spark, sf))
+
+
+def q_clean_numeric(spark, sf):
+    d = dataset_from_lineitem(table(spark, sf, "lineitem"))
+    return round6(Q.clean_numeric(d, list(LINEITEM_FEATURES)))
+
+
+def q_length_guard(spark, sf):
+    return round6(_qus(Q.length_guard(_q(spark, sf), P["guard_rows"])))
+
+
+def q_label_encode(spark, sf):
+    return Q.label_encode(table(spark, sf, "events").select("event_id", "event_type"), "event_type")
+
+
+# --- patterns -------------------------------------------------------------------------------
+
+def _patterns(spark, sf, kind):
+    return T_.pattern_table(_q(spark, sf), kind, P["window"], P["shift"], P["pat_step"], P["pat_samples"], 0.0,
+                            freq=P["freq"])
+
+
+def q_pattern_mean(spark, sf):
+    return _nt(_patterns(spark, sf, "mean"))
+
+
+def q_pattern_median(spark, sf):
+    return _nt(_patterns(spark, sf, "median"))
+
+
+def q_pattern_mean_median(spark, sf):
+    return _nt(_patterns(spark, sf, "mean_median"))
+
+
+def q_pattern_ohlc(spark, sf):
+    return _nt(T_.ohlc_pattern_table(_q(spark, sf), P["pat_candle"], P["pat_candles"], P["shift"], 0.0,
+                                     freq=P["freq"]))
+
+
+def q_pattern_score(spark, sf):
+    return round6(T_.pattern_score(_patterns(spark, sf, "mean"), P["pat_threshold"]))
+
+
+def q_pattern_match(spark, sf):
+    table_ = _patterns(spark, sf, "mean")
+    buy = T_.buy_patterns(T_.pattern_score(table_, P["pat_threshold"]))
+    return _nt(T_.pattern_match(table_, buy))
+
+
+# --- portfolio ------------------------------------------------------------------------------
+
+def _grid_ba(spark, sf):
+    return G.resample_last(_q(spark, sf), P["freq"], ("bid_price", "ask_price"))
+
+
+def _instruments(spark, sf) -> list[str]:
+    """Instrument list (small metadata: one distinct over a dictionary-encoded column)."""
+    return sorted(f"SIM_{r[0]}" for r in table(spark, sf, "events").select("event_type").distinct().collect())
+
+
+def q_returns(spark, sf):
+    return round6(PF.fee_returns(_grid_ba(spark, sf), P["ret_window"], P["freq"]))
+
+
+def _merged(spark, sf):
+    inst = _instruments(spark, sf)
+    return PF.merge_returns(PF.fee_returns(_grid_ba(spark, sf), P["ret_window"], P["freq"]), inst), inst
+
+
+def q_merge_returns(spark, sf):
+    m, inst = _merged(spark, sf)
+    return round6(m)
+
+
+def q_correlation(spark, sf):
+    m, inst = _merged(spark, sf)
+    return round6(PF.correlation(m, inst))
+
+
+def q_portfolio(spark, sf):
+    m, inst = _merged(spark, sf)
+    return round6(PF.portfolio_report(m, inst))
+
+
+# --- reports --------------------------------------------------------------------------------
+
+def _pred(spark, sf):
+    return predictions_from_labels(table(spark, sf, "labels"))
+
+
+def q_confusion_margins(spark, sf):
+    return R.confusion_margins(_pred(spark, sf))
+
+
+def q_classification_report(spark, sf):
+    return round6(R.classification_report(_pred(spark, sf)))
+
+
+def q_imbalanced_report(spark, sf):
+    return round6(R.imbalanced_report(_pred(spark, sf)))
+
+
+def _signals(spark, sf):
+    return signal_report_from_orders(table(spark, sf, "orders"))
+
+
+def q_last_report(spark, sf):
+    return round6(R.last_report(_signals(spark, sf), tiebreak="o_orderkey"))
+
+
+def q_last_sharpe_ttl(spark, sf):
+    return round6(R.last_sharpe_ttl(_signals(spark, sf), P["now_epoch"], P["ttl"], tiebreak="o_orderkey"))
+
+
+def q_top_volume(spark, sf):
+    return round6(R.top_volume(volumes_from_supplier(table(spark, sf, "supplier")), P["min_volume"]))
+
+
+def q_pair_filter(spark, sf):
+    return R.pair_filter(volumes_from_supplier(table(spark, sf, "supplier")), P["pair_regex"], P["pair_n"])
+
+
+def _split(spark, sf):
+    return R.chrono_split(_q(spark, sf), P["test_size"], keys=KEYS, tiebreak="seq")
+
+
+def q_chrono_split(spark, sf):
+    return _split(spark, sf).select("exchange", "symbol", "seq", "split")
+
+
+def q_split_summary(spark, sf):
+    s = R.split_summary(_split(spark, sf).withColumn("time", F.unix_micros("time")))
+    return s.select("split", F.col("start_date").alias("start_us"), F.col("end_date").alias("end_us"), "size")
+
+
+def q_shuffled_split(spark, sf):
+    d = dataset_from_lineitem(table(spark, sf, "lineitem"))
+    return R.shuffled_split(d, ["l_orderkey", "l_linenumber"], 0.25, 42).select("l_orderkey", "l_linenumber", "split")
+
+
+# --- ML preparation -------------------------------------------------------------------------
+
+def _lineitem_ds(spark, sf):
+    return dataset_from_lineitem(table(spark, sf, "lineitem"))
+
+
+def q_minmax_scale(spark, sf):
+    scaled, _ = MP.minmax_scale(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES))
+    return round6(scaled)
+
+
+def q_chi2_kbest(spark, sf):
+    scaled, _ = MP.minmax_scale(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES))
+    return round6(MS.chi2_scores(scaled, list(LINEITEM_FEATURES), "label"))
+
+
+def q_nearest_centroid(spark, sf):
+    d = _lineitem_ds(spark, sf)
+    model = MT.NearestCentroid(list(LINEITEM_FEATURES), "label").fit(d)
+    return model.transform(d).select("l_orderkey", "l_linenumber", "label", "prediction")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resample_last": q_resample_last,
     "resample_ffill": q_resample_ffill,
@@ -161,6 +386,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "return_candles": q_return_candles,
     "rolling_all_fields": q_rolling_all_fields,
     "rolling_data": q_rolling_data,
+    "dedupe_seq": q_dedupe_seq,
+    "dedupe_rows": q_dedupe_rows,
+    "seq_gaps": q_seq_gaps,
+    "coverage_map": q_coverage_map,
+    "missing_partitions": q_missing_partitions,
+    "feed_dates": q_feed_dates,
+    "null_profile": q_null_profile,
+    "clean_numeric": q_clean_numeric,
+    "length_guard": q_length_guard,
+    "label_encode": q_label_encode,
+    "pattern_mean": q_pattern_mean,
+    "pattern_median": q_pattern_median,
+    "pattern_mean_median": q_pattern_mean_median,
+    "pattern_ohlc": q_pattern_ohlc,
+    "pattern_score": q_pattern_score,
+    "pattern_match": q_pattern_match,
+    "returns": q_returns,
+    "merge_returns": q_merge_returns,
+    "correlation": q_correlation,
+    "portfolio": q_portfolio,
+    "confusion_margins": q_confusion_margins,
+    "classification_report": q_classification_report,
+    "imbalanced_report": q_imbalanced_report,
+    "last_report": q_last_report,
+    "last_sharpe_ttl": q_last_sharpe_ttl,
+    "top_volume": q_top_volume,
+    "pair_filter": q_pair_filter,
+    "chrono_split": q_chrono_split,
+    "split_summary": q_split_summary,
+    "shuffled_split": q_shuffled_split,
+    "minmax_scale": q_minmax_scale,
+    "chi2_kbest": q_chi2_kbest,
+    "nearest_centroid": q_nearest_centroid,
 }
 
 __all__ = ["QUERIES", "P", "round6", "KEYS"]
