@@ -17,6 +17,7 @@ from tidemark.functions import yyyymmdd
 from tidemark.operators.quality import non_empty
 
 TICK_PARTITIONS = ("exchange", "symbol", "date")
+BROADCAST_KEYS = 200_000
 FEATURE_PARTITIONS = ("exchange", "symbol", "feature", "date")
 
 
@@ -113,7 +114,9 @@ def _hadoop_fs(spark: SparkSession, path: str):
 
 def partition_keys(spark: SparkSession, path: str, partitions: Sequence[str]) -> DataFrame:
     """Distinct partition values of a landed table (answered from partition columns)."""
-    return spark.read.option("basePath", path).parquet(path).select(*partitions).distinct()
+    from tidemark.sources.scans import _read
+
+    return _read(spark, path).select(*partitions).distinct()
 
 
 def mirror_partitions(spark: SparkSession, src: str, dst: str, partitions: Sequence[str] = TICK_PARTITIONS,
@@ -125,8 +128,10 @@ def mirror_partitions(spark: SparkSession, src: str, dst: str, partitions: Seque
     columns, eligible for dynamic partition pruning) and overwrites only
     those partitions. Running it twice copies nothing the second time.
     """
+    from tidemark.sources.scans import _read
+
     parts = list(partitions)
-    src_df = spark.read.option("basePath", src).parquet(src)
+    src_df = _read(spark, src)
     if where:
         src_df = src_df.where(where)
     keys = src_df.select(*parts).distinct()
@@ -136,9 +141,11 @@ def mirror_partitions(spark: SparkSession, src: str, dst: str, partitions: Seque
         except Exception:  # noqa: BLE001  (empty destination)
             pass
     keys = keys.cache()
-    if keys.isEmpty():
+    n = keys.count()
+    if n == 0:
         return keys
-    data = src_df.join(F.broadcast(keys), on=parts, how="left_semi")
+    # the key list has one row per partition directory; broadcast it only when that is small
+    data = src_df.join(F.broadcast(keys) if n <= BROADCAST_KEYS else keys, on=parts, how="left_semi")
     write_partitioned(data.select(*src_df.columns), dst, parts, mode="overwrite", sort_col="time")
     return keys
 

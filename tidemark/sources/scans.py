@@ -32,11 +32,18 @@ def _iso(d: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}" if len(d) == 8 and d.isdigit() else d
 
 
+PARTITION_COLUMNS = ("exchange", "symbol", "feature", "target", "type", "run_id", "date")
+
+
 def _read(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """Hive-partitioned Parquet with partition values kept as STRING (no type inference:
+    a day '20240102' or a symbol '0700' must not turn into a number)."""
     r = spark.read.option("basePath", root)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(root)
+    if schema is None:
+        inferred = r.parquet(root).schema
+        schema = T.StructType([T.StructField(f.name, T.StringType(), True) if f.name in PARTITION_COLUMNS else f
+                               for f in inferred.fields])
+    return spark.read.option("basePath", root).schema(schema).parquet(root)
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

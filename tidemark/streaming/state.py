@@ -93,12 +93,29 @@ SIGNAL_OUT = "exchange string, symbol string, time_us long, pattern string, sign
 SIGNAL_STATE = "values array<double>"
 
 
+def _mean_seq(values: list[float]) -> float:
+    """Mean with plain left-to-right addition, as Spark's ``avg`` over a frame
+    (Python's ``sum`` of floats is compensated since 3.12 and can differ by an ulp)."""
+    s = 0.0
+    for v in values:
+        s += v
+    return s / len(values)
+
+
+def _percentile_linear(values: list[float], p: float) -> float:
+    """Spark ``percentile`` (linear interpolation, same weights arithmetic)."""
+    xs = sorted(values)
+    pos = p * (len(xs) - 1)
+    lo, hi = int(pos // 1), int(-(-pos // 1))
+    if lo == hi or xs[lo] == xs[hi]:
+        return xs[lo]
+    return (hi - pos) * xs[lo] + (pos - lo) * xs[hi]
+
+
 def _signature_py(values: list[float], offsets: Sequence[int], kind: str) -> str:
     """Same signature as ``patterns.signature`` for one full buffer (mean / median / mean_median)."""
-    import statistics
-
-    mean = sum(values) / len(values)
-    med = statistics.median(values)
+    mean = _mean_seq(values)
+    med = _percentile_linear(values, 0.5)
     bits = []
     for k in offsets:
         x = values[-k]
