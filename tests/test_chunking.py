@@ -52,3 +52,23 @@ def test_asof_chunk_spans_agree(spark):
     a = G.resample_asof_next(q, 900, span=3600).orderBy("symbol", "g").collect()
     b = G.resample_asof_next(q, 900, span=86400 * 40).orderBy("symbol", "g").collect()
     assert a == b
+
+
+def test_frame_engines_agree(spark):
+    from tidemark.plans.frames import M, compute_frames
+    from tidemark.schema import QUOTE_COLUMNS
+
+    g = G.resample_last(quotes(spark, SF), 1800, QUOTE_COLUMNS)
+    metrics = {f"{c}_{m}": M(c, m, 12 * 3600, 4) for c in ("bid_price", "bid_qty")
+               for m in ("mean", "var", "std", "min", "max", "open", "close", "sum", "count", "q25", "q75", "median")}
+    lags, leads = {"lb": ("bid_price", 5)}, {"ld": ("ask_price", 3)}
+    a = compute_frames(g, ["exchange", "symbol"], 1800, metrics, lags, leads, engine="pandas", span=86400)
+    b = compute_frames(g, ["exchange", "symbol"], 1800, metrics, lags, leads, engine="jvm", span=86400)
+    cols = list(metrics) + ["lb", "ld"]
+    j = a.alias("a").join(b.alias("b"), ["exchange", "symbol", "g"])
+    assert j.count() == a.count() == b.count() == g.count()
+    diff = j.select(*[F.max(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}"))).alias(c) for c in cols]).first().asDict()
+    assert all(v is None or v < 1e-7 for v in diff.values()), diff
+    nulls = j.select(*[F.sum((F.col(f"a.{c}").isNull() != F.col(f"b.{c}").isNull()).cast("int")).alias(c)
+                       for c in cols]).first().asDict()
+    assert all(v == 0 for v in nulls.values()), nulls

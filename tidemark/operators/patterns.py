@@ -54,21 +54,41 @@ def signature(kind: str, offsets: Sequence[int], w: Window, c: str = "bid_price"
 
 def pattern_table(quotes: DataFrame, kind: str = "mean", window: int = 3600, shift: int = 600, step: int = 60,
                   nbr_samples: int = 30, pct: float = 0.0, freq: int = 1, keys: Sequence[str] = KEYS,
-                  min_periods: int | None = None) -> DataFrame:
+                  min_periods: int | None = None, engine: str = "auto") -> DataFrame:
     """Grid -> signature over a full frame -> look-ahead label L1 -> dropna.
 
+    The frame mean / median, the sampled lags and the label's lead come from
+    the frame planner (Spark windows or pandas kernels by frame length);
+    the bits and their hex string are column expressions.
     Output: ``*keys, g, time, bid_price, ask_price, pattern, profit``.
     """
+    from tidemark.plans.frames import M, compute_frames
+
+    if kind not in KINDS:
+        raise ValueError(f"kind must be one of {KINDS}")
     keys = list(keys)
     offs = sample_offsets(nbr_samples, step)
     mp = int(min_periods if min_periods is not None else window // freq)
     grid = resample_last(quotes, freq, ("bid_price", "ask_price"), keys)
-    w = frame(window, keys)
-    sig = with_min_periods(signature(kind, offs, w, "bid_price", keys), "bid_price", w, mp)
-    win = {"pattern": sig, "profit": profit_label(shift, pct, keys=keys)}
-    d = framed(grid, win, lookback=max(window - 1, (max(offs) - 1) * freq), lookahead=shift * freq, freq=freq)
-    return d.select(*keys, "g", "time", "bid_price", "ask_price", "pattern", "profit").na.drop(
-        subset=["bid_price", "ask_price", "pattern"])
+    metrics = {"_mean": M("bid_price", "mean", window, mp), "_med": M("bid_price", "median", window, mp)}
+    lags = {f"_x{k}": ("bid_price", k - 1) for k in sorted(set(offs)) if k > 1}
+    d = compute_frames(grid, keys, freq, metrics, lags, {"_lead": ("bid_price", shift)}, engine=engine)
+    one = F.lit(1)
+    bits: list[Column] = []
+    for k in offs:
+        x = F.col("bid_price") if k == 1 else F.col(f"_x{k}")
+        above_mean, above_med = bit(x > F.col("_mean")), bit(x > F.col("_med"))
+        if kind == "mean":
+            bits += [above_mean, one, one, one]
+        elif kind == "median":
+            bits += [above_med, one, one, one]
+        else:
+            bits += [above_mean, above_med, one, one]
+    target = F.col("ask_price") + F.col("ask_price") * F.lit(float(pct))
+    d = d.select(*keys, "g", "time", "bid_price", "ask_price",
+                 F.when(F.col("_mean").isNotNull(), hex_from_bits(bits)).alias("pattern"),
+                 F.when(F.col("_lead") - target > F.lit(0), F.lit(1)).otherwise(F.lit(0)).alias("profit"))
+    return d.na.drop(subset=["bid_price", "ask_price", "pattern"])
 
 
 def ohlc_pattern_table(quotes: DataFrame, candle: int = 300, nbr_candles: int = 12, shift: int = 600,

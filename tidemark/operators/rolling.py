@@ -146,20 +146,35 @@ def rolling(
     keys: Sequence[str] = KEYS,
     rows: bool = False,
     span: int | None = None,
+    engine: str = "auto",
 ) -> DataFrame:
     """Rolling metrics of each column, named ``<col>_<metric>``.
 
     ``window`` is seconds (time window) or, with ``rows=True``, grid rows.
+    Evaluated by the frame planner (Spark windows or pandas kernels).
     """
+    from tidemark.plans.frames import M, compute_frames
+
+    plain = {"rolling_mean": "mean", "rolling_mavg": "mean", "rolling_var": "var", "rolling_std": "std",
+             "rolling_min": "min", "rolling_max": "max", "rolling_open": "open", "rolling_close": "close",
+             "rolling_sum": "sum", "rolling_count": "count", "rolling_q25": "q25", "rolling_q75": "q75",
+             "rolling_median": "median"}
     n_sec = int(window) * int(freq) if rows else int(window)
-    w = frame(n_sec, keys)
-    win: dict[str, Column] = {}
+    ms: dict[str, M] = {}
     post: dict[str, Column] = {}
     for c in columns:
-        a, b = metric_columns(c, metrics, w, min_periods)
-        win.update(a)
-        post.update(b)
-    return framed(grid, win, post, lookback=n_sec - 1, span=span, freq=freq)
+        for m in metrics:
+            name = f"{c}_{m}"
+            if m == "rolling_coeff":
+                ms[f"_q25_{c}"] = M(c, "q25", n_sec, int(min_periods))
+                ms[f"_q75_{c}"] = M(c, "q75", n_sec, int(min_periods))
+                post[name] = quartile_coeff(F.col(f"_q25_{c}"), F.col(f"_q75_{c}"))
+            else:
+                ms[name] = M(c, plain[m], n_sec, int(min_periods))
+    d = compute_frames(grid, keys, freq, ms, engine=engine, span=span)
+    if post:
+        d = d.select("*", *[e.alias(n) for n, e in post.items()])
+    return d.drop(*[n for n in ms if n.startswith("_")])
 
 
 # --- frame-aggregate library (W20-W28): group-level aggregates over a frame of rows ---------

@@ -162,8 +162,8 @@ def sql_ohlc() -> str:
 
 
 def sql_quantile_coefficient() -> str:
-    w = frame(P["window"])
-    guard = P["window"] // FREQ + P["shift"]
+    w = frame(P["long_window"])
+    guard = P["long_window"] // FREQ + P["shift"]
     body = f"""SELECT exchange, symbol, g, bid_price, ask_price,
   avg(bid_price) OVER {w} AS rolling_mean, var_samp(bid_price) OVER {w} AS rolling_var,
   {metric('bid_price', 'rolling_coeff', w)} AS rolling_coeff,
@@ -221,9 +221,9 @@ def sql_moving_average_pattern() -> str:
 
 
 def sql_moving_average_shift() -> str:
-    w = frame(P["window"])
+    w = frame(P["long_window"])
     s = P["shift"]
-    guard = P["window"] // FREQ + s
+    guard = P["long_window"] // FREQ + s
     body = f"""SELECT exchange, symbol, g, bid_price, ask_price,
   lag(bid_price, {s}) OVER {ordw()} AS bid_price_open, lead(bid_price, {s}) OVER {ordw()} AS bid_price_close,
   lag(ask_price, {s}) OVER {ordw()} AS ask_price_open, lead(ask_price, {s}) OVER {ordw()} AS ask_price_close,
@@ -257,8 +257,8 @@ METRICS7 = ("rolling_mean", "rolling_var", "rolling_coeff", "rolling_min", "roll
             "rolling_close")
 
 
-def _rolling_sql(features: Sequence[str], grid_cols: Sequence[str]) -> str:
-    w = frame(P["window"])
+def _rolling_sql(features: Sequence[str], grid_cols: Sequence[str], window: int | None = None) -> str:
+    w = frame(window or P["window"])
     k = P["min_periods"]
     sel, cols = [], []
     for feat in features:
@@ -282,7 +282,7 @@ def sql_rolling_all_fields() -> str:
 def sql_rolling_data() -> str:
     feats = P["rolling_data_features"]
     cols = sorted({f.split(".")[0] for f in feats} | {"bid_price", "ask_price"})
-    return _rolling_sql(feats, cols)
+    return _rolling_sql(feats, cols, P["long_window"])
 
 
 SQL = {
@@ -391,8 +391,8 @@ def _hexchar(nib: str) -> str:
     return f"substr('0123456789abcdef', CAST(({nib}) AS INTEGER) + 1, 1)"
 
 
-def _signature(kind: str) -> str:
-    w = frame(P["window"])
+def _signature(kind: str, window: int) -> str:
+    w = frame(window)
     mean = f"avg(bid_price) OVER {w}"
     med = f"quantile_cont(bid_price, 0.5) OVER {w}"
     chars = []
@@ -406,18 +406,18 @@ def _signature(kind: str) -> str:
         else:
             nib = f"{a} * 8 + {m} * 4 + 3"
         chars.append(_hexchar(nib))
-    k = P["window"] // FREQ
+    k = window // FREQ
     return f"CASE WHEN count(bid_price) OVER {w} >= {k} THEN ltrim(concat({', '.join(chars)}), '0') END"
 
 
-def _pattern_table_sql(kind: str) -> str:
+def _pattern_table_sql(kind: str, window: int | None = None) -> str:
     return f"""WITH {grid_ctes(FREQ, BA)},
-pt AS (SELECT exchange, symbol, g, bid_price, ask_price, {_signature(kind)} AS pattern,
+pt AS (SELECT exchange, symbol, g, bid_price, ask_price, {_signature(kind, window or P['window'])} AS pattern,
   {label(P['shift'], 0.0)} AS profit FROM grid)"""
 
 
-def sql_pattern(kind: str) -> str:
-    return (_pattern_table_sql(kind) + f"\nSELECT exchange, symbol, g, {r6(BA)}, pattern, profit FROM pt "
+def sql_pattern(kind: str, window: int | None = None) -> str:
+    return (_pattern_table_sql(kind, window) + f"\nSELECT exchange, symbol, g, {r6(BA)}, pattern, profit FROM pt "
             f"WHERE {nn(['bid_price', 'ask_price', 'pattern'])}")
 
 
@@ -665,7 +665,7 @@ SQL.update({
     "length_guard": sql_length_guard(),
     "label_encode": sql_label_encode(),
     "pattern_mean": sql_pattern("mean"),
-    "pattern_median": sql_pattern("median"),
+    "pattern_median": sql_pattern("median", P["long_window"]),
     "pattern_mean_median": sql_pattern("mean_median"),
     "pattern_ohlc": sql_pattern_ohlc(),
     "pattern_score": sql_pattern_score(),

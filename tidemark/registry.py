@@ -44,7 +44,8 @@ DAY = 24 * HOUR
 # Query parameters shared with the oracle SQL.
 P = {
     "freq": HOUR,
-    "window": DAY,          # 24 grid rows
+    "window": DAY,          # 24 grid rows (Spark-window engine)
+    "long_window": 3 * DAY,  # 72 grid rows (pandas engine of the frame planner)
     "shift": 6,
     "pct": 0.001,
     "cma_max": 36 * HOUR,
@@ -133,7 +134,7 @@ def q_ohlc(spark, sf):
 
 
 def q_quantile_coefficient(spark, sf):
-    return _nt(B.quantile_coefficient(_q(spark, sf), P["window"], P["shift"], P["pct"], freq=P["freq"]))
+    return _nt(B.quantile_coefficient(_q(spark, sf), P["long_window"], P["shift"], P["pct"], freq=P["freq"]))
 
 
 def q_all_fields(spark, sf):
@@ -157,7 +158,7 @@ def q_moving_average_pattern(spark, sf):
 
 
 def q_moving_average_shift(spark, sf):
-    return _nt(B.moving_average_shift(_q(spark, sf), P["window"], P["shift"], freq=P["freq"]))
+    return _nt(B.moving_average_shift(_q(spark, sf), P["long_window"], P["shift"], freq=P["freq"]))
 
 
 def q_return_candles(spark, sf):
@@ -170,7 +171,7 @@ def q_rolling_all_fields(spark, sf):
 
 
 def q_rolling_data(spark, sf):
-    return _nt(B.rolling_data(_q(spark, sf), P["rolling_data_features"], P["window"], True, P["shift"],
+    return _nt(B.rolling_data(_q(spark, sf), P["rolling_data_features"], P["long_window"], True, P["shift"],
                               P["min_periods"], freq=P["freq"]))
 
 
@@ -226,8 +227,8 @@ def q_label_encode(spark, sf):
 
 # --- patterns -------------------------------------------------------------------------------
 
-def _patterns(spark, sf, kind):
-    return T_.pattern_table(_q(spark, sf), kind, P["window"], P["shift"], P["pat_step"], P["pat_samples"], 0.0,
+def _patterns(spark, sf, kind, window=None):
+    return T_.pattern_table(_q(spark, sf), kind, window or P["window"], P["shift"], P["pat_step"], P["pat_samples"], 0.0,
                             freq=P["freq"])
 
 
@@ -236,7 +237,7 @@ def q_pattern_mean(spark, sf):
 
 
 def q_pattern_median(spark, sf):
-    return _nt(_patterns(spark, sf, "median"))
+    return _nt(_patterns(spark, sf, "median", P["long_window"]))
 
 
 def q_pattern_mean_median(spark, sf):
