@@ -24,7 +24,7 @@ PART = "PARTITION BY exchange, symbol"
 
 
 def rnd(expr: str, name: str) -> str:
-    d = 4 if "var" in name else ROUND_DIGITS
+    d = 4 if "var" in name else (6 if "std" in name else ROUND_DIGITS)
     return f"(floor((({expr}) + 3.14159e-8) * 1e{d} + 0.5) / 1e{d})"
 
 
@@ -687,3 +687,129 @@ SQL.update({
     "chi2_kbest": sql_chi2_kbest(),
     "nearest_centroid": sql_nearest_centroid(),
 })
+
+
+# --- sources / alignment ----------------------------------------------------------------------
+
+def sql_metrics_to_ticks() -> str:
+    cols = ", ".join(f"{rnd(f'max({c})', c)} AS {c}" for c in ("seq",) + QALL)
+    return f"""WITH {Q_CTE},
+q2 AS (SELECT exchange, symbol, CAST(floor(epoch_us(time) / 1000) AS BIGINT) AS ms, CAST(seq AS DOUBLE) AS seq, bid_price, ask_price, bid_qty,
+       ask_qty FROM q)
+SELECT exchange, symbol, ms * 1000 AS time_us, {cols}, strftime(make_timestamp(ms * 1000), '%Y%m%d') AS date
+FROM q2 GROUP BY exchange, symbol, ms"""
+
+
+def sql_scan_features() -> str:
+    return f"WITH {grid_ctes(FREQ, QC)}\nSELECT exchange, symbol, g * 1000000 AS time_us, {r6(QC)} FROM grid"
+
+
+def sql_instrument_catalog() -> str:
+    fields = ", ".join(f"('{f}')" for f in ("seq",) + QALL)
+    return f"""WITH names AS (SELECT 'SIM_' || e.event_type || '_' || f.name AS metric
+  FROM (SELECT DISTINCT event_type FROM events) e, (VALUES {fields}) f(name))
+SELECT DISTINCT array_to_string(string_split(metric, '_')[1:3], '_') AS instrument FROM names
+WHERE regexp_matches(array_to_string(string_split(metric, '_')[1:3], '_'), '^(?:{P['catalog_regex']})')"""
+
+
+def sql_normalize_points() -> str:
+    return f"""SELECT 'SIM' AS exchange, upper(event_type) AS symbol, {rnd('value', 'bid_price')} AS bid_price,
+  strftime(ts, '%Y%m%d') AS date, {rnd('CAST(floor(epoch(ts)) AS DOUBLE)', 'database_timestamp')} AS database_timestamp,
+  epoch_us(ts) AS time_us FROM events"""
+
+
+def sql_scan_points() -> str:
+    return f"""WITH {Q_CTE}
+SELECT exchange, symbol, seq, {r6(QALL)}, epoch_us(time) AS time_us FROM q
+WHERE time > TIMESTAMP '{P['points_start']}' AND time < TIMESTAMP '{P['points_end']} 23:59:59.999'"""
+
+
+def sql_align_feeds() -> str:
+    feeds = ("click", "error", "purchase", "signup", "view")
+    cols = ", ".join(f"{rnd(f'first(bid_price) FILTER (WHERE symbol = {chr(39)}{f}{chr(39)})', f)} AS {f}" for f in feeds)
+    return f"WITH {grid_ctes(FREQ, ('bid_price',))}\nSELECT g, {cols} FROM grid GROUP BY g"
+
+
+def sql_params_matrix() -> str:
+    return """SELECT a.l_returnflag, b.l_linestatus
+FROM (SELECT DISTINCT l_returnflag FROM lineitem WHERE l_returnflag IS NOT NULL) a,
+     (SELECT DISTINCT l_linestatus FROM lineitem WHERE l_linestatus IS NOT NULL) b"""
+
+
+def sql_flatten_distinct() -> str:
+    return """WITH f AS (SELECT user_id, event_type, min(ts) AS first_ts FROM events GROUP BY ALL)
+SELECT user_id, string_agg(event_type, ',' ORDER BY first_ts, event_type) AS types FROM f GROUP BY user_id"""
+
+
+def sql_frame_stats() -> str:
+    body = """SELECT exchange, symbol, strftime(make_timestamp(g * 1000000), '%Y%m%d') AS day,
+  arg_min(bid_price, g) AS open, arg_max(bid_price, g) AS close, min(bid_price) AS min, max(bid_price) AS max,
+  sum(bid_price) AS sum, count(bid_price) AS count, stddev_pop(bid_price) AS std, avg(bid_price) AS mean,
+  quantile_cont(bid_price, 0.5) AS median, quantile_cont(bid_price, 0.99) AS pct99,
+  quantile_cont(bid_price, 0.01) AS pct01, count(*) FILTER (WHERE bid_price <> 0) AS nz, count(*) AS n
+  FROM grid GROUP BY ALL"""
+    cols = ["open", "close", "min", "max", "sum", "std", "mean", "median", "pct99", "pct01"]
+    pc = rnd("CASE WHEN count >= 2 THEN " + div("close - open", "open") + " END", "pct_change")
+    return f"""WITH {grid_ctes(FREQ, ('bid_price',))},
+st AS ({body})
+SELECT exchange, symbol, day, {r6(cols)}, count, {pc} AS pct_change, nz > n / 2 AS ratio FROM st"""
+
+
+def sql_remove_outliers() -> str:
+    k = P["outlier_k"]
+    return f"""WITH {Q_CTE},
+d AS (SELECT *, strftime(time, '%Y%m%d') AS day FROM q),
+s AS (SELECT *, avg(bid_price) OVER (PARTITION BY exchange, symbol, day) AS m,
+  stddev_pop(bid_price) OVER (PARTITION BY exchange, symbol, day) AS sd FROM d)
+SELECT exchange, symbol, seq, {r6(QALL)}, day, epoch_us(time) AS time_us FROM s
+WHERE bid_price > m - {k} * sd AND bid_price < m + {k} * sd"""
+
+
+def sql_rank_within() -> str:
+    return f"""WITH {SIG}
+SELECT instrument_id, created_at, {r6(['sharp_ratio'])}, o_orderkey,
+  CAST(row_number() OVER (PARTITION BY instrument_id ORDER BY sharp_ratio DESC, created_at, o_orderkey) AS INTEGER) AS rank
+FROM sig"""
+
+
+def sql_last_hours() -> str:
+    return f"""WITH {Q_CTE}
+SELECT exchange, symbol, seq, {r6(QALL)}, epoch_us(time) AS time_us FROM q
+WHERE time >= TIMESTAMP '{P['now_ts']}' - INTERVAL {int(P['last_hours'] * 3600)} SECOND
+  AND time <= TIMESTAMP '{P['now_ts']}'"""
+
+
+def sql_tick_buffer() -> str:
+    us = P["buffer_seconds"] * 1_000_000
+    w = f"(PARTITION BY exchange, symbol ORDER BY time_us RANGE BETWEEN {us - 1} PRECEDING AND CURRENT ROW)"
+    return f"""WITH {Q_CTE},
+t AS (SELECT exchange, symbol, epoch_us(time) AS time_us, seq, bid_price FROM q)
+SELECT exchange, symbol, time_us, seq, {r6(['bid_price'])}, count(DISTINCT time_us) OVER {w} AS buffer_size,
+  min(time_us) OVER {w} AS buffer_start_us FROM t"""
+
+
+def sql_closed_bars() -> str:
+    return f"""WITH {Q_CTE},
+t AS (SELECT exchange, symbol, epoch_us(time) AS time_us, bid_price, ask_price, seq FROM q),
+l AS (SELECT exchange, symbol, time_us, arg_max(bid_price, seq) AS bid_price, arg_max(ask_price, seq) AS ask_price
+      FROM t GROUP BY ALL)
+SELECT exchange, symbol, time_us, {r6(BA)} FROM l
+QUALIFY time_us < max(time_us) OVER (PARTITION BY exchange, symbol)"""
+
+
+SQL.update({
+    "metrics_to_ticks": sql_metrics_to_ticks(),
+    "scan_features": sql_scan_features(),
+    "instrument_catalog": sql_instrument_catalog(),
+    "normalize_points": sql_normalize_points(),
+    "scan_points": sql_scan_points(),
+    "align_feeds": sql_align_feeds(),
+    "params_matrix": sql_params_matrix(),
+    "flatten_distinct": sql_flatten_distinct(),
+    "frame_stats": sql_frame_stats(),
+    "remove_outliers": sql_remove_outliers(),
+    "rank_within": sql_rank_within(),
+    "last_hours": sql_last_hours(),
+    "tick_buffer": sql_tick_buffer(),
+    "closed_bars": sql_closed_bars(),
+})

@@ -73,6 +73,13 @@ P = {
     "pair_regex": "Supplier#0000000",
     "pair_n": 20,
     "test_size": 0.25,
+    "catalog_regex": "SIM_(click|view)",
+    "points_start": "2024-01-05 00:00:00",
+    "points_end": "2024-01-10",
+    "outlier_k": 1.0,
+    "now_ts": "2024-01-20 12:00:00",
+    "last_hours": 48.0,
+    "buffer_seconds": 6 * HOUR,
     "rolling_data_features": (
         "bid_price.rolling_mean", "ask_price.rolling_var", "bid_qty.rolling_coeff", "ask_qty.rolling_min",
         "bid_price.rolling_max", "bid_price.rolling_open", "ask_price.rolling_close", "bid_price",
@@ -87,8 +94,8 @@ ROUND_OFFSET = 3.14159e-8
 
 
 def digits_for(name: str) -> int:
-    """Variances carry the largest cross-engine noise (~1e-9); keep 4 places there."""
-    return 4 if "var" in name else ROUND_DIGITS
+    """Variances carry the largest cross-engine noise (~1e-9): 4 places; deviations 6."""
+    return 4 if "var" in name else (6 if "std" in name else ROUND_DIGITS)
 
 
 def rnd(c, digits: int):
@@ -372,6 +379,144 @@ def q_nearest_centroid(spark, sf):
     return model.transform(d).select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
+# --- sources / alignment (data derived from the test tables) -------------------------------
+
+def q_metrics_to_ticks(spark, sf):
+    from tidemark.sources import metrics as S6
+
+    exp = S6.ticks_to_metrics(_q(spark, sf), ("seq",) + tuple(QUOTE_COLUMNS))
+    t = S6.metrics_to_ticks(exp, ("seq",) + tuple(QUOTE_COLUMNS))
+    return round6(_qus(t))
+
+
+def q_scan_features(spark, sf):
+    from tidemark.sinks.writers import features_long
+    from tidemark.sources.scans import features_wide
+
+    g = G.resample_last(_q(spark, sf), P["freq"], QUOTE_COLUMNS)
+    wide = features_wide(features_long(g, list(QUOTE_COLUMNS)), list(QUOTE_COLUMNS))
+    return round6(_qus(wide))
+
+
+def q_instrument_catalog(spark, sf):
+    from tidemark.sources import metrics as S6
+
+    names = S6.ticks_to_metrics(_q(spark, sf), ("seq",) + tuple(QUOTE_COLUMNS), chunk_seconds=DAY).select("metric")
+    return S6.instrument_catalog(names, P["catalog_regex"])
+
+
+def _points(spark, sf):
+    ev = table(spark, sf, "events")
+    return ev.select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"), F.lit("sim").alias("exchange"),
+                     F.col("event_type").alias("symbol"), F.col("value").alias("bid_price"))
+
+
+def q_normalize_points(spark, sf):
+    from tidemark.sources import metrics as S6
+
+    return round6(_qus(S6.normalize_points(_points(spark, sf))))
+
+
+def q_scan_points(spark, sf):
+    from tidemark.sources.scans import scan_points
+
+    return round6(_qus(scan_points(_q(spark, sf), P["points_start"], P["points_end"])))
+
+
+def q_align_feeds(spark, sf):
+    g = G.resample_last(_q(spark, sf), P["freq"], ("bid_price",))
+    feeds = sorted(r[0] for r in table(spark, sf, "events").select("event_type").distinct().collect())
+    lng = g.select("g", F.col("symbol").alias("feed"), F.col("bid_price").alias("value"))
+    return round6(G.align_feeds(lng, feeds, keys=("g",)))
+
+
+def q_params_matrix(spark, sf):
+    from tidemark.operators.align import params_matrix_from_arrays
+
+    li = table(spark, sf, "lineitem")
+    one = li.agg(F.sort_array(F.collect_set("l_returnflag")).alias("l_returnflag"),
+                 F.sort_array(F.collect_set("l_linestatus")).alias("l_linestatus"))
+    return params_matrix_from_arrays(one, ["l_returnflag", "l_linestatus"])
+
+
+def q_flatten_distinct(spark, sf):
+    from tidemark.operators.align import first_seen_distinct
+
+    ev = table(spark, sf, "events")
+    d = first_seen_distinct(ev, ["user_id"], "event_type", "ts", "types")
+    return d.select("user_id", F.array_join("types", ",").alias("types"))
+
+
+# --- windows over groups, time filters, online twins ----------------------------------------
+
+def _grid_days(spark, sf):
+    g = G.resample_last(_q(spark, sf), P["freq"], ("bid_price",))
+    return g.withColumn("day", F.date_format("time", "yyyyMMdd"))
+
+
+def q_frame_stats(spark, sf):
+    from tidemark.operators.rolling import frame_stats
+
+    return round6(frame_stats(_grid_days(spark, sf), ["exchange", "symbol", "day"], "bid_price"))
+
+
+def q_remove_outliers(spark, sf):
+    from tidemark.operators.rolling import remove_outliers
+
+    q = _q(spark, sf).withColumn("day", F.date_format("time", "yyyyMMdd"))
+    return round6(_qus(remove_outliers(q, ["exchange", "symbol", "day"], "bid_price", P["outlier_k"])))
+
+
+def q_rank_within(spark, sf):
+    return round6(R.rank_within(_signals(spark, sf), "instrument_id", "sharp_ratio"))
+
+
+def q_last_hours(spark, sf):
+    return round6(_qus(Q.last_hours(_q(spark, sf), P["now_ts"], P["last_hours"])))
+
+
+def q_tick_buffer(spark, sf):
+    from tidemark.streaming.state import tick_buffer
+
+    return round6(tick_buffer(_q(spark, sf), P["buffer_seconds"]))
+
+
+def q_closed_bars(spark, sf):
+    from tidemark.streaming.state import closed_bars
+
+    return round6(closed_bars(_q(spark, sf)))
+
+
+# --- ML fits (different learners than the reference: rows-only checks) ----------------------
+
+def q_train_logistic(spark, sf):
+    d = R.shuffled_split(_lineitem_ds(spark, sf), ["l_orderkey", "l_linenumber"], 0.25, 42)
+    model = MT.train(d.where("split = 'train'"), list(LINEITEM_FEATURES), "label", "LogisticRegression")
+    return MT.predict(model, d.where("split = 'test'"), ["l_orderkey", "l_linenumber", "label"])
+
+
+def q_gbt_importances(spark, sf):
+    return MS.gbt_importances(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", max_iter=10)
+
+
+def q_rfe(spark, sf):
+    return MS.rfe_ranking(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label")
+
+
+def q_leaderboard(spark, sf):
+    return MT.leaderboard(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", ["l_orderkey", "l_linenumber"],
+                          names=("LogisticRegression", "DecisionTreeClassifier", "GaussianNB"))
+
+
+def q_ar_forecast(spark, sf):
+    g = G.resample_last(_q(spark, sf), P["freq"], ("bid_price",))
+    model, lags = MT.ar_fit(g, "bid_price", 3, KEYS, freq=P["freq"])
+    from tidemark.operators.ml.prep import assemble
+
+    d, _ = MT.ar_features(g, "bid_price", 3, KEYS, freq=P["freq"])
+    return model.transform(assemble(d, lags)).select("exchange", "symbol", "g", "bid_price", "prediction")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resample_last": q_resample_last,
     "resample_ffill": q_resample_ffill,
@@ -420,6 +565,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "minmax_scale": q_minmax_scale,
     "chi2_kbest": q_chi2_kbest,
     "nearest_centroid": q_nearest_centroid,
+    "metrics_to_ticks": q_metrics_to_ticks,
+    "scan_features": q_scan_features,
+    "instrument_catalog": q_instrument_catalog,
+    "normalize_points": q_normalize_points,
+    "scan_points": q_scan_points,
+    "align_feeds": q_align_feeds,
+    "params_matrix": q_params_matrix,
+    "flatten_distinct": q_flatten_distinct,
+    "frame_stats": q_frame_stats,
+    "remove_outliers": q_remove_outliers,
+    "rank_within": q_rank_within,
+    "last_hours": q_last_hours,
+    "tick_buffer": q_tick_buffer,
+    "closed_bars": q_closed_bars,
+    "train_logistic": q_train_logistic,
+    "gbt_importances": q_gbt_importances,
+    "rfe": q_rfe,
+    "leaderboard": q_leaderboard,
+    "ar_forecast": q_ar_forecast,
 }
 
 __all__ = ["QUERIES", "P", "round6", "KEYS"]
