@@ -76,6 +76,21 @@ def resample_last(
     f = int(freq)
     span = int(span or auto_span(f))
     b = bucket_last(df, f, columns, keys, time_col, tiebreak).withColumn(CHUNK, chunk_of("g", span))
+    # Explicit key filters: the join below would otherwise infer them on one
+    # branch only, and the two branches could not share one bucket exchange.
+    nn_keys = F.col(CHUNK).isNotNull()
+    for k in keys:
+        nn_keys = nn_keys & F.col(k).isNotNull()
+    b = b.where(nn_keys)
+
+    # Per-chunk summary (one row per chunk), taken from the bucket table itself so
+    # that both branches share the same bucket exchange (no second scan).
+    summ_aggs = [F.min("g").alias("_ming"), F.max("g").alias("_maxg")]
+    if fill == "bfill":
+        summ_aggs += [_first_non_null(c, F.col("g")).alias(f"_edge_{c}") for c in columns]
+    elif fill == "ffill":
+        summ_aggs += [_last_non_null(c, F.col("g")).alias(f"_edge_{c}") for c in columns]
+    summ = b.groupBy(*keys, CHUNK).agg(*summ_aggs)
 
     w_asc = Window.partitionBy(*keys, CHUNK).orderBy("g")
     running = Window.partitionBy(*keys, CHUNK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -89,13 +104,6 @@ def resample_last(
         for c in columns:
             b = b.withColumn(c, F.last(c, ignorenulls=True).over(w_run))
 
-    # Per-chunk summary (one row per chunk) and the carry from neighbouring chunks.
-    summ_aggs = [F.min("g").alias("_ming"), F.max("g").alias("_maxg")]
-    if fill == "bfill":
-        summ_aggs += [_first_non_null(c, F.col("g")).alias(f"_edge_{c}") for c in columns]
-    elif fill == "ffill":
-        summ_aggs += [_last_non_null(c, F.col("g")).alias(f"_edge_{c}") for c in columns]
-    summ = b.groupBy(*keys, CHUNK).agg(*summ_aggs)
     per_key = Window.partitionBy(*keys)
     sw = per_key.orderBy(CHUNK)
     carry_cols = [F.col(k) for k in keys] + [F.col(CHUNK)]
@@ -157,7 +165,6 @@ def resample_asof_next(
     """
     keys = list(keys)
     f = int(freq)
-    t_us = F.unix_micros(F.col(time_col).cast("timestamp"))
     d = df.select(*keys, F.col(time_col).cast("timestamp").alias("_t"), F.col(tiebreak).alias("_tb"), *columns)
     d = d.withColumn("_tus", F.unix_micros("_t"))
     d = segmented_prev(
@@ -178,7 +185,6 @@ def resample_asof_next(
     pts = F.when(lo <= hi, F.sequence(lo, hi, F.lit(f).cast("long")))
     out = d.select(*keys, F.explode(pts).alias("g"), *columns)
     out = out.select(*keys, "g", seconds_to_ts("g").alias("time"), *columns)
-    del t_us
     return out.na.drop(how="any", subset=list(columns)) if dropna else out
 
 

@@ -80,9 +80,11 @@ def segmented_prev(
     """
     keys = list(keys)
     d = df.withColumn(CHUNK, chunk_of(chunk_source, span)).withColumn("_ord", order).withColumn("_val", value)
+    # the chunk summary comes from the input rows, not from the windowed rows,
+    # so the window runs once and the scan below is shared
+    last_in_chunk = d.groupBy(*keys, CHUNK).agg(F.max_by("_val", "_ord").alias("_last"))
     w = Window.partitionBy(*keys, CHUNK).orderBy("_ord")
     d = d.withColumn("_first", F.lag(F.lit(True)).over(w).isNull()).withColumn("_lag", F.lag("_val").over(w))
-    last_in_chunk = d.groupBy(*keys, CHUNK).agg(F.max_by("_val", "_ord").alias("_last"))
     carry = last_in_chunk.select(
         *keys, CHUNK, F.lag("_last").over(Window.partitionBy(*keys).orderBy(CHUNK)).alias("_carry")
     )
