@@ -229,8 +229,9 @@ def stream_candles(df: DataFrame, freq: int = 300, column: str = "bid_price", ke
 
 def align_feeds(long_df: DataFrame, feeds: Sequence[str], keys: Sequence[str] = ("time",), feed_col: str = "feed",
                 value_col: str = "value") -> DataFrame:
-    """Outer-align several feeds on time (a pivot of the long form, one shuffle)."""
-    return long_df.groupBy(*keys).pivot(feed_col, list(feeds)).agg(F.first(value_col, ignorenulls=True))
+    """Outer-align several feeds on time (conditional aggregates of the long form, one shuffle)."""
+    return long_df.groupBy(*keys).agg(*[
+        F.first(F.when(F.col(feed_col) == F.lit(f), F.col(value_col)), ignorenulls=True).alias(f) for f in feeds])
 
 
 __all__ = ["bucket_last", "resample_last", "resample_asof_next", "candles", "stream_candles", "align_feeds",

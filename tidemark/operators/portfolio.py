@@ -34,9 +34,12 @@ def fee_returns(grid: DataFrame, window: int = 14400, freq: int = 1, keys: Seque
 def merge_returns(returns: DataFrame, instruments: Sequence[str]) -> DataFrame:
     """Wide returns (one column per instrument), only times where all are present.
 
-    A pivot with a fixed value list (one shuffle on ``g``) then dropna.
+    One conditional aggregate per instrument over ``groupBy(g)`` (a single
+    shuffle on ``g``; Spark's ``pivot`` would aggregate twice), then dropna.
     """
-    wide = returns.groupBy("g").pivot("instrument", list(instruments)).agg(F.first("ret", ignorenulls=True))
+    wide = returns.groupBy("g").agg(*[
+        F.first(F.when(F.col("instrument") == F.lit(i), F.col("ret")), ignorenulls=True).alias(i)
+        for i in instruments])
     return wide.na.drop(how="any", subset=list(instruments))
 
 

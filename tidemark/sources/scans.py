@@ -129,8 +129,13 @@ def scan_features(spark: SparkSession, root: str, features: Sequence[str], instr
 
 
 def features_wide(long_df: DataFrame, features: Sequence[str], keys: Sequence[str] = ("exchange", "symbol")) -> DataFrame:
-    """M6: pivot long features (``feature``, ``value``) to one column per feature."""
-    return long_df.groupBy(*keys, "time").pivot("feature", list(features)).agg(F.first("value", ignorenulls=True))
+    """M6: long features (``feature``, ``value``) to one column per feature.
+
+    Conditional aggregates over a fixed feature list: one shuffle on
+    (instrument, time), partial aggregation before it.
+    """
+    return long_df.groupBy(*keys, "time").agg(*[
+        F.first(F.when(F.col("feature") == F.lit(f), F.col("value")), ignorenulls=True).alias(f) for f in features])
 
 
 def scan_directory(spark: SparkSession, path: str) -> DataFrame:
