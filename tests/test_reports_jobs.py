@@ -84,3 +84,14 @@ def test_no_single_partition_exchange(spark, name):
     if "Window [" in plan:
         # row windows run per (instrument, chunk); only per-chunk summaries are per instrument
         assert "_chunk" in plan or "_ck" in plan
+
+
+def test_learning_summary(spark):
+    p = spark.createDataFrame([(1, 1), (0, 1), (0, 0), (1, 1)], "actual int, predicted int")
+    rep = R.classification_report(p).withColumn("instrument", F.lit("SIM_x")).withColumn("estimator", F.lit("lr"))
+    bt = spark.createDataFrame([("SIM_x", "2024-01-02", 3, 1.5), ("SIM_x", "2024-01-05", 7, 2.5)],
+                               "instrument string, end_date string, number_of_trades long, sharp_ratio double")
+    r = R.learning_summary(rep, bt).collect()
+    assert len(r) == 1
+    assert r[0]["precision_1"] == pytest.approx(2 / 3) and r[0]["recall_0"] == 0.5
+    assert r[0]["number_of_trades"] == 7 and r[0]["sharp_ratio"] == 2.5

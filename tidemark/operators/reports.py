@@ -229,3 +229,24 @@ def shuffled_split(df: DataFrame, id_cols: Sequence[str], test_size: float = 0.2
     d = _rank_from_end(df, (), order, bucket)
     n_test = F.ceil(F.col("_n") * F.lit(float(test_size)))
     return d.withColumn("split", F.when(F.col("_rank") <= n_test, "test").otherwise("train")).drop("_rank", "_n")
+
+
+def learning_summary(reports: DataFrame, backtests: DataFrame, keys: Sequence[str] = ("instrument", "estimator"),
+                     instrument: str = "instrument") -> DataFrame:
+    """A4: one row per instrument x estimator: class 0/1 metrics, the last backtest row, trade count.
+
+    ``reports``: classification reports (A2) with ``keys`` columns; metrics are
+    matched by class **name** ('0', '1'), not by row position. ``backtests``:
+    rolled-up backtests (A5) with an ``instrument`` column; the latest by
+    ``end_date`` is attached with a left join.
+    """
+    keys = list(keys)
+    cls = reports.where(F.col("label").isin("0", "1"))
+    wide = cls.groupBy(*keys).agg(*[
+        F.first(F.when(F.col("label") == F.lit(lbl), F.col(m)), ignorenulls=True).alias(f"{m}_{lbl}")
+        for lbl in ("0", "1") for m in ("precision", "recall", "f1_score", "support")])
+    others = [c for c in backtests.columns if c != instrument]
+    last = backtests.groupBy(instrument).agg(
+        F.max_by(F.struct(*[F.col(f"`{c}`") for c in others]), F.col("end_date")).alias("_bt"))
+    last = last.select(instrument, "_bt.*")
+    return wide.join(last, on=instrument, how="left")

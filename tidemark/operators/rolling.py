@@ -179,10 +179,20 @@ def rolling(
 
 # --- frame-aggregate library (W20-W28): group-level aggregates over a frame of rows ---------
 
-def frame_stats(df: DataFrame, group: Sequence[str], c: str) -> DataFrame:
-    """W20-W28 as one grouped aggregate (one row per group; partial aggregation)."""
+def _pct(x: Column, ps: Sequence[float], approx: bool) -> Column:
+    """Exact percentiles (linear interpolation) or, for very large groups, a bounded sketch."""
+    arr = F.array(*[F.lit(float(p)) for p in ps])
+    return F.percentile_approx(x, arr, 10000) if approx else F.percentile(x, arr)
+
+
+def frame_stats(df: DataFrame, group: Sequence[str], c: str, approx: bool = False) -> DataFrame:
+    """W20-W28 as one grouped aggregate (one row per group; partial aggregation).
+
+    Exact percentiles keep a count per distinct value of the group; pass
+    ``approx=True`` for groups too large for that (a fixed-size sketch).
+    """
     x = F.col(c)
-    pct = F.percentile(x, F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99)))
+    pct = _pct(x, (0.01, 0.5, 0.99), approx)
     return df.groupBy(*group).agg(
         F.min_by(x, F.col("g")).alias("open"),
         F.max_by(x, F.col("g")).alias("close"),
@@ -213,9 +223,10 @@ def remove_outliers(df: DataFrame, group: Sequence[str], c: str, k: float = 4.0)
     )
 
 
-def remove_outliers_pct(df: DataFrame, group: Sequence[str], c: str, lo: float = 0.01, hi: float = 0.99) -> DataFrame:
+def remove_outliers_pct(df: DataFrame, group: Sequence[str], c: str, lo: float = 0.01, hi: float = 0.99,
+                        approx: bool = False) -> DataFrame:
     """Keep rows strictly between the lo and hi percentiles of their group."""
-    stats = df.groupBy(*group).agg(F.percentile(c, F.array(F.lit(lo), F.lit(hi))).alias("_p"))
+    stats = df.groupBy(*group).agg(_pct(F.col(c), (lo, hi), approx).alias("_p"))
     return (
         df.join(stats, on=list(group), how="inner")
         .where((F.col(c) > F.col("_p")[0]) & (F.col(c) < F.col("_p")[1]))

@@ -79,3 +79,22 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested settings for a large run (apply at session build time).
+
+    Shuffle partitions are sized so each holds ~``partition_bytes`` of the
+    input; AQE then coalesces small ones and splits skewed ones.
+    """
+    parts = max(int(cores) * 2, int(input_bytes) // int(partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
+        "spark.sql.session.timeZone": "UTC",
+    }
