@@ -227,3 +227,9 @@ def test_nan_is_null(spark):
 
     r = spark.createDataFrame([(float("nan"),)], "x double").select(nan_to_null("x").alias("x")).first()
     assert r["x"] is None and not (isinstance(r["x"], float) and math.isnan(r["x"]))
+
+
+def test_grid_no_fill(spark):
+    q = quotes_df(spark, [(0.2, 10.0, 10.0), (3.5, 13.0, 13.0)])
+    assert col(G.resample_last(q, 1, fill="none"), "bid_price") == [10, None, None, 13]
+    assert col(G.resample_last(q, 1, fill="none", span=2), "bid_price") == [10, None, None, 13]

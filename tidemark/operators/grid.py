@@ -94,12 +94,14 @@ def resample_last(
 
     w_asc = Window.partitionBy(*keys, CHUNK).orderBy("g")
     running = Window.partitionBy(*keys, CHUNK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if fill == "bfill":
-        w_run = running.orderBy(F.col("g").desc())
-        b = b.withColumn("_nb", F.lag("g").over(w_asc))
-    else:
+    if fill == "ffill":
+        # each bucket emits the gap after it: the next populated bucket bounds it
         w_run = running.orderBy("g")
         b = b.withColumn("_nb", F.lead("g").over(w_asc))
+    else:
+        # bfill / none: each bucket emits the gap before it
+        w_run = running.orderBy(F.col("g").desc())
+        b = b.withColumn("_nb", F.lag("g").over(w_asc))
     if fill != "none":
         for c in columns:
             b = b.withColumn(c, F.last(c, ignorenulls=True).over(w_run))

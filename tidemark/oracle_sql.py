@@ -324,7 +324,8 @@ GROUP BY exchange, symbol, bid_price, ask_price, bid_qty, ask_qty"""
 def sql_seq_gaps() -> str:
     return f"""WITH {Q_CTE},
 p AS (SELECT exchange, symbol, seq, lag(seq) OVER ({PART} ORDER BY time, seq) AS seq_previous, epoch_us(time) AS time_us FROM q)
-SELECT * FROM p WHERE seq - 1 IS DISTINCT FROM seq_previous"""
+SELECT exchange, symbol, seq, CAST(seq_previous AS DOUBLE) AS seq_previous, time_us FROM p
+WHERE seq - 1 IS DISTINCT FROM seq_previous"""
 
 
 def sql_coverage_map() -> str:

@@ -198,7 +198,10 @@ def q_dedupe_rows(spark, sf):
 
 
 def q_seq_gaps(spark, sf):
-    return _qus(Q.seq_gaps(_q(spark, sf)).select("exchange", "symbol", "seq", "seq_previous", "time"))
+    d = Q.seq_gaps(_q(spark, sf))
+    # nullable integer as DOUBLE so NULL reaches pandas as NaN on both engines
+    return _qus(d.select("exchange", "symbol", "seq", F.col("seq_previous").cast("double").alias("seq_previous"),
+                         "time"))
 
 
 def q_coverage_map(spark, sf):
