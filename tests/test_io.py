@@ -124,3 +124,8 @@ def test_csv_scan(spark, tmpdir_path):
         f.write("start_date,end_date,cum_profit\n2024-01-01,2024-01-02,1.5\n")
     d = S.read_csv(spark, p, "start_date string, end_date string, cum_profit double")
     assert d.first()["cum_profit"] == 1.5
+
+
+def test_tick_day_list_hours():
+    assert S.day_list_hours("2024-01-01", "2024-01-03") == ["20240101", "20240102", "20240103"]
+    assert S.day_list_hours("2024-01-01", "2024-01-03", "10:00:00", "09:00:00") == ["20240101", "20240102"]

@@ -1,0 +1,9 @@
+"""tidemark: market time-series analytics on Spark.
+
+Lazy ``DataFrame -> DataFrame`` operators for quote grids, rolling
+features, labels, patterns, portfolio and classification reports, with
+scale-safe plan shapes (``tidemark.plans``) and Structured Streaming state
+machines (``tidemark.streaming``).
+"""
+
+__version__ = "0.1.0"

@@ -27,6 +27,20 @@ def day_list(start_date: str, end_date: str) -> list[str]:
     return [(s + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range((e - s).days + 1)]
 
 
+def day_list_hours(start_date: str, end_date: str, start_hour: str = "00:00:00.000",
+                   end_hour: str = "23:59:59.999") -> list[str]:
+    """Day list of a tick scan: steps of 24 h from ``start_date start_hour`` while not past
+    ``end_date end_hour``. With the default hours every day is included; a later start
+    hour than end hour drops the last day. Hours never cut rows, only days."""
+    s = dt.datetime.fromisoformat(f"{_iso(start_date)} {start_hour}")
+    e = dt.datetime.fromisoformat(f"{_iso(end_date)} {end_hour}")
+    out = []
+    while s <= e:
+        out.append(s.strftime("%Y%m%d"))
+        s += dt.timedelta(days=1)
+    return out
+
+
 def _iso(d: str) -> str:
     d = d.strip()[:10]
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}" if len(d) == 8 and d.isdigit() else d
@@ -99,7 +113,7 @@ def scan_ticks(spark: SparkSession, root: str, instrument_id: str, start_date: s
     A missing root gives an empty frame with the quote schema. Full-row
     dedupe ignoring time (D2).
     """
-    days = day_list(start_date, end_date)
+    days = day_list_hours(start_date, end_date, start_hour or "00:00:00.000", end_hour or "23:59:59.999")
     schema = T.StructType([T.StructField("exchange", T.StringType()), T.StructField("symbol", T.StringType()),
                            T.StructField("time", T.TimestampType())]
                           + [T.StructField(c, T.DoubleType()) for c in (columns or QUOTE_COLUMNS)])
