@@ -66,7 +66,7 @@ def bit(cond: Column) -> Column:
 
 
 def hex_from_bits(bits: Sequence[Column], strip_leading_zeros: bool = True) -> Column:
-    """Encode a bit sequence (most significant first) as a lowercase hex string.
+    """Encode a bit sequence (most significant first) as a lowercase hex string.
 
     Each group of four bits becomes one character, so the result has no
     width limit (a LONG-based ``conv`` overflows past 64 bits). Leading zero

@@ -34,7 +34,7 @@ def chi2_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame
 
 
 def k_best(scores: DataFrame, k: int) -> DataFrame:
-    """Top-k features by score (ties by name) — a k-row report."""
+    """O2: top-k features by score desc (ties by name) — a k-row report (E4 K-best)."""
     return scores.orderBy(F.col("score").desc(), "feature").limit(int(k))
 
 

@@ -33,7 +33,7 @@ def _x(c: str, k: int, keys: Sequence[str]) -> Column:
 
 def signature(kind: str, offsets: Sequence[int], w: Window, c: str = "bid_price",
               keys: Sequence[str] = KEYS) -> Column:
-    """Nibble per offset — mean: ``{x>mean}111``; median: ``{x>median}111``;
+    """T2 (mean), T3 (mean+median), T4 (median): nibble per offset — mean: ``{x>mean}111``; median: ``{x>median}111``;
     mean_median: ``{x>mean}{x>median}11``."""
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")

@@ -219,3 +219,14 @@ def split_xy(df: DataFrame, marker: str = "profit") -> tuple[list[str], list[str
 def add_date_parts(df: DataFrame, time_col: str = "time") -> DataFrame:
     """Partition helper: ``date`` = yyyyMMdd of the UTC time."""
     return df.withColumn("date", yyyymmdd(time_col))
+
+
+def order_by_time(df: DataFrame, keys: Sequence[str] = KEYS, time_col: str = "time") -> DataFrame:
+    """O1: rows in time order for output. A global sort is a range shuffle, so
+    operators never sort internally; writers sort within partitions instead."""
+    return df.orderBy(time_col, *keys)
+
+
+def preview(df: DataFrame, n: int = 10) -> list:
+    """The first ``n`` rows for display (a bounded ``take``)."""
+    return df.take(int(n))

@@ -157,7 +157,7 @@ def top_volume(volumes: DataFrame, minimum: float) -> DataFrame:
 
 
 def pair_filter(volumes: DataFrame, pattern: str, n: int) -> DataFrame:
-    """A10: the first ``n`` pairs in page order (position) whose id matches an anchored regex; '/' -> '_'."""
+    """The first ``n`` pairs in page order (position) whose id matches an anchored regex; '/' -> '_'."""
     pid = F.regexp_replace(F.col("symbol"), "/", "_")
     return (volumes.select(pid.alias("pair"), "position").where(F.col("pair").rlike(anchored(pattern)))
             .orderBy("position").limit(int(n)))

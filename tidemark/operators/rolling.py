@@ -186,7 +186,10 @@ def _pct(x: Column, ps: Sequence[float], approx: bool) -> Column:
 
 
 def frame_stats(df: DataFrame, group: Sequence[str], c: str, approx: bool = False) -> DataFrame:
-    """W20-W28 as one grouped aggregate (one row per group; partial aggregation).
+    """W20-W28 as one grouped aggregate (one row per group; partial aggregation):
+    open/close/min/max/sum/count (W23), median/pct99/pct01 (W24), population
+    std (W25), pct_change last vs first, NULL below 2 rows (W27), nonzero
+    ratio (W28).
 
     Exact percentiles keep a count per distinct value of the group; pass
     ``approx=True`` for groups too large for that (a fixed-size sketch).

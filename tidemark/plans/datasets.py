@@ -105,7 +105,7 @@ def quantile_coefficient(quotes: DataFrame, window: int = 3600, shift: int = 600
 
 def all_fields(quotes: DataFrame, shift: int = 600, window: int = 7200, pct: float = 0.001, freq: int = 1,
                keys: Sequence[str] = KEYS, min_rows: int = 3600, engine: str = "auto") -> DataFrame:
-    """B1: rolling means of the four quote columns, value - mean, profit."""
+    """B1: rolling means of the four quote columns, value - mean (W8), profit."""
     keys = list(keys)
     cols = list(QUOTE_COLUMNS)
     grid = _grid(quotes, cols, freq, min_rows, keys)
@@ -184,7 +184,7 @@ def moving_average_pattern(quotes: DataFrame, window: int = 3600, shift: int = 1
 
 def moving_average_shift(quotes: DataFrame, window: int = 3600, shift: int = 1200, freq: int = 1,
                          keys: Sequence[str] = KEYS, min_rows: int | None = None, engine: str = "auto") -> DataFrame:
-    """open/close = shift(+/-shift), bid rolling mavg/var/coeff, pct changes, close label."""
+    """open/close = shift(+/-shift) (W10), bid rolling mavg/var/coeff, lagged pct changes (W11), close label (L4)."""
     keys = list(keys)
     guard = min_rows if min_rows is not None else window // freq + shift
     grid = _grid(quotes, ("bid_price", "ask_price"), freq, guard, keys)

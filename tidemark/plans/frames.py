@@ -14,8 +14,8 @@ Builders declare *what* they need; the planner picks *how*:
 ``auto`` switches at ``PANDAS_MIN_ROWS`` rows of frame. Both engines give
 the same values (tested against each other and against DuckDB).
 
-Metric names: mean, var, std, min, max, open, close, sum, count, q25, q75,
-median. A metric of a frame with fewer than ``min_periods`` non-null
+Metric names: mean (W1), var (W2, ddof 1), std, min / max (W5), open /
+close (W6), sum, count, q25, q75, median (W3). A metric of a frame with fewer than ``min_periods`` non-null
 values is NULL (pandas' min_periods).
 """
 
