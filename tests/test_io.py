@@ -129,3 +129,13 @@ def test_csv_scan(spark, tmpdir_path):
 def test_tick_day_list_hours():
     assert S.day_list_hours("2024-01-01", "2024-01-03") == ["20240101", "20240102", "20240103"]
     assert S.day_list_hours("2024-01-01", "2024-01-03", "10:00:00", "09:00:00") == ["20240101", "20240102"]
+
+
+def test_dynamic_overwrite_keeps_other_partitions(spark, tmpdir_path):
+    q = quotes(spark, "/root/testdata/sf0.001")
+    root = f"{tmpdir_path}/ticks"
+    K.write_ticks(q, root)
+    K.write_ticks(q.where("symbol = 'click'").limit(5), root)
+    back = spark.read.parquet(root)
+    assert back.where("symbol = 'view'").count() == q.where("symbol = 'view'").count()
+    assert back.where("symbol = 'click'").count() <= 5

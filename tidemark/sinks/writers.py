@@ -21,10 +21,6 @@ BROADCAST_KEYS = 200_000
 FEATURE_PARTITIONS = ("exchange", "symbol", "feature", "date")
 
 
-def _dynamic(spark: SparkSession):
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-
-
 def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str], mode: str = "overwrite",
                       sort_col: str | None = "time", skip_empty: bool = False) -> bool:
     """Write ``df`` partitioned by ``partitions``; overwrite replaces only the partitions present.
@@ -33,11 +29,11 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str], mode:
     """
     if skip_empty and not non_empty(df):
         return False
-    _dynamic(df.sparkSession)
     out = df.hint("rebalance", *partitions)
     if sort_col and sort_col in df.columns:
         out = out.sortWithinPartitions(*partitions, sort_col)
-    out.write.mode(mode).partitionBy(*partitions).parquet(path)
+    # per-write dynamic overwrite: only the partitions present are replaced (no session change)
+    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
     return True
 
 
@@ -96,9 +92,8 @@ def insert_run_context(spark: SparkSession, context: DataFrame, path: str) -> Da
 
 def write_signal_tables(reports: DataFrame, path: str, signal_col: str = "signal", by: str = "sharp_ratio") -> None:
     """K6: one output per signal (a partition), replaced per signal, rows sorted by ``by`` desc."""
-    _dynamic(reports.sparkSession)
     (reports.repartition(signal_col).sortWithinPartitions(signal_col, F.col(f"`{by}`").desc())
-     .write.mode("overwrite").partitionBy(signal_col).parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(signal_col).parquet(path))
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:

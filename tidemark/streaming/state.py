@@ -227,6 +227,6 @@ def predict_bars(model, path: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         out = model.transform(batch).select("exchange", "symbol", "time_us",
                                             F.col("prediction").cast("int").alias("prediction"))
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        out.withColumn("epoch", F.lit(int(epoch_id))).write.mode("overwrite").partitionBy("epoch").parquet(path)
+        (out.withColumn("epoch", F.lit(int(epoch_id))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
     return run
