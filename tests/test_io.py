@@ -3,6 +3,8 @@
 
 
 from helpers import quotes_df
+from pyspark.sql import functions as F
+
 from tidemark.sinks import writers as K
 from tidemark.sources import metrics as S6
 from tidemark.sources import scans as S
@@ -135,7 +137,11 @@ def test_dynamic_overwrite_keeps_other_partitions(spark, tmpdir_path):
     q = quotes(spark, "/root/testdata/sf0.001")
     root = f"{tmpdir_path}/ticks"
     K.write_ticks(q, root)
-    K.write_ticks(q.where("symbol = 'click'").limit(5), root)
-    back = spark.read.parquet(root)
+    few = q.where("symbol = 'click'").orderBy("time").limit(5).withColumn("date", F.date_format("time", "yyyyMMdd"))
+    days = [r["date"] for r in few.select("date").distinct().collect()]
+    K.write_ticks(few, root)
+    back = S._read(spark, root)
     assert back.where("symbol = 'view'").count() == q.where("symbol = 'view'").count()
-    assert back.where("symbol = 'click'").count() <= 5
+    assert back.where(F.col("symbol") == "click").where(F.col("date").isin(days)).count() == 5
+    others = q.where("symbol = 'click'").where(~F.date_format("time", "yyyyMMdd").isin(days)).count()
+    assert back.where(F.col("symbol") == "click").where(~F.col("date").isin(days)).count() == others
