@@ -95,3 +95,42 @@ def test_learning_summary(spark):
     assert len(r) == 1
     assert r[0]["precision_1"] == pytest.approx(2 / 3) and r[0]["recall_0"] == 0.5
     assert r[0]["number_of_trades"] == 7 and r[0]["sharp_ratio"] == 2.5
+
+
+def test_job_backtest_report(spark, tmpdir_path):
+    csv = f"{tmpdir_path}/trades.csv"
+    with open(csv, "w") as f:
+        f.write("start_date,end_date,cum_profit,symbol.SELL,sharp_ratio,source_name.SELL,source,seq,signal\n")
+        f.write("2024-01-01,2024-01-02,1.0,EUR,0.5,a,f1,1,macd\n")
+        f.write("2024-01-02,2024-01-05,3.0,EUR,0.9,a,f1,2,macd\n")
+        f.write("2024-01-01,2024-01-03,-1.0,USD,1.5,b,f2,1,macd\n")
+        f.write("2024-01-01,2024-01-03,2.0,JPY,0.1,c,f3,1,rsi\n")
+    ranked = X.job_backtest_report(spark, csv, f"{tmpdir_path}/out")
+    r = {x["source"]: x for x in ranked.collect()}
+    assert r["f2"]["rank"] == 1 and r["f1"]["rank"] == 2 and r["f3"]["rank"] == 1
+    assert r["f1"]["number_of_trades"] == 2 and r["f1"]["cum_profit"] == 3.0
+    out = spark.read.parquet(f"{tmpdir_path}/out")
+    assert sorted(r["signal"] for r in out.select("signal").distinct().collect()) == ["macd", "rsi"]
+
+
+def test_job_feed_dates(spark):
+    q = quotes(spark, SF)
+    series = spark.createDataFrame([("SIM_click",), ("SIM_view",), ("OTHER_x",)], "series string")
+    r = X.job_feed_dates(series, q, "SIM_c").collect()
+    assert [x["symbol"] for x in r] == ["click"] and r[0]["first"] < r[0]["last"]
+
+
+def test_job_features_importance_and_csv(spark, tmpdir_path):
+    from tidemark.sinks.writers import write_dataset_csv
+    from tidemark.sources.adapters import dataset_from_lineitem, table
+
+    d = dataset_from_lineitem(table(spark, SF, "lineitem"))
+    feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    out = X.job_features_importance(d, feats, "label", tmpdir_path, k=2)
+    assert out["chi2"].count() == 2 and out["rfe"].where("ranking = 1").count() == 1
+    back = spark.read.option("header", True).csv(f"{tmpdir_path}/chi2")
+    assert back.count() == 2
+    write_dataset_csv(d.select(*feats, "label"), f"{tmpdir_path}/ds", {"target": "label"})
+    meta = spark.read.text(f"{tmpdir_path}/ds/meta").first()["value"]
+    assert '"target": "label"' in meta
+    assert spark.read.option("header", True).csv(f"{tmpdir_path}/ds/data").count() == d.count()
