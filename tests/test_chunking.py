@@ -91,3 +91,14 @@ def test_frame_engines_agree_with_gaps(spark):
     nulls = j.select(*[F.sum((F.col(f"a.{c}").isNull() != F.col(f"b.{c}").isNull()).cast("int")).alias(c)
                        for c in cols]).first().asDict()
     assert all(v == 0 for v in nulls.values()), nulls
+
+
+def test_pattern_signatures_engine_independent(spark):
+    from tidemark.operators.patterns import pattern_table
+
+    q = quotes(spark, SF)
+    for kind in ("mean", "mean_median"):
+        a = pattern_table(q, kind, 24 * 3600, 6, 2, 8, 0.0, freq=3600, engine="pandas")
+        b = pattern_table(q, kind, 24 * 3600, 6, 2, 8, 0.0, freq=3600, engine="jvm")
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0

@@ -20,6 +20,16 @@ from tidemark.schema import KEYS
 
 KINDS = ("mean", "median", "mean_median")
 
+# Frame statistics are snapped to this many decimals before ``x > stat``: on a
+# constant stretch x equals the exact mean, and the sign of the float error of
+# a mean (which differs between engines and summation orders) must not decide
+# the bit. Only differences below 5e-10 are affected.
+STAT_DECIMALS = 9
+
+
+def snap(c: Column) -> Column:
+    return F.round(c, STAT_DECIMALS)
+
 
 def sample_offsets(nbr_samples: int, step: int) -> list[int]:
     """``x[-1], x[-step], ..., x[-n*step]`` as positive distances from the end."""
@@ -37,8 +47,8 @@ def signature(kind: str, offsets: Sequence[int], w: Window, c: str = "bid_price"
     mean_median: ``{x>mean}{x>median}11``."""
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")
-    mean = F.avg(c).over(w)
-    median = F.percentile(F.col(c), F.lit(0.5)).over(w)
+    mean = snap(F.avg(c).over(w))
+    median = snap(F.percentile(F.col(c), F.lit(0.5)).over(w))
     one = F.lit(1)
     bits: list[Column] = []
     for k in offsets:
@@ -77,7 +87,7 @@ def pattern_table(quotes: DataFrame, kind: str = "mean", window: int = 3600, shi
     bits: list[Column] = []
     for k in offs:
         x = F.col("bid_price") if k == 1 else F.col(f"_x{k}")
-        above_mean, above_med = bit(x > F.col("_mean")), bit(x > F.col("_med"))
+        above_mean, above_med = bit(x > snap(F.col("_mean"))), bit(x > snap(F.col("_med")))
         if kind == "mean":
             bits += [above_mean, one, one, one]
         elif kind == "median":

@@ -394,8 +394,8 @@ def _hexchar(nib: str) -> str:
 
 def _signature(kind: str, window: int) -> str:
     w = frame(window)
-    mean = f"avg(bid_price) OVER {w}"
-    med = f"quantile_cont(bid_price, 0.5) OVER {w}"
+    mean = f"round(avg(bid_price) OVER {w}, 9)"
+    med = f"round(quantile_cont(bid_price, 0.5) OVER {w}, 9)"
     chars = []
     for o in _offsets():
         a = f"(CASE WHEN {_x(o)} > {mean} THEN 1 ELSE 0 END)"

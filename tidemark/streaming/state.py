@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions import epoch_micros
-from tidemark.plans.chunking import CHUNK, own_rows, with_halo
+from tidemark.plans.chunking import CHUNK, with_halo
 from tidemark.schema import KEYS
 
 MICROS = 1_000_000
@@ -73,18 +73,30 @@ def tick_buffer_stream(ticks: DataFrame, max_seconds: int) -> DataFrame:
 def tick_buffer(ticks: DataFrame, max_seconds: int, keys: Sequence[str] = KEYS, span_seconds: int = 86400) -> DataFrame:
     """R1 (batch twin, in-order input): buffer = distinct times in (t - max, t].
 
-    Equal times count once (replace). A range frame over epoch micros,
-    evaluated per (instrument, day chunk) with a halo of ``max_seconds``.
+    Rows go to (instrument, day chunk) groups with a halo of ``max_seconds``
+    (Spark shuffles them); inside each group the buffer size and start are
+    binary searches over the sorted distinct times — O(n log n), where a
+    range-frame window would rescan every frame per row.
     """
+    keys = list(keys)
     d = _ticks(ticks)
-    first_at_time = Window.partitionBy(*keys, "time_us").orderBy("seq")
-    d = d.withColumn("_firstt", (F.row_number().over(first_at_time) == 1).cast("int"))
     max_us = int(max_seconds) * MICROS
     h = with_halo(d, "time_us", int(span_seconds) * MICROS, before=max_us - 1)
-    w = Window.partitionBy(*keys, CHUNK).orderBy("time_us").rangeBetween(-(max_us - 1), 0)
-    h = h.select("*", F.sum("_firstt").over(w).cast("long").alias("buffer_size"),
-                 F.min("time_us").over(w).alias("buffer_start_us"))
-    return own_rows(h).select(*keys, "time_us", "seq", "bid_price", "buffer_size", "buffer_start_us")
+    schema = ", ".join([f"{k} string" for k in keys]) + (
+        ", time_us long, seq long, bid_price double, buffer_size long, buffer_start_us long")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+
+        t = pdf["time_us"].to_numpy(dtype="int64")
+        ut = np.unique(t)
+        hi = np.searchsorted(ut, t, side="right")
+        lo = np.searchsorted(ut, t - max_us, side="right")
+        out = pdf.assign(buffer_size=(hi - lo).astype("int64"), buffer_start_us=ut[lo])
+        out = out[out["_own"].to_numpy(dtype=bool)]
+        return out[[*keys, "time_us", "seq", "bid_price", "buffer_size", "buffer_start_us"]]
+
+    return h.groupBy(*keys, CHUNK).applyInPandas(run, schema)
 
 
 # --- R2: online pattern signal --------------------------------------------------------------
@@ -114,8 +126,10 @@ def _percentile_linear(values: list[float], p: float) -> float:
 
 def _signature_py(values: list[float], offsets: Sequence[int], kind: str) -> str:
     """Same signature as ``patterns.signature`` for one full buffer (mean / median / mean_median)."""
-    mean = _mean_seq(values)
-    med = _percentile_linear(values, 0.5)
+    from tidemark.operators.patterns import STAT_DECIMALS
+
+    mean = round(_mean_seq(values), STAT_DECIMALS)
+    med = round(_percentile_linear(values, 0.5), STAT_DECIMALS)
     bits = []
     for k in offsets:
         x = values[-k]
@@ -161,15 +175,34 @@ def pattern_signal_stream(grid: DataFrame, buy_patterns: Sequence[str], size: in
 
 
 def pattern_signal(grid: DataFrame, buy: DataFrame, size: int, offsets: Sequence[int], kind: str = "mean",
-                   keys: Sequence[str] = KEYS, freq: int = 1) -> DataFrame:
-    """R2 (batch twin): the same signature over the last ``size`` grid rows, joined with the buy set."""
-    from tidemark.operators.patterns import signature
-    from tidemark.operators.rolling import framed, rows_frame
-
-    w = rows_frame(int(size), int(freq), keys)
-    win = {"pattern": signature(kind, offsets, w, "bid_price", keys), "frame_n": F.count("bid_price").over(w)}
-    d = framed(grid, win, lookback=int(size) * int(freq), freq=int(freq))
-    d = d.where(F.col("frame_n") == F.lit(int(size)))
+                   keys: Sequence[str] = KEYS, freq: int = 1, engine: str = "auto") -> DataFrame:
+    """R2 (batch twin): the same signature over the last ``size`` grid rows, joined with the buy set.
+
+    Frame mean / median and the sampled lags come from the frame planner
+    (pandas kernels for long buffers); only full buffers get a signal.
+    """
+    from tidemark.functions import bit, hex_from_bits
+    from tidemark.operators.patterns import snap
+    from tidemark.plans.frames import M, compute_frames
+
+    keys = list(keys)
+    window = int(size) * int(freq)
+    metrics = {"_mean": M("bid_price", "mean", window), "_med": M("bid_price", "median", window),
+               "_n": M("bid_price", "count", window)}
+    lags = {f"_x{k}": ("bid_price", k - 1) for k in sorted(set(offsets)) if k > 1}
+    d = compute_frames(grid, keys, freq, metrics, lags, engine=engine)
+    one = F.lit(1)
+    bits = []
+    for k in offsets:
+        x = F.col("bid_price") if k == 1 else F.col(f"_x{k}")
+        mean, med = snap(F.col("_mean")), snap(F.col("_med"))
+        if kind == "mean":
+            bits += [bit(x > mean), one, one, one]
+        elif kind == "median":
+            bits += [bit(x > med), one, one, one]
+        else:
+            bits += [bit(x > mean), bit(x > med), one, one]
+    d = d.where(F.col("_n") == F.lit(int(size))).withColumn("pattern", hex_from_bits(bits))
     b = buy.select(*keys, "pattern").distinct().withColumn("_hit", F.lit(1))
     return d.join(b, on=[*keys, "pattern"], how="left").select(
         *keys, F.unix_micros(F.col("time").cast("timestamp")).alias("time_us"), "pattern",
