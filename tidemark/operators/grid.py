@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import bucket, epoch_seconds, seconds_to_ts
+from tidemark.functions import bucket, seconds_to_ts
 from tidemark.plans.chunking import CHUNK, auto_span, chunk_of, segmented_prev
 from tidemark.schema import KEYS
 
@@ -236,5 +236,4 @@ def align_feeds(long_df: DataFrame, feeds: Sequence[str], keys: Sequence[str] =
         F.first(F.when(F.col(feed_col) == F.lit(f), F.col(value_col)), ignorenulls=True).alias(f) for f in feeds])
 
 
-__all__ = ["bucket_last", "resample_last", "resample_asof_next", "candles", "stream_candles", "align_feeds",
-           "epoch_seconds"]
+__all__ = ["bucket_last", "resample_last", "resample_asof_next", "candles", "stream_candles", "align_feeds"]

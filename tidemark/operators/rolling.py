@@ -64,54 +64,6 @@ def quartile_coeff(q25: Column, q75: Column) -> Column:
     return safe_div(q75 - q25, q75 + q25)
 
 
-def metric_columns(c: str, metrics: Sequence[str], w: Window, min_periods: int = 1,
-                   prefix: str | None = None) -> tuple[dict[str, Column], dict[str, Column]]:
-    """Window columns and derived (non-window) columns for the named metrics of ``c``.
-
-    Returns (window_cols, post_cols): ``post_cols`` reference ``window_cols`` and
-    must be evaluated after them.
-    """
-    p = prefix if prefix is not None else f"{c}_"
-    win: dict[str, Column] = {}
-    post: dict[str, Column] = {}
-    mp = int(min_periods)
-
-    def guarded(e: Column) -> Column:
-        return with_min_periods(e, c, w, mp)
-
-    for m in metrics:
-        name = f"{p}{m}"
-        if m in ("rolling_mean", "rolling_mavg", "mean"):
-            win[name] = guarded(F.avg(c).over(w))
-        elif m in ("rolling_var", "var"):
-            win[name] = guarded(F.var_samp(c).over(w))
-        elif m in ("rolling_std", "std"):
-            win[name] = guarded(F.stddev_samp(c).over(w))
-        elif m in ("rolling_min", "min", "low"):
-            win[name] = guarded(F.min(c).over(w))
-        elif m in ("rolling_max", "max", "high"):
-            win[name] = guarded(F.max(c).over(w))
-        elif m in ("rolling_open", "open"):
-            win[name] = guarded(F.first(c).over(w))
-        elif m in ("rolling_close", "close"):
-            win[name] = guarded(F.last(c).over(w))
-        elif m in ("rolling_sum", "sum"):
-            win[name] = guarded(F.sum(c).over(w))
-        elif m in ("rolling_count", "count"):
-            win[name] = F.count(c).over(w)
-        elif m in ("rolling_coeff", "coeff", "rolling_q25", "rolling_q75"):
-            qn = f"_q_{p}"
-            if qn not in win:
-                win[qn] = guarded(quartiles(c, w))
-            if m in ("rolling_coeff", "coeff"):
-                post[name] = quartile_coeff(F.col(qn)[0], F.col(qn)[1])
-            else:
-                post[name] = F.col(qn)[0 if m == "rolling_q25" else 1]
-        else:
-            raise ValueError(f"unknown rolling metric {m!r}")
-    return win, post
-
-
 def framed(
     grid: DataFrame,
     window_cols: Mapping[str, Column],
