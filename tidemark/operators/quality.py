@@ -67,7 +67,7 @@ def coverage(df: DataFrame, keys: Sequence[str] = KEYS, time_col: str = "time")
     table answers from partition metadata.
     """
     if "date" in df.columns:
-        d = df.select(*keys, F.to_date(F.col("date"), "yyyyMMdd").alias("_d"))
+        d = df.select(*keys, F.try_to_timestamp(F.col("date"), F.lit("yyyyMMdd")).cast("date").alias("_d"))
     else:
         d = df.select(*keys, F.to_date(as_ts(time_col)).alias("_d"))
     d = d.distinct()

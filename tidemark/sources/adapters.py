@@ -22,7 +22,8 @@ def quotes_from_events(events: DataFrame) -> DataFrame:
     exchange='SIM', symbol=event_type, seq=event_id, time=ts,
     bid=value, ask=value*1.001, bid_qty=props.$.k, ask_qty=100-bid_qty.
     """
-    bid_qty = F.get_json_object("props", "$.k").cast("double")
+    # try_cast: a malformed value becomes NULL instead of failing the job (ANSI mode)
+    bid_qty = F.get_json_object("props", "$.k").try_cast("double")
     return events.select(
         F.lit("SIM").alias("exchange"),
         F.col("event_type").alias("symbol"),

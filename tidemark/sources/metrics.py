@@ -67,7 +67,7 @@ def ticks_to_metrics(ticks: DataFrame, fields: Sequence[str] = METRIC_FIELDS,
 
 def normalize_points(points: DataFrame) -> DataFrame:
     """UTC time, upper-case exchange/symbol, ``YYYYMMDD`` date, epoch seconds (truncated)."""
-    t = F.to_timestamp(F.col("time")) if dict(points.dtypes)["time"] == "string" else as_ts("time")
+    t = F.try_to_timestamp(F.col("time")) if dict(points.dtypes)["time"] == "string" else as_ts("time")
     return (points.withColumn("time", t)
             .withColumn("exchange", F.upper("exchange"))
             .withColumn("symbol", F.upper("symbol"))
