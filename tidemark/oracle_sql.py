@@ -814,3 +814,27 @@ SQL.update({
     "tick_buffer": sql_tick_buffer(),
     "closed_bars": sql_closed_bars(),
 })
+
+
+# --- streams run to completion (one ordered micro-batch = the batch definition) -------------
+
+def sql_replay() -> str:
+    return f"""WITH {Q_CTE}
+SELECT exchange, symbol, seq, {r6(QALL)}, strftime(time, '%Y%m%d') AS date, epoch_us(time) AS time_us FROM q"""
+
+
+def sql_stream_signal() -> str:
+    return _pattern_table_sql("mean") + f""",
+{_score_sql()},
+buy AS (SELECT DISTINCT pattern FROM sc WHERE score = 1.0)
+SELECT pt.exchange, pt.symbol, pt.g * 1000000 AS time_us, pt.pattern,
+  CASE WHEN buy.pattern IS NULL THEN 0 ELSE 1 END AS signal
+FROM pt LEFT JOIN buy ON pt.pattern = buy.pattern
+WHERE pt.pattern IS NOT NULL"""
+
+
+SQL.update({
+    "stream_buffer": sql_tick_buffer(),
+    "replay": sql_replay(),
+    "stream_signal": sql_stream_signal(),
+})

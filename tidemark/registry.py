@@ -520,6 +520,86 @@ def q_ar_forecast(spark, sf):
     return model.transform(assemble(d, lags)).select("exchange", "symbol", "g", "bid_price", "prediction")
 
 
+# --- streams (R1-R4), run to completion with availableNow -----------------------------------
+
+def _stream_dir(spark, name: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder (never a local temp dir)."""
+    import uuid
+
+    from tidemark.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+
+
+def _events_stream(spark, sf):
+    schema = table(spark, sf, "events").schema
+    # a file stream watches a folder: the test-data folder, filtered to the events file
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "events.parquet")
+            .parquet(sf.rstrip("/")))
+
+
+def _run_stream(spark, sdf, name: str) -> DataFrame:
+    """Run a stream to the end of its input into Parquet files; return them as a batch frame."""
+    d = _stream_dir(spark, name)
+    q = (sdf.writeStream.format("parquet").option("path", f"{d}/out").option("checkpointLocation", f"{d}/ckpt")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{d}/out")
+
+
+def q_stream_buffer(spark, sf):
+    from tidemark.sources.adapters import quotes_from_events
+    from tidemark.streaming.state import tick_buffer_stream
+
+    return round6(_run_stream(spark, tick_buffer_stream(quotes_from_events(_events_stream(spark, sf)),
+                                                        P["buffer_seconds"]), "stream_buffer"))
+
+
+def q_stream_predict(spark, sf):
+    """Closed bars from the tick stream, scored by a model fitted on the batch bars."""
+    from tidemark.sources.adapters import quotes_from_events
+    from tidemark.streaming.state import closed_bars, closed_bars_stream
+
+    bars = closed_bars(_q(spark, sf)).withColumn("label", (F.col("bid_price") > F.col("ask_price") / 1.001 - 1e-9)
+                                                  .cast("int"))
+    model = MT.train(bars, ["bid_price", "ask_price"], "label", "LogisticRegression")
+    got = _run_stream(spark, closed_bars_stream(quotes_from_events(_events_stream(spark, sf))), "stream_bars")
+    return MT.predict(model, got, ["exchange", "symbol", "time_us"])
+
+
+def q_stream_signal(spark, sf):
+    """R2: gridded quotes landed as files, streamed through the online signature state."""
+    from tidemark.streaming.state import pattern_signal_stream
+
+    g = G.resample_last(_q(spark, sf), P["freq"], ("bid_price", "ask_price"))
+    d = _stream_dir(spark, "grid")
+    g.write.parquet(f"{d}/grid")
+    offs = T_.sample_offsets(P["pat_samples"], P["pat_step"])
+    scores = T_.pattern_score(_patterns(spark, sf, "mean"), P["pat_threshold"])
+    buy = [r["pattern"] for r in T_.buy_patterns(scores).select("pattern").distinct().collect()]
+    src = spark.readStream.schema(g.schema).parquet(f"{d}/grid")
+    return _run_stream(spark, pattern_signal_stream(src, buy, P["window"] // P["freq"], offs), "stream_signal")
+
+
+def q_replay(spark, sf):
+    """Landed ticks replayed as a file stream (one callback per micro-batch)."""
+    from tidemark.sinks.writers import write_ticks
+    from tidemark.streaming.replay import replay_stream
+
+    d = _stream_dir(spark, "replay")
+    write_ticks(_q(spark, sf), f"{d}/ticks")
+
+    def land(batch, epoch_id):
+        batch.withColumn("epoch", F.lit(int(epoch_id))).write.mode("append").parquet(f"{d}/out")
+
+    replay_stream(spark, f"{d}/ticks", land, f"{d}/ckpt", max_files_per_trigger=50).awaitTermination()
+    return round6(_qus(spark.read.parquet(f"{d}/out").drop("epoch")))
+
+
+def q_boruta(spark, sf):
+    return MS.boruta(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", rounds=2, seed=7)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resample_last": q_resample_last,
     "resample_ffill": q_resample_ffill,
@@ -587,6 +667,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rfe": q_rfe,
     "leaderboard": q_leaderboard,
     "ar_forecast": q_ar_forecast,
+    "boruta": q_boruta,
+    "stream_buffer": q_stream_buffer,
+    "stream_signal": q_stream_signal,
+    "stream_predict": q_stream_predict,
+    "replay": q_replay,
 }
 
 __all__ = ["QUERIES", "P", "round6", "KEYS"]
