@@ -838,3 +838,36 @@ SQL.update({
     "replay": sql_replay(),
     "stream_signal": sql_stream_signal(),
 })
+
+
+
+def sql_stream_dedupe() -> str:
+    return f"""WITH {Q_CTE}
+SELECT exchange, symbol, seq, {r6(QALL)}, epoch_us(time) AS time_us FROM q
+QUALIFY row_number() OVER (PARTITION BY exchange, symbol, seq ORDER BY time) = 1"""
+
+
+def sql_robust_open_close() -> str:
+    return f"""WITH {grid_ctes(FREQ, ('bid_price',))},
+d AS (SELECT exchange, symbol, g, bid_price, strftime(make_timestamp(g * 1000000), '%Y%m%d') AS day FROM grid),
+p AS (SELECT exchange, symbol, day, quantile_cont(bid_price, 0.01) AS lo, quantile_cont(bid_price, 0.99) AS hi
+      FROM d GROUP BY ALL),
+k AS (SELECT d.* FROM d JOIN p USING (exchange, symbol, day) WHERE d.bid_price > p.lo AND d.bid_price < p.hi),
+oc AS (SELECT exchange, symbol, day, arg_min(bid_price, g) AS open_r, arg_max(bid_price, g) AS close_r FROM k GROUP BY ALL)
+SELECT b.exchange, b.symbol, b.day, {rnd('oc.open_r', 'open_r')} AS open_r, {rnd('oc.close_r', 'close_r')} AS close_r
+FROM (SELECT DISTINCT exchange, symbol, day FROM d) b LEFT JOIN oc USING (exchange, symbol, day)"""
+
+
+def sql_feed_catalog() -> str:
+    return f"""WITH {Q_CTE}
+SELECT exchange, symbol, exchange || '_' || symbol AS series,
+  epoch_us(min(time) FILTER (WHERE bid_price IS NOT NULL)) AS first_us,
+  epoch_us(max(time) FILTER (WHERE bid_price IS NOT NULL)) AS last_us
+FROM q WHERE regexp_matches(exchange || '_' || symbol, '^(?:{P['catalog_regex']})') GROUP BY ALL"""
+
+
+SQL.update({
+    "stream_dedupe": sql_stream_dedupe(),
+    "robust_open_close": sql_robust_open_close(),
+    "feed_catalog": sql_feed_catalog(),
+})

@@ -25,6 +25,7 @@ from tidemark.operators.ml import prep as MP
 from tidemark.operators.ml import select as MS
 from tidemark.operators.ml import train as MT
 from tidemark.plans import datasets as B
+from tidemark.plans import jobs as X_
 from tidemark.schema import KEYS, QUOTE_COLUMNS
 from tidemark.sources.adapters import (
     LINEITEM_FEATURES,
@@ -596,6 +597,29 @@ def q_replay(spark, sf):
     return round6(_qus(spark.read.parquet(f"{d}/out").drop("epoch")))
 
 
+def q_stream_dedupe(spark, sf):
+    """D1 on the stream — repeated (instrument, seq) within the watermark are dropped."""
+    from tidemark.sources.adapters import quotes_from_events
+    from tidemark.streaming.replay import streaming_dedupe
+
+    out = _run_stream(spark, streaming_dedupe(quotes_from_events(_events_stream(spark, sf)), "1 hour"),
+                      "stream_dedupe")
+    return round6(_qus(out))
+
+
+def q_robust_open_close(spark, sf):
+    from tidemark.operators.rolling import robust_open_close
+
+    return round6(robust_open_close(_grid_days(spark, sf), ["exchange", "symbol", "day"], "bid_price"))
+
+
+def q_feed_catalog(spark, sf):
+    series = _q(spark, sf).select(F.concat_ws("_", "exchange", "symbol").alias("series")).distinct()
+    d = X_.job_feed_dates(series, _q(spark, sf), P["catalog_regex"])
+    return d.select("exchange", "symbol", "series", F.unix_micros("first").alias("first_us"),
+                    F.unix_micros("last").alias("last_us"))
+
+
 def q_boruta(spark, sf):
     return MS.boruta(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", rounds=2, seed=7)
 
@@ -668,6 +692,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leaderboard": q_leaderboard,
     "ar_forecast": q_ar_forecast,
     "boruta": q_boruta,
+    "stream_dedupe": q_stream_dedupe,
+    "robust_open_close": q_robust_open_close,
+    "feed_catalog": q_feed_catalog,
     "stream_buffer": q_stream_buffer,
     "stream_signal": q_stream_signal,
     "stream_predict": q_stream_predict,
