@@ -871,3 +871,16 @@ SQL.update({
     "robust_open_close": sql_robust_open_close(),
     "feed_catalog": sql_feed_catalog(),
 })
+
+
+
+def sql_backtest_rollup() -> str:
+    return f"""WITH t AS (SELECT o_orderpriority AS source, o_orderkey AS seq, strftime(o_orderdate, '%Y-%m-%d') AS d,
+  o_totalprice AS p, o_orderstatus AS signal FROM orders)
+SELECT source, arg_max(d, seq) AS start_date, arg_max(d, seq) AS end_date,
+  {rnd('arg_max(p, seq)', 'cum_profit')} AS cum_profit, {rnd('arg_max(p, seq)', 'sharp_ratio')} AS sharp_ratio,
+  arg_max(signal, seq) AS signal, count(*) AS number_of_trades, min(d) AS first_date, max(d) AS last_date
+FROM t GROUP BY source"""
+
+
+SQL["backtest_rollup"] = sql_backtest_rollup()

@@ -620,6 +620,13 @@ def q_feed_catalog(spark, sf):
                     F.unix_micros("last").alias("last_us"))
 
 
+def q_backtest_rollup(spark, sf):
+    from tidemark.sources.adapters import backtest_trades_from_orders
+
+    roll = R.backtest_rollup(backtest_trades_from_orders(table(spark, sf, "orders")), "source", "seq")
+    return round6(roll.drop("uuid"))  # a fresh random id per row is not comparable
+
+
 def q_boruta(spark, sf):
     return MS.boruta(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", rounds=2, seed=7)
 
@@ -695,6 +702,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedupe": q_stream_dedupe,
     "robust_open_close": q_robust_open_close,
     "feed_catalog": q_feed_catalog,
+    "backtest_rollup": q_backtest_rollup,
     "stream_buffer": q_stream_buffer,
     "stream_signal": q_stream_signal,
     "stream_predict": q_stream_predict,

@@ -78,3 +78,19 @@ def volumes_from_supplier(supplier: DataFrame) -> DataFrame:
         F.col("s_acctbal").alias("volume"),
         F.col("s_suppkey").alias("position"),
     )
+
+
+def backtest_trades_from_orders(orders: DataFrame) -> DataFrame:
+    """Backtest trade rows from ``orders`` (for A5/A6): one file per order priority,
+    rows in order-key order, the order date as both trade dates, the total price as
+    cumulative profit and as sharpe ratio."""
+    day = F.date_format(as_ts("o_orderdate"), "yyyy-MM-dd")
+    return orders.select(
+        F.col("o_orderpriority").alias("source"),
+        F.col("o_orderkey").alias("seq"),
+        day.alias("start_date"),
+        day.alias("end_date"),
+        F.col("o_totalprice").alias("cum_profit"),
+        F.col("o_totalprice").alias("sharp_ratio"),
+        F.col("o_orderstatus").alias("signal"),
+    )
