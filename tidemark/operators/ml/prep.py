@@ -23,13 +23,17 @@ def minmax_scale(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, Dat
 
 
 def apply_minmax(df: DataFrame, scaler: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Apply a fitted min-max scaler (attached as scalar subqueries, no join)."""
-    out = df
-    for c in features:
-        lo = scaler.select(f"{c}_min").scalar()
-        hi = scaler.select(f"{c}_max").scalar()
-        out = out.withColumn(c, F.coalesce(safe_div(F.col(c) - lo, hi - lo), F.lit(0.0)))
-    return out
+    """Apply a fitted min-max scaler.
+
+    The one-row scaler is attached as ONE scalar subquery (a struct of all
+    bounds), evaluated once and shipped as a literal: no join, no rescan
+    per feature.
+    """
+    stats = scaler.select(F.struct(*[F.col(c) for c in scaler.columns]).alias("s")).scalar()
+    return df.select(*[
+        F.coalesce(safe_div(F.col(c) - stats[f"{c}_min"], stats[f"{c}_max"] - stats[f"{c}_min"]),
+                   F.lit(0.0)).alias(c) if c in features else F.col(c)
+        for c in df.columns])
 
 
 def zero_count(features: Sequence[str]) -> Column:

@@ -19,14 +19,17 @@ def chi2_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame
     aggregate (rows per class) and a tiny reduction. Not ``ChiSquareTest``,
     which treats values as categories. Output: feature, score.
     """
+    from pyspark.sql import Window
+
     feats = list(features)
     per_class = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"), *[F.sum(c).alias(c) for c in feats])
-    tot = per_class.agg(F.sum("_nc").alias("_n"), *[F.sum(c).alias(f"_t_{c}") for c in feats])
-    n = tot.select("_n").scalar()
+    # totals over the per-class table (one row per class): a window on a tiny table, no rescan
+    everything = Window.partitionBy()
+    per_class = per_class.select("*", F.sum("_nc").over(everything).alias("_n"),
+                                 *[F.sum(c).over(everything).alias(f"_t_{c}") for c in feats])
     rows = []
     for c in feats:
-        t = tot.select(f"_t_{c}").scalar()
-        exp = F.col("_nc") / n * t
+        exp = F.col("_nc") / F.col("_n") * F.col(f"_t_{c}")
         rows.append(F.struct(F.lit(c).alias("feature"),
                              F.coalesce(safe_div((F.col(c) - exp) * (F.col(c) - exp), exp), F.lit(0.0)).alias("term")))
     terms = per_class.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -189,12 +189,20 @@ def remove_outliers_pct(df: DataFrame, group: Sequence[str], c: str, lo: float =
     )
 
 
-def robust_open_close(df: DataFrame, group: Sequence[str], c: str) -> DataFrame:
-    """first/last value after W21 (NULL when nothing is left)."""
-    kept = remove_outliers_pct(df, group, c)
-    base = df.select(*group).distinct()
-    oc = kept.groupBy(*group).agg(F.min_by(c, "g").alias("open_r"), F.max_by(c, "g").alias("close_r"))
-    return base.join(oc, on=list(group), how="left")
+def robust_open_close(df: DataFrame, group: Sequence[str], c: str, lo: float = 0.01, hi: float = 0.99,
+                      approx: bool = False) -> DataFrame:
+    """first/last value (by ``g``) among rows strictly between the group's lo/hi
+    percentiles (W21); NULL when nothing is left.
+
+    The percentiles come from a grouped aggregate joined back (AQE broadcasts
+    it: one row per group); the open/close is a second grouped aggregate over
+    the filtered-in rows only, and every group keeps a row.
+    """
+    stats = df.groupBy(*group).agg(_pct(F.col(c), (lo, hi), approx).alias("_p"))
+    j = df.join(stats, on=list(group), how="inner")
+    inside = (F.col(c) > F.col("_p")[0]) & (F.col(c) < F.col("_p")[1])
+    return j.groupBy(*group).agg(F.min_by(F.when(inside, F.col(c)), F.when(inside, F.col("g"))).alias("open_r"),
+                                 F.max_by(F.when(inside, F.col(c)), F.when(inside, F.col("g"))).alias("close_r"))
 
 
 def diff(c: str, keys: Sequence[str] = KEYS) -> Column:
