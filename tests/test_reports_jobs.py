@@ -134,3 +134,14 @@ def test_job_features_importance_and_csv(spark, tmpdir_path):
     meta = spark.read.text(f"{tmpdir_path}/ds/meta").first()["value"]
     assert '"target": "label"' in meta
     assert spark.read.option("header", True).csv(f"{tmpdir_path}/ds/data").count() == d.count()
+
+
+def test_job_patterns(spark, tmpdir_path):
+    from tidemark.sources.scans import load_buy_patterns
+
+    out = X.job_patterns(quotes(spark, SF), tmpdir_path, "mean", 0.5, window=24 * 3600, shift=6, step=2,
+                         nbr_samples=8, freq=3600)
+    n_buy = out["buy"].count()
+    assert out["signals"].where("signal = 1").count() >= n_buy
+    stored = load_buy_patterns(spark, f"{tmpdir_path}/scores")
+    assert stored.distinct().count() == out["buy"].select("pattern").distinct().count()

@@ -154,3 +154,20 @@ def job_feed_dates(series: DataFrame, quotes: DataFrame, pattern: str) -> DataFr
     feeds = S6.series_filter(series, pattern, "series")
     d = Q.feed_dates(quotes).withColumn("series", F.concat_ws("_", "exchange", "symbol"))
     return d.join(feeds, on="series", how="left_semi")
+
+
+def job_patterns(quotes: DataFrame, out_dir: str, kind: str = "mean", threshold: float = 0.9, **params) -> dict:
+    """T6 -> T7 -> S14 -> T9: pattern table (checkpointed once), scores, buy set, signals.
+
+    The table feeds both the scores and the matching, so it is materialised
+    once instead of being recomputed by each branch.
+    """
+    from tidemark.operators import patterns as T_
+
+    table = materialize(T_.pattern_table(quotes, kind, **params))
+    scores = T_.pattern_score(table, threshold)
+    buy = T_.buy_patterns(scores)
+    signals = T_.pattern_match(table, buy)
+    scores.orderBy(F.col("score").desc(), F.col("count").desc(), "pattern").write.mode("overwrite").parquet(
+        f"{out_dir}/scores")
+    return {"table": table, "scores": scores, "buy": buy, "signals": signals}
