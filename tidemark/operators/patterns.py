@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import bit, hex_from_bits
 from tidemark.operators.grid import resample_last
-from tidemark.operators.labels import profit_label
-from tidemark.operators.rolling import framed, lag_rows
+from tidemark.operators.rolling import lag_rows
+from tidemark.plans.chunking import CHUNK, auto_span, own_rows, with_halo
 from tidemark.schema import KEYS
 
 KINDS = ("mean", "median", "mean_median")
@@ -109,31 +109,39 @@ def ohlc_pattern_table(quotes: DataFrame, candle: int = 300, nbr_candles: int =
     containing the current row (open = its first grid value, close = the
     current value), candle k>1 is the full bucket k-1 before. Rows without
     ``nbr_candles`` candles of history get no pattern.
+
+    One halo shuffle after the grid: inside each (instrument, chunk) the
+    candle open/close are window aggregates over the candle's rows, and the
+    bit of the candle k-1 buckets back is a RANGE frame ordered by the candle
+    start with a fixed offset ((k-1)*candle) — all rows of a candle are peers,
+    so no join back to the grid is needed.
     """
     keys = list(keys)
+    c, n, f = int(candle), int(nbr_candles), int(freq)
     grid = resample_last(quotes, freq, ("bid_price", "ask_price"), keys)
-    cb = F.floor(F.col("g") / F.lit(int(candle))).cast("long") * F.lit(int(candle))
-    grid = grid.withColumn("cb", cb)
-    cand = grid.groupBy(*keys, "cb").agg(F.min_by("bid_price", "g").alias("open"),
-                                          F.max_by("bid_price", "g").alias("close"))
-    # Lags over the candle table (one row per candle; a halo of nbr_candles candles).
-    cw = {f"gt_{k}": lag_rows(F.when(F.col("open") > F.col("close"), 1).otherwise(0), k - 1, keys)
-          for k in range(2, int(nbr_candles) + 1)}
-    cand = framed(cand.withColumnRenamed("cb", "g"), cw, lookback=(int(nbr_candles) - 1) * int(candle),
-                  freq=int(candle)).withColumnRenamed("g", "cb").drop("close")
-    d = grid.join(cand, on=[*keys, "cb"], how="inner")
+    d = with_halo(grid.withColumn("cb", (F.floor(F.col("g") / F.lit(c)) * F.lit(c)).cast("long")), "g",
+                  auto_span(f, (n * c + shift * f) // f + 1), before=n * c, after=shift * f)
+    same = Window.partitionBy(*keys, CHUNK).orderBy("cb").rangeBetween(0, 0)
+    d = d.withColumn("_open", F.min_by("bid_price", "g").over(same)) \
+         .withColumn("_gt", F.when(F.max_by("bid_price", "g").over(same) < F.col("_open"), 1).otherwise(0))
+    back = {k: Window.partitionBy(*keys, CHUNK).orderBy("cb").rangeBetween(-(k - 1) * c, -(k - 1) * c)
+            for k in range(2, n + 1)}
+    by_g = Window.partitionBy(*keys, CHUNK).orderBy("g")
+    d = d.select("*", *[F.max("_gt").over(w).alias(f"_gt{k}") for k, w in back.items()],
+                 F.lead("bid_price", int(shift)).over(by_g).alias("_lead"))
+    d = own_rows(d)
     one = F.lit(1)
-    first = bit(F.col("open") > F.col("bid_price"))
+    first = bit(F.col("_open") > F.col("bid_price"))
     bits = [first, first, one, one]
-    for k in range(2, int(nbr_candles) + 1):
-        b = F.col(f"gt_{k}")
+    for k in range(2, n + 1):
+        b = F.col(f"_gt{k}")
         bits += [b, b, one, one]
-    complete = F.col(f"gt_{int(nbr_candles)}").isNotNull() if nbr_candles > 1 else F.lit(True)
-    d = d.withColumn("pattern", F.when(complete, hex_from_bits(bits)))
-    d = framed(d.drop("cb", "open", *cw.keys()), {"profit": profit_label(shift, pct, keys=keys)},
-               lookahead=shift * freq, freq=freq)
-    return d.select(*keys, "g", "time", "bid_price", "ask_price", "pattern", "profit").na.drop(
-        subset=["pattern"])
+    complete = F.col(f"_gt{n}").isNotNull() if n > 1 else F.lit(True)
+    target = F.col("ask_price") + F.col("ask_price") * F.lit(float(pct))
+    return d.select(*keys, "g", "time", "bid_price", "ask_price",
+                    F.when(complete, hex_from_bits(bits)).alias("pattern"),
+                    F.when(F.col("_lead") - target > F.lit(0), F.lit(1)).otherwise(F.lit(0)).alias("profit")
+                    ).na.drop(subset=["pattern"])
 
 
 def pattern_score(table: DataFrame, threshold: float = 0.9, keys: Sequence[str] = KEYS) -> DataFrame:
