@@ -884,3 +884,17 @@ FROM t GROUP BY source"""
 
 
 SQL["backtest_rollup"] = sql_backtest_rollup()
+
+
+
+def sql_stream_candles() -> str:
+    f = P["candle_freq"]
+    return f"""WITH {Q_CTE},
+wm AS (SELECT epoch_us(max(time)) - CAST(3600000000 AS BIGINT) AS w FROM q),
+c AS (SELECT exchange, symbol, CAST(floor(epoch(time) / {f}) AS BIGINT) * {f} AS g,
+  arg_min(bid_price, time) AS open, max(bid_price) AS high, min(bid_price) AS low, arg_max(bid_price, time) AS close
+  FROM q GROUP BY ALL)
+SELECT exchange, symbol, g, {r6(['open', 'high', 'low', 'close'])} FROM c, wm WHERE (g + {f}) * CAST(1000000 AS BIGINT) <= wm.w"""
+
+
+SQL["stream_candles"] = sql_stream_candles()

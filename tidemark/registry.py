@@ -627,6 +627,17 @@ def q_backtest_rollup(spark, sf):
     return round6(roll.drop("uuid"))  # a fresh random id per row is not comparable
 
 
+def q_stream_candles(spark, sf):
+    """R5 / G3 on the stream: watermarked tumbling candles; append mode emits closed windows."""
+    from tidemark.sources.adapters import quotes_from_events
+    from tidemark.streaming.replay import streaming_candles
+
+    out = _run_stream(spark, streaming_candles(quotes_from_events(_events_stream(spark, sf)), P["candle_freq"],
+                                               "1 hour"), "stream_candles")
+    return round6(out.select("exchange", "symbol", F.unix_seconds(F.col("window.start")).alias("g"),
+                             "open", "high", "low", "close"))
+
+
 def q_boruta(spark, sf):
     return MS.boruta(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", rounds=2, seed=7)
 
@@ -703,6 +714,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "robust_open_close": q_robust_open_close,
     "feed_catalog": q_feed_catalog,
     "backtest_rollup": q_backtest_rollup,
+    "stream_candles": q_stream_candles,
     "stream_buffer": q_stream_buffer,
     "stream_signal": q_stream_signal,
     "stream_predict": q_stream_predict,
