@@ -4,8 +4,11 @@ Each reads the driver's test tables through the adapters and runs one
 operator (or builder) over the whole tables. Names equal operator names.
 Parameters: the events table is sparse (about 2,000 quotes per instrument
 over 30 days at sf0.01), so grids use 3600 s steps; windows and shifts are
-the reference defaults scaled to hours. Doubles are rounded (``rnd``) on both
-sides since summation order differs between engines.
+the reference defaults scaled to hours; ``long_window`` queries take the
+frame planner's pandas engine, the others its Spark-window engine. Streaming
+queries run their streams to completion (``availableNow``) into Parquet under
+the checkpoint folder. Doubles are rounded (``rnd``) on both sides since
+summation order differs between engines.
 """
 
 from __future__ import annotations
