@@ -79,10 +79,17 @@ class Words:
         return h
 
 
-def words(column: pa.Array | pa.ChunkedArray) -> Words:
-    """Words (maximal runs without SEPARATORS) of every text of a batch."""
+def words(column: pa.Array | pa.ChunkedArray, separators: np.ndarray = _SEP, fold: bool = False) -> Words:
+    """Words (maximal runs without separator bytes, by default SEPARATORS) of every text of a batch.
+
+    ``fold``: in lower case, for ASCII and Latin-1 letters.
+    """
     data, offsets = utf8(column)
-    inside = ~_SEP[data]
+    if fold and len(data):
+        upper = (data >= 0x41) & (data <= 0x5A)
+        upper[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        data = data + upper.view(np.uint8) * np.uint8(0x20)
+    inside = ~separators[data]
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[offsets] = True
     before = np.empty(len(data), dtype=bool)
