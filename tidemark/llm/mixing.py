@@ -21,6 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Documents or fractions that one fold settles.
 FAN = 64
+#: Documents longer than so many times their source's mean size settle first, then those over the next.
+LENGTHS = (8, 1)
 SEED = 17
 
 
@@ -44,7 +46,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     ranked = ranged.join(counts.withColumn("before", before), "part").withColumn(
         "rank", F.col("before") + F.row_number().over(within) - 1)
     weight = F.get(F.array(*map(F.lit, weights)), F.col("rank") % len(weights)).cast("double")
-    ranked = landed(ranked.select("source", "source_size", weight.alias("weight"),
+    ranked = landed(ranked.select(*sizes.columns, weight.alias("weight"),
                                   (F.col("source_size") * F.lit(float(most))).alias("limit")), "sources")
     total = ranked.agg(F.sum("source_size")).first()[0] or 0
     factor, limited = 0.0, -1
@@ -55,7 +57,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
         if row[2] is None or row[2] == limited or not row[1]:
             break
         limited, factor = row[2], (share * total - row[0]) / row[1]
-    return ranked.select("source", "source_size", F.least(F.col("weight") * F.lit(factor), F.col("limit")).alias("target"))
+    return ranked.select(*sizes.columns, F.least(F.col("weight") * F.lit(factor), F.col("limit")).alias("target"))
 
 
 def _draw(seed: int, level: int, *cols: Column) -> Column:
@@ -95,37 +97,60 @@ def _fold(units: Column, seed: int, level: int) -> Column:
     return F.aggregate(units, F.expr(_STATE), step)
 
 
-def choose_copies(units: DataFrame, seed: int = SEED) -> DataFrame:
-    """Whole copies for units ``source, doc_id, nth, size, ratio`` (wanted copies): adds ``copies``."""
-    whole = F.floor("ratio")
-    units = units.withColumn("base", whole.cast("int")).withColumn("p", F.col("ratio") - whole)
-    plain = units.where((F.col("p") <= 0) | (F.col("size") <= 0)).withColumn("more", (
-        _draw(seed, -1, F.col("doc_id"), F.col("nth")) < F.col("p")).cast("int"))
-    units = units.where((F.col("p") > 0) & (F.col("size") > 0))
+def _settle(units: DataFrame, seed: int, salt: int) -> DataFrame:
+    """Pivotal rounding of ``source, unit, base`` (0 < p < 1, size > 0) down to whole copies, source by source."""
     counts = units.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     most = counts.agg(F.max("n")).first()[0] or 0
     open_ = units.join(counts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select(
-        "source", "base", F.struct("doc_id", "nth", "size", "p").alias("unit"), F.ceil(F.col("n") / FAN).alias("blocks"))
-    settled, level = [], 0
+        "source", "base", "unit", F.ceil(F.col("n") / FAN).alias("blocks"))
+    settled, level = units.select("source", "base", "unit").limit(0), salt
     while most > 0:
         block = F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "unit.doc_id", "unit.nth"), F.col("blocks"))
         folded = open_.groupBy("source", "base", "blocks", block.alias("block")).agg(
             F.sort_array(F.collect_list("unit")).alias("units"))
         folded = landed(folded.select("source", "base", "blocks", _fold(F.col("units"), seed, level).alias("f")), "rounding")
-        settled.append(folded.select("source", "base", F.explode("f.done").alias("unit")))
+        settled = settled.unionByName(folded.select("source", "base", F.explode("f.done").alias("unit")))
         left = folded.where("f.left is not null").select("source", "base", F.col("f.left").alias("unit"), "blocks")
         if most <= FAN:  # one block a source was left, so one fraction each remains
-            settled.append(left.select("source", "base", F.struct(
-                "unit.doc_id", "unit.nth", "unit.size",
-                (_draw(seed, level + 1, F.col("unit.doc_id"), F.col("unit.nth")) < F.col("unit.p")).cast("double").alias("p"))
-                .alias("unit")))
-            break
+            last = _draw(seed, level + 1, F.col("unit.doc_id"), F.col("unit.nth")) < F.col("unit.p")
+            return settled.unionByName(left.select("source", "base", _unit(F.col("unit"), last.cast("double")).alias("unit")))
         open_ = left.withColumn("blocks", F.ceil(F.col("blocks") / FAN))
         most, level = -(-most // FAN), level + 1
+    return settled
+
+
+def choose_copies(units: DataFrame, seed: int = SEED) -> DataFrame:
+    """Whole copies for units ``source, doc_id, nth, size, ratio, mean`` (wanted copies; mean size in the source).
+
+    Long documents settle first, then middling, then short ones. The words by which a source's last long
+    document misses its fraction are spread over its shorter ones' fractions (the expected miss is 0, so
+    every document's expected copies stay), and the final miss is that of one short document.
+    """
+    whole = F.floor("ratio")
+    units = units.withColumn("base", whole.cast("int")).withColumn("p", F.col("ratio") - whole)
+    units = units.withColumn("length", F.when((F.col("p") <= 0) | (F.col("size") <= 0), -1).otherwise(
+        F.lit(len(LENGTHS)) - sum((F.col("size") > F.col("mean") * x).cast("int") for x in LENGTHS)))
+    units = landed(units, "units")
+    plain = units.where("length < 0").withColumn("more", (_draw(seed, -1, F.col("doc_id"), F.col("nth")) < F.col("p")).cast("int"))
     out = plain.select("source", "doc_id", "nth", "size", (F.col("base") + F.col("more")).alias("copies"))
-    for part in settled:
-        out = out.unionByName(part.select("source", "unit.doc_id", "unit.nth", "unit.size",
+    miss = units.select("source").distinct().withColumn("miss", F.lit(0.0))
+    for i in range(len(LENGTHS) + 1):
+        some = units.where(F.col("length") == i)
+        words = some.groupBy("source").agg(F.sum("size").alias("words"), F.sum(F.col("size") * F.col("p")).alias("wanted"))
+        words = miss.alias("m").join(words.alias("w"), F.col("m.source").eqNullSafe(F.col("w.source")), "left").select(
+            F.col("m.source").alias("s"), "miss", "words", "wanted",
+            F.coalesce(F.col("miss") / F.col("words"), F.lit(0.0)).alias("shift"))
+        words = landed(words, "misses")
+        p = F.least(F.greatest(F.col("p") - F.col("shift"), F.lit(0.0)), F.lit(1.0))
+        some = some.join(words.select("s", "shift"), F.col("source").eqNullSafe(F.col("s"))).select(
+            "source", "base", F.struct("doc_id", "nth", "size", p.alias("p")).alias("unit"))
+        sure = (F.col("unit.p") <= 0) | (F.col("unit.p") >= 1)
+        done = landed(_settle(some.where(~sure), seed, 100 * i).unionByName(some.where(sure).select("source", "base", "unit")), "copies")
+        out = out.unionByName(done.select("source", "unit.doc_id", "unit.nth", "unit.size",
                                           (F.col("base") + F.col("unit.p").cast("int")).alias("copies")))
+        got = done.groupBy("source").agg(F.sum(F.col("unit.size") * F.col("unit.p")).alias("got"))
+        miss = words.join(got, F.col("s").eqNullSafe(F.col("source")), "left").select(
+            F.col("s").alias("source"), (F.col("miss") + F.coalesce("got", F.lit(0.0)) - F.coalesce("wanted", F.lit(0.0))).alias("miss"))
     return out
 
 
@@ -140,12 +165,13 @@ def mix_sources(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """
     units = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count("text").alias("size"))
     units = landed(units.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("rows")), "sizes")
-    sizes = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
+    sizes = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"),
+                                        F.sum("rows").alias("rows"))
     targets = source_targets(sizes).withColumnRenamed("source", "s")
     units = units.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    wanted = units.join(targets, F.col("source").eqNullSafe(F.col("s"))).select(
-        "source", "doc_id", "nth", "size", ratio.alias("ratio"))
+    wanted = units.join(targets.alias("t"), F.col("source").eqNullSafe(F.col("s"))).select(
+        "source", "doc_id", "nth", "size", ratio.alias("ratio"), (F.col("source_size") / F.col("t.rows")).alias("mean"))
     chosen = choose_copies(wanted, seed)
     return chosen.join(targets, F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_id", "source", "nth", "size", "source_size", "target", "copies",

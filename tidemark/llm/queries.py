@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
-from tidemark.llm.substrings import op4_substrings
+from tidemark.llm.bagminhash import op6_bagminhash
+from tidemark.llm.mixing import op5_mixing
+from tidemark.llm.quality import op3_quality
+from tidemark.llm.substrings import OP4_SQL, op4_substrings
+from tidemark.llm.tokenfiles import op9_tokenfiles
+from tidemark.llm.toxicity import op10_toxicity
+from tidemark.llm.winnowing import OP8_SQL, op8_winnowing
 
 QUERIES = {
+    "op3_quality": op3_quality,
     "op4_substrings": op4_substrings,
+    "op5_mixing": op5_mixing,
+    "op6_bagminhash": op6_bagminhash,
+    "op8_winnowing": op8_winnowing,
+    "op9_tokenfiles": op9_tokenfiles,
+    "op10_toxicity": op10_toxicity,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op4_substrings": OP4_SQL,
+    "op8_winnowing": OP8_SQL,
+}

@@ -284,3 +284,20 @@ def op4_substrings(spark, sf_dir: str) -> DataFrame:
 
     out = dedup_passages(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, p, array_to_string(w[p : p + 19], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM doc)),
+again AS (SELECT doc_id, p FROM win QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1),
+gone AS (SELECT doc_id, list(DISTINCT x) AS xs FROM (
+  SELECT doc_id, unnest(range(p, p + 20)) AS x FROM again) GROUP BY doc_id),
+word AS (SELECT doc_id, unnest(w) AS v, generate_subscripts(w, 1) AS x FROM doc),
+kept AS (SELECT doc_id, string_agg(v, ' ' ORDER BY x) AS t FROM word
+  LEFT JOIN (SELECT doc_id, unnest(xs) AS x, 1 AS g FROM gone) USING (doc_id, x) WHERE g IS NULL GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(xs), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

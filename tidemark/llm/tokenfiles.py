@@ -25,7 +25,7 @@ from tidemark.llm.common import buckets_for, checkpoint_dir, landed, slices, tex
 # fixed values of the zstandard seekable format
 SKIPPABLE_TABLE, SKIPPABLE_INDEX, SEEKABLE = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
 HAS_CHECKSUM = 0x80
-FOOTER = struct.Struct("<IBI")
+FOOTER, FOOTER_SIZE = "<IBI", 9
 #: Bytes of text of one file, and of one tokenizer step.
 FILE_BYTES, SLICE_BYTES = 64 << 20, 8 << 20
 #: Distinct words whose ids a task remembers at once.
@@ -131,7 +131,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         if out is None:
             return
         out.write(_skippable(SKIPPABLE_INDEX, np.concatenate(ids).astype("<i8").tobytes()))
-        body = np.array(table, "<u4").tobytes() + FOOTER.pack(len(table), HAS_CHECKSUM, SEEKABLE)
+        body = np.array(table, "<u4").tobytes() + struct.pack(FOOTER, len(table), HAS_CHECKSUM, SEEKABLE)
         out.write(_skippable(SKIPPABLE_TABLE, body))
         out.close()
         fs.move(draft, name)
@@ -144,11 +144,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
 
 def read_table(stream, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(seek table rows, document ids) of an open file, read from its end."""
-    stream.seek(size - FOOTER.size)
-    n, flags, magic = FOOTER.unpack(stream.read(FOOTER.size))
+    stream.seek(size - FOOTER_SIZE)
+    n, flags, magic = struct.unpack(FOOTER, stream.read(FOOTER_SIZE))
     if magic != SEEKABLE or flags != HAS_CHECKSUM:
         raise ValueError("not a seekable token file")
-    body = 12 * n + FOOTER.size
+    body = 12 * n + FOOTER_SIZE
     stream.seek(size - body - 8 - 8 * n - 8)
     raw = stream.read(8 * n + 8 + 8 + 12 * n)
     kind, length = struct.unpack_from("<II", raw, 8 * n + 8)

@@ -57,7 +57,7 @@ def _least(g: str, n: str, window: int) -> Column:
 
 def _hashed(df: DataFrame, words: Column) -> DataFrame:
     df = df.withColumn("words", words).withColumn("n_words", F.size("words").cast("long"))
-    return df.withColumn("h", F.transform("words", F.xxhash64))
+    return df.withColumn("h", F.transform("words", lambda x: F.xxhash64(x)))
 
 
 def _chosen(df: DataFrame, window: int, short: list[int]) -> DataFrame:
@@ -110,7 +110,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     docs = docs.select("doc_id", "text").withColumn("key", F.xxhash64("text"))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     items = _hashed(items, exact_words("text")).withColumn("h", F.transform(
-        _words(F.lower(F.col("text"))), F.xxhash64)).where("n_words > 0")
+        _words(F.lower(F.col("text"))), lambda x: F.xxhash64(x))).where("n_words > 0")
     lengths = items.where(F.col("n_words") < window).select("n_words").distinct()  # nine values at most
     short = sorted(r[0] for r in lengths.collect())
     prints = _chosen(items, window, short)
@@ -135,7 +135,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     near = docs.alias("d").join(again.alias("a"), F.col("d.doc_id").eqNullSafe(F.col("a.doc_id"))
                                 & (F.col("d.key") == F.col("a.key")), "left_semi").distinct()
     near = near.withColumn("words", exact_words("text")).withColumn("n_words", F.size("words").cast("long"))
-    near = near.withColumn("h", F.transform(loose_words("text"), F.xxhash64))
+    near = near.withColumn("h", F.transform(loose_words("text"), lambda x: F.xxhash64(x)))
     near = _chosen(near, window, short)
     hit = near.join(_small(prints.select("fp", "size", "item_id", F.col("near").alias("theirs"))), ["fp", "size"])
     side = window - K
