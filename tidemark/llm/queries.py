@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidemark.llm.bagminhash import op6_bagminhash
+from tidemark.llm.chat import op2_chat
+from tidemark.llm.html import op1_html
 from tidemark.llm.mixing import op5_mixing
+from tidemark.llm.pq import op7_pq
 from tidemark.llm.quality import op3_quality
 from tidemark.llm.substrings import OP4_SQL, op4_substrings
 from tidemark.llm.tokenfiles import op9_tokenfiles
@@ -11,10 +15,14 @@ from tidemark.llm.toxicity import op10_toxicity
 from tidemark.llm.winnowing import OP8_SQL, op8_winnowing
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
+    "op1_html": op1_html,
+    "op2_chat": op2_chat,
     "op3_quality": op3_quality,
     "op4_substrings": op4_substrings,
     "op5_mixing": op5_mixing,
     "op6_bagminhash": op6_bagminhash,
+    "op7_pq": op7_pq,
     "op8_winnowing": op8_winnowing,
     "op9_tokenfiles": op9_tokenfiles,
     "op10_toxicity": op10_toxicity,

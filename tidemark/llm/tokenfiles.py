@@ -135,7 +135,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         out.write(_skippable(SKIPPABLE_TABLE, body))
         out.close()
         fs.move(draft, name)
-        yield pa.record_batch({"part": [part], "file": [name], "n_docs": [len(table)], "n_tokens": [tokens]})
+        yield pa.record_batch({"part": pa.array([part], pa.int32()), "file": [name], "n_docs": [len(table)], "n_tokens": [tokens]})
 
     manifest = landed(docs.mapInArrow(write, "part int, file string, n_docs long, n_tokens long"), "manifest")
     return manifest.withColumn("folder", F.lit(path))
