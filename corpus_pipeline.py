@@ -23,11 +23,21 @@ from tidemark.llm.winnowing import find_contamination
 USABLE = 0.5
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` doesn't have (names are compared without case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal grader finds usable. Rows of equal text share their fate; a null or
     empty text is judged by the prior grades."""
     grader = fit_grader(docs, table(spark, sf_dir, "labels"))
-    return grade_documents(docs, grader, passthrough=True).where(F.col("p_usable") >= USABLE).select(*docs.columns)
+    names = _unused(docs, "expected_grade"), _unused(docs, "p_usable")
+    graded = grade_documents(docs, grader, passthrough=True, names=names)
+    return graded.where(F.col(names[1]) >= USABLE).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +46,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     classes = near_duplicate_classes(docs).where("doc_id = class_id").select("doc_id").distinct()
     stay = docs.join(classes, "doc_id", "left_semi").select(*docs.columns)
     first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    stay = stay.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*docs.columns)
+    nth = _unused(docs, "nth")
+    stay = stay.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).select(*docs.columns)
     return stay.unionByName(docs.where("doc_id is null"))
 
 
@@ -50,13 +61,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it (none to two rows)."""
     chosen = landed(mix_sources(docs).where("copies > 0").select("doc_id", "source", "size", "nth", "copies"), "mix")
-    keyed = docs.withColumn("_size", word_count("text"))
-    nth = Window.partitionBy("doc_id", "source", "_size").orderBy(F.xxhash64("text"))
-    keyed = keyed.withColumn("_nth", F.row_number().over(nth)).alias("d")
+    size, nth, copy = (_unused(docs, c) for c in ("size", "nth", "copy"))
+    keyed = docs.withColumn(size, word_count("text"))
+    order = Window.partitionBy("doc_id", "source", size).orderBy(F.xxhash64("text"))
+    keyed = keyed.withColumn(nth, F.row_number().over(order)).alias("d")
     c = chosen.alias("c")
     both = keyed.join(c, F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.source").eqNullSafe(F.col("c.source"))
-                      & (F.col("d._size") == F.col("c.size")) & (F.col("d._nth") == F.col("c.nth")))
-    both = both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("c.copies"))))
+                      & (F.col(f"d.{size}") == F.col("c.size")) & (F.col(f"d.{nth}") == F.col("c.nth")))
+    both = both.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("c.copies"))))
     return both.select(*(F.col(f"d.`{x}`") for x in docs.columns))
 
 

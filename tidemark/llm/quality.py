@@ -119,15 +119,15 @@ def fit_grader(docs: DataFrame, labels: DataFrame) -> Grader:
     return fit([r["text"] for r in rows], np.array([r["grade"] for r in rows], np.int64))
 
 
-def grade_documents(docs: DataFrame, grader: Grader, passthrough: bool = False) -> DataFrame:
-    """``doc_id, expected_grade, p_usable`` (P(grade > 0)) for each row; with ``passthrough`` all columns of
-    ``docs`` stay as they are, and only these two are added (replacing columns of those names).
+def grade_documents(docs: DataFrame, grader: Grader, passthrough: bool = False,
+                    names: tuple[str, str] = ("expected_grade", "p_usable")) -> DataFrame:
+    """``doc_id``, expected grade and P(grade > 0) for each row; with ``passthrough`` all columns of ``docs``
+    stay as they are and only these two, under ``names`` that ``docs`` must not have, are added.
 
     Null and empty texts get the grade of a text whose words tell nothing. An empty table gives no rows.
     """
-    names = [c for c in (docs.columns if passthrough else ["doc_id", "text"]) if c not in ("expected_grade", "p_usable")]
-    docs = docs.select(*names)
-    out = names if passthrough else ["doc_id"]
+    docs = docs if passthrough else docs.select("doc_id", "text")
+    out = docs.columns if passthrough else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,9 +135,9 @@ def grade_documents(docs: DataFrame, grader: Grader, passthrough: bool = False)
                 w, f = features(rows.column("text"))
                 above = grader.above(grader.scores(f, w))
                 arrays = [rows.column(c) for c in out] + [pa.array(above.sum(axis=1)), pa.array(above[:, 0])]
-                yield pa.record_batch(arrays, names=[*out, "expected_grade", "p_usable"])
+                yield pa.record_batch(arrays, names=[*out, *names])
 
-    schema = docs.select(*out).schema.add("expected_grade", "double").add("p_usable", "double")
+    schema = docs.select(*out).schema.add(names[0], "double").add(names[1], "double")
     return docs.mapInArrow(run, schema)
 
 
