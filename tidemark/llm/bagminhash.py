@@ -28,9 +28,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: 24 bands of 4 registers: a pair at the threshold shares no band with probability 0.59 ** 24 = 3e-6.
 BANDS, ROWS = 24, 4
-#: Registers (of 96) that must agree before a pair of a mixed bucket is verified: five standard
-#: deviations below the 77 expected at the threshold.
-AGREE = 57
+#: Registers (one byte each) of the longer signature that decides which pairs of a mixed bucket are
+#: verified, and how many must agree: 4.5 standard deviations below the 615 expected at the threshold.
+LONG, AGREE = 768, 565
 #: Bytes of text that one numpy step handles, and rows of a block of a mixed bucket.
 SLICE_BYTES, BLOCK = 4 << 20, 512
 
@@ -124,13 +124,11 @@ def _sketch(batches):
             for j in range(ROWS):
                 key = T.mix(key * T._ROLL + s[:, j::ROWS])
             key = T.mix(key + np.arange(BANDS, dtype=np.uint64) * _C[2])
-            short = T.mix(s).astype(np.uint16)
             off = pa.array(np.append(0, np.cumsum(np.where(full, BANDS, 0))).astype(np.int32))
             yield pa.record_batch({
                 "doc_id": part.column("doc_id"),
                 "h1": pa.array(one.view(np.int64)), "h2": pa.array(two.view(np.int64)),
                 "bands": pa.ListArray.from_arrays(off, pa.array(key[full].reshape(-1).view(np.int64))),
-                "sig": pa.array([x.tobytes() for x in short], pa.binary()),
             })
 
 
@@ -159,41 +157,58 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_overlap, "u long, v long")
 
 
+def _longer(batches):
+    """Longer signatures of the documents of mixed buckets, and their band keys cut to 32 bits."""
+    for batch in batches:
+        for part in slices(batch, ["text"], SLICE_BYTES):
+            doc, g, count, n = bags(part.column("text"))
+            sig = T.mix(signatures(doc, g, count, n, LONG)).astype(np.uint8)
+            keys = part.column("bands").flatten().to_numpy().astype(np.uint32).reshape(n, BANDS)
+            yield pa.record_batch({"node": part.column("node"), "sig": pa.array([x.tobytes() for x in sig], pa.binary()),
+                                   "keys": pa.array([x.tobytes() for x in keys], pa.binary())})
+
+
 def _across(best_only: bool):
-    """Within a block pair of a mixed bucket: pairs of different components whose signatures agree enough."""
+    """Within a block pair of a mixed bucket: pairs of different components whose signatures agree enough.
+
+    A pair that shares several buckets is emitted in the first of its common bands only.
+    """
     def run(t: pa.Table) -> pa.Table:
-        t = t.combine_chunks()
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(t.num_rows, -1)
+        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
+        keys = np.frombuffer(b"".join(t["keys"].to_pylist()), np.uint32).reshape(t.num_rows, -1)
         node, comp, side = (t[c].to_numpy() for c in ("node", "component", "side"))
+        here = int(np.flatnonzero(keys[0] == t["band"].to_numpy()[:1].astype(np.uint32))[0])
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         us, vs = [], []
         for i in left:
-            other = right[(comp[right] != comp[i]) & (node[right] != node[i])]
-            if not len(other):
-                continue
+            other = right[comp[right] != comp[i]]
             n = (sig[other] == sig[i]).sum(axis=1)
-            near = n >= AGREE
-            if best_only and near.any():
-                near = np.arange(len(n)) == np.argmax(n)
-            us.append(np.full(int(near.sum()), node[i]))
+            near = np.flatnonzero(n >= AGREE)
+            near = near[(keys[other[near]] == keys[i]).argmax(axis=1) == here] if len(near) else near
+            if best_only and len(near):
+                near = near[[np.argmax(n[near])]]
+            us.append(np.full(len(near), node[i]))
             vs.append(node[other[near]])
-        u = np.concatenate(us) if us else np.zeros(0, np.int64)
-        v = np.concatenate(vs) if vs else np.zeros(0, np.int64)
+        u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
         return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v)})
     return run
 
 
-def _mixed_pairs(members: DataFrame, comp: DataFrame, best_only: bool) -> DataFrame:
-    """Pairs of different components in one bucket, found block by block (no bucket meets in one task)."""
-    rows = (members.join(comp, "node", "left")
-            .withColumn("component", F.coalesce("component", "node")))
+def _mixed(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several components: ``band, node, component, n`` (size of the bucket)."""
+    rows = members.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = rows.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"),
                                      F.count(F.lit(1)).alias("n")).where("a <> b").select("band", "n")
-    rows = rows.join(mixed, "band").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    return rows.join(mixed, "band").select("band", "node", "component", "n")
+
+
+def _mixed_pairs(rows: DataFrame, longer: DataFrame, best_only: bool) -> DataFrame:
+    """Pairs of different components in one bucket, found block by block (no bucket meets in one task)."""
+    rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(longer, "node")
     # block pair (i, j), i <= j: a row of block b is on the left of (b, j) and on the right of (i, b)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("band", "node", "component", "sig", F.least("block", "other").alias("i"),
+    rows = rows.select("band", "node", "component", "sig", "keys", F.least("block", "other").alias("i"),
                        F.greatest("block", "other").alias("j"),
                        F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0)
                        .otherwise(1).alias("side"))
@@ -205,42 +220,47 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
 
     ``docs``: columns ``doc_id`` (integer) and ``text``; others are ignored, whatever their names. Returns
     one row per input row: ``doc_id, class_id`` (the least doc_id of the class). A text of one to four words
-    is one shingle; null and empty texts have none and stay alone. Rows that repeat a doc_id are one node,
-    whose links are judged on its least text.
+    is one shingle; null and empty texts have none and stay alone. Rows that repeat a doc_id are one node
+    with the links of all its texts.
     A null doc_id is returned with a null class. An empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch = docs.where("doc_id is not null").mapInArrow(
-        _sketch, "doc_id long, h1 long, h2 long, bands array<long>, sig binary")
+        _sketch, "doc_id long, h1 long, h2 long, bands array<long>")
     sketch = landed(sketch, "sketches")
     some = sketch.where(F.size("bands") > 0)
     equal = some.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
-    same = landed(some.select("doc_id", "h1", "h2").join(equal, ["h1", "h2"]).select("doc_id", "node").distinct(), "equal")
-    chosen = same.where("doc_id = node").select("node").distinct()
-    bands = some.select(F.col("doc_id").alias("node"), "sig", F.explode("bands").alias("band"))
-    bands = bands.join(chosen, "node", "left_semi")
+    chosen = F.col("doc_id") == F.col("node")
+    same = landed(some.join(equal, ["h1", "h2"]).select("doc_id", "node", F.when(chosen, F.col("bands")).alias("bands")), "equal")
+    bands = same.where(chosen).select("node", F.explode("bands").alias("band"))
     buckets = bands.groupBy("band").agg(F.min("node").alias("u"), F.max("node").alias("top")).where("u <> top")
-    members = landed(bands.join(buckets.select("band", "u"), "band").select("band", "u", "node", "sig"), "members")
-    first = landed(members.where("node <> u").select("u", F.col("node").alias("v")).distinct(), "pairs")
+    members = landed(bands.join(buckets.select("band", "u"), "band").select("band", "u", "node"), "members")
+    first = members.where("node <> u").select("u", F.col("node").alias("v")).distinct()
     texts = docs.join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    texts = landed(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
-    edges = landed(_verified(first, texts), "links")
-    tried, comp = first, components(edges)
+    texts = landed(texts, "texts")
+    comp = components(_verified(first, texts))
+    mixed = landed(_mixed(members.select("band", "node"), comp), "mixed")
+    longer = None
     for best_only in (True, False):  # the likeliest partner of each member first: it settles most buckets
-        more = _mixed_pairs(members.select("band", "node", "sig"), comp, best_only)
-        more = landed(more.join(tried, ["u", "v"], "left_anti"), "pairs")
-        if more.isEmpty():
+        if mixed.isEmpty():
             break
-        tried = tried.unionByName(more)
-        edges = edges.unionByName(landed(_verified(more, texts), "links"))
-        comp = components(edges)
-    # rows that share a doc_id tie the classes of their texts; equal bags tie to their least document
-    ties = same.where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
-    several = same.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v <> w")
-    if not several.isEmpty():
-        comp = components(edges.unionByName(ties))
-    classes = same.join(comp, "node", "left").select("doc_id", F.coalesce("component", "node").alias("class_id"))
-    classes = classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+        if longer is None:
+            some = mixed.select("node").distinct().join(texts.withColumnRenamed("doc_id", "node"), "node")
+            some = some.join(same.where(chosen).select("node", "bands"), "node")
+            longer = landed(some.mapInArrow(_longer, "node long, sig binary, keys binary"), "longer")
+        links = landed(_verified(_mixed_pairs(mixed, longer, best_only), texts), "links")
+        if not links.isEmpty():
+            comp = components(comp.toDF("u", "v").unionByName(links))
+            mixed = landed(_mixed(members.select("band", "node"), comp), "mixed") if best_only else mixed
+    repeated = sketch.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        out = same.join(comp, "node", "left").select("doc_id", F.coalesce("component", "node").alias("class_id"))
+        out = out.unionByName(sketch.where(F.size("bands") <= 0).select("doc_id", F.col("doc_id").alias("class_id")))
+        return out.unionByName(docs.where("doc_id is null").select("doc_id", F.col("doc_id").alias("class_id")))
+    # rows that share a doc_id tie the classes of their texts
+    ties = same.where(~chosen).select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
+    comp = components(comp.toDF("u", "v").unionByName(ties))
+    classes = comp.toDF("doc_id", "class_id")
     return docs.select("doc_id").join(classes, "doc_id", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 

@@ -13,6 +13,14 @@ def _down(pairs: DataFrame) -> DataFrame:
     return pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
+def _are_stars(stars: DataFrame) -> bool:
+    """Whether every node is a centre, or hangs on one centre alone: one partial aggregate, one row back."""
+    ends = stars.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionByName(
+        stars.select(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("parent")))
+    return ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("parent").alias("parent")).where(
+        "child > 1 or child = 1 and parent = 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``edges``: columns ``u, v`` (long). Returns ``node, component`` (least node reachable) of nodes with an edge.
 
@@ -21,17 +29,12 @@ def components(edges: DataFrame) -> DataFrame:
     task: least neighbours come from partial aggregates, and the joins on hot nodes split.
     """
     stars = landed(_down(edges), "edges")
-    while True:
+    while not _are_stars(stars):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("n")).select("u", F.least("n", "u").alias("m"))
-        large = _down(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = _down(large.join(least, "u").select("v", "m").toDF("u", "v").unionByName(least.toDF("u", "v")))
-        new = landed(small, "edges")
-        changed = new.join(stars, ["u", "v"], "left_anti").limit(1).count()
-        same = not changed and not stars.join(new, ["u", "v"], "left_anti").limit(1).count()
-        stars = new
-        if same:
-            break
+        small = large.join(least, "u").select("v", "m").toDF("u", "v").unionByName(least.toDF("u", "v"))
+        stars = landed(_down(small), "edges")
     ends = stars.toDF("node", "component")
     return ends.unionByName(ends.select(F.col("component").alias("node"), "component").distinct())
