@@ -62,8 +62,8 @@ def test_frame_engines_agree(spark):
     metrics = {f"{c}_{m}": M(c, m, 12 * 3600, 4) for c in ("bid_price", "bid_qty")
                for m in ("mean", "var", "std", "min", "max", "open", "close", "sum", "count", "q25", "q75", "median")}
     lags, leads = {"lb": ("bid_price", 5)}, {"ld": ("ask_price", 3)}
-    a = compute_frames(g, ["exchange", "symbol"], 1800, metrics, lags, leads, engine="pandas", span=86400)
-    b = compute_frames(g, ["exchange", "symbol"], 1800, metrics, lags, leads, engine="jvm", span=86400)
+    a = compute_frames(g, ["exchange", "symbol"], 1800, metrics, lags, leads, engine="kernels", span=86400)
+    b = compute_frames(g, ["exchange", "symbol"], 1800, metrics, lags, leads, engine="windows", span=86400)
     cols = list(metrics) + ["lb", "ld"]
     j = a.alias("a").join(b.alias("b"), ["exchange", "symbol", "g"])
     assert j.count() == a.count() == b.count() == g.count()
@@ -81,8 +81,8 @@ def test_frame_engines_agree_with_gaps(spark):
     g = G.resample_last(quotes(spark, SF), 1800, ("bid_price",), fill="none")
     metrics = {f"m_{m}_{k}": M("bid_price", m, 10 * 3600, k) for m in ("mean", "var", "min", "open", "close",
                                                                         "q25", "median", "count") for k in (1, 3)}
-    a = compute_frames(g, ["exchange", "symbol"], 1800, metrics, engine="pandas", span=86400)
-    b = compute_frames(g, ["exchange", "symbol"], 1800, metrics, engine="jvm", span=86400)
+    a = compute_frames(g, ["exchange", "symbol"], 1800, metrics, engine="kernels", span=86400)
+    b = compute_frames(g, ["exchange", "symbol"], 1800, metrics, engine="windows", span=86400)
     j = a.alias("a").join(b.alias("b"), ["exchange", "symbol", "g"])
     cols = list(metrics)
     assert g.where("bid_price is null").count() > 0
@@ -93,12 +93,68 @@ def test_frame_engines_agree_with_gaps(spark):
     assert all(v == 0 for v in nulls.values()), nulls
 
 
-def test_pattern_signatures_engine_independent(spark):
+def test_frames_after_a_spike(spark):
+    """A bad tick leaves no trace once it has left the frame, whatever the chunk (relative 1e-9)."""
+    import numpy as np
+    import pandas as pd
+
+    from helpers import grid_df
+    from tidemark.plans.frames import M, compute_frames
+
+    rng = np.random.default_rng(1)
+    for spike in (1e6, 1e9):
+        v = 1.0 + 1e-3 * rng.standard_normal(2000)
+        v[500] = spike
+        metrics = {m: M("bid_price", m, 60, 1) for m in ("mean", "var", "std", "sum")}
+        for span in (128, 100_000):
+            rows = compute_frames(grid_df(spark, v), ["exchange", "symbol"], 1, metrics, span=span).orderBy("g").collect()
+            for i in (499, 500, 530, 559, 560, 561, 700, 1999):
+                frame = pd.Series(v[max(0, i - 59) : i + 1])
+                want = {"mean": frame.mean(), "var": ((frame - frame.mean()) ** 2).sum() / (len(frame) - 1), "sum": frame.sum()}
+                for m, x in want.items():
+                    assert abs(rows[i][m] - x) <= 1e-9 * abs(x), (spike, span, i, m, rows[i][m], x)
+            assert all(r["var"] is None or r["var"] >= 0 for r in rows)
+
+
+def test_signatures_do_not_depend_on_chunks_or_price_unit(spark):
     from tidemark.operators.patterns import pattern_table
 
     q = quotes(spark, SF)
-    for kind in ("mean", "mean_median"):
-        a = pattern_table(q, kind, 24 * 3600, 6, 2, 8, 0.0, freq=3600, engine="pandas")
-        b = pattern_table(q, kind, 24 * 3600, 6, 2, 8, 0.0, freq=3600, engine="jvm")
-        assert a.count() == b.count() > 0
-        assert a.exceptAll(b).count() == 0
+    small = q.withColumn("bid_price", F.col("bid_price") * 2.0**-30).withColumn("ask_price", F.col("ask_price") * 2.0**-30)
+    for kind in ("mean", "median", "mean_median"):
+        cols = ["exchange", "symbol", "g", "pattern"]
+        a = pattern_table(q, kind, 24 * 3600, 6, 2, 8, 0.0, freq=3600).select(cols)
+        b = pattern_table(q, kind, 24 * 3600, 6, 2, 8, 0.0, freq=3600, span=30 * 3600).select(cols)
+        c = pattern_table(small, kind, 24 * 3600, 6, 2, 8, 0.0, freq=3600).select(cols)
+        assert a.count() == b.count() == c.count() > 0
+        assert a.exceptAll(b).count() == 0 and a.exceptAll(c).count() == 0
+
+
+def test_signature_by_definition():
+    """Against exact fractions, with ties and constant stretches."""
+    from fractions import Fraction
+
+    import numpy as np
+
+    from tidemark.plans.sliding import signatures
+
+    rng = np.random.default_rng(2)
+    v = np.round(rng.integers(0, 4, 300) * 0.1 + 0.7, 2)
+    v[40:90] = 0.1
+    v[120] = np.nan
+    g = np.arange(300)
+    for kind in ("mean", "median", "mean_median"):
+        got = signatures(g, v, 12, 1, [1, 3, 7], kind, 12)
+        for i in range(300):
+            frame = [Fraction(x) for x in v[max(0, i - 11) : i + 1] if x == x]
+            if len(frame) < 12:
+                assert got[i] is None
+                continue
+            mean, s = sum(frame) / 12, sorted(frame)
+            median = (s[5] + s[6]) / 2
+            want = ""
+            for k in (1, 3, 7):
+                x = v[i - k + 1]
+                a, b = x == x and Fraction(x) > mean, x == x and Fraction(x) > median
+                want += format({"mean": a * 8 + 7, "median": b * 8 + 7, "mean_median": a * 8 + b * 4 + 3}[kind], "x")
+            assert got[i] == want

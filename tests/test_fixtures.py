@@ -3,6 +3,7 @@
 import math
 
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from helpers import grid_df, quotes_df, ts
@@ -14,7 +15,7 @@ from tidemark.operators import rolling as W
 from tidemark.operators.labels import profit_label, profit_pct, profit_sign
 from tidemark.operators.ml.prep import minmax_scale
 from tidemark.operators.ml.select import chi2_scores
-from tidemark.operators.patterns import signature
+from tidemark.plans.sliding import signatures
 from tidemark.operators.portfolio import fee_returns, portfolio_report
 from tidemark.plans import datasets as B
 from tidemark.sources.scans import scan_points
@@ -114,10 +115,8 @@ def test_open_interval(spark):
 
 
 def test_pattern_mean(spark):
-    g = grid_df(spark, [1, 2, 6])
-    w = W.frame(3)
-    d = W.framed(g, {"p": signature("mean", [1, 2], w)}, lookback=3)
-    assert col(d, "p")[-1] == "f7"
+    v = [1.0, 2.0, 6.0]
+    assert signatures(np.arange(3), np.array(v), 3, 1, [1, 2], "mean", 3)[-1] == "f7"
 
 
 def test_pattern_wide(spark):

@@ -86,10 +86,16 @@ def test_pattern_signal_stream_equals_batch(spark):
     want = R.pattern_signal(g, buy, size, offsets, freq=3600)
     src = spark.readStream.schema("exchange string, symbol string, g long, time timestamp, bid_price double, "
                                   "ask_price double").option("maxFilesPerTrigger", 2).parquet(path)
-    got = _run_stream(spark, R.pattern_signal_stream(src, some, size, offsets), "sig_stream")
+    rows = [tuple(r) for r in buy.collect()]
+    got = _run_stream(spark, R.pattern_signal_stream(src, rows, size, offsets), "sig_stream")
     assert got.count() == want.count() > 0
     assert got.exceptAll(want.select(*got.columns)).count() == 0
     assert got.where("signal = 1").count() > 0
+    # the buy set of another instrument says nothing about this one
+    other = _run_stream(spark, R.pattern_signal_stream(src, [("SIM", "other", p) for p in some], size, offsets), "sig_other")
+    assert other.count() == got.count() and other.where("signal = 1").count() == 0
+    joined = _run_stream(spark, R.pattern_stream(src, buy, size, offsets), "sig_joined")
+    assert joined.exceptAll(got.select(*joined.columns)).count() == 0 and joined.count() == got.count()
 
 
 def test_streaming_candles_and_dedupe(spark):

@@ -9,70 +9,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import bit, hex_from_bits
 from tidemark.operators.grid import resample_last
-from tidemark.operators.rolling import lag_rows
 from tidemark.plans.chunking import CHUNK, auto_span, own_rows, with_halo
 from tidemark.schema import KEYS
 
 KINDS = ("mean", "median", "mean_median")
 
-# Frame statistics are snapped to this many decimals before ``x > stat``: on a
-# constant stretch x equals the exact mean, and the sign of the float error of
-# a mean (which differs between engines and summation orders) must not decide
-# the bit. Only differences below 5e-10 are affected.
-STAT_DECIMALS = 9
-
-
-def snap(c: Column) -> Column:
-    return F.round(c, STAT_DECIMALS)
-
-
 def sample_offsets(nbr_samples: int, step: int) -> list[int]:
     """``x[-1], x[-step], ..., x[-n*step]`` as positive distances from the end."""
     return [1] + [(i + 1) * int(step) for i in range(int(nbr_samples))]
 
 
-def _x(c: str, k: int, keys: Sequence[str]) -> Column:
-    """``x[-k]`` of a frame ending at the current row = the value k-1 rows back."""
-    return F.col(c) if k == 1 else lag_rows(c, k - 1, keys)
-
-
-def signature(kind: str, offsets: Sequence[int], w: Window, c: str = "bid_price",
-              keys: Sequence[str] = KEYS) -> Column:
-    """T2 (mean), T3 (mean+median), T4 (median): nibble per offset — mean: ``{x>mean}111``; median: ``{x>median}111``;
-    mean_median: ``{x>mean}{x>median}11``."""
-    if kind not in KINDS:
-        raise ValueError(f"kind must be one of {KINDS}")
-    mean = snap(F.avg(c).over(w))
-    median = snap(F.percentile(F.col(c), F.lit(0.5)).over(w))
-    one = F.lit(1)
-    bits: list[Column] = []
-    for k in offsets:
-        x = _x(c, k, keys)
-        if kind == "mean":
-            bits += [bit(x > mean), one, one, one]
-        elif kind == "median":
-            bits += [bit(x > median), one, one, one]
-        else:
-            bits += [bit(x > mean), bit(x > median), one, one]
-    return hex_from_bits(bits)
-
-
 def pattern_table(quotes: DataFrame, kind: str = "mean", window: int = 3600, shift: int = 600, step: int = 60,
                   nbr_samples: int = 30, pct: float = 0.0, freq: int = 1, keys: Sequence[str] = KEYS,
-                  min_periods: int | None = None, engine: str = "auto") -> DataFrame:
+                  min_periods: int | None = None, span: int | None = None) -> DataFrame:
     """Grid -> signature over a full frame -> look-ahead label L1 -> dropna.
 
-    The frame mean / median, the sampled lags and the label's lead come from
-    the frame planner (Spark windows or pandas kernels by frame length);
-    the bits and their hex string are column expressions.
+    The signature (T2-T4, ``tidemark.plans.sliding.signatures``) and the label's
+    lead come from the frame planner; only the statistic that the kind reads is computed.
     Output: ``*keys, g, time, bid_price, ask_price, pattern, profit``.
     """
-    from tidemark.plans.frames import M, compute_frames
+    from tidemark.plans.frames import Signature, compute_frames
 
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")
@@ -80,23 +41,10 @@ def pattern_table(quotes: DataFrame, kind: str = "mean", window: int = 3600, shi
     offs = sample_offsets(nbr_samples, step)
     mp = int(min_periods if min_periods is not None else window // freq)
     grid = resample_last(quotes, freq, ("bid_price", "ask_price"), keys)
-    metrics = {"_mean": M("bid_price", "mean", window, mp), "_med": M("bid_price", "median", window, mp)}
-    lags = {f"_x{k}": ("bid_price", k - 1) for k in sorted(set(offs)) if k > 1}
-    d = compute_frames(grid, keys, freq, metrics, lags, {"_lead": ("bid_price", shift)}, engine=engine)
-    one = F.lit(1)
-    bits: list[Column] = []
-    for k in offs:
-        x = F.col("bid_price") if k == 1 else F.col(f"_x{k}")
-        above_mean, above_med = bit(x > snap(F.col("_mean"))), bit(x > snap(F.col("_med")))
-        if kind == "mean":
-            bits += [above_mean, one, one, one]
-        elif kind == "median":
-            bits += [above_med, one, one, one]
-        else:
-            bits += [above_mean, above_med, one, one]
+    sig = Signature("bid_price", kind, tuple(offs), window, mp)
+    d = compute_frames(grid, keys, freq, leads={"_lead": ("bid_price", shift)}, signatures={"pattern": sig}, span=span)
     target = F.col("ask_price") + F.col("ask_price") * F.lit(float(pct))
-    d = d.select(*keys, "g", "time", "bid_price", "ask_price",
-                 F.when(F.col("_mean").isNotNull(), hex_from_bits(bits)).alias("pattern"),
+    d = d.select(*keys, "g", "time", "bid_price", "ask_price", "pattern",
                  F.when(F.col("_lead") - target > F.lit(0), F.lit(1)).otherwise(F.lit(0)).alias("profit"))
     return d.na.drop(subset=["bid_price", "ask_price", "pattern"])
 

@@ -98,7 +98,7 @@ def rolling(
     keys: Sequence[str] = KEYS,
     rows: bool = False,
     span: int | None = None,
-    engine: str = "auto",
+    engine: str = "kernels",
 ) -> DataFrame:
     """Rolling metrics of each column, named ``<col>_<metric>``.
 

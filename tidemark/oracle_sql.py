@@ -392,14 +392,20 @@ def _hexchar(nib: str) -> str:
     return f"substr('0123456789abcdef', CAST(({nib}) AS INTEGER) + 1, 1)"
 
 
+# Doubles times 2^60 are whole numbers for the prices at hand, so sums and comparisons are exact.
+EXACT = "CAST({} * 1152921504606846976.0 AS HUGEINT)"
+
+
 def _signature(kind: str, window: int) -> str:
+    """``x > mean`` as count * x > sum and ``x > median`` as 2 x > lower + upper middle value."""
     w = frame(window)
-    mean = f"round(avg(bid_price) OVER {w}, 9)"
-    med = f"round(quantile_cont(bid_price, 0.5) OVER {w}, 9)"
+    k = window // FREQ
+    mid = [f"list_sort(list({EXACT.format('bid_price')}) OVER {w})[{i}]" for i in ((k + 1) // 2, k // 2 + 1)]
     chars = []
     for o in _offsets():
-        a = f"(CASE WHEN {_x(o)} > {mean} THEN 1 ELSE 0 END)"
-        m = f"(CASE WHEN {_x(o)} > {med} THEN 1 ELSE 0 END)"
+        x = EXACT.format(f"({_x(o)})")
+        a = f"(CASE WHEN {x} * {k} > sum({EXACT.format('bid_price')}) OVER {w} THEN 1 ELSE 0 END)"
+        m = f"(CASE WHEN {x} * 2 > {mid[0]} + {mid[1]} THEN 1 ELSE 0 END)"
         if kind == "mean":
             nib = f"{a} * 8 + 7"
         elif kind == "median":
@@ -407,7 +413,6 @@ def _signature(kind: str, window: int) -> str:
         else:
             nib = f"{a} * 8 + {m} * 4 + 3"
         chars.append(_hexchar(nib))
-    k = window // FREQ
     return f"CASE WHEN count(bid_price) OVER {w} >= {k} THEN ltrim(concat({', '.join(chars)}), '0') END"
 
 
@@ -826,10 +831,10 @@ SELECT exchange, symbol, seq, {r6(QALL)}, strftime(time, '%Y%m%d') AS date, epoc
 def sql_stream_signal() -> str:
     return _pattern_table_sql("mean") + f""",
 {_score_sql()},
-buy AS (SELECT DISTINCT pattern FROM sc WHERE score = 1.0)
+buy AS (SELECT DISTINCT exchange, symbol, pattern FROM sc WHERE score = 1.0)
 SELECT pt.exchange, pt.symbol, pt.g * 1000000 AS time_us, pt.pattern,
   CASE WHEN buy.pattern IS NULL THEN 0 ELSE 1 END AS signal
-FROM pt LEFT JOIN buy ON pt.pattern = buy.pattern
+FROM pt LEFT JOIN buy ON pt.exchange = buy.exchange AND pt.symbol = buy.symbol AND pt.pattern = buy.pattern
 WHERE pt.pattern IS NOT NULL"""
 
 

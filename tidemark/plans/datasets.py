@@ -72,7 +72,7 @@ def _apply(grid, keys, freq, metrics, lags, leads, post, engine):
 
 
 def ohlc(quotes: DataFrame, window: int = 3600, shift: int = 600, pct: float = 0.001, freq: int = 1,
-         keys: Sequence[str] = KEYS, min_rows: int | None = None, engine: str = "auto") -> DataFrame:
+         keys: Sequence[str] = KEYS, min_rows: int | None = None, engine: str = "kernels") -> DataFrame:
     """Rolling open/close/low/high/mean/var/coeff of bid + profit label."""
     keys = list(keys)
     guard = min_rows if min_rows is not None else window // freq + shift
@@ -90,7 +90,7 @@ def ohlc(quotes: DataFrame, window: int = 3600, shift: int = 600, pct: float = 0
 
 def quantile_coefficient(quotes: DataFrame, window: int = 3600, shift: int = 600, pct: float = 0.001,
                          freq: int = 1, keys: Sequence[str] = KEYS, min_rows: int | None = None,
-                         engine: str = "auto") -> DataFrame:
+                         engine: str = "kernels") -> DataFrame:
     """Bid, ask, rolling mean/var/quartile coefficient of bid, profit."""
     keys = list(keys)
     guard = min_rows if min_rows is not None else window // freq + shift
@@ -104,7 +104,7 @@ def quantile_coefficient(quotes: DataFrame, window: int = 3600, shift: int = 600
 
 
 def all_fields(quotes: DataFrame, shift: int = 600, window: int = 7200, pct: float = 0.001, freq: int = 1,
-               keys: Sequence[str] = KEYS, min_rows: int = 3600, engine: str = "auto") -> DataFrame:
+               keys: Sequence[str] = KEYS, min_rows: int = 3600, engine: str = "kernels") -> DataFrame:
     """B1: rolling means of the four quote columns, value - mean (W8), profit."""
     keys = list(keys)
     cols = list(QUOTE_COLUMNS)
@@ -119,7 +119,7 @@ def all_fields(quotes: DataFrame, shift: int = 600, window: int = 7200, pct: flo
 
 def cross_moving_average(quotes: DataFrame, max_window: int = 3600, min_window: int = 1200, shift: int = 1200,
                          pct: float = 0.001, freq: int = 1, keys: Sequence[str] = KEYS,
-                         min_rows: int | None = None, engine: str = "auto") -> DataFrame:
+                         min_rows: int | None = None, engine: str = "kernels") -> DataFrame:
     """B2: signal = fast mean - slow mean (W9), profit."""
     keys = list(keys)
     guard = min_rows if min_rows is not None else max_window // freq + shift
@@ -132,7 +132,7 @@ def cross_moving_average(quotes: DataFrame, max_window: int = 3600, min_window:
 
 def moving_average_candles(quotes: DataFrame, window: int = 3600, shift: int = 1200, candle: int = 300,
                            min_periods: int | None = None, freq: int = 1, keys: Sequence[str] = KEYS,
-                           min_rows: int | None = None, engine: str = "auto") -> DataFrame:
+                           min_rows: int | None = None, engine: str = "kernels") -> DataFrame:
     """signal = rolling mean - x[-candle] (the value candle-1 rows back), profit (pct 0).
 
     NULL until the frame holds ``min_periods`` values (default: the window in rows).
@@ -156,7 +156,7 @@ PATTERN_OFFSETS = (1, 300, 600, 900, 1200, 1500, 1800, 2100, 2300)
 def moving_average_pattern(quotes: DataFrame, window: int = 3600, shift: int = 1200,
                            offsets: Sequence[int] = PATTERN_OFFSETS, min_periods: int | None = None,
                            freq: int = 1, keys: Sequence[str] = KEYS, min_rows: int | None = None,
-                           engine: str = "auto") -> DataFrame:
+                           engine: str = "kernels") -> DataFrame:
     """8 comparison bits x[-o_i] > x[-o_(i+1)] as one byte value 0-255 (signal), profit (pct 0).
 
     ``x[-k]`` of the frame is the value k-1 rows back. The label-encoding of
@@ -183,7 +183,7 @@ def moving_average_pattern(quotes: DataFrame, window: int = 3600, shift: int = 1
 
 
 def moving_average_shift(quotes: DataFrame, window: int = 3600, shift: int = 1200, freq: int = 1,
-                         keys: Sequence[str] = KEYS, min_rows: int | None = None, engine: str = "auto") -> DataFrame:
+                         keys: Sequence[str] = KEYS, min_rows: int | None = None, engine: str = "kernels") -> DataFrame:
     """open/close = shift(+/-shift) (W10), bid rolling mavg/var/coeff, lagged pct changes (W11), close label (L4)."""
     keys = list(keys)
     guard = min_rows if min_rows is not None else window // freq + shift
@@ -208,7 +208,7 @@ def moving_average_shift(quotes: DataFrame, window: int = 3600, shift: int = 120
 
 
 def return_candles(quotes: DataFrame, step: int = 1200, n_candles: int = 8, freq: int = 1,
-                   keys: Sequence[str] = KEYS, min_rows: int = 9600, engine: str = "auto") -> DataFrame:
+                   keys: Sequence[str] = KEYS, min_rows: int = 9600, engine: str = "kernels") -> DataFrame:
     """Candle returns at ``step``-row spacing and next_profit (tail kept as 0).
 
     candle_1 = (bid - bid[-s]) / bid[-s]; candle_k = (bid[-(k-1)s] - ask[-ks]) / ask[-ks].
@@ -229,7 +229,7 @@ def return_candles(quotes: DataFrame, step: int = 1200, n_candles: int = 8, freq
         post[f"bid_price_candle_{k}"] = safe_div(F.col(f"_b{k - 1}") - F.col(f"_a{k}"), F.col(f"_a{k}"))
     ret = safe_div(F.col("_lead") - F.col("ask_price"), F.col("ask_price"))
     post["next_profit"] = F.when(ret > F.lit(0), F.lit(1)).otherwise(F.lit(0))
-    d = _apply(grid, keys, freq, {}, lags, {"_lead": ("bid_price", step)}, post, "jvm" if engine == "auto" else engine)
+    d = _apply(grid, keys, freq, {}, lags, {"_lead": ("bid_price", step)}, post, "windows")
     return _finish(d, keys, ["bid_price", "ask_price", *names, "next_profit"])
 
 
@@ -261,7 +261,7 @@ def _rolling_features(grid: DataFrame, features: Sequence[str], window: int, fre
 
 def rolling_all_fields(quotes: DataFrame, window: int = 3600, shift: int = 600, profit_pct_: float = 0.001,
                        min_periods: int = 600, freq: int = 1, keys: Sequence[str] = KEYS,
-                       rows: bool = False, engine: str = "auto") -> DataFrame:
+                       rows: bool = False, engine: str = "kernels") -> DataFrame:
     """4 columns x 7 rolling metrics (X) plus profit_pct / profit_sign (y), nulls dropped."""
     keys = list(keys)
     cols = list(QUOTE_COLUMNS)
@@ -273,7 +273,7 @@ def rolling_all_fields(quotes: DataFrame, window: int = 3600, shift: int = 600,
 
 def rolling_data(quotes: DataFrame, features: Sequence[str], window: int = 3600, target: bool = True,
                  shift: int = 600, min_periods: int = 600, freq: int = 1, keys: Sequence[str] = KEYS,
-                 rows: bool = False, engine: str = "auto") -> DataFrame:
+                 rows: bool = False, engine: str = "kernels") -> DataFrame:
     """The requested ``<col>.<metric>`` features (bare names pass through), optional target.
 
     The target always uses a 0.1% profit margin, as the reference does.

@@ -1,20 +1,11 @@
 """One planner for all frame work on the dense grid: rolling metrics, lags, leads.
 
-Builders declare *what* they need; the planner picks *how*:
-
-* ``jvm``: Spark window functions per (instrument, chunk) with a halo.
-  Cheap for short frames, but Spark re-aggregates every frame row for
-  every output row, so the cost is O(rows x window x functions).
-* ``pandas``: the same Spark partitioning — rows copied into halo chunks,
-  shuffled by (instrument, chunk) — then ``applyInPandas`` runs pandas
-  rolling kernels (online mean/var, monotone-deque min/max, skip-list
-  quantiles: O(rows x log window)) on each chunk. Used for long frames,
-  e.g. the reference default of 3600 one-second rows.
-
-``auto`` estimates the Spark-window cost as frame rows x frame functions
-and switches to pandas at ``PANDAS_MIN_COST`` (measured on the bench grid:
-pandas already wins for 8 metrics over 12-row frames). Both engines give
-the same values (tested against each other and against DuckDB).
+Builders declare *what* they need; rows are copied into halo chunks, shuffled
+by (instrument, chunk), and ``applyInPandas`` runs numpy kernels on each chunk:
+pairwise-merged moments and sums (``tidemark.plans.sliding``), monotone-deque
+min / max and skip-list quantiles, O(rows x log window). This is the one engine
+for frames of any length. ``engine="windows"`` spells the same frames as Spark
+window functions, O(rows x window); the tests hold the kernels against it.
 
 Metric names: mean (W1), var (W2, ddof 1), std, min / max (W5), open /
 close (W6), sum, count, q25, q75, median (W3). A metric of a frame with fewer than ``min_periods`` non-null
@@ -33,8 +24,6 @@ from pyspark.sql import types as T
 from tidemark.functions import seconds_to_ts
 from tidemark.plans.chunking import CHUNK, OWN, auto_span, own_rows, with_halo
 
-PANDAS_MIN_COST = 96
-
 QUANTILES = {"q25": 0.25, "q75": 0.75, "median": 0.5}
 
 
@@ -48,18 +37,23 @@ class M:
     min_periods: int = 1
 
 
-def choose_engine(engine: str, metrics: Mapping[str, M], freq: int) -> str:
-    if engine != "auto":
-        return engine
-    cost = sum(max(m.window // max(int(freq), 1), 1) for m in metrics.values())
-    return "pandas" if cost >= PANDAS_MIN_COST else "jvm"
+@dataclass(frozen=True)
+class Signature:
+    """The pattern signature (T2-T4) of ``col`` over the time frame (t - window, t]."""
+
+    col: str
+    kind: str
+    offsets: tuple[int, ...]
+    window: int
+    min_periods: int = 1
 
 
 def compute_frames(grid: DataFrame, keys: Sequence[str], freq: int, metrics: Mapping[str, M] | None = None,
                    lags: Mapping[str, tuple[str, int]] | None = None,
                    leads: Mapping[str, tuple[str, int]] | None = None,
-                   engine: str = "auto", span: int | None = None) -> DataFrame:
-    """Grid columns + one column per metric / lag (k rows back) / lead (k rows ahead).
+                   signatures: Mapping[str, Signature] | None = None,
+                   engine: str = "kernels", span: int | None = None) -> DataFrame:
+    """Grid columns + one column per metric / lag (k rows back) / lead (k rows ahead) / signature.
 
     ``grid`` must be dense per key (one row per ``freq`` step), as G1 gives.
     """
@@ -68,20 +62,21 @@ def compute_frames(grid: DataFrame, keys: Sequence[str], freq: int, metrics: Map
     leads = dict(leads or {})
     keys = list(keys)
     f = int(freq)
-    lookback = max([m.window - 1 for m in metrics.values()] + [k * f for _, k in lags.values()] + [0])
+    signatures = dict(signatures or {})
+    lookback = max([m.window - 1 for m in [*metrics.values(), *signatures.values()]] + [k * f for _, k in lags.values()]
+                   + [k * f for x in signatures.values() for k in x.offsets] + [0])
     lookahead = max([k * f for _, k in leads.values()] + [0])
     span = int(span or auto_span(f, (lookback + lookahead) // f + 1))
-    eng = choose_engine(engine, metrics, f)
-    if eng == "jvm":
-        return _jvm(grid, keys, f, metrics, lags, leads, lookback, lookahead, span)
-    if eng == "pandas":
-        return _pandas(grid, keys, f, metrics, lags, leads, lookback, lookahead, span)
-    raise ValueError(f"engine must be auto, jvm or pandas, got {engine!r}")
+    if engine == "kernels":
+        return _kernels(grid, keys, f, metrics, lags, leads, signatures, lookback, lookahead, span)
+    if engine == "windows" and not signatures:
+        return _windows(grid, keys, f, metrics, lags, leads, lookback, lookahead, span)
+    raise ValueError(f"engine must be kernels, or windows without signatures, got {engine!r}")
 
 
-# --- JVM engine ---------------------------------------------------------------------------------
+# --- Spark windows ---------------------------------------------------------------------------------
 
-def _jvm(grid, keys, f, metrics, lags, leads, lookback, lookahead, span) -> DataFrame:
+def _windows(grid, keys, f, metrics, lags, leads, lookback, lookahead, span) -> DataFrame:
     from tidemark.operators.rolling import frame, lag_rows, lead_rows
 
     win: dict[str, Column] = {}
@@ -131,76 +126,83 @@ def _jvm(grid, keys, f, metrics, lags, leads, lookback, lookahead, span) -> Data
     return d.drop(*[n for n in win if n.startswith(("_q_", "_n_", "_raw_"))])
 
 
-# --- pandas engine ------------------------------------------------------------------------------
+# --- kernels ------------------------------------------------------------------------------
 
-def _pandas(grid, keys, f, metrics, lags, leads, lookback, lookahead, span) -> DataFrame:
+def _kernels(grid, keys, f, metrics, lags, leads, signatures, lookback, lookahead, span) -> DataFrame:
     base_cols = [c for c in grid.columns if c not in (*keys, "g", "time")]
     d = with_halo(grid.drop("time"), "g", span, before=lookback, after=lookahead)
     out_names = list(metrics) + list(lags) + list(leads)
     fields = [T.StructField(k, grid.schema[k].dataType) for k in keys] + [T.StructField("g", T.LongType())]
     fields += [T.StructField(c, grid.schema[c].dataType) for c in base_cols]
     fields += [T.StructField(n, T.DoubleType()) for n in out_names]
+    fields += [T.StructField(n, T.StringType()) for n in signatures]
     schema = T.StructType(fields)
     specs = [(n, m.col, m.metric, int(m.window), int(m.min_periods)) for n, m in metrics.items()]
     lag_specs = [(n, c, int(k)) for n, (c, k) in lags.items()]
     lead_specs = [(n, c, -int(k)) for n, (c, k) in leads.items()]
     cols = [fl.name for fl in fields]
+    patterns = [(n, x.col, int(x.window), tuple(x.offsets), x.kind, int(x.min_periods)) for n, x in signatures.items()]
 
     def run(pdf):
         import numpy as np
         import pandas as pd
 
+        from tidemark.plans import sliding
+
         pdf = pdf.sort_values("g", kind="stable").reset_index(drop=True)
         g = pdf["g"].to_numpy(dtype="int64")
         idx = pd.to_datetime(g, unit="s")
-        series: dict[str, pd.Series] = {}
-        rolls: dict[tuple, object] = {}
-        counts: dict[tuple, np.ndarray] = {}
+        values: dict[str, np.ndarray] = {}
+        done: dict[tuple, tuple] = {}
 
         def ser(c):
-            if c not in series:
-                series[c] = pd.Series(pdf[c].to_numpy(dtype="float64", na_value=np.nan), index=idx)
-            return series[c]
+            if c not in values:
+                values[c] = pdf[c].to_numpy(dtype="float64", na_value=np.nan)
+            return values[c]
+
+        def once(what, c, window):
+            key = (what, c, window)
+            if key not in done:
+                start = sliding.frame_starts(g, window)
+                if what == "rolling":
+                    done[key] = pd.Series(ser(c), index=idx).rolling(f"{window}s", min_periods=1)
+                else:
+                    done[key] = (sliding.moments if what == "moments" else sliding.sums)(ser(c), start)
+            return done[key]
 
         out = {}
         for name, c, metric, window, mp in specs:
-            s = ser(c)
-            key = (c, window)
-            if key not in rolls:
-                rolls[key] = s.rolling(f"{window}s", min_periods=1)
-                counts[key] = s.notna().astype("float64").rolling(f"{window}s", min_periods=1).sum().to_numpy()
-            r = rolls[key]
-            n = counts[key]
+            n, mean, squares = once("moments", c, window)
             if metric == "mean":
-                v = r.mean().to_numpy()
-            elif metric == "var":
-                v = r.var(ddof=1).to_numpy()
-            elif metric == "std":
-                v = r.std(ddof=1).to_numpy()
-            elif metric == "min":
-                v = r.min().to_numpy()
-            elif metric == "max":
-                v = r.max().to_numpy()
+                v = mean
+            elif metric in ("var", "std"):
+                v = np.where(n > 1, squares / np.maximum(n - 1, 1), np.nan)
+                v = np.sqrt(v) if metric == "std" else v
             elif metric == "sum":
-                v = r.sum().to_numpy()
+                v = once("sums", c, window)[0]
             elif metric == "count":
                 v = n.copy()
+            elif metric == "min":
+                v = once("rolling", c, window).min().to_numpy()
+            elif metric == "max":
+                v = once("rolling", c, window).max().to_numpy()
             elif metric in QUANTILES:
-                v = r.quantile(QUANTILES[metric], interpolation="linear").to_numpy()
+                v = once("rolling", c, window).quantile(QUANTILES[metric], interpolation="linear").to_numpy()
             elif metric == "open":
-                start = np.searchsorted(g, g - window, side="right")
-                v = s.to_numpy()[start]
+                v = ser(c)[sliding.frame_starts(g, window)]
             elif metric == "close":
-                v = s.to_numpy().copy()
+                v = ser(c).copy()
             else:
                 raise ValueError(metric)
             v = np.asarray(v, dtype="float64")
             if metric != "count":
                 v = np.where(n >= max(mp, 1), v, np.nan)
             out[name] = v
+        for name, c, window, offsets, kind, mp in patterns:
+            out[name] = sliding.signatures(g, ser(c), window, f, offsets, kind, mp)
         for name, c, k in lag_specs + lead_specs:
             # exact time shift on the grid: the row at g - k*freq (NaN when absent)
-            vals = ser(c).to_numpy()
+            vals = ser(c)
             target = g - k * f
             pos = np.searchsorted(g, target)
             ok = (pos < len(g)) & (g[np.minimum(pos, len(g) - 1)] == target)
@@ -212,4 +214,4 @@ def _pandas(grid, keys, f, metrics, lags, leads, lookback, lookahead, span) -> D
     res = d.groupBy(*keys, CHUNK).applyInPandas(run, schema)
     # pandas NaN -> SQL NULL, and the timestamp back from g
     outs = [F.when(F.isnan(F.col(n)), F.lit(None)).otherwise(F.col(n)).alias(n) for n in out_names]
-    return res.select(*keys, "g", seconds_to_ts("g").alias("time"), *base_cols, *outs)
+    return res.select(*keys, "g", seconds_to_ts("g").alias("time"), *base_cols, *outs, *signatures)

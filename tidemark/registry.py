@@ -573,16 +573,15 @@ def q_stream_predict(spark, sf):
 
 def q_stream_signal(spark, sf):
     """R2: gridded quotes landed as files, streamed through the online signature state."""
-    from tidemark.streaming.state import pattern_signal_stream
+    from tidemark.streaming.state import pattern_stream
 
     g = G.resample_last(_q(spark, sf), P["freq"], ("bid_price", "ask_price"))
     d = _stream_dir(spark, "grid")
     g.write.parquet(f"{d}/grid")
     offs = T_.sample_offsets(P["pat_samples"], P["pat_step"])
-    scores = T_.pattern_score(_patterns(spark, sf, "mean"), P["pat_threshold"])
-    buy = [r["pattern"] for r in T_.buy_patterns(scores).select("pattern").distinct().collect()]
+    buy = T_.buy_patterns(T_.pattern_score(_patterns(spark, sf, "mean"), P["pat_threshold"]))
     src = spark.readStream.schema(g.schema).parquet(f"{d}/grid")
-    return _run_stream(spark, pattern_signal_stream(src, buy, P["window"] // P["freq"], offs), "stream_signal")
+    return _run_stream(spark, pattern_stream(src, buy, P["window"] // P["freq"], offs), "stream_signal")
 
 
 def q_replay(spark, sf):

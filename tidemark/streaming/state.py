@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions import epoch_micros
-from tidemark.operators.patterns import STAT_DECIMALS
 from tidemark.plans.chunking import CHUNK, with_halo
 from tidemark.schema import KEYS
 
@@ -106,102 +105,66 @@ SIGNAL_OUT = "exchange string, symbol string, time_us long, pattern string, sign
 SIGNAL_STATE = "values array<double>"
 
 
-def _mean_seq(values: list[float]) -> float:
-    """Mean with plain left-to-right addition, as Spark's ``avg`` over a frame
-    (Python's ``sum`` of floats is compensated since 3.12 and can differ by an ulp)."""
-    s = 0.0
-    for v in values:
-        s += v
-    return s / len(values)
-
-
-def _percentile_linear(values: list[float], p: float) -> float:
-    """Spark ``percentile`` (linear interpolation, same weights arithmetic)."""
-    xs = sorted(values)
-    pos = p * (len(xs) - 1)
-    lo, hi = int(pos // 1), int(-(-pos // 1))
-    if lo == hi or xs[lo] == xs[hi]:
-        return xs[lo]
-    return (hi - pos) * xs[lo] + (pos - lo) * xs[hi]
-
-
-def _signature_py(values: list[float], offsets: Sequence[int], kind: str) -> str:
-    """Same signature as ``patterns.signature`` for one full buffer (mean / median / mean_median)."""
-    mean = round(_mean_seq(values), STAT_DECIMALS)
-    med = round(_percentile_linear(values, 0.5), STAT_DECIMALS)
-    bits = []
-    for k in offsets:
-        x = values[-k]
-        if kind == "mean":
-            bits += [int(x > mean), 1, 1, 1]
-        elif kind == "median":
-            bits += [int(x > med), 1, 1, 1]
-        else:
-            bits += [int(x > mean), int(x > med), 1, 1]
-    return format(int("".join(map(str, bits)), 2), "x")
-
-
 def _signal_fn(size: int, offsets: Sequence[int], kind: str, buy: frozenset):
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        vals = list(state.get[0]) if state.exists else []
-        out = []
+        import numpy as np
+
+        from tidemark.plans import sliding
+
+        held = np.array(state.get[0] if state.exists else [], dtype="float64")
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("time_us", kind="stable")
-        for t, v in zip(pdf["time_us"].tolist(), pdf["bid_price"].tolist()):
-            vals.append(float(v))
-            if len(vals) > size:
-                vals = vals[-size:]
-            if len(vals) == size:  # nothing before the buffer is full
-                p = _signature_py(vals, offsets, kind)
-                out.append((key[0], key[1], t, p, int(p in buy)))
-        state.update((vals,))
-        if out:
-            yield pd.DataFrame(out, columns=["exchange", "symbol", "time_us", "pattern", "signal"])
+        vals = np.concatenate([held, pdf["bid_price"].to_numpy(dtype="float64", na_value=np.nan)])
+        # rows are steps here: frames of ``size`` rows, nothing before the buffer is full
+        found = sliding.signatures(np.arange(len(vals)), vals, size, 1, offsets, kind, 1)[len(held):]
+        full = np.arange(len(held), len(vals)) >= size - 1
+        state.update((vals[-size:].tolist(),))
+        if full.any():
+            rows = pdf[full]
+            hit = [(key[0], key[1], p) in buy for p in found[full]]
+            yield pd.DataFrame({"exchange": key[0], "symbol": key[1], "time_us": rows["time_us"].to_numpy(),
+                                "pattern": found[full], "signal": np.array(hit, dtype="int32")})
     return fn
 
 
-def pattern_signal_stream(grid: DataFrame, buy_patterns: Sequence[str], size: int, offsets: Sequence[int],
+def pattern_signal_stream(grid: DataFrame, buy: Sequence[tuple[str, str, str]], size: int, offsets: Sequence[int],
                           kind: str = "mean") -> DataFrame:
     """R2 (stream): on gridded rows (one per step, in order), once ``size`` values are buffered,
-    signal = 1 if the buffer's signature is in the buy set.
+    signal = 1 if the buffer's signature is in the buy set of its instrument.
 
-    The buy set is a small, bounded list (patterns with score 1) shipped
-    with the function, like a broadcast variable.
+    ``buy``: (exchange, symbol, pattern) rows, a pattern bought for one
+    instrument says nothing about another. For buy sets too large to ship
+    with the function use ``pattern_stream`` and join the set to its output.
     """
     d = grid.select("exchange", "symbol", epoch_micros("time").alias("time_us"), "bid_price")
     return d.groupBy("exchange", "symbol").applyInPandasWithState(
-        _signal_fn(int(size), list(offsets), kind, frozenset(buy_patterns)), SIGNAL_OUT, SIGNAL_STATE, "append",
+        _signal_fn(int(size), list(offsets), kind, frozenset(map(tuple, buy))), SIGNAL_OUT, SIGNAL_STATE, "append",
         GroupStateTimeout.NoTimeout)
 
 
+def pattern_stream(grid: DataFrame, buy: DataFrame, size: int, offsets: Sequence[int], kind: str = "mean",
+                   keys: Sequence[str] = KEYS) -> DataFrame:
+    """R2 (stream): as ``pattern_signal_stream`` with the buy set as a static table: a stream-static
+    left join on (instrument, pattern), so the set never passes through the driver."""
+    found = pattern_signal_stream(grid, [], size, offsets, kind).drop("signal")
+    b = buy.select(*keys, "pattern").distinct().withColumn("_hit", F.lit(1))
+    return found.join(b, on=[*keys, "pattern"], how="left").select(
+        *keys, "time_us", "pattern", F.coalesce("_hit", F.lit(0)).cast("int").alias("signal"))
+
+
 def pattern_signal(grid: DataFrame, buy: DataFrame, size: int, offsets: Sequence[int], kind: str = "mean",
-                   keys: Sequence[str] = KEYS, freq: int = 1, engine: str = "auto") -> DataFrame:
+                   keys: Sequence[str] = KEYS, freq: int = 1) -> DataFrame:
     """R2 (batch twin): the same signature over the last ``size`` grid rows, joined with the buy set.
 
-    Frame mean / median and the sampled lags come from the frame planner
-    (pandas kernels for long buffers); only full buffers get a signal.
+    Only full buffers get a signal.
     """
-    from tidemark.functions import bit, hex_from_bits
-    from tidemark.operators.patterns import snap
-    from tidemark.plans.frames import M, compute_frames
+    from tidemark.plans.frames import M, Signature, compute_frames
 
     keys = list(keys)
     window = int(size) * int(freq)
-    metrics = {"_mean": M("bid_price", "mean", window), "_med": M("bid_price", "median", window),
-               "_n": M("bid_price", "count", window)}
-    lags = {f"_x{k}": ("bid_price", k - 1) for k in sorted(set(offsets)) if k > 1}
-    d = compute_frames(grid, keys, freq, metrics, lags, engine=engine)
-    one = F.lit(1)
-    bits = []
-    for k in offsets:
-        x = F.col("bid_price") if k == 1 else F.col(f"_x{k}")
-        mean, med = snap(F.col("_mean")), snap(F.col("_med"))
-        if kind == "mean":
-            bits += [bit(x > mean), one, one, one]
-        elif kind == "median":
-            bits += [bit(x > med), one, one, one]
-        else:
-            bits += [bit(x > mean), bit(x > med), one, one]
-    d = d.where(F.col("_n") == F.lit(int(size))).withColumn("pattern", hex_from_bits(bits))
+    # rows of the frame, counted by their grid time (never null), decide whether the buffer is full
+    d = compute_frames(grid.withColumn("_row", F.lit(1.0)), keys, freq, {"_n": M("_row", "count", window)},
+                       signatures={"pattern": Signature("bid_price", kind, tuple(offsets), window)})
+    d = d.where(F.col("_n") == F.lit(int(size)))
     b = buy.select(*keys, "pattern").distinct().withColumn("_hit", F.lit(1))
     return d.join(b, on=[*keys, "pattern"], how="left").select(
         *keys, F.unix_micros(F.col("time").cast("timestamp")).alias("time_us"), "pattern",
