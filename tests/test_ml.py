@@ -67,7 +67,7 @@ def test_nearest_centroid_fixture(spark):
 
 
 def test_boruta_runs(spark, ds):
-    out = MS.boruta(ds.limit(400), FEATS, "label", rounds=2, seed=3)
+    out = MS.boruta(ds.limit(400), FEATS, "label", FEATS, rounds=2, seed=3)
     assert out.count() == len(FEATS)
     assert set(r["decision"] for r in out.collect()) <= {"confirmed", "rejected", "tentative"}
 

@@ -111,3 +111,36 @@ def test_streaming_candles_and_dedupe(spark):
     c = _run_stream(spark, streaming_candles(src2, 21600, "1 hour"), "candle_stream")
     assert c.count() > 0
 
+
+
+def test_buffer_state_with_late_ticks():
+    """The vectorised buffer against the one-tick-at-a-time definition, over batches with late ticks."""
+    import random
+
+    import pandas as pd
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    rnd, seconds = random.Random(9), 1_000_000
+    for trial in range(40):
+        buf, state, fn, at = {}, State(), R._buffer_fn(5 * seconds), 0
+        for _ in range(6):
+            at += rnd.randint(0, 4)
+            ticks = [(rnd.randint(max(0, at - 7), at + 3) * seconds, s, rnd.random()) for s in range(rnd.randint(1, 6))]
+            want = []
+            for t, s, v in sorted(ticks):
+                newest = max(buf) if buf else t
+                if buf and t <= newest - 5 * seconds:
+                    continue
+                buf[t] = v
+                newest = max(newest, t)
+                buf = {k: x for k, x in buf.items() if k > newest - 5 * seconds}
+                want.append((t, s, v, len(buf), min(buf)))
+            frame = pd.DataFrame(ticks, columns=["time_us", "seq", "bid_price"])
+            got = [tuple(r[2:]) for out in fn(("X", "Y"), iter([frame]), state) for r in out.itertuples(index=False)]
+            assert got == want
+            assert not state.exists or dict(zip(*state.get)) == buf

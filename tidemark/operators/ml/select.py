@@ -96,21 +96,24 @@ def _permuted(base: DataFrame, f: str, seed: int) -> DataFrame:
     return by_id.join(by_h.select("_rank", f"shadow_{f}"), on="_rank").drop("_rank")
 
 
-def boruta(df: DataFrame, features: Sequence[str], label: str, rounds: int = 10, seed: int = 42,
+def boruta(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str], rounds: int = 10, seed: int = 42,
            alpha: float = 0.05) -> DataFrame:
     """Boruta with random-forest importances.
 
     Shadow features are per-column seeded permutations; a feature scores a
     hit when its importance beats the best shadow. A binomial test over
-    ``rounds`` (p = 1/2) decides: confirmed / rejected / tentative.
-    Output: feature, hits, decision.
+    ``rounds`` (p = 1/2), corrected for the number of features, decides: confirmed /
+    rejected / tentative. ``key``: columns that identify a row, so shadows meet the same rows
+    however often the table is read. Forests are shallow (depth 5), as
+    importances of deep trees favour noise. Output: feature, hits, decision.
     """
     from pyspark.ml.classification import RandomForestClassifier
 
     from tidemark.operators.ml.prep import assemble
 
     feats = list(features)
-    base = df.select(*feats, label).withColumn("_rid", F.monotonically_increasing_id())
+    alpha = alpha / max(1, len(feats))
+    base = df.select(*feats, label, F.xxhash64(*[F.col(c) for c in key]).alias("_rid"))
     hits = {f: 0 for f in feats}
     for r in range(int(rounds)):
         d = base
@@ -118,7 +121,7 @@ def boruta(df: DataFrame, features: Sequence[str], label: str, rounds: int = 10,
             sh = _permuted(base, f, seed + 1000 * r + i).select("_rid", f"shadow_{f}")
             d = d.join(sh, on="_rid")
         cols = feats + [f"shadow_{f}" for f in feats]
-        model = RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed + r, numTrees=20).fit(
+        model = RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed + r, numTrees=20, maxDepth=5).fit(
             assemble(d, cols))
         imp = model.featureImportances.toArray().tolist()
         best_shadow = max(imp[len(feats):]) if len(imp) > len(feats) else 0.0

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import anchored, as_ts, epoch_seconds, safe_div
+from tidemark.session import materialize
 from tidemark.plans.chunking import chunk_of
 
 
@@ -126,10 +127,21 @@ def backtest_rollup(trades: DataFrame, source: str = "source", order: str = "seq
 
 
 def rank_within(df: DataFrame, group: str, by: str, out: str = "rank") -> DataFrame:
-    """1-based rank by ``by`` descending within ``group`` (ties broken by every other column)."""
+    """1-based rank by ``by`` descending within ``group`` (ties broken by every other column, nulls last).
+
+    Ranges of the whole order are cut over all groups together (a range
+    partitioning), so a group that holds most rows is many ranges: a row's rank is
+    its place in its range plus the group's rows in the ranges before.
+    """
     others = [F.col(f"`{c}`") for c in df.columns if c not in (group, by)]
-    w = Window.partitionBy(group).orderBy(F.col(f"`{by}`").desc(), *others)
-    return df.withColumn(out, F.row_number().over(w))
+    order = [F.col(f"`{by}`").desc(), *others]
+    d = materialize(df.repartitionByRange(F.col(f"`{group}`"), *order).withColumn("_ck", F.spark_partition_id()))
+    cnt = d.groupBy(group, "_ck").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(group).orderBy("_ck").rowsBetween(Window.unboundedPreceding, -1)
+    cnt = cnt.select(F.col(f"`{group}`").alias("_g"), F.col("_ck").alias("_k"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
+    d = d.join(cnt, F.col(f"`{group}`").eqNullSafe(F.col("_g")) & (F.col("_ck") == F.col("_k")))
+    w = Window.partitionBy(group, "_ck").orderBy(*order)
+    return d.withColumn(out, (F.col("_before") + F.row_number().over(w)).cast("int")).select(*df.columns, out)
 
 
 def last_report(report: DataFrame, instrument: str = "instrument_id", created: str = "created_at",
@@ -216,16 +228,20 @@ def chrono_split(df: DataFrame, test_size: float = 0.3, keys: Sequence[str] = ()
 
 
 def shuffled_split(df: DataFrame, id_cols: Sequence[str], test_size: float = 0.25, seed: int = 42,
-                   buckets: int = 4096) -> DataFrame:
-    """Seeded shuffled split with exact sizes: order rows by xxhash64(id, seed).
+                   rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """Seeded shuffled split with exact sizes: order rows by md5 of the ids and the seed.
 
-    Reproducible for the same ids and seed; the test set is the last
-    ceil(n*test_size) rows of that order. Hash buckets (monotone in the
-    hash) play the role of the time chunks of ``chrono_split``.
+    Reproducible for the same ids and seed, in any engine; the test set is the
+    last ceil(n*test_size) rows of that order. Buckets (the leading hex digits,
+    as many as the row count needs) play the role of the time chunks of ``chrono_split``.
     """
-    h = F.xxhash64(*[F.col(c) for c in id_cols], F.lit(int(seed)))
-    order = F.struct(h, *[F.col(c) for c in id_cols])
-    bucket = F.floor((h.cast("double") / F.lit(float(2 ** 64)) + F.lit(0.5)) * F.lit(int(buckets))).cast("long")
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols], F.lit(str(int(seed))))
+    order = F.struct(F.md5(text.cast("binary")), *[F.col(c) for c in id_cols])
+    digits = 1
+    n = df.count()
+    while 16 ** digits * rows_per_bucket < n or 16 ** digits < 256:
+        digits += 1
+    bucket = F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("long")
     d = _rank_from_end(df, (), order, bucket)
     n_test = F.ceil(F.col("_n") * F.lit(float(test_size)))
     return d.withColumn("split", F.when(F.col("_rank") <= n_test, "test").otherwise("train")).drop("_rank", "_n")

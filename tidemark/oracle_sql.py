@@ -903,3 +903,80 @@ SELECT exchange, symbol, g, {r6(['open', 'high', 'low', 'close'])} FROM c, wm WH
 
 
 SQL["stream_candles"] = sql_stream_candles()
+
+
+# --- landed tables, streams in several micro-batches, splits and models ----------------------
+
+def sql_scan_quotes() -> str:
+    qty = ", ".join(f"coalesce({rnd(c, c)}, 0.0) AS {c}" for c in ("bid_qty", "ask_qty"))
+    return f"""WITH {Q_CTE}
+SELECT exchange, symbol, seq, epoch_us(time) AS time_us, {r6(BA)}, {qty} FROM q
+QUALIFY row_number() OVER (PARTITION BY exchange, symbol, seq
+  ORDER BY time DESC, bid_price DESC, ask_price DESC, bid_qty DESC, ask_qty DESC) = 1"""
+
+
+def sql_scan_ticks() -> str:
+    ex, sy = P["scan_instrument"].split("_", 1)
+    cols = ", ".join(f"floor({c}) AS {c}" for c in QC)
+    return f"""WITH {Q_CTE},
+c AS (SELECT exchange, symbol, seq, {cols}, time FROM q),
+d AS (SELECT * FROM c UNION ALL SELECT * REPLACE (time + INTERVAL 1 SECOND AS time) FROM c)
+SELECT exchange, symbol, seq, bid_price, ask_price, bid_qty, ask_qty, max(epoch_us(time)) AS time_us FROM d
+WHERE exchange = '{ex}' AND symbol = '{sy}' AND CAST(time AS DATE) BETWEEN DATE '{P["scan_start"]}' AND DATE '{P["scan_end"]}'
+GROUP BY exchange, symbol, seq, bid_price, ask_price, bid_qty, ask_qty"""
+
+
+def sql_metrics_landed() -> str:
+    qty = ", ".join(f"coalesce({rnd(f'max({c})', c)}, 0.0) AS {c}" for c in ("bid_qty", "ask_qty"))
+    prices = ", ".join(f"{rnd(f'max({c})', c)} AS {c}" for c in BA)
+    return f"""WITH {Q_CTE},
+q2 AS (SELECT exchange, symbol, CAST(floor(epoch_us(time) / 1000) AS BIGINT) AS ms, seq, bid_price, ask_price, bid_qty, ask_qty FROM q)
+SELECT exchange, symbol, max(seq) AS seq, ms * 1000 AS time_us, {prices}, {qty} FROM q2 GROUP BY exchange, symbol, ms"""
+
+
+def sql_mirror() -> str:
+    return f"""WITH {Q_CTE},
+d AS (SELECT exchange, symbol, strftime(time, '%Y%m%d') AS date, count(*) AS rows FROM q GROUP BY ALL)
+SELECT exchange, symbol, date, rows, (SELECT count(*) FROM d) AS copied, 0 AS copied_again FROM d"""
+
+
+def sql_stream_predict() -> str:
+    score = " + ".join(f"({w} * {c})" for c, w in P["rule_weights"].items())
+    return f"""SELECT exchange, symbol, time_us, CASE WHEN {P["rule_intercept"]} + {score} > 0 THEN 1 ELSE 0 END AS prediction
+FROM ({sql_closed_bars_plain()})"""
+
+
+def sql_closed_bars_plain() -> str:
+    return f"""WITH {Q_CTE},
+t AS (SELECT exchange, symbol, epoch_us(time) AS time_us, bid_price, ask_price, seq FROM q),
+l AS (SELECT exchange, symbol, time_us, arg_max(bid_price, seq) AS bid_price, arg_max(ask_price, seq) AS ask_price
+      FROM t GROUP BY ALL)
+SELECT * FROM l QUALIFY time_us < max(time_us) OVER (PARTITION BY exchange, symbol)"""
+
+
+def sql_shuffled_split() -> str:
+    return """WITH d AS (SELECT l_orderkey, l_linenumber,
+  row_number() OVER (ORDER BY md5(l_orderkey || '|' || l_linenumber || '|42') DESC, l_orderkey DESC, l_linenumber DESC) AS rank,
+  count(*) OVER () AS n FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN rank <= ceil(n * 0.25) THEN 'test' ELSE 'train' END AS split FROM d"""
+
+
+def sql_ar1() -> str:
+    return f"""WITH {grid_ctes(FREQ, ("bid_price",))},
+l AS (SELECT exchange, symbol, g, bid_price, lag(bid_price) OVER {ordw()} AS lag_1 FROM grid),
+d AS (SELECT * FROM l WHERE bid_price IS NOT NULL AND lag_1 IS NOT NULL),
+m AS (SELECT exchange, symbol, regr_slope(bid_price, lag_1) AS a, regr_intercept(bid_price, lag_1) AS b FROM d GROUP BY ALL)
+SELECT d.exchange, d.symbol, d.g, {rnd('d.bid_price', 'bid_price')} AS bid_price, {rnd('m.b + m.a * d.lag_1', 'prediction')} AS prediction
+FROM d JOIN m ON d.exchange = m.exchange AND d.symbol = m.symbol"""
+
+
+SQL.update({
+    "scan_quotes": sql_scan_quotes(),
+    "scan_ticks": sql_scan_ticks(),
+    "scan_features_landed": SQL["scan_features"],
+    "metrics_landed": sql_metrics_landed(),
+    "mirror": sql_mirror(),
+    "stream_predict": sql_stream_predict(),
+    "shuffled_split": sql_shuffled_split(),
+    "ar1_forecast": sql_ar1(),
+})

@@ -4,10 +4,9 @@ Each reads the driver's test tables through the adapters and runs one
 operator (or builder) over the whole tables. Names equal operator names.
 Parameters: the events table is sparse (about 2,000 quotes per instrument
 over 30 days at sf0.01), so grids use 3600 s steps; windows and shifts are
-the reference defaults scaled to hours; ``long_window`` queries take the
-frame planner's pandas engine, the others its Spark-window engine. Streaming
-queries run their streams to completion (``availableNow``) into Parquet under
-the checkpoint folder. Doubles are rounded (``rnd``) on both sides since
+the reference defaults scaled to hours. Streaming queries land the events in
+time order as several files under the checkpoint folder and run to completion
+(``availableNow``), a micro-batch for each file, into Parquet there. Doubles are rounded (``rnd``) on both sides since
 summation order differs between engines.
 """
 
@@ -29,6 +28,7 @@ from tidemark.operators.ml import select as MS
 from tidemark.operators.ml import train as MT
 from tidemark.plans import datasets as B
 from tidemark.plans import jobs as X_
+from tidemark.plans.chunking import segmented_prev
 from tidemark.schema import KEYS, QUOTE_COLUMNS
 from tidemark.sources.adapters import (
     LINEITEM_FEATURES,
@@ -48,8 +48,8 @@ DAY = 24 * HOUR
 # Query parameters shared with the oracle SQL.
 P = {
     "freq": HOUR,
-    "window": DAY,          # 24 grid rows (Spark-window engine)
-    "long_window": 3 * DAY,  # 72 grid rows (pandas engine of the frame planner)
+    "window": DAY,          # 24 grid rows
+    "long_window": 3 * DAY,  # 72 grid rows
     "shift": 6,
     "pct": 0.001,
     "cma_max": 36 * HOUR,
@@ -84,6 +84,11 @@ P = {
     "now_ts": "2024-01-20 12:00:00",
     "last_hours": 48.0,
     "buffer_seconds": 6 * HOUR,
+    "rule_weights": {"bid_price": -1.0, "ask_price": 0.5},
+    "rule_intercept": 25.0,
+    "scan_instrument": "SIM_click",
+    "scan_start": "2024-01-05",
+    "scan_end": "2024-01-15",
     "rolling_data_features": (
         "bid_price.rolling_mean", "ask_price.rolling_var", "bid_qty.rolling_coeff", "ask_qty.rolling_min",
         "bid_price.rolling_max", "bid_price.rolling_open", "ask_price.rolling_close", "bid_price",
@@ -515,13 +520,82 @@ def q_leaderboard(spark, sf):
                           names=("LogisticRegression", "DecisionTreeClassifier", "GaussianNB"))
 
 
-def q_ar_forecast(spark, sf):
+def _ar(spark, sf, p):
     g = G.resample_last(_q(spark, sf), P["freq"], ("bid_price",))
-    model, lags = MT.ar_fit(g, "bid_price", 3, KEYS, freq=P["freq"])
-    from tidemark.operators.ml.prep import assemble
+    models = MT.ar_fit(g, "bid_price", p, KEYS, freq=P["freq"])
+    out = MT.ar_predict(g, models, "bid_price", p, KEYS, freq=P["freq"])
+    return round6(out.select("exchange", "symbol", "g", "bid_price", "prediction"))
+
+
+def q_ar_forecast(spark, sf):
+    return _ar(spark, sf, 3)
+
+
+def q_ar1_forecast(spark, sf):
+    return _ar(spark, sf, 1)
+
+
+# --- landed tables: written as the sinks write them, read back as the scans read them -------
+
+def _landed_ticks(spark, sf) -> str:
+    from tidemark.sinks.writers import write_ticks
+
+    path = _stream_dir(spark, "ticks")
+    write_ticks(_q(spark, sf), path)
+    return path
+
+
+def q_scan_quotes(spark, sf):
+    from tidemark.sources.scans import scan_quotes
+
+    return round6(_qus(scan_quotes(spark, _landed_ticks(spark, sf)).drop("date")))
+
+
+def q_scan_ticks(spark, sf):
+    """S2 over ticks whose prices are coarse, so that many differ in ``seq`` alone."""
+    from tidemark.sinks.writers import write_ticks
+    from tidemark.sources.scans import scan_ticks
+
+    q = _q(spark, sf)
+    coarse = q.select("exchange", "symbol", "time", "seq", *[F.floor(c).cast("double").alias(c) for c in QUOTE_COLUMNS])
+    again = coarse.unionByName(coarse.withColumn("time", F.col("time") + F.expr("interval 1 second")))
+    path = _stream_dir(spark, "ticks")
+    write_ticks(again, path)
+    return _qus(scan_ticks(spark, path, P["scan_instrument"], P["scan_start"], P["scan_end"]))
 
-    d, _ = MT.ar_features(g, "bid_price", 3, KEYS, freq=P["freq"])
-    return model.transform(assemble(d, lags)).select("exchange", "symbol", "g", "bid_price", "prediction")
+
+def q_scan_features_landed(spark, sf):
+    from tidemark.sinks.writers import features_long, write_features
+    from tidemark.sources.scans import scan_features
+
+    path = _stream_dir(spark, "features")
+    write_features(features_long(G.resample_last(_q(spark, sf), P["freq"], QUOTE_COLUMNS), list(QUOTE_COLUMNS)), path)
+    return round6(_qus(scan_features(spark, path, list(QUOTE_COLUMNS))))
+
+
+def q_metrics_landed(spark, sf):
+    """S6 -> K1 -> S1: a metric export turned into ticks, landed, and scanned."""
+    from tidemark.sinks.writers import write_ticks
+    from tidemark.sources import metrics as S6
+    from tidemark.sources.scans import scan_quotes
+
+    fields = ("seq",) + tuple(QUOTE_COLUMNS)
+    ticks = S6.metrics_to_ticks(S6.ticks_to_metrics(_q(spark, sf), fields), fields)
+    path = _stream_dir(spark, "exported")
+    write_ticks(ticks, path)
+    return round6(_qus(scan_quotes(spark, path).drop("date")).withColumn("seq", F.col("seq").cast("long")))
+
+
+def q_mirror(spark, sf):
+    """K9: mirror of the landed ticks; the second run copies nothing."""
+    from tidemark.sinks.writers import mirror_partitions
+    from tidemark.sources.scans import _read
+
+    src, dst = _landed_ticks(spark, sf), _stream_dir(spark, "mirror")
+    first = mirror_partitions(spark, src, dst).count()
+    again = mirror_partitions(spark, src, dst).count()
+    out = _read(spark, dst).groupBy("exchange", "symbol", "date").agg(F.count(F.lit(1)).alias("rows"))
+    return out.withColumn("copied", F.lit(first)).withColumn("copied_again", F.lit(again))
 
 
 # --- streams (R1-R4), run to completion with availableNow -----------------------------------
@@ -535,11 +609,26 @@ def _stream_dir(spark, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
 
 
+STREAM_FILES = 8  # micro-batches of a streaming query
+
+
 def _events_stream(spark, sf):
-    schema = table(spark, sf, "events").schema
-    # a file stream watches a folder: the test-data folder, filtered to the events file
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "events.parquet")
-            .parquet(sf.rstrip("/")))
+    """The events table, one file or many in whatever order, as a stream of files in time order.
+
+    Rows are range-partitioned by time into files; a file stream goes by modification
+    times, so those are set in the files' order before the stream starts.
+    """
+    events = table(spark, sf, "events")
+    path = _stream_dir(spark, "events")
+    events.repartitionByRange(STREAM_FILES, "ts", "event_id").sortWithinPartitions("ts", "event_id").write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted(f.getPath().toString() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    newest = max(f.getModificationTime() for f in fs.listStatus(folder))
+    for i, f in enumerate(files):  # as many as STREAM_FILES
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), newest + 1000 * (i - len(files)), -1)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _run_stream(spark, sdf, name: str) -> DataFrame:
@@ -560,13 +649,25 @@ def q_stream_buffer(spark, sf):
 
 
 def q_stream_predict(spark, sf):
-    """Closed bars from the tick stream, scored by a model fitted on the batch bars."""
+    """Closed bars from the tick stream, scored by a fixed linear rule (high bids fall, wide spreads rise)."""
+    from tidemark.sources.adapters import quotes_from_events
+    from tidemark.streaming.state import closed_bars_stream
+
+    got = _run_stream(spark, closed_bars_stream(quotes_from_events(_events_stream(spark, sf))), "stream_bars")
+    out = MT.linear_rule(got, P["rule_weights"], P["rule_intercept"])
+    return out.select("exchange", "symbol", "time_us", "prediction")
+
+
+def q_stream_predict_logistic(spark, sf):
+    """The same bars scored by a logistic model fitted on the batch bars, whose label looks one bar ahead."""
     from tidemark.sources.adapters import quotes_from_events
     from tidemark.streaming.state import closed_bars, closed_bars_stream
 
-    bars = closed_bars(_q(spark, sf)).withColumn("label", (F.col("bid_price") > F.col("ask_price") / 1.001 - 1e-9)
-                                                  .cast("int"))
-    model = MT.train(bars, ["bid_price", "ask_price"], "label", "LogisticRegression")
+    bars = closed_bars(_q(spark, sf)).withColumn("time", F.timestamp_micros("time_us"))
+    ahead = segmented_prev(bars, KEYS, F.struct((-F.col("time_us")).alias("t")), F.col("bid_price"), "next_bid",
+                           span=DAY * 1_000_000, chunk_source=-F.col("time_us"))
+    ahead = ahead.where("next_bid is not null").withColumn("label", (F.col("next_bid") > F.col("ask_price")).cast("int"))
+    model = MT.train(ahead, ["bid_price", "ask_price"], "label", "LogisticRegression")
     got = _run_stream(spark, closed_bars_stream(quotes_from_events(_events_stream(spark, sf))), "stream_bars")
     return MT.predict(model, got, ["exchange", "symbol", "time_us"])
 
@@ -641,7 +742,7 @@ def q_stream_candles(spark, sf):
 
 
 def q_boruta(spark, sf):
-    return MS.boruta(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", rounds=2, seed=7)
+    return MS.boruta(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", ["l_orderkey", "l_linenumber"], seed=7)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -721,6 +822,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_signal": q_stream_signal,
     "stream_predict": q_stream_predict,
     "replay": q_replay,
+    "stream_predict_logistic": q_stream_predict_logistic,
+    "ar1_forecast": q_ar1_forecast,
+    "scan_quotes": q_scan_quotes,
+    "scan_ticks": q_scan_ticks,
+    "scan_features_landed": q_scan_features_landed,
+    "metrics_landed": q_metrics_landed,
+    "mirror": q_mirror,
 }
 
 __all__ = ["QUERIES", "P", "round6", "KEYS"]

@@ -12,12 +12,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions import yyyymmdd
 from tidemark.operators.quality import non_empty
+from tidemark.session import materialize
+from tidemark.sources.scans import is_missing
 
 TICK_PARTITIONS = ("exchange", "symbol", "date")
-BROADCAST_KEYS = 200_000
 FEATURE_PARTITIONS = ("exchange", "symbol", "feature", "date")
 
 
@@ -84,15 +86,16 @@ def insert_run_context(spark: SparkSession, context: DataFrame, path: str) -> Da
     try:
         existing = spark.read.parquet(path).select("run_id")
         new = new.join(existing, on="run_id", how="left_anti")
-    except Exception:  # noqa: BLE001  (no table yet)
-        pass
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
     new.write.mode("append").parquet(path)
     return new
 
 
 def write_signal_tables(reports: DataFrame, path: str, signal_col: str = "signal", by: str = "sharp_ratio") -> None:
     """K6: one output per signal (a partition), replaced per signal, rows sorted by ``by`` desc."""
-    (reports.repartition(signal_col).sortWithinPartitions(signal_col, F.col(f"`{by}`").desc())
+    (reports.hint("rebalance", signal_col).sortWithinPartitions(signal_col, F.col(f"`{by}`").desc())
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(signal_col).parquet(path))
 
 
@@ -133,14 +136,13 @@ def mirror_partitions(spark: SparkSession, src: str, dst: str, partitions: Seque
     if not force:
         try:
             keys = keys.join(partition_keys(spark, dst, parts), on=parts, how="left_anti")
-        except Exception:  # noqa: BLE001  (empty destination)
-            pass
-    keys = keys.cache()
-    n = keys.count()
-    if n == 0:
+        except AnalysisException as e:
+            if not is_missing(e):
+                raise
+    keys = materialize(keys)  # one row per partition directory; fixed before the copy changes the answer
+    if keys.isEmpty():
         return keys
-    # the key list has one row per partition directory; broadcast it only when that is small
-    data = src_df.join(F.broadcast(keys) if n <= BROADCAST_KEYS else keys, on=parts, how="left_semi")
+    data = src_df.join(keys, on=parts, how="left_semi")
     write_partitioned(data.select(*src_df.columns), dst, parts, mode="overwrite", sort_col="time")
     return keys
 

@@ -17,7 +17,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions import nan_to_null, split_instrument, yyyymmdd
 from tidemark.operators.quality import dedupe_rows, dedupe_seq, fill_qty
-from tidemark.schema import FEATURES_LONG, MODEL_META, PATTERN_SCORES, QUOTE_COLUMNS
+from tidemark.schema import FEATURES_LONG, KEYS, MODEL_META, PATTERN_SCORES, QUOTE_COLUMNS
 
 
 def day_list(start_date: str, end_date: str) -> list[str]:
@@ -49,15 +49,25 @@ def _iso(d: str) -> str:
 PARTITION_COLUMNS = ("exchange", "symbol", "feature", "target", "type", "run_id", "date")
 
 
-def _read(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+def is_missing(e: AnalysisException) -> bool:
+    """Whether a read failed because its path doesn't exist (any other failure must not look like an empty table)."""
+    return (e.getCondition() or "") == "PATH_NOT_FOUND"
+
+
+def _read(spark: SparkSession, root: str, schema: T.StructType | None = None,
+          instrument_id: str | None = None) -> DataFrame:
     """Hive-partitioned Parquet with partition values kept as STRING (no type inference:
-    a day '20240102' or a symbol '0700' must not turn into a number)."""
-    r = spark.read.option("basePath", root)
+    a day '20240102' or a symbol '0700' must not turn into a number). One instrument is
+    read from its own folder, so only that folder is listed."""
+    path = root
+    if instrument_id:
+        ex, sy = instrument_id.split("_", 1)
+        path = f"{root.rstrip('/')}/exchange={ex}/symbol={sy}"
     if schema is None:
-        inferred = r.parquet(root).schema
+        inferred = spark.read.option("basePath", root).parquet(path).schema
         schema = T.StructType([T.StructField(f.name, T.StringType(), True) if f.name in PARTITION_COLUMNS else f
                                for f in inferred.fields])
-    return spark.read.option("basePath", root).schema(schema).parquet(root)
+    return spark.read.option("basePath", root).schema(schema).parquet(path)
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -96,7 +106,7 @@ def scan_quotes(spark: SparkSession, root: str, instrument_id: str | None = None
     fills qty NULLs with 0 (P4), NaN -> NULL. Not globally sorted: order is
     a property of each windowed operator, not of the scan.
     """
-    df = _read(spark, root)
+    df = _read(spark, root, instrument_id=instrument_id)
     df = df.where(_partition_filter(instrument_id, start_date, end_date, date))
     cols = [c for c in columns if c in df.columns]
     df = df.select("exchange", "symbol", "date", "seq", _time_col(df).alias("time"),
@@ -110,23 +120,27 @@ def scan_ticks(spark: SparkSession, root: str, instrument_id: str, start_date: s
                columns: Sequence[str] | None = None) -> DataFrame:
     """Historical ticks; hours only widen or narrow the day list (rows are not cut by hour).
 
-    A missing root gives an empty frame with the quote schema. Full-row
-    dedupe ignoring time (D2).
+    A missing root or instrument gives an empty frame with the quote schema. Full-row
+    dedupe ignoring time (D2) over every landed column, so ticks that differ
+    in ``seq`` alone stay apart; ``columns`` are selected after it (default: all).
     """
     days = day_list_hours(start_date, end_date, start_hour or "00:00:00.000", end_hour or "23:59:59.999")
     schema = T.StructType([T.StructField("exchange", T.StringType()), T.StructField("symbol", T.StringType()),
                            T.StructField("time", T.TimestampType())]
                           + [T.StructField(c, T.DoubleType()) for c in (columns or QUOTE_COLUMNS)])
     try:
-        df = _read(spark, root)
-    except AnalysisException:
+        df = _read(spark, root, instrument_id=instrument_id)
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
         return _empty(spark, schema)
     ex, sy = instrument_id.split("_", 1)
     df = df.where((F.col("exchange") == ex) & (F.col("symbol") == sy) & F.col("date").isin(days))
-    cols = [c for c in (columns or QUOTE_COLUMNS) if c in df.columns]
+    others = [c for c in df.columns if c not in ("exchange", "symbol", "date", "time")]
     df = df.select("exchange", "symbol", _time_col(df).alias("time"),
-                   *[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
-    return dedupe_rows(df)
+                   *[nan_to_null(F.col(c).cast("double")).alias(c) if c in QUOTE_COLUMNS else F.col(c) for c in others])
+    df = dedupe_rows(df)
+    return df.select("exchange", "symbol", "time", *[c for c in (columns or others) if c in df.columns])
 
 
 def scan_features(spark: SparkSession, root: str, features: Sequence[str], instrument_id: str | None = None,
@@ -203,8 +217,10 @@ def list_models(registry: DataFrame, exchange: str = "*", symbol: str = "*", tar
 
 
 def load_buy_patterns(spark: SparkSession, path: str) -> DataFrame:
-    """The buy set of a stored pattern table (score == 1)."""
-    return spark.read.schema(PATTERN_SCORES).parquet(path).where(F.col("score") == F.lit(1.0)).select("pattern")
+    """The buy set of a stored pattern table (score == 1), by instrument: ``exchange, symbol, pattern``."""
+    keys = [T.StructField(k, T.StringType(), True) for k in KEYS]
+    schema = T.StructType(keys + PATTERN_SCORES.fields)
+    return spark.read.schema(schema).parquet(path).where(F.col("score") == F.lit(1.0)).select(*KEYS, "pattern")
 
 
 def landed_quotes(df: DataFrame) -> DataFrame:

@@ -33,27 +33,32 @@ BUFFER_STATE = "times array<long>, values array<double>"
 
 def _buffer_fn(max_us: int):
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            times, values = state.get
-            buf = dict(zip(list(times), list(values)))
-        else:
-            buf = {}
-        out = []
+        import numpy as np
+
+        held = dict(zip(*state.get)) if state.exists else {}
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["time_us", "seq"], kind="stable")
-        for t, s, v in zip(pdf["time_us"].tolist(), pdf["seq"].tolist(), pdf["bid_price"].tolist()):
-            newest = max(buf) if buf else t
-            if buf and t <= newest - max_us:
-                continue  # beyond the horizon: dropped
-            buf[t] = v  # add, or replace an equal time
-            newest = max(newest, t)
-            for old in [k for k in buf if k <= newest - max_us]:
-                del buf[old]
-            out.append((key[0], key[1], t, s, v, len(buf), min(buf)))
-        ks = sorted(buf)
-        state.update((ks, [buf[k] for k in ks]))
-        if out:
-            yield pd.DataFrame(out, columns=["exchange", "symbol", "time_us", "seq", "bid_price", "buffer_size",
-                                             "buffer_start_us"])
+        t = pdf["time_us"].to_numpy(dtype="int64")
+        old = np.array(sorted(held), dtype="int64")
+        if len(old):  # beyond the horizon of what is buffered: dropped
+            keep = t > old[-1] - max_us
+            pdf, t = pdf[keep], t[keep]
+        if not len(t):
+            return
+        # within a batch times ascend: a tick's buffer is what is held and what came before it, less than
+        # max_us older than the newest time so far
+        newest = np.maximum(t, old[-1]) if len(old) else t
+        fresh = np.unique(np.setdiff1d(t, old))
+        everything = np.union1d(old, t)
+        low = np.searchsorted(everything, newest - max_us, side="right")
+        come = np.searchsorted(fresh, t, side="right")
+        size = come + len(old) - np.searchsorted(old, newest - max_us, side="right") - np.searchsorted(fresh, newest - max_us, side="right")
+        held.update(zip(t.tolist(), pdf["bid_price"].tolist()))
+        ks = [k for k in sorted(held) if k > newest[-1] - max_us]
+        state.update((ks, [held[k] for k in ks]))
+        # the oldest buffered time: nothing that is still to come lies below the tick itself
+        first = np.minimum(everything[np.minimum(low, len(everything) - 1)], t)
+        yield pd.DataFrame({"exchange": key[0], "symbol": key[1], "time_us": t, "seq": pdf["seq"].to_numpy(),
+                            "bid_price": pdf["bid_price"].to_numpy(), "buffer_size": size, "buffer_start_us": first})
     return fn
 
 
