@@ -70,10 +70,10 @@ def test_mixed_bucket_blocks_lose_no_pair():
     sig, keys = np.zeros(B.LONG, np.uint8).tobytes(), np.arange(B.BANDS, dtype=np.uint32).tobytes()
     t = pa.table({"band": [0] * 4, "node": [1, 2, 3, 4], "component": [1, 1, 3, 4], "sig": [sig] * 4, "keys": [keys] * 4,
                   "side": [2, 2, 2, 2]})
-    out = B._across(False)(t)
+    out = B._across(t)
     assert set(zip(out["u"].to_pylist(), out["v"].to_pylist())) == {(1, 3), (1, 4), (2, 3), (2, 4), (3, 4)}
     later = t.set_column(0, "band", pa.array([7] * 4))
-    assert B._across(False)(later).num_rows == 0      # they met in an earlier band
+    assert B._across(later).num_rows == 0      # they met in an earlier band
 
 
 def test_odd_rows(odd_docs, no_docs):

@@ -29,8 +29,9 @@ THRESHOLD = 0.8
 #: 24 bands of 4 registers: a pair at the threshold shares no band with probability 0.59 ** 24 = 3e-6.
 BANDS, ROWS = 24, 4
 #: Registers (one byte each) of the longer signature that decides which pairs of a mixed bucket are
-#: verified, and how many must agree: 4.5 standard deviations below the 615 expected at the threshold.
-LONG, AGREE = 768, 565
+#: verified, and how many must agree: 4.5 standard deviations below the 1230 expected at the threshold.
+#: So far above it, a pair is sure to link.
+LONG, AGREE, SURE = 1536, 1160, 1300
 #: Bytes of text that one numpy step handles, and rows of a block of a mixed bucket.
 SLICE_BYTES, BLOCK = 4 << 20, 512
 
@@ -110,20 +111,25 @@ def signatures(doc: np.ndarray, g: np.ndarray, count: np.ndarray, n_docs: int, m
     return ident.reshape(n_docs, m)
 
 
+def band_keys(doc: np.ndarray, g: np.ndarray, count: np.ndarray, n_docs: int) -> np.ndarray:
+    """``n_docs`` x BANDS hashes, each of ROWS registers and the band's number."""
+    s = signatures(doc, g, count, n_docs, BANDS * ROWS)
+    key = np.zeros((n_docs, BANDS), np.uint64)
+    for j in range(ROWS):
+        key = T.mix(key * T._ROLL + s[:, j::ROWS])
+    return T.mix(key + np.arange(BANDS, dtype=np.uint64) * _C[2])
+
+
 def _sketch(batches):
     for batch in batches:
         for part in slices(batch, ["text"], SLICE_BYTES):
             doc, g, count, n = bags(part.column("text"))
-            s = signatures(doc, g, count, n, BANDS * ROWS)
+            key = band_keys(doc, g, count, n)
             full = np.bincount(doc, minlength=n) > 0
             bag = T.mix(g ^ (count.astype(np.uint64) * _C[0]))
             one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
             np.add.at(one, doc, bag)
             np.add.at(two, doc, T.mix(bag ^ _C[1]))
-            key = np.zeros((n, BANDS), np.uint64)
-            for j in range(ROWS):
-                key = T.mix(key * T._ROLL + s[:, j::ROWS])
-            key = T.mix(key + np.arange(BANDS, dtype=np.uint64) * _C[2])
             off = pa.array(np.append(0, np.cumsum(np.where(full, BANDS, 0))).astype(np.int32))
             yield pa.record_batch({
                 "doc_id": part.column("doc_id"),
@@ -163,35 +169,38 @@ def _longer(batches):
         for part in slices(batch, ["text"], SLICE_BYTES):
             doc, g, count, n = bags(part.column("text"))
             sig = T.mix(signatures(doc, g, count, n, LONG)).astype(np.uint8)
-            keys = part.column("bands").flatten().to_numpy().astype(np.uint32).reshape(n, BANDS)
+            keys = band_keys(doc, g, count, n).astype(np.uint32)
             yield pa.record_batch({"node": part.column("node"), "sig": pa.array([x.tobytes() for x in sig], pa.binary()),
                                    "keys": pa.array([x.tobytes() for x in keys], pa.binary())})
 
 
-def _across(best_only: bool):
+def _across(t: pa.Table) -> pa.Table:
     """Within a block pair of a mixed bucket: pairs of different components whose signatures agree enough.
 
     A pair that shares several buckets is emitted in the first of its common bands only.
     """
-    def run(t: pa.Table) -> pa.Table:
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
-        keys = np.frombuffer(b"".join(t["keys"].to_pylist()), np.uint32).reshape(t.num_rows, -1)
-        node, comp, side = (t[c].to_numpy() for c in ("node", "component", "side"))
-        here = int(np.flatnonzero(keys[0] == t["band"].to_numpy()[:1].astype(np.uint32))[0])
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        us, vs = [], []
-        for i in left:
-            other = right[comp[right] != comp[i]]
-            n = (sig[other] == sig[i]).sum(axis=1)
-            near = np.flatnonzero(n >= AGREE)
-            near = near[(keys[other[near]] == keys[i]).argmax(axis=1) == here] if len(near) else near
-            if best_only and len(near):
-                near = near[[np.argmax(n[near])]]
-            us.append(np.full(len(near), node[i]))
-            vs.append(node[other[near]])
-        u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
-        return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v)})
-    return run
+    sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
+    keys = np.frombuffer(b"".join(t["keys"].to_pylist()), np.uint32).reshape(t.num_rows, -1)
+    node, comp, side = (t[c].to_numpy() for c in ("node", "component", "side"))
+    here = int(np.flatnonzero(keys[0] == t["band"].to_numpy()[:1].astype(np.uint32))[0])
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    us, vs = [], []
+    for i in left:
+        other = right[comp[right] != comp[i]]
+        n = (sig[other] == sig[i]).sum(axis=1)
+        near = np.flatnonzero(n >= AGREE)
+        if not len(near):
+            continue
+        # of a component with a sure partner that one is enough (should another band be its first, it is there)
+        near = near[np.lexsort((-n[near], comp[other[near]]))]
+        best = np.append(True, comp[other[near]][1:] != comp[other[near]][:-1])
+        sure = n[near][np.maximum.accumulate(np.where(best, np.arange(len(near)), 0))] >= SURE
+        near = near[best | ~sure]
+        near = near[(keys[other[near]] == keys[i]).argmax(axis=1) == here]
+        us.append(np.full(len(near), node[i]))
+        vs.append(node[other[near]])
+    u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
+    return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v)})
 
 
 def _mixed(members: DataFrame, comp: DataFrame) -> DataFrame:
@@ -202,7 +211,7 @@ def _mixed(members: DataFrame, comp: DataFrame) -> DataFrame:
     return rows.join(mixed, "band").select("band", "node", "component", "n")
 
 
-def _mixed_pairs(rows: DataFrame, longer: DataFrame, best_only: bool) -> DataFrame:
+def _mixed_pairs(rows: DataFrame, longer: DataFrame) -> DataFrame:
     """Pairs of different components in one bucket, found block by block (no bucket meets in one task)."""
     rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(longer, "node")
@@ -212,7 +221,7 @@ def _mixed_pairs(rows: DataFrame, longer: DataFrame, best_only: bool) -> DataFra
                        F.greatest("block", "other").alias("j"),
                        F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0)
                        .otherwise(1).alias("side"))
-    return rows.groupBy("band", "i", "j").applyInArrow(_across(best_only), "u long, v long").distinct()
+    return rows.groupBy("band", "i", "j").applyInArrow(_across, "u long, v long").distinct()
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -240,18 +249,12 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     texts = landed(texts, "texts")
     comp = components(_verified(first, texts))
     mixed = landed(_mixed(members.select("band", "node"), comp), "mixed")
-    longer = None
-    for best_only in (True, False):  # the likeliest partner of each member first: it settles most buckets
-        if mixed.isEmpty():
-            break
-        if longer is None:
-            some = mixed.select("node").distinct().join(texts.withColumnRenamed("doc_id", "node"), "node")
-            some = some.join(same.where(chosen).select("node", "bands"), "node")
-            longer = landed(some.mapInArrow(_longer, "node long, sig binary, keys binary"), "longer")
-        links = landed(_verified(_mixed_pairs(mixed, longer, best_only), texts), "links")
+    if not mixed.isEmpty():
+        some = texts.withColumnRenamed("doc_id", "node").join(mixed.select("node").distinct(), "node", "left_semi")
+        longer = landed(some.mapInArrow(_longer, "node long, sig binary, keys binary"), "longer")
+        links = landed(_verified(_mixed_pairs(mixed, longer), texts), "links")
         if not links.isEmpty():
             comp = components(comp.toDF("u", "v").unionByName(links))
-            mixed = landed(_mixed(members.select("band", "node"), comp), "mixed") if best_only else mixed
     repeated = sketch.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if repeated.isEmpty():
         out = same.join(comp, "node", "left").select("doc_id", F.coalesce("component", "node").alias("class_id"))

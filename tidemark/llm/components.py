@@ -22,7 +22,8 @@ def _are_stars(stars: DataFrame) -> bool:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``edges``: columns ``u, v`` (long). Returns ``node, component`` (least node reachable) of nodes with an edge.
+    """``edges``: columns ``u, v`` (long). Returns ``node, component`` (least node reachable) of the nodes that
+    are not the least of their component; any other node is its own component.
 
     A round links every node's larger neighbours to the least node around it, then its smaller ones; the
     number of rounds grows with the logarithm of the longest chain. No node's neighbours meet in one
@@ -36,5 +37,4 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select("v", "m").toDF("u", "v").unionByName(least.toDF("u", "v"))
         stars = landed(_down(small), "edges")
-    ends = stars.toDF("node", "component")
-    return ends.unionByName(ends.select(F.col("component").alias("node"), "component").distinct())
+    return stars.toDF("node", "component")
