@@ -36,6 +36,8 @@ def test_encoder_equals_the_tokenizer():
     import pyarrow as pa
 
     texts = ["", None, "  a  b ", "Ünï cödé x　y", "<|endoftext|> <|startoftext|>a", "it's I'll don't", "á ́b", "ΑΣ ΑΣ.",
+             "1234 12.5%", "the, The. THE!! the&&& a's, o'clock's. J\u030c j\u030c, É, É. e\u0301. x<|endoftext|>, <|ENDOFTEXT|>",
+             "mañana, straße... naïve) (naïve) a_b _ -- don't! 'tis \u2026, end\u2026. 東京, 東京. i̇, İ. ª, aª, ﬁ, ﬁx.",
              "1234 12.5%", "\x1c\x1d\x85 z", "word " * 1000, "e" * 5000]
     ids, n = S.Encoder(PATH)(pa.array(texts))
     ends = np.cumsum(n)

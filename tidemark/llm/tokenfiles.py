@@ -29,7 +29,7 @@ FOOTER, FOOTER_SIZE = "<IBI", 9
 #: Bytes of text of one file, and of one tokenizer step.
 FILE_BYTES, SLICE_BYTES = 64 << 20, 8 << 20
 #: Distinct words whose ids a task remembers at once.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 500_000
 #: Documents that one reading task opens a file for.
 READ_DOCS = 20_000
 END_ID = 2
@@ -37,8 +37,14 @@ _NULL_ID = -(1 << 63)
 
 
 class Encoder:
-    """Ids of whole texts. White space only separates words for this tokenizer, so each distinct word of a
-    step is encoded once and the texts are put together from those."""
+    """Ids of whole texts. White space only separates words for this tokenizer, letters and punctuation are
+    pieces of their own, and capitals don't count; so each distinct piece of a step is encoded once and the
+    texts are put together from those. Pieces of other kinds (digits, quotes, other scripts) go whole."""
+
+    #: A word that ends in punctuation behind a letter, and a piece of nothing but letters.
+    TAIL = r"^(?P<stem>.*[A-Za-zÀ-ÖØ-öø-ÿ])(?P<tail>[!-&(-/:-@\[-`{-~]+)$"
+    LETTERS = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+    TOGETHER = 500
 
     def __init__(self, path: str):
         import os
@@ -47,33 +53,71 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)     # ids that end a piece
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.size, self.start, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.known: dict[str, int] = {"": 0}
+        self.size, self.start, self.ids = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.known.update(zip(words, range(len(self.size), len(self.size) + len(words))))
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode new pieces; those of letters together, since each ends with an id that ends a piece."""
+        plain = pc.match_substring_regex(pa.array(words, pa.string()), self.LETTERS).to_numpy(zero_copy_only=False)
+        letters = [w for w, x in zip(words, plain) if x]
+        single = [w for w, x in zip(words, plain) if not x]
+        parts = [letters[i : i + self.TOGETHER] for i in range(0, len(letters), self.TOGETHER)]
+        found = self.tokenizer.encode_batch_fast([" ".join(x) for x in parts], add_special_tokens=False)
+        sizes, flat, done = [], [], []
+        for part, e in zip(parts, found):
+            ids = np.array(e.ids, np.uint32)
+            ends = np.flatnonzero(self.last[ids])
+            if len(ends) != len(part) or ends[-1] != len(ids) - 1:
+                single += part
+                continue
+            sizes.append(np.diff(ends, prepend=-1)), flat.append(ids), done.extend(part)
+        if done:
+            self._add(done, np.concatenate(sizes), np.concatenate(flat))
+        if single:
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(single, add_special_tokens=False)]
+            self._add(single, np.array([len(x) for x in got], np.int64), np.array([i for x in got for i in x], np.uint32))
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        coded = pieces.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        new = [w for w in names if w not in self.known]
+        if new:
+            self._learn(new)
+        place = np.fromiter((self.known[w] for w in names), np.int64, len(names))
+        return place[coded.indices.to_numpy(zero_copy_only=False)] if len(names) else place
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
         lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         coded = lists.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
         if len(self.known) > KNOWN_WORDS:
             self.forget()
-        new = [w for w in words if w not in self.known]
-        if new:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            size = np.array([len(x) for x in got], np.int64)
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size])
-            self.ids = np.concatenate([self.ids, np.array([i for x in got for i in x], np.uint32)])
-        place = np.fromiter((self.known[w] for w in words), np.int64, len(words))
-        place = place[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else place
+        words = coded.dictionary
+        split = pc.extract_regex(words, self.TAIL)
+        apart = pc.and_(split.is_valid(), pc.invert(pc.match_substring(words, "<|")))   # not a special token's name
+        stem = pc.if_else(apart, pc.struct_field(split, "stem"), words)
+        tail = pc.if_else(apart, pc.struct_field(split, "tail"), "")
+        lower = pc.and_(pc.string_is_ascii(stem), pc.invert(pc.match_substring(stem, "<|")))
+        stem = pc.if_else(lower, pc.ascii_lower(stem), stem)
+        unit = np.stack([self._places(stem), self._places(tail)], axis=1)
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        place = unit[at].ravel() if len(words) else np.zeros(0, np.int64)
         size = self.size[place]
         before = np.cumsum(size) - size
         ids = self.ids[np.repeat(self.start[place] - before, size) + np.arange(int(size.sum()))]
-        ends = np.append(0, np.cumsum(size))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        ends = np.append(0, np.cumsum(size))[2 * (lists.offsets.to_numpy() - lists.offsets[0].as_py())]
         return ids, np.diff(ends)
 
 
@@ -109,7 +153,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encode, press = None, zstandard.ZstdCompressor(level=3, write_checksum=True)
+        encode, press = None, zstandard.ZstdCompressor(level=1, write_checksum=True)
         fs, folder = _filesystem(path)
         name, draft = f"{folder}/part-{part:06d}.ids.zst", f"{folder}/_part-{part:06d}-{uuid.uuid4().hex}"
         out, table, ids, tokens = None, [], [], 0
