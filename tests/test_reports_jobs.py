@@ -145,3 +145,33 @@ def test_job_patterns(spark, tmpdir_path):
     assert out["signals"].where("signal = 1").count() >= n_buy
     stored = load_buy_patterns(spark, f"{tmpdir_path}/scores")
     assert stored.distinct().count() == out["buy"].select("pattern").distinct().count()
+
+
+def test_two_hundred_instruments_plan_at_once(spark):
+    """The plan of F3 and F4 does not grow with the instruments; numbers against numpy on some triples."""
+    import itertools
+    import time
+
+    import numpy as np
+
+    from tidemark.operators.portfolio import correlation, portfolio_report, portfolios
+
+    names = [f"i{k:03d}" for k in range(200)]
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(30, 200)) + 5.0
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"{c} double" for c in names)).repartition(3)
+    began = time.time()
+    corr, report = correlation(df, names), portfolio_report(df, names, distinct_sets=True)
+    assert time.time() - began < 20
+    got = {(r.a, r.b): r["corr"] for r in corr.collect()}
+    want = np.corrcoef(x.T)
+    assert len(got) == 200 * 200
+    assert all(abs(got[names[i], names[j]] - want[i, j]) < 1e-9 for i, j in ((0, 1), (7, 150), (199, 3), (5, 5)))
+    rows = {r.portfolio: r for r in report.where("portfolio like 'i000_i00%'").collect()}
+    assert report.count() == 200 * 199 * 198 // 6
+    for a, b in itertools.combinations(range(1, 6), 2):
+        r = x[:, 0] + x[:, a] + x[:, b]
+        g = rows[f"{names[0]}_{names[a]}_{names[b]}"]
+        assert abs(g.sharpe_ratio - r.mean() / r.std(ddof=1) * np.sqrt(30)) < 1e-8 and abs(g.total - r.sum()) < 1e-8
+        assert g.pct_win == (r >= 0).mean() * 100
+    assert portfolios(spark, names[:5]).count() == 60

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import instrument_id, safe_div
@@ -43,35 +45,71 @@ def merge_returns(returns: DataFrame, instruments: Sequence[str]) -> DataFrame:
     return wide.na.drop(how="any", subset=list(instruments))
 
 
+def _matrices(batches: Iterator[pa.RecordBatch], n: int) -> np.ndarray:
+    """The rows of a partition as a matrix, one column per instrument."""
+    parts = [np.column_stack([b.column(j).to_numpy(zero_copy_only=False) for j in range(n)]) for b in batches if b.num_rows]
+    return np.concatenate(parts) if parts else np.zeros((0, n))
+
+
 def correlation(merged: DataFrame, instruments: Sequence[str]) -> DataFrame:
-    """Pearson correlation matrix in long form (a, b, corr), one aggregate pass.
+    """Pearson correlation matrix in long form (a, b, corr).
 
-    Pairs are aggregate expressions over the wide table, so no row is ever
-    paired with others; the diagonal is 1.
+    Every partition turns its rows into sums of products about its own means (one matrix
+    product), n(n+1)/2 rows; those are added up by pair. The plan is the same for
+    any number of instruments. The diagonal is 1; a constant instrument has no correlation (NULL).
     """
     inst = list(instruments)
-    pairs = [(a, b) for i, a in enumerate(inst) for b in inst[i + 1:]]
-    aggs = [F.corr(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
-    one = merged.agg(*aggs) if aggs else merged.limit(1).select()
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        rows.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr")))
-        rows.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(f"c{i}").alias("corr")))
-    for a in inst:
-        rows.append(F.struct(F.lit(a).alias("a"), F.lit(a).alias("b"), F.lit(1.0).alias("corr")))
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    n = len(inst)
+    names = F.array(*map(F.lit, inst))
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = _matrices(batches, n)
+        if not len(x):
+            return
+        s = x.sum(axis=0)
+        d = x - s / len(x)
+        c = d.T @ d
+        i, j = np.triu_indices(n, 1)
+        k = len(x)
+        yield pa.record_batch({"i": i.astype(np.int32), "j": j.astype(np.int32), "n": np.full(len(i), float(k)), "x": s[i], "y": s[j],
+                               "xy": c[i, j] + s[i] * s[j] / k, "xx": c[i, i] + s[i] ** 2 / k, "yy": c[j, j] + s[j] ** 2 / k})
+
+    kinds = "i int, j int, n double, x double, y double, xy double, xx double, yy double"
+    t = merged.select(*[F.col(f"`{c}`") for c in inst]).mapInArrow(products, kinds).groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in ("n", "x", "y", "xy", "xx", "yy")])
+    cov = F.col("xy") - F.col("x") * F.col("y") / F.col("n")
+    var = (F.col("xx") - F.col("x") * F.col("x") / F.col("n")) * (F.col("yy") - F.col("y") * F.col("y") / F.col("n"))
+    pairs = t.select("i", "j", safe_div(cov, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("corr"))
+    both = pairs.unionByName(pairs.select(F.col("j").alias("i"), F.col("i").alias("j"), "corr"))
+    same = merged.sparkSession.range(n).select(F.col("id").cast("int").alias("i"), F.col("id").cast("int").alias("j"), F.lit(1.0).alias("corr"))
+    return both.unionByName(same).select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), "corr")
+
+
+def _orders(size: int) -> Column:
+    return F.array(*[F.array(*map(F.lit, p)) for p in itertools.permutations(range(size))])
 
 
 def portfolios(spark, instruments: Sequence[str], size: int = 3, distinct_sets: bool = False) -> DataFrame:
-    """Every ordered k-permutation of the instrument list (a parameter, not data).
+    """Every ordered k-permutation of the instrument list, built by a DataFrame (no driver list).
 
-    Output: portfolio (names joined by '_'), set_id (the sorted member set).
+    Output: portfolio (names joined by '_'), members (sorted positions of the names).
     """
-    inst = list(instruments)
-    combos = {c: i for i, c in enumerate(itertools.combinations(sorted(inst), size))}
-    perms = itertools.combinations(inst, size) if distinct_sets else itertools.permutations(inst, size)
-    rows = [("_".join(p), combos[tuple(sorted(p))]) for p in perms]
-    return spark.createDataFrame(rows, "portfolio string, set_id int")
+    n = len(instruments)
+    d = spark.range(n).select(F.array(F.col("id").cast("int")).alias("members"))
+    for _ in range(size - 1):
+        last = F.element_at("members", -1)
+        d = d.where(last < n - 1).withColumn("next", F.explode(F.sequence(last + 1, F.lit(n - 1)))).select(
+            F.concat("members", F.array("next")).alias("members"))
+    return _named(d, instruments, size, distinct_sets)
+
+
+def _named(sets: DataFrame, instruments: Sequence[str], size: int, distinct_sets: bool) -> DataFrame:
+    """Rows with ``members`` (ascending positions) -> one row per order of the members, with its name."""
+    names = F.array(*map(F.lit, instruments))
+    orders = F.array(F.array(*map(F.lit, range(size)))) if distinct_sets else _orders(size)
+    d = sets.withColumn("_order", F.explode(orders))
+    name = F.array_join(F.transform("_order", lambda o: F.get(names, F.get(F.col("members"), o))), "_")
+    return d.select(name.alias("portfolio"), *sets.columns)
 
 
 def portfolio_report(merged: DataFrame, instruments: Sequence[str], size: int = 3,
@@ -79,26 +117,34 @@ def portfolio_report(merged: DataFrame, instruments: Sequence[str], size: int =
     """for every ordered triple: summed returns -> sharpe = mean/std(ddof 1)*sqrt(n),
     total, pct_win = share(>= 0)*100.
 
-    Each distinct member set is one group of aggregate expressions over the
-    wide table (one pass, partial aggregation); permutations share their
-    set's numbers and are attached from the small parameter table.
+    Every partition reduces its rows to one row per member set (count, sum, squared deviations,
+    wins), sets taken some thousands at a time; those are added up by set, and the orders of a
+    set share its numbers. Nothing is listed on the driver and the plan does not grow
+    with the number of instruments.
     """
     inst = sorted(instruments)
-    sets = list(itertools.combinations(inst, size))
-    aggs = []
-    for i, s in enumerate(sets):
-        r = sum(F.col(f"`{m}`") for m in s)
-        aggs += [F.avg(r).alias(f"m{i}"), F.stddev_samp(r).alias(f"s{i}"), F.sum(r).alias(f"t{i}"),
-                 F.count_if(r >= F.lit(0)).alias(f"w{i}")]
-    one = merged.agg(F.count(F.lit(1)).alias("n"), *aggs)
-    rows = [F.struct(F.lit(i).alias("set_id"), F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
-                     F.col(f"t{i}").alias("total"), F.col(f"w{i}").alias("wins")) for i in range(len(sets))]
-    stats = one.select("n", F.explode(F.array(*rows)).alias("r")).select("n", "r.*")
-    stats = stats.select(
-        "set_id",
-        (safe_div(F.col("mean"), F.col("std")) * F.sqrt(F.col("n").cast("double"))).alias("sharpe_ratio"),
-        F.col("total"),
-        (safe_div(F.col("wins").cast("double"), F.col("n").cast("double")) * F.lit(100.0)).alias("pct_win"),
-    )
-    perms = portfolios(merged.sparkSession, instruments, size, distinct_sets)
-    return perms.join(F.broadcast(stats), on="set_id", how="inner").drop("set_id")
+    n = len(inst)
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = _matrices(batches, n)
+        if not len(x):
+            return
+        sets = itertools.combinations(range(n), size)
+        step = max(1, 4_000_000 // len(x))                    # about 32 MB of summed returns at a time
+        while chunk := list(itertools.islice(sets, step)):
+            at = np.array(chunk, dtype=np.int32)
+            r = x[:, at[:, 0]].copy()
+            for k in range(1, size):
+                r += x[:, at[:, k]]
+            s, wins = r.sum(axis=0), (r >= 0).sum(axis=0)
+            r -= s / len(x)
+            yield pa.record_batch({
+                "members": pa.FixedSizeListArray.from_arrays(pa.array(at.ravel()), size).cast(pa.list_(pa.int32())),
+                "n": np.full(len(at), float(len(x))), "s": s, "q": (r * r).sum(axis=0) + s * s / len(x), "w": wins.astype(float)})
+
+    parts = merged.select(*[F.col(f"`{c}`") for c in inst]).mapInArrow(reduce, "members array<int>, n double, s double, q double, w double")
+    t = parts.groupBy("members").agg(*[F.sum(c).alias(c) for c in ("n", "s", "q", "w")])
+    std = F.sqrt(F.greatest(F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.lit(0.0)) / F.when(F.col("n") > 1, F.col("n") - 1))
+    stats = t.select("members", (safe_div(F.col("s") / F.col("n"), std) * F.sqrt("n")).alias("sharpe_ratio"),
+                     F.col("s").alias("total"), (F.col("w") / F.col("n") * F.lit(100.0)).alias("pct_win"))
+    return _named(stats, inst, size, distinct_sets).drop("members")
