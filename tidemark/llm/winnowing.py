@@ -76,10 +76,13 @@ def _chosen(df: DataFrame, window: int, short: list[int]) -> DataFrame:
         return F.struct(x.alias("fp"), F.lit(k).alias("size"), i.alias("p"), F.transform(
             F.sequence(i - before, i + (k - 1 + after)), lambda j: F.get(F.col("words"), j)).alias("near"))
 
+    def whole(k):
+        return lambda x, i: row(x, i, k, 0, 0)
+
     rows = [F.filter(F.transform("g", lambda x, i: F.when(keep(x, i), row(x, i, K, side, side))), lambda x: x.isNotNull())]
     for k in short:
         df = df.withColumn(f"g{k}", _grams("h", "n", k))
-        rows.append(F.transform(f"g{k}", lambda x, i, k=k: row(x, i, k, 0, 0)))
+        rows.append(F.transform(f"g{k}", whole(k)))
     return df.withColumn("at", F.explode(F.concat(*rows))).select(
         *[c for c in df.columns if c in ("doc_id", "key", "item_id", "n")], "at.*")
 
