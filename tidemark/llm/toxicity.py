@@ -25,11 +25,13 @@ from tidemark.llm import textnum as T
 from tidemark.llm.common import slices
 
 #: Bound on the labelled documents that the field is trained on: so many of each label, by hash of doc_id.
-TRAIN_TOXIC, TRAIN_CLEAN = 1500, 2500
+TRAIN_TOXIC, TRAIN_CLEAN = 1000, 2000
 #: log2 of the number of hashed weights; byte lengths of the prefixes that are features.
 BITS, PREFIXES = 21, (3, 4, 5, 6)
 ROUNDS, RATE, RIDGE = 40, 0.5, 1e-4
 SLICE_BYTES, ROW = 4 << 20, 64
+#: Bytes of text that training handles at once.
+PART_BYTES = 2 << 20
 #: A feature marks tokens if it is so bound to toxic documents, beyond what chance explains.
 PURITY, DOUBT = 0.9, 0.05
 
@@ -42,7 +44,7 @@ def features(column: pa.Array) -> tuple[T.Words, np.ndarray]:
     """Words of the texts; a row of feature numbers for each (0: no feature)."""
     w = T.words(column, _PUNCT, fold=True)
     size, lead = w.end - w.start, w.lead()
-    out = np.zeros((len(size), 1 + len(PREFIXES)), np.int64)
+    out = np.zeros((len(size), 1 + len(PREFIXES)), np.int32)
     shift = np.uint64(64 - BITS)
     out[:, 0] = T.mix(w.hashes()) >> shift
     for i, n in enumerate(PREFIXES):
@@ -94,9 +96,9 @@ class Field:
     score: np.ndarray      # of the document: constant, largest marginal's log-odds, log of the sum of marginals
 
     def emissions(self, f: np.ndarray) -> np.ndarray:
-        return np.clip(self.weights[f].sum(axis=1), -30, 30)
+        return np.clip(sum(self.weights[f[:, i]] for i in range(f.shape[1])), -30, 30)
 
-    def messages(self, f: np.ndarray, w: T.Words):
+    def messages(self, f: np.ndarray, w: T.Words | Part):
         e = self.emissions(f)
         first, last = np.zeros(len(e), bool), np.zeros(len(e), bool)
         some = w.n > 0
@@ -104,11 +106,11 @@ class Field:
         a, b, s = self.chain
         return e, first, _ratios(e, first, a, b, s, True), _ratios(e, last, a, b, s, False)
 
-    def marginals(self, f: np.ndarray, w: T.Words) -> np.ndarray:
+    def marginals(self, f: np.ndarray, w: T.Words | Part) -> np.ndarray:
         _, _, r, q = self.messages(f, w)
         return r * q / (1 + r * q)
 
-    def documents(self, p: np.ndarray, w: T.Words) -> tuple[np.ndarray, np.ndarray]:
+    def documents(self, p: np.ndarray, w: T.Words | Part) -> tuple[np.ndarray, np.ndarray]:
         """(features, score) of every document; one without words has the least marginal that occurs."""
         top = np.full(len(w.n), 1e-9)
         np.maximum.at(top, w.doc, p)
@@ -118,71 +120,103 @@ class Field:
         return x, 1 / (1 + np.exp(-np.clip(x @ self.score, -500, 500)))
 
 
-def _distinct(w: T.Words) -> np.ndarray:
-    """Documents without an earlier near copy (it shares one of four least hashes of four-word shingles).
+@dataclass
+class Part:
+    """Some training documents: what the field needs of their words, and little more."""
+
+    n: np.ndarray
+    first: np.ndarray
+    doc: np.ndarray
+    f: np.ndarray
+    toxic: np.ndarray
+    y: np.ndarray | None = None
+
 
-    Copies of one toxic document would bind all its words to the label."""
+def _least_hashes(w: T.Words) -> np.ndarray:
+    """Four least hashes of each document's four-word shingles; the greatest value without shingles."""
     g, inside = T.grams(w.hashes(), w.doc, 4)
     doc, g = w.doc[: len(g)][inside], g[inside]
-    keep = np.ones(len(w.n), bool)
+    out = np.full((len(w.n), 4), np.uint64(2**64 - 1))
     if len(doc):
         at = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
         for i in range(4):
-            least = np.minimum.reduceat(T.mix(g ^ _KEY[i]), at)
-            first = np.zeros(len(at), bool)
-            first[np.unique(least, return_index=True)[1]] = True
-            keep[doc[at[~first]]] = False
-    return keep
-
-
-def _marked(f: np.ndarray, w: T.Words, toxic: np.ndarray) -> np.ndarray:
-    """Tokens of toxic documents with a feature that is bound to toxic documents."""
+            out[doc[at], i] = np.minimum.reduceat(T.mix(g ^ _KEY[i]), at)
+    return out
+
+
+def _parts(texts: list[str | None], toxic: np.ndarray) -> list[Part]:
+    """The documents in parts of bounded size, without those that have an earlier near copy (it shares one of
+    the four least hashes): copies of one toxic document would bind all its words to the label."""
+    column = pa.array(texts, pa.large_string())
+    rows = list(slices(pa.record_batch({"text": column}), ["text"], PART_BYTES))
+    least = np.concatenate([_least_hashes(T.words(r.column("text"), _PUNCT, fold=True)) for r in rows] or [np.zeros((0, 4), np.uint64)])
+    keep = np.ones(len(least), bool)
+    for i in range(4):
+        first = np.zeros(len(least), bool)
+        first[np.unique(least[:, i], return_index=True)[1]] = True
+        keep &= first | (least[:, i] == np.uint64(2**64 - 1))
+    out, at = [], 0
+    for r in rows:
+        mine = keep[at : at + r.num_rows]
+        w, f = features(r.column("text").filter(pa.array(mine)))
+        out.append(Part(w.n, w.first, w.doc, f, toxic[at : at + r.num_rows][mine]))
+        at += r.num_rows
+    return out
+
+
+def _mark(parts: list[Part]) -> None:
+    """Labels of the tokens: in toxic documents, those with a feature that is bound to toxic documents."""
     n_bits = 1 << BITS
+    toxic = np.concatenate([p.toxic for p in parts])
     rate = float(np.clip(toxic.mean(), 1e-3, 1 - 1e-3))
-    seen = np.unique(w.doc[:, None] * n_bits + f)
-    doc, feature = seen // n_bits, seen % n_bits
-    bad = np.bincount(feature, weights=toxic[doc], minlength=n_bits)
-    n = np.bincount(feature, minlength=n_bits)
+    bad, n = np.zeros(n_bits), np.zeros(n_bits)
+    for p in parts:
+        for i in range(p.f.shape[1]):
+            seen = np.unique(p.doc * n_bits + p.f[:, i])
+            bad += np.bincount(seen % n_bits, weights=p.toxic[seen // n_bits], minlength=n_bits)
+            n += np.bincount(seen % n_bits, minlength=n_bits)
     share = np.clip(bad / np.maximum(n, 1), 1e-12, 1 - 1e-12)
     surprise = n * (share * np.log(share / rate) + (1 - share) * np.log((1 - share) / (1 - rate)))
     sure = (share >= PURITY) & (surprise > np.log((n > 0).sum() / DOUBT))
     sure[0] = False
-    return sure[f].any(axis=1) & (toxic[w.doc] > 0)
+    for p in parts:
+        p.y = (sure[p.f].any(axis=1) & (p.toxic[p.doc] > 0)).astype(float)
 
 
 def train(texts: list[str | None], toxic: np.ndarray) -> Field:
     """Fit the field and the document score to labelled texts (numpy, on the bounded sample)."""
-    keep = _distinct(features(pa.array(texts, pa.large_string()))[0])
-    texts, toxic = [t for t, k in zip(texts, keep) if k], toxic[keep]
-    w, f = features(pa.array(texts, pa.large_string()))
     field = Field(np.zeros(1 << BITS), np.array([-4.0, 0.0, -4.0]), np.array([-2.0, 0.5, 0.0]))
-    if not len(f) or not toxic.any() or toxic.all():
+    parts = _parts(texts, toxic)
+    n_words = sum(len(p.doc) for p in parts)
+    if not n_words or not toxic.any() or toxic.all():
         rate = (toxic.sum() + 0.5) / (len(toxic) + 1)
         field.score = np.array([np.log(rate / (1 - rate)), 0.0, 0.0])
         return field
-    y = _marked(f, w, toxic).astype(float)
-    before = np.append(0.0, y[:-1])
+    _mark(parts)
     m_w, v_w = np.zeros(1 << BITS), np.zeros(1 << BITS)
     m_c, v_c = np.zeros(3), np.zeros(3)
     for i in range(1, ROUNDS + 1):
-        e, first, r, q = field.messages(f, w)
-        p = r * q / (1 + r * q)
-        prev = np.append(1.0, r[:-1])
-        a, b, _ = field.chain
-        x = np.exp(e) * q
-        four = 1 + prev + np.exp(a) * x + np.exp(b) * prev * x
-        inner = ~first
-        grad = np.array([(inner * ((1 - before) * y - np.exp(a) * x / four)).sum(),
-                         (inner * (before * y - np.exp(b) * prev * x / four)).sum(), (first * (y - p)).sum()])
-        gain = np.bincount(f.ravel(), weights=np.repeat(y - p, f.shape[1]), minlength=1 << BITS)
+        gain, grad = -RIDGE * n_words / (1 << BITS) * field.weights, -RIDGE * field.chain
+        for part in parts:
+            y, before = part.y, np.append(0.0, part.y[:-1])
+            e, first, r, q = field.messages(part.f, part)
+            p = r * q / (1 + r * q)
+            prev = np.append(1.0, r[:-1])
+            a, b, _ = field.chain
+            x = np.exp(e) * q
+            four = 1 + prev + np.exp(a) * x + np.exp(b) * prev * x
+            inner = ~first
+            grad += np.array([(inner * ((1 - before) * y - np.exp(a) * x / four)).sum(),
+                              (inner * (before * y - np.exp(b) * prev * x / four)).sum(), (first * (y - p)).sum()])
+            for k in range(part.f.shape[1]):
+                gain += np.bincount(part.f[:, k], weights=y - p, minlength=1 << BITS)
         gain[0] = 0
-        gain -= RIDGE * len(y) / (1 << BITS) * field.weights
-        grad -= RIDGE * field.chain
         for g, mean, var, at in ((gain, m_w, v_w, field.weights), (grad, m_c, v_c, field.chain)):
             mean += 0.1 * (g - mean)
             var += 0.01 * (g * g - var)
             at += RATE * (mean / (1 - 0.9**i)) / (np.sqrt(var / (1 - 0.99**i)) + 1e-6)
-    x, _ = field.documents(field.marginals(f, w), w)
+    x = np.concatenate([field.documents(field.marginals(p.f, p), p)[0] for p in parts])
+    toxic = np.concatenate([p.toxic for p in parts])
     beta = np.array([0.0, 0.1, 0.0])
     for _ in range(30):  # Newton steps of a logistic regression with a small ridge
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
@@ -190,6 +224,7 @@ def train(texts: list[str | None], toxic: np.ndarray) -> Field:
         step = np.linalg.solve(h, x.T @ (toxic - p) - 0.1 * beta)
         beta = beta + np.clip(step, -2, 2)
     field.score = beta
+    field.weights = field.weights.astype(np.float32)
     return field
 
 
