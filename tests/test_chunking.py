@@ -158,3 +158,15 @@ def test_signature_by_definition():
                 a, b = x == x and Fraction(x) > mean, x == x and Fraction(x) > median
                 want += format({"mean": a * 8 + 7, "median": b * 8 + 7, "mean_median": a * 8 + b * 4 + 3}[kind], "x")
             assert got[i] == want
+
+
+def test_a_silent_year(spark):
+    """Two ticks a year apart on a one-second grid: every point is there, and no array holds the gap."""
+    from helpers import quotes_df
+
+    year = 365 * 86400
+    q = quotes_df(spark, [(0, 1.0, 1.0), (year, 2.0, 2.0)])
+    for g in (G.resample_last(q, 1, ("bid_price",)), G.resample_asof_next(q, 1, ("bid_price",))):
+        r = g.agg(F.count("*").alias("n"), F.max("g").alias("hi"), F.min("g").alias("lo"),
+                  F.sum((F.col("bid_price") == 2.0).cast("int")).alias("filled")).first()
+        assert r.n == year + 1 and r.hi - r.lo == year and r.filled == year

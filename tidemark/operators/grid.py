@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import bucket, seconds_to_ts
-from tidemark.plans.chunking import CHUNK, auto_span, chunk_of, segmented_prev
+from tidemark.plans.chunking import CHUNK, auto_span, chunk_of, explode_points, segmented_prev
 from tidemark.schema import KEYS
 
 
@@ -133,11 +133,11 @@ def resample_last(
             j = j.withColumn(c, F.coalesce(F.col(c), F.col(f"_carry_{c}")))
     nb = F.coalesce(F.col("_nb"), F.col("_nb_carry"))
     if fill == "ffill":
-        gap = F.sequence(F.col("g"), F.coalesce(nb - F.lit(f), F.col("g")), F.lit(f).cast("long"))
+        lo, hi = F.col("g"), F.coalesce(nb - F.lit(f), F.col("g"))
     else:
-        gap = F.sequence(F.coalesce(nb + F.lit(f), F.col("g")), F.col("g"), F.lit(f).cast("long"))
-    out = j.select(*keys, F.col("g").alias("_src"), F.explode(gap).alias("g"), *columns,
-                   *(["grid_rows"] if with_length else []))
+        lo, hi = F.coalesce(nb + F.lit(f), F.col("g")), F.col("g")
+    out = explode_points(j.withColumn("_src", F.col("g")), lo, hi, f, "g").select(
+        *keys, "_src", "g", *columns, *(["grid_rows"] if with_length else []))
     if fill == "none":
         out = out.select(
             *keys, "g", *[F.when(F.col("g") == F.col("_src"), F.col(c)).alias(c) for c in columns],
@@ -183,9 +183,7 @@ def resample_asof_next(
     lo = F.when(F.col("_prev_us").isNull(), hi).otherwise(
         F.floor(F.col("_prev_us") / F.lit(step_us)) * F.lit(f) + F.lit(f)
     )
-    lo, hi = lo.cast("long"), hi.cast("long")
-    pts = F.when(lo <= hi, F.sequence(lo, hi, F.lit(f).cast("long")))
-    out = d.select(*keys, F.explode(pts).alias("g"), *columns)
+    out = explode_points(d, lo, hi, f, "g")
     out = out.select(*keys, "g", seconds_to_ts("g").alias("time"), *columns)
     return out.na.drop(how="any", subset=list(columns)) if dropna else out
 

@@ -56,6 +56,21 @@ def with_halo(df: DataFrame, order_col: str, span: int, before: int = 0, after:
     return df.withColumn(CHUNK, F.explode(F.sequence(lo, hi))).withColumn(OWN, F.col(CHUNK) == own)
 
 
+POINTS = 4096  # grid points of one array
+
+
+def explode_points(df: DataFrame, lo: Column, hi: Column, step: int, out: str) -> DataFrame:
+    """One row per grid point lo, lo + step ... hi (none where lo > hi), in column ``out``.
+
+    Blocks of points are exploded first, then the points of each block, so no array
+    grows with the gap: a silent year at one second is 7,700 blocks, never one value.
+    """
+    d = df.withColumn("_lo", lo.cast("long")).withColumn("_hi", hi.cast("long")).where("_lo <= _hi")
+    d = d.withColumn("_at", F.explode(F.sequence("_lo", "_hi", F.lit(int(step) * POINTS).cast("long"))))
+    last = F.least(F.col("_hi"), F.col("_at") + F.lit(int(step) * (POINTS - 1)))
+    return d.withColumn(out, F.explode(F.sequence("_at", last, F.lit(int(step)).cast("long")))).drop("_lo", "_hi", "_at")
+
+
 def own_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col(OWN)).drop(CHUNK, OWN)
 
