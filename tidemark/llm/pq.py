@@ -1,8 +1,7 @@
 """Near duplicates among vectors by product quantisation (inverted lists, residual codes, exact rerank).
 
 Coarse centroids cut the sphere into lists; a vector is stored in its nearest list as the codes of its residual
-in subspaces of four dimensions. A vector probes every list whose centroid is not much further than its nearest
-one. Within a list, distances from the probing vector to the codes come from a table; since the error of
+in subspaces of four dimensions. A vector probes the lists of its nearest centroids. Within a list, distances from the probing vector to the codes come from a table; since the error of
 each stored code is known, the distance can only be smaller by that error, and what may still be near enough
 is compared exactly (cosine in double precision). Lists are worked off in blocks of bounded size, so a
 list that holds a third of all vectors is many blocks; a block returns counts and a spanning forest, not pairs.
@@ -25,9 +24,10 @@ COSINE = 0.93
 #: Bound on the vectors that centroids and codebooks are trained on, by hash of the vector.
 TRAIN_ROWS = 20_000
 #: Vectors of one label wanted in a list; most lists (an eighth of the sample); dimensions of a subspace, codewords in it.
-LIST_ROWS, MOST_LISTS, SUB, CODES = 256, TRAIN_ROWS // 8, 4, 256
-#: A list is probed if its centroid is at most so much further than the nearest one; at least so many are.
-MARGIN, PROBES = 0.15, 6
+LIST_ROWS, MOST_LISTS, SUB, CODES = 128, TRAIN_ROWS // 8, 4, 256
+#: Lists that a vector probes, those with the nearest centroids. A link is found if either side probes the
+#: other's list: with two probes that holds for all links of the check tables, with one for 99.7 %.
+PROBES = 4
 #: Vectors on each side of a block.
 BLOCK = 1024
 
@@ -174,7 +174,7 @@ def _search(nodes: DataFrame, dim: int, cosine: float) -> DataFrame:
             home = np.argmin(d, axis=1)
             codes, miss = index.encode(x, home)
             kth = np.partition(d, min(PROBES, len(c)) - 1, axis=1)[:, min(PROBES, len(c)) - 1]
-            probe = d <= np.maximum(d[np.arange(len(x)), home] + MARGIN, kth)[:, None]
+            probe = d <= kth[:, None]
             which = np.nonzero(probe)[1].astype(np.int32)
             off = np.append(0, np.cumsum(probe.sum(axis=1))).astype(np.int32)
             yield pa.record_batch({
