@@ -79,8 +79,7 @@ def test_no_single_partition_exchange(spark, name):
     df = E.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     # a global window or sort would show up as a single-partition exchange
-    # (the portfolio's one-row global aggregate is partial-then-final and fine)
-    assert "SinglePartition" not in plan or name == "portfolio"
+    assert "SinglePartition" not in plan
     if "Window [" in plan:
         # row windows run per (instrument, chunk); only per-chunk summaries are per instrument
         assert "_chunk" in plan or "_ck" in plan
