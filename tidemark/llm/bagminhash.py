@@ -29,11 +29,13 @@ THRESHOLD = 0.8
 #: 24 bands of 4 registers: a pair at the threshold shares no band with probability 0.59 ** 24 = 3e-6.
 BANDS, ROWS = 24, 4
 #: Registers (one byte each) of the longer signature that decides which pairs of a mixed bucket are
-#: verified, and how many must agree: 4.5 standard deviations below the 1230 expected at the threshold.
+#: verified, and how many must agree: 4.5 standard deviations below the 2050 expected at the threshold.
 #: So far above it, a pair is sure to link.
-LONG, AGREE, SURE = 1536, 1160, 1300
+LONG, AGREE, SURE = 2560, 1959, 2141
 #: Bytes of text that one numpy step handles, and rows of a block of a mixed bucket.
 SLICE_BYTES, BLOCK = 4 << 20, 512
+#: Bytes of text whose longer signatures a task holds at once.
+LONG_BYTES = 1 << 20
 
 _C = [np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xC13FA9A902A6328F, 0x91E10DA5C79E7B1D)]
 
@@ -166,7 +168,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _longer(batches):
     """Longer signatures of the documents of mixed buckets, and their band keys cut to 32 bits."""
     for batch in batches:
-        for part in slices(batch, ["text"], SLICE_BYTES):
+        for part in slices(batch, ["text"], LONG_BYTES):
             doc, g, count, n = bags(part.column("text"))
             sig = T.mix(signatures(doc, g, count, n, LONG)).astype(np.uint8)
             keys = band_keys(doc, g, count, n).astype(np.uint32)
