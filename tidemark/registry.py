@@ -508,7 +508,7 @@ def q_train_logistic(spark, sf):
 
 
 def q_gbt_importances(spark, sf):
-    return MS.gbt_importances(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", max_iter=10)
+    return MS.gbt_importances(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label")
 
 
 def q_rfe(spark, sf):
@@ -516,8 +516,7 @@ def q_rfe(spark, sf):
 
 
 def q_leaderboard(spark, sf):
-    return MT.leaderboard(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", ["l_orderkey", "l_linenumber"],
-                          names=("LogisticRegression", "DecisionTreeClassifier", "GaussianNB"))
+    return MT.leaderboard(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", ["l_orderkey", "l_linenumber"])
 
 
 def _ar(spark, sf, p):
