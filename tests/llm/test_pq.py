@@ -50,6 +50,20 @@ def test_links_and_components(spark, monkeypatch):
     assert big >= 40
 
 
+def test_every_link_of_a_dense_group(spark, monkeypatch):
+    """A third of all rows are distinct near copies that fill many lists; none of their links is lost."""
+    monkeypatch.setattr(P, "LIST_ROWS", 30)
+    monkeypatch.setattr(P, "PAIRS", 1 << 10, raising=False)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 64))
+    x[:300] = x[0] + 0.24 * rng.normal(size=(300, 64))        # some pairs below the threshold, most above
+    rows = [(i, [float(c) for c in v], 1) for i, v in enumerate(x[rng.permutation(900)].astype(np.float32))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    want = brute(rows)
+    assert 30_000 < sum(n for n, _ in want.values()) < 89_000
+    assert {r.vec_id: (r.n_links, r.component_id) for r in P.near_duplicate_vectors(df).collect()} == want
+
+
 def test_no_links(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert P.near_duplicate_vectors(spark.createDataFrame([], schema)).collect() == []

@@ -1,10 +1,12 @@
 """Near duplicates among vectors by product quantisation (inverted lists, residual codes, exact rerank).
 
 Coarse centroids cut the sphere into lists; a vector is stored in its nearest list as the codes of its residual
-in subspaces of four dimensions. A vector probes the lists of its nearest centroids. Within a list, distances from the probing vector to the codes come from a table; since the error of
-each stored code is known, the distance can only be smaller by that error, and what may still be near enough
-is compared exactly (cosine in double precision). Lists are worked off in blocks of bounded size, so a
-list that holds a third of all vectors is many blocks; a block returns counts and a spanning forest, not pairs.
+in subspaces of four dimensions. A vector probes every list that can hold a vector near enough: between it and the
+cell of another centroid lies at least its distance to the plane halfway between that centroid and its own. So no link
+is lost, however many lists lie about as near. Within a list, distances from the probing vector to the codes come
+from a table; since the error of each stored code is known, the distance can only be smaller by that error, and what
+may still be near enough is compared exactly (cosine in double precision). Lists are worked off in blocks of bounded
+size, so a list that holds a third of all vectors is many blocks; a block returns counts and a spanning forest, not pairs.
 """
 
 from __future__ import annotations
@@ -24,12 +26,9 @@ COSINE = 0.93
 #: Bound on the vectors that centroids and codebooks are trained on, by hash of the vector.
 TRAIN_ROWS = 20_000
 #: Vectors of one label wanted in a list; most lists (an eighth of the sample); dimensions of a subspace, codewords in it.
-LIST_ROWS, MOST_LISTS, SUB, CODES = 128, TRAIN_ROWS // 8, 4, 256
-#: Lists that a vector probes, those with the nearest centroids. A link is found if either side probes the
-#: other's list: with two probes that holds for all links of the check tables, with one for 99.7 %.
-PROBES = 4
-#: Vectors on each side of a block.
-BLOCK = 1024
+LIST_ROWS, MOST_LISTS, SUB, CODES = 4096, TRAIN_ROWS // 8, 4, 256
+#: Vectors on each side of a block; pairs of a block compared at a time.
+BLOCK, PAIRS = 2048, 1 << 20
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -115,6 +114,41 @@ def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[child], names[low[child]]
 
 
+def _spanning(same: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_forest`` of the pairs (p[i], q[j]) with ``same[i, j]``, without listing them.
+
+    Every row and column first takes one of its links, then one that leaves its component, until none does.
+    """
+    names, at = np.unique(np.concatenate([p, q]), return_inverse=True)
+    a, b = at[: len(p)], at[len(p) :]
+    low, rest = np.arange(len(names)), same
+    while rest.any():
+        i, j = np.flatnonzero(rest.any(axis=1)), np.flatnonzero(rest.any(axis=0))
+        u = np.concatenate([a[i], a[rest[:, j].argmax(axis=0)]])
+        v = np.concatenate([b[rest[i].argmax(axis=1)], b[j]])
+        child, least = _forest(low[u], low[v])
+        to = np.arange(len(names))
+        to[child] = least
+        low = to[low]
+        rest = same & (low[a][:, None] != low[b][None, :])
+    child = low != np.arange(len(names))
+    return names[child], names[low[child]]
+
+
+def _same(x: np.ndarray, y: np.ndarray, near: np.ndarray, cosine: float) -> np.ndarray:
+    """Which of the pairs marked in ``near`` have the cosine, exactly; where many are marked, a product decides the clear ones."""
+    same = np.zeros(near.shape, bool)
+    if near.sum() > near.size // 64:
+        product = x @ y.T
+        same = near & (product >= cosine)
+        near = near & (np.abs(product - cosine) < 1e-12)
+    a, b = np.nonzero(near)
+    for s in range(0, len(a), 1 << 16):                       # some pairs at a time
+        i, j = a[s : s + (1 << 16)], b[s : s + (1 << 16)]
+        same[i, j] = np.einsum("ij,ij->i", x[i], y[j]) >= cosine - 1e-15
+    return same
+
+
 def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """Links between vectors of one label whose cosine is at least ``cosine``, and their components.
 
@@ -163,6 +197,7 @@ def _search(nodes: DataFrame, dim: int, cosine: float) -> DataFrame:
     """Rows ``node, other, links``: links > 0 adds to a node's count, links = 0 says that the two are connected."""
     index = _train(nodes, dim)
     reach = np.sqrt(2 - 2 * cosine)
+    apart = np.stack([np.sqrt(((index.centroids - c) ** 2).sum(axis=1)) for c in index.centroids])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,8 +208,10 @@ def _search(nodes: DataFrame, dim: int, cosine: float) -> DataFrame:
             d = np.sqrt(np.maximum(1 + (c * c).sum(axis=1)[None, :] - 2 * x @ c.T, 0))
             home = np.argmin(d, axis=1)
             codes, miss = index.encode(x, home)
-            kth = np.partition(d, min(PROBES, len(c)) - 1, axis=1)[:, min(PROBES, len(c)) - 1]
-            probe = d <= kth[:, None]
+            # the plane halfway to another centroid is (d^2 - nearest^2) / (2 * distance of the centroids) away; of
+            # two lists, vectors of the first probe the second
+            far = d * d - d[np.arange(len(x)), home][:, None] ** 2
+            probe = (far <= 2 * apart[home] * reach + 1e-6) & (np.arange(len(c)) >= home[:, None])
             which = np.nonzero(probe)[1].astype(np.int32)
             off = np.append(0, np.cumsum(probe.sum(axis=1))).astype(np.int32)
             yield pa.record_batch({
@@ -191,7 +228,7 @@ def _search(nodes: DataFrame, dim: int, cosine: float) -> DataFrame:
     key = F.xxhash64("node")
     stored = placed.withColumn("list", F.col("home")).join(blocks, ["label", "list"]).select(
         "label", "list", F.pmod(key, "held").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("asking") - 1)).alias("j"),
-        "node", "n", "vec", "home", "miss", "code", "probes")
+        "node", "n", "vec", "miss", "code")
     asks = asks.join(blocks, ["label", "list"]).select(
         F.col("label").alias("a_label"), F.col("list").alias("a_list"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("held") - 1)).alias("a_i"), F.pmod(key, "asking").alias("a_j"),
@@ -204,28 +241,25 @@ def _search(nodes: DataFrame, dim: int, cosine: float) -> DataFrame:
             x, y = _units(ask["a_vec"].to_pylist(), dim), _units(held["vec"].to_pylist(), dim)
             code = np.frombuffer(b"".join(held["code"].to_pylist()), np.uint8).reshape(len(y), -1)
             here = held["list"][0].as_py()
-            near = index.distances(x, here, code) <= reach + held["miss"].to_numpy()[None, :] + 1e-4
-            a, b = np.nonzero(near)
-            same = np.zeros(len(a), bool)
-            for s in range(0, len(a), 1 << 18):               # exact, some pairs at a time
-                same[s : s + (1 << 18)] = np.einsum("ij,ij->i", x[a[s : s + (1 << 18)]], y[b[s : s + (1 << 18)]]) >= cosine - 1e-15
-            p, q = ask["a_node"].to_numpy(), held["node"].to_numpy()
-            same &= p[a] != q[b]
-            a, b = a[same], b[same]
-            if len(a):
-                # the stored side counts the link too, unless it probes the asking side's list itself
-                lists = held["probes"].combine_chunks()
-                n_lists = len(index.centroids)
-                owner = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy()))
-                probing = np.unique(owner * n_lists + lists.flatten().to_numpy())
-                home = ask["a_home"].to_numpy()
-                back = ~np.isin(b * n_lists + home[a], probing)
-                for who, number, pairs in ((p, held["n"].to_numpy()[b], a), (q, np.where(back, ask["a_n"].to_numpy()[a], 0), b)):
-                    total = np.bincount(pairs, weights=number, minlength=len(who)).astype(np.int64)
+            miss, p, q = held["miss"].to_numpy(), ask["a_node"].to_numpy(), held["node"].to_numpy()
+            n, m = ask["a_n"].to_numpy(), held["n"].to_numpy()
+            other_list = ask["a_home"].to_numpy() != here     # there the stored side doesn't ask, so it counts the link here
+            stored, step = np.zeros(len(y)), max(1, PAIRS // len(y))
+            for s in range(0, len(x), step):
+                part = slice(s, s + step)
+                near = index.distances(x[part], here, code) <= reach + miss[None, :] + 1e-4
+                near &= p[part][:, None] != q[None, :]
+                same = _same(x[part], y, near, cosine)
+                if same.any():
+                    one = same.astype(np.float64)
+                    total = (one @ m).astype(np.int64)
+                    stored += np.where(other_list[part], n[part], 0) @ one
                     some = np.flatnonzero(total)
-                    node.append(who[some]), other.append(who[some]), links.append(total[some])
-                child, least = _forest(p[a], q[b])
-                node.append(child), other.append(least), links.append(np.zeros(len(child), np.int64))
+                    node.append(p[part][some]), other.append(p[part][some]), links.append(total[some])
+                    child, least = _spanning(same, p[part], q)
+                    node.append(child), other.append(least), links.append(np.zeros(len(child), np.int64))
+            some = np.flatnonzero(stored)
+            node.append(q[some]), other.append(q[some]), links.append(stored[some].astype(np.int64))
         return pa.table({"node": np.concatenate(node), "other": np.concatenate(other), "links": np.concatenate(links)})
 
     cell = ["label", "list", "i", "j"]
