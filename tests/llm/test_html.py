@@ -22,6 +22,36 @@ def test_pages_without_article_go_by_density():
     assert main_text(page) == f"Short head {text} And so. {text}"
 
 
+RUSSIAN = "Старый дом на холме много лет стоял пустым, но жители деревни говорили, что по ночам в окне горит свет. " * 3
+CHINESE = "山上的老房子空了很多年，村里的人说夜里窗户里总有灯光，可是谁也不敢走近去看一看里面究竟住着什么人。"
+MENU = "".join(f'<li><a href="/{i}">Item number {i} of the menu</a></li>' for i in range(5))
+
+
+def test_unlisted_languages_and_code():
+    for p in (RUSSIAN, CHINESE, CHINESE * 6, "x1 = f(y1); " * 30):
+        p = " ".join(p.split())
+        assert main_text(f"<ul>{MENU}</ul><div><p>{p}</p><p>{p}</p></div><ul>{MENU}</ul>") == f"{p} {p}"
+    text = " ".join(LONG.split())   # next to text of a listed language
+    assert main_text(f"<p>{LONG}</p><p>{RUSSIAN}</p><p>{LONG}</p>") == f"{text} {' '.join(RUSSIAN.split())} {text}"
+
+
+def test_short_paragraphs_and_single_links():
+    medium = "Prices rose sharply again yesterday; traders expected further gains across several markets worldwide soon."
+    text = " ".join(LONG.split())
+    assert main_text(f"<ul>{MENU}</ul><p>{medium}</p><p>Next.</p><p>{medium}</p><ul>{MENU}</ul>") == f"{medium} Next. {medium}"
+    assert main_text(f"<p>{LONG}</p><p>{medium}</p><p>Next.</p><p>{LONG}</p>") == f"{text} {medium} Next. {text}"
+    assert main_text(f"<p>{LONG}</p><p>{medium * 3} <a href='/x'>here</a></p><p>{LONG}</p>") == f"{text} {medium * 3} here {text}"
+
+
+def test_class_words_alone_drop_no_page():
+    text = " ".join(LONG.split())
+    for name in ("content no-sidebar", "layout sidebar-left", "cookie-page", "post comments-open"):
+        page = f'<div class="{name}"><p>{LONG}</p><div class="sidebar">Tags and the like</div><p>{LONG}</p></div><ul>{MENU}</ul>'
+        assert main_text(page) == f"{text} {text}", name
+    assert main_text(f'<p>{LONG}</p><div class="sidebar"><p>{PROSE * 2}</p></div>') == text
+    assert main_text(f'<p>{LONG}</p><div class="comments"><p>{LONG}</p><p>{LONG}</p></div>') == text
+
+
 def test_broken_pages():
     assert main_text(None) == main_text("") == main_text("<nav>a</nav>") == ""
     assert main_text("<article><p>a &am &quo; &#x41;&#66; b") == "a &am &quo; AB b"
