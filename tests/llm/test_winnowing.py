@@ -50,6 +50,16 @@ def test_against_definition(spark):
     assert got(S.find_contamination(d, b)) == brute(docs, items)
 
 
+def test_words_are_equal_whatever_surrounds_them(spark):
+    """The lower case of a Greek capital sigma depends on the next character; only A-Z are folded."""
+    items = [(1, "ΚΟΣ ΑΒΓ"), (2, "ΚΟΣ " * 12)]
+    docs = [(i, f"one ΚΟΣ{c}ΑΒΓ two") for i, c in enumerate(" .':")] + [(4, "ΚΟΣ." * 12 + "end"), (5, "κος αβγ")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    assert got(S.find_contamination(d, b)) == brute(docs, items)
+    assert [x[2] for x in brute(docs, items)] == [2, 2, 2, 2, 12, 0]
+
+
 def test_shuffled_joins_give_the_same(spark, monkeypatch, odd_docs):
     """Beyond the broadcast bound the same joins run as shuffles."""
     b = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog while seven wizards")], "item_id long, text string")

@@ -32,16 +32,11 @@ def _words(text: Column) -> Column:
 
 
 def exact_words(text: str) -> Column:
-    """The words of the contract."""
+    """The words of the contract, also those that are hashed: ``lower`` would tell equal words apart, since a
+    Greek capital sigma is lowered by what surrounds it."""
     return _words(F.translate(F.col(text), UPPER, LOWER))
 
 
-def loose_words(text: str) -> Column:
-    """As many words; ``lower`` is faster than ``translate`` and merges no words that must stay apart
-    without the exact comparison noticing it later."""
-    return _words(F.lower(F.col(text)))
-
-
 def _grams(h: str, n: str, k: int) -> Column:
     """Hashes of all k-grams of an array of word hashes (empty if it has fewer words)."""
     each = F.transform(F.col(h), lambda x, i: F.xxhash64(F.lit(k), x, *(F.get(F.col(h), i + j) for j in range(1, k))))
@@ -112,8 +107,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     """
     docs = docs.select("doc_id", "text").withColumn("key", F.xxhash64("text"))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
-    items = _hashed(items, exact_words("text")).withColumn("h", F.transform(
-        _words(F.lower(F.col("text"))), lambda x: F.xxhash64(x))).where("n_words > 0")
+    items = _hashed(items, exact_words("text")).where("n_words > 0")
     lengths = items.where(F.col("n_words") < window).select("n_words").distinct()  # nine values at most
     short = sorted(r[0] for r in lengths.collect())
     prints = _chosen(items, window, short)
@@ -123,7 +117,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     prints = landed(prints.drop("n"), "prints")
 
     # 1: documents that share a fingerprint; the null stands for the document itself
-    first = _hashed(docs, loose_words("text")).withColumn("n", F.col("n_words").cast("int"))
+    first = _hashed(docs, exact_words("text")).withColumn("n", F.col("n_words").cast("int"))
     first = first.withColumn("g", _grams("h", "n", K))
     sought = [F.array_distinct(_least("g", "n", window)), *(F.array_distinct(_grams("h", "n", k)) for k in short)]
     first = first.select("doc_id", "key", "n_words", F.explode(
@@ -137,9 +131,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     again = _small(first.where("known = 1").select("doc_id", "key"))
     near = docs.alias("d").join(again.alias("a"), F.col("d.doc_id").eqNullSafe(F.col("a.doc_id"))
                                 & (F.col("d.key") == F.col("a.key")), "left_semi").distinct()
-    near = near.withColumn("words", exact_words("text")).withColumn("n_words", F.size("words").cast("long"))
-    near = near.withColumn("h", F.transform(loose_words("text"), lambda x: F.xxhash64(x)))
-    near = _chosen(near, window, short)
+    near = _chosen(_hashed(near, exact_words("text")), window, short)
     hit = near.join(_small(prints.select("fp", "size", "item_id", F.col("near").alias("theirs"))), ["fp", "size"])
     side = window - K
     same = [F.get("near", F.lit(i)) == F.get("theirs", F.lit(i)) for i in range(2 * side + K)]
