@@ -144,3 +144,16 @@ def test_buffer_state_with_late_ticks():
             got = [tuple(r[2:]) for out in fn(("X", "Y"), iter([frame]), state) for r in out.itertuples(index=False)]
             assert got == want
             assert not state.exists or dict(zip(*state.get)) == buf
+
+
+def test_stream_signal_runs_a_batch_for_each_file(spark, monkeypatch):
+    """The grid arrives as several micro-batches in time order, so the state is carried between them."""
+    import glob
+
+    from tidemark import registry
+
+    made, fresh = {}, registry._stream_dir
+    monkeypatch.setattr(registry, "_stream_dir", lambda s, name: made.setdefault(name, fresh(s, name)))
+    assert registry.q_stream_signal(spark, "/root/testdata/sf0.001").count() > 0
+    folder = made["stream_signal"].removeprefix("file:")
+    assert len(glob.glob(f"{folder}/ckpt/commits/[0-9]*")) == registry.STREAM_FILES

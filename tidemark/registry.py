@@ -612,14 +612,17 @@ STREAM_FILES = 8  # micro-batches of a streaming query
 
 
 def _events_stream(spark, sf):
-    """The events table, one file or many in whatever order, as a stream of files in time order.
+    """The events table, one file or many in whatever order, as a stream of files in time order."""
+    return _file_stream(spark, table(spark, sf, "events"), _stream_dir(spark, "events"), ["ts", "event_id"])
+
+
+def _file_stream(spark, rows: DataFrame, path: str, order: list[str]) -> DataFrame:
+    """Rows landed as files in ``order`` (time first), streamed with a micro-batch for each file.
 
     Rows are range-partitioned by time into files; a file stream goes by modification
     times, so those are set in the files' order before the stream starts.
     """
-    events = table(spark, sf, "events")
-    path = _stream_dir(spark, "events")
-    events.repartitionByRange(STREAM_FILES, "ts", "event_id").sortWithinPartitions("ts", "event_id").write.parquet(path)
+    rows.repartitionByRange(STREAM_FILES, *order).sortWithinPartitions(*order).write.parquet(path)
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -627,7 +630,7 @@ def _events_stream(spark, sf):
     newest = max(f.getModificationTime() for f in fs.listStatus(folder))
     for i, f in enumerate(files):  # as many as STREAM_FILES
         fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), newest + 1000 * (i - len(files)), -1)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _run_stream(spark, sdf, name: str) -> DataFrame:
@@ -676,11 +679,9 @@ def q_stream_signal(spark, sf):
     from tidemark.streaming.state import pattern_stream
 
     g = G.resample_last(_q(spark, sf), P["freq"], ("bid_price", "ask_price"))
-    d = _stream_dir(spark, "grid")
-    g.write.parquet(f"{d}/grid")
+    src = _file_stream(spark, g, _stream_dir(spark, "grid"), ["time", *KEYS])
     offs = T_.sample_offsets(P["pat_samples"], P["pat_step"])
     buy = T_.buy_patterns(T_.pattern_score(_patterns(spark, sf, "mean"), P["pat_threshold"]))
-    src = spark.readStream.schema(g.schema).parquet(f"{d}/grid")
     return _run_stream(spark, pattern_stream(src, buy, P["window"] // P["freq"], offs), "stream_signal")
 
 
