@@ -143,7 +143,8 @@ def test_job_patterns(spark, tmpdir_path):
     n_buy = out["buy"].count()
     assert out["signals"].where("signal = 1").count() >= n_buy
     stored = load_buy_patterns(spark, f"{tmpdir_path}/scores")
-    assert stored.distinct().count() == out["buy"].select("pattern").distinct().count()
+    keys = ["exchange", "symbol", "pattern"]
+    assert stored.select(*keys).distinct().count() == out["buy"].select(*keys).distinct().count()
 
 
 def test_two_hundred_instruments_plan_at_once(spark):

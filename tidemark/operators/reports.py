@@ -133,15 +133,16 @@ def rank_within(df: DataFrame, group: str, by: str, out: str = "rank") -> DataFr
     partitioning), so a group that holds most rows is many ranges: a row's rank is
     its place in its range plus the group's rows in the ranges before.
     """
+    columns = [F.col(f"`{c}`") for c in df.columns]
     others = [F.col(f"`{c}`") for c in df.columns if c not in (group, by)]
     order = [F.col(f"`{by}`").desc(), *others]
     d = materialize(df.repartitionByRange(F.col(f"`{group}`"), *order).withColumn("_ck", F.spark_partition_id()))
-    cnt = d.groupBy(group, "_ck").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(group).orderBy("_ck").rowsBetween(Window.unboundedPreceding, -1)
+    cnt = d.groupBy(F.col(f"`{group}`"), "_ck").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(F.col(f"`{group}`")).orderBy("_ck").rowsBetween(Window.unboundedPreceding, -1)
     cnt = cnt.select(F.col(f"`{group}`").alias("_g"), F.col("_ck").alias("_k"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
     d = d.join(cnt, F.col(f"`{group}`").eqNullSafe(F.col("_g")) & (F.col("_ck") == F.col("_k")))
-    w = Window.partitionBy(group, "_ck").orderBy(*order)
-    return d.withColumn(out, (F.col("_before") + F.row_number().over(w)).cast("int")).select(*df.columns, out)
+    w = Window.partitionBy(F.col(f"`{group}`"), "_ck").orderBy(*order)
+    return d.withColumn(out, (F.col("_before") + F.row_number().over(w)).cast("int")).select(*columns, out)
 
 
 def last_report(report: DataFrame, instrument: str = "instrument_id", created: str = "created_at",
