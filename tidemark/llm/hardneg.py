@@ -8,8 +8,9 @@ below the k-th score found in each window of scores the anchor asks for (the win
 so rows that tie with the k-th are all met. Blocks return at most k rows a window; those merge by partial top-k.
 
 Two passes: the first finds an anchor's positives in the blocks that hold its label, the second takes the windows that
-follow from the positives' scores to the blocks of all labels. Anchors travel in groups, each against each block, and
-neither side of such a job grows with the tables.
+follow from the positives' scores to the blocks of all labels. Anchors travel in groups, each against runs of blocks, and
+neither side of such a job grows with the tables. What a window has found in the run's earlier blocks counts as its k-th
+score in the later ones, so those are read less far.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import buckets_for, landed, table
 
-#: Rows of a block (at most 65,536: places are 16 bits), anchors of a group, places that lists are read at first.
-BLOCK_ROWS, ANCHOR_ROWS, FIRST_DEPTH = 8192, 512, 32
+#: Rows of a block (at most 65,536: places are 16 bits) and of a run of blocks, anchors of a group, places that lists
+#: are read at first.
+BLOCK_ROWS, RUN_ROWS, ANCHOR_ROWS, FIRST_DEPTH = 8192, 16384, 512, 32
 #: Components are floor(SCALE * x).
 SCALE = 256
 #: Positives of an anchor, negatives of a positive, and the window: LOW and HIGH hundredths of the positive's score.
@@ -48,8 +50,9 @@ class Block:
         whole = np.array([int(x) for x in a], object)
         return np.array([sum(int(x) * y for x, y in zip(r, whole)) for r in self.rows[at].tolist()], object)
 
-    def search(self, a: np.ndarray, ok: np.ndarray, windows: list[tuple], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each window (low, high) of scores the first ``k`` rows among ``ok``, by score, then id: (places, scores)."""
+    def search(self, a: np.ndarray, ok: np.ndarray, windows: list[tuple], k: int, known: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each window (low, high) of scores the rows among ``ok`` that may be among the first ``k`` by score, then id:
+        (places, scores). ``known``: scores that each window holds from elsewhere."""
         n, d = self.rows.shape
         live = np.flatnonzero(a)
         live = live if len(live) else np.arange(min(d, 1))
@@ -62,7 +65,7 @@ class Block:
             met, score, depth = np.arange(n), np.zeros(n), n
         while depth < n:
             threshold, fit = self._threshold(live, rising, weight, depth), score[ok[met]]
-            if all(self._closed(w, k, fit, threshold) for w in windows):
+            if all(self._closed(w, k, fit, threshold, held) for w, held in zip(windows, known)):
                 break
             end = min(n, depth + step)
             places = np.where(rising[:, None], lists[:, depth:end], lists[:, n - end : n - depth]).ravel()
@@ -89,12 +92,28 @@ class Block:
         return sum(w * int(x) for w, x in zip(weight, reached))
 
     @staticmethod
-    def _closed(window: tuple, k: int, score: np.ndarray, threshold: int) -> bool:
+    def _closed(window: tuple, k: int, score: np.ndarray, threshold: int, held: np.ndarray) -> bool:
         low, high = window
-        inside = score[(score >= low) & (score <= high)]
+        inside = np.concatenate([score[(score >= low) & (score <= high)], held])
         return threshold < (np.partition(inside, len(inside) - k)[len(inside) - k] if len(inside) >= k else low)
 
 
+def search_all(blocks: list[Block], a: np.ndarray, eligible, windows: list[tuple], k: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The first ``k`` rows of each window over all blocks: (ids, copies, scores). ``eligible(block)`` says how often
+    each row of a block counts (0: not at all)."""
+    best = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)) for _ in windows]
+    for block in blocks:
+        copies = eligible(block)
+        if not copies.any():
+            continue
+        found = block.search(a, copies > 0, windows, k, [b[2] for b in best])
+        for w, (at, score) in enumerate(found):
+            ids, often, scores = (np.concatenate(x) for x in zip(best[w], (block.ids[at], copies[at], score)))
+            first = np.lexsort((ids, -scores))[:k]
+            best[w] = ids[first], often[first], scores[first]
+    return best
+
+
 # --- tables -----------------------------------------------------------------------------------------
 
 
@@ -165,30 +184,37 @@ def _packed(rows: DataFrame, total: int, each: int, head: list[str]) -> DataFram
     return d.mapInArrow(pack, PACKED)
 
 
+def _in_runs(blocks: DataFrame, total: int) -> DataFrame:
+    """``blocks`` with ``run``: neighbouring blocks that hold about RUN_ROWS rows together."""
+    parts = blocks.agg(F.max(F.shiftright("id", 32)).alias("m")).first()["m"] or 0
+    return blocks.withColumn("run", F.floor(F.shiftright("id", 32) / max(1, RUN_ROWS * (parts + 1) // max(total, 1))).cast("long"))
+
+
 def _jobs(groups: DataFrame, blocks: DataFrame, same_label: bool) -> DataFrame:
-    """(group, block) of one dimension; with ``same_label`` those that hold a label in common."""
-    g, b = groups.select(F.col("id").alias("group"), "dim", "labels"), blocks.select(F.col("id").alias("block"), "dim", "labels")
+    """(group, run) of one dimension; with ``same_label`` those that hold a label in common."""
+    g, b = groups.select(F.col("id").alias("group"), "dim", "labels"), blocks.select("run", "dim", "labels")
     if not same_label:
-        return g.drop("labels").join(b.drop("labels"), "dim").select("group", "block")
+        return g.drop("labels").join(b.drop("labels").distinct(), "dim").select("group", "run", "dim")
     g, b = g.withColumn("label", F.explode("labels")).drop("labels"), b.withColumn("label", F.explode("labels")).drop("labels")
-    return g.join(b, ["dim", "label"]).select("group", "block").distinct()
+    return g.join(b.distinct(), ["dim", "label"]).select("group", "run", "dim").distinct()
 
 
 def _search(groups: DataFrame, blocks: DataFrame, jobs: DataFrame, find, schema: str) -> DataFrame:
-    """``find(anchors' head, anchors' rows, block)`` over every job; yields columns of ``schema``."""
+    """``find(anchors' head, anchors' rows, blocks)`` over every job; yields columns of ``schema``."""
     jobs = landed(jobs, "jobs")
-    left = jobs.join(groups.select(F.col("id").alias("group"), "dim", "n", "head", "rows"), "group")
-    named = jobs.select(F.col("group").alias("to_group"), F.col("block").alias("to_block"))
-    right = named.join(blocks.select(F.col("id").alias("to_block"), "dim", "n", "head", "rows", "lists"), "to_block")
+    left = jobs.select("group", "run").join(groups.select(F.col("id").alias("group"), "dim", "n", "head", "rows"), "group")
+    named = jobs.select(F.col("group").alias("to_group"), F.col("run").alias("to_run"), "dim")
+    right = named.join(blocks.select(F.col("run").alias("to_run"), "dim", "n", "head", "rows", "lists"), ["to_run", "dim"])
 
     def run(mine: pa.Table, theirs: pa.Table) -> pa.Table:
-        g, b = mine.to_pylist()[0], theirs.to_pylist()[0]
-        ids, labels, copies = np.frombuffer(b["head"], np.int64).reshape(3, b["n"])
-        block = Block(ids, labels, copies, np.frombuffer(b["rows"]).reshape(b["n"], b["dim"]),
-                      np.frombuffer(b["lists"], np.uint16).reshape(b["dim"], b["n"]))
-        return find(np.frombuffer(g["head"], np.int64).reshape(-1, g["n"]), np.frombuffer(g["rows"]).reshape(g["n"], g["dim"]), block)
+        g, blocks = mine.to_pylist()[0], []
+        for b in theirs.to_pylist():
+            ids, labels, copies = np.frombuffer(b["head"], np.int64).reshape(3, b["n"])
+            blocks.append(Block(ids, labels, copies, np.frombuffer(b["rows"]).reshape(b["n"], b["dim"]),
+                                np.frombuffer(b["lists"], np.uint16).reshape(b["dim"], b["n"])))
+        return find(np.frombuffer(g["head"], np.int64).reshape(-1, g["n"]), np.frombuffer(g["rows"]).reshape(g["n"], g["dim"]), blocks)
 
-    return left.groupBy("group", "block").cogroup(right.groupBy("to_group", "to_block")).applyInArrow(run, schema)
+    return left.groupBy("group", "run").cogroup(right.groupBy("to_group", "to_run")).applyInArrow(run, schema)
 
 
 def _with_lists(blocks: DataFrame) -> DataFrame:
@@ -235,19 +261,21 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, scale: int = SCALE, posit
     nth = F.row_number().over(Window.partitionBy("vec_id").orderBy("label", "dim", "vec"))
     anchors = landed(vectors.where(is_anchor).withColumn("nth", nth.cast("long")), "anchors")
     n_anchors = anchors.count()
-    blocks = landed(_with_lists(_packed(vectors, vectors.count(), BLOCK_ROWS, ["vec_id", "label", "copies"])), "blocks")
+    total = vectors.count()
+    blocks = landed(_with_lists(_packed(vectors, total, BLOCK_ROWS, ["vec_id", "label", "copies"])), "blocks")
+    blocks = _in_runs(blocks, total)
 
-    def nearest(head: np.ndarray, a: np.ndarray, block: Block) -> pa.Table:
+    def nearest(head: np.ndarray, a: np.ndarray, blocks: list[Block]) -> pa.Table:
         out: list[list] = [[], [], [], [], []]
         for i, n, label, row in zip(*head, a):
-            ok = block.labels == label
-            if not ok.any():
-                continue
-            copies = block.copies.copy()
-            self_ = np.flatnonzero(ok & (block.ids == i))
-            copies[self_[(block.rows[self_] == row).all(axis=1)]] -= 1
-            at, score = block.search(row, ok & (copies > 0), [(-np.inf, np.inf)], positives)[0]
-            for column, values in zip(out, ([i] * len(at), [n] * len(at), block.ids[at], copies[at], _long(score))):
+            def others(block: Block) -> np.ndarray:
+                copies = np.where(block.labels == label, block.copies, 0)
+                same = np.flatnonzero((copies > 0) & (block.ids == i))
+                copies[same[(block.rows[same] == row).all(axis=1)]] -= 1        # the anchor itself
+                return copies
+
+            ids, copies, score = search_all(blocks, row, others, [(-np.inf, np.inf)], positives)[0]
+            for column, values in zip(out, ([i] * len(ids), [n] * len(ids), ids, copies, _long(score))):
                 column.extend(values)
         return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("anchor_id", "nth", "other", "copies", "score"), out)})
 
@@ -265,20 +293,17 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, scale: int = SCALE, posit
                          *[F.coalesce(p, F.lit(0)).alias(p) for p in names])
     groups = landed(_packed(asked, n_anchors, ANCHOR_ROWS, ["vec_id", "nth", "label", "some", *names]), "anchors")
 
-    def windowed(head: np.ndarray, a: np.ndarray, block: Block) -> pa.Table:
+    def windowed(head: np.ndarray, a: np.ndarray, blocks: list[Block]) -> pa.Table:
         out: list[list] = [[], [], [], [], [], []]
         for (i, n, label, some, *scores), row in zip(head.T, a):
-            ok = block.labels != label
-            if not ok.any():
-                continue
             # 100 * negative >= low * positive and 100 * negative <= high * positive, in integers
             windows = [(-(-low * int(s) // 100), high * int(s) // 100) for s in scores[: int(some)]]
             asked = list(dict.fromkeys(w for w in windows if w[0] <= w[1]))
-            got = dict(zip(asked, block.search(row, ok, asked, negatives)))
+            got = dict(zip(asked, search_all(blocks, row, lambda block: np.where(block.labels != label, block.copies, 0), asked, negatives))) if asked else {}
             for p, w in enumerate(windows, 1):
                 if w in got:
-                    at, score = got[w]
-                    for column, values in zip(out, ([i] * len(at), [n] * len(at), [p] * len(at), block.ids[at], block.copies[at], _long(score))):
+                    ids, copies, score = got[w]
+                    for column, values in zip(out, ([i] * len(ids), [n] * len(ids), [p] * len(ids), ids, copies, _long(score))):
                         column.extend(values)
         names = ("anchor_id", "nth", "positive", "other", "copies", "score")
         return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(names, out)})
