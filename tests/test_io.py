@@ -113,11 +113,11 @@ def test_read_meta_skips_bad_json(spark, tmpdir_path):
 
     os.makedirs(f"{tmpdir_path}/meta")
     with open(f"{tmpdir_path}/meta/a.json", "w") as f:
-        f.write('{"features": ["x"], "target": "profit", "dataset": {"size": 10}}')
+        f.write('{"features": ["x"], "target": "profit", "parts": [{"split": "train", "size": 10}]}')
     with open(f"{tmpdir_path}/meta/b.json", "w") as f:
         f.write("{not json")
     m = S.read_meta(spark, f"{tmpdir_path}/meta").collect()
-    assert len(m) == 1 and m[0]["target"] == "profit" and m[0]["dataset"]["size"] == 10
+    assert len(m) == 1 and m[0]["target"] == "profit" and m[0]["parts"][0]["size"] == 10
 
 
 def test_csv_scan(spark, tmpdir_path):

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidemark.operators.ml import prep as MP
 from tidemark.operators.ml import select as MS
 from tidemark.operators.ml import train as MT
-from tidemark.plans import jobs as X
 from tidemark.sources.adapters import LINEITEM_FEATURES, dataset_from_lineitem, table
 
 SF = "/root/testdata/sf0.001"
@@ -22,27 +21,13 @@ def ds(spark):
             .withColumn("exchange", F.lit("SIM")).withColumn("symbol", F.lit("LI"))
 
 
-def test_training_registry_and_holdout(spark, ds, tmpdir_path):
-    reports = X.job_training(ds, FEATS, "label", tmpdir_path, "LogisticRegression", 0.25,
-                             meta={"run_id": "r1"})
-    assert {r["label"] for r in reports["classification_report"].collect()} >= {"accuracy"}
-    sizes = {r["split"]: r["size"] for r in reports["split_summary"].collect()}
-    assert sizes["all"] == sizes["train"] + sizes["test"]
-    reg = spark.read.parquet(f"{tmpdir_path}/registry")
-    assert reg.count() == 1 and reg.first()["type"] == "LogisticRegression"
-    end = ds.agg(F.percentile_approx("time", 0.5)).first()[0]
-    rep = X.job_model_testing(spark, f"{tmpdir_path}/registry", ds, FEATS, "label", str(end),
-                              exchange="SIM", type_="Logistic*")
-    assert rep.where("label = 'accuracy'").count() == 1
-
-
 def test_selectors_and_preprocessors(spark, ds):
     d = MP.assemble(ds, FEATS)
     sel = MS.variance_selector(0.0).fit(d)
     assert len(sel.selectedFeatures) == len(FEATS)
     uni = MS.univariate_selector("numTopFeatures", 2, label="label").fit(d)
     assert len(uni.selectedFeatures) == 2
-    for name in ("MinMaxScaler", "StandardScaler", "MaxAbsScaler", "Normalizer", "PolynomialFeatures"):
+    for name in MP.PREPROCESSORS:
         stage = MP.preprocessor(name)
         out = (stage.fit(d) if hasattr(stage, "fit") else stage).transform(d)
         assert "scaled" in out.columns
@@ -50,6 +35,36 @@ def test_selectors_and_preprocessors(spark, ds):
     assert zc is not None and zc >= 0
 
 
+def test_zero_count_and_one_hot_over_vectors(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from tidemark.operators.ml.stages import VectorOneHot
+
+    rows = [(0.0, 3.0, float(i)) for i in range(60)] + [(2.0, 0.0, 100.0 + i) for i in range(35)] + [(5.0, 3.0, -1.0)] * 5
+    d = MP.assemble(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"])
+    arr = lambda df: [r[0] for r in df.select(vector_to_array("scaled")).collect()]
+    got = arr(MP.preprocessor("ZeroCount").transform(d))
+    assert got[0] == [2.0, 1.0, 0.0, 3.0, 0.0] and got[60] == [1.0, 2.0, 2.0, 0.0, 100.0] and len(got) == 100
+    model = VectorOneHot(threshold=5, minimumFraction=0.1).fit(d)
+    assert model.values == {0: [0.0, 2.0], 1: [0.0, 3.0]}              # 5.0 is rare, c has too many values
+    got = arr(model.transform(d))
+    assert got[7] == [1, 0, 0, 0, 1, 0, 7.0] and got[60] == [0, 1, 0, 1, 0, 0, 100.0] and got[99] == [0, 0, 1, 0, 1, 0, -1.0]
+
+
+def test_select_from_model_inside_a_search(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    rows = [(i, *map(float, r), int(r[1] + r[2] > 0)) for i, r in enumerate(rng.normal(size=(600, 4)))]
+    d = spark.createDataFrame(rows, "id int, a double, b double, c double, e double, label int")
+    inner = MT.estimator("DecisionTreeClassifier", maxDepth=4)
+    cv = MT.grid_search(d, ["a", "b", "c", "e"], "label", "LogisticRegression", {"regParam": [0.0, 0.1]}, ["id"], folds=2,
+                        select=inner, thresholds=["mean", "q1.0"])
+    assert len(cv.avgMetrics) == 4
+    assert cv.bestModel.stages[1].selected == [1, 2]                   # the mean keeps both that matter, q1.0 only one
+    assert cv.bestModel.transform(d).where("prediction = label").count() > 560
+
+
 def test_grid_search_and_importance(spark, ds):
     cv = MT.grid_search(ds, FEATS, "label", "DecisionTreeClassifier", {"maxDepth": [2, 4]},
                         ["l_orderkey", "l_linenumber"], folds=3)
@@ -66,10 +81,24 @@ def test_nearest_centroid_fixture(spark):
     assert preds[:4] == [0, 0, 1, 1]
 
 
-def test_boruta_runs(spark, ds):
-    out = MS.boruta(ds.limit(400), FEATS, "label", FEATS, rounds=2, seed=3)
-    assert out.count() == len(FEATS)
-    assert set(r["decision"] for r in out.collect()) <= {"confirmed", "rejected", "tentative"}
+def test_boruta_confirms_a_planted_feature_and_rejects_noise(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    rows = [(float(x), float(y), float(z), int(x + 0.3 * e > 0)) for x, y, z, e in rng.normal(size=(3000, 4))]
+    d = spark.createDataFrame(rows + [(None, 0.0, 0.0, 1)], "good double, noise double, other double, label int")
+    got = {r["feature"]: r["decision"] for r in MS.boruta(d, ["good", "noise", "other"], "label", rounds=8).collect()}
+    assert got["good"] == "confirmed" and got["noise"] != "confirmed" and got["other"] != "confirmed"
+
+
+def test_shadows_are_permutations_of_the_whole_column(spark, monkeypatch):
+    monkeypatch.setattr(MS, "BLOCK_VALUES", 500)
+    d = spark.range(1000).select(F.col("id").cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("b"), (F.col("id") % 2).alias("label"))
+    blocks = MS._row_blocks(d, ["a", "b"], "label")
+    assert blocks.count() >= 8
+    got = MS.with_shadows(blocks, 2, 1).toPandas()
+    assert sorted(got.s0) == sorted(got.x0) == list(range(1000)) and sorted(got.s1) == sorted(got.x1)
+    assert (got.s0 != got.x0).mean() > 0.9 and ((got.x0 % 3) == got.x1).all() and ((got.x0 % 2) == got.y).all()
 
 
 def test_replay_stream_counts_every_row(spark, tmpdir_path):

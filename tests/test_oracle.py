@@ -7,7 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tidemark.registry import QUERIES
+from tidemark.registry import QUERIES as MAIN
+from tidemark.registry_tables import QUERIES as TABLES
+
+QUERIES = MAIN | TABLES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "

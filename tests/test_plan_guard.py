@@ -1,12 +1,14 @@
 """Plan guard: single-partition exchanges only where the data is provably tiny."""
 
 import __spark_entry__ as E
-from tidemark.registry import QUERIES
+from tidemark.registry import QUERIES as MAIN
+from tidemark.registry_tables import QUERIES as TABLES
+
+QUERIES = MAIN | TABLES
 
 SF = "/root/testdata/sf0.001"
 STREAMING = {"stream_buffer", "stream_signal", "stream_predict", "replay", "stream_dedupe", "stream_candles",
-             "stream_predict_logistic"}
-ML_FITS = {"gbt_importances", "rfe", "leaderboard", "boruta", "ar_forecast", "nearest_centroid"}
+             "stream_predict_logistic", "stream_predict_scaled"}
 
 # Each entry: why its single-partition step is bounded, whatever the data volume.
 ALLOWED = {
@@ -26,7 +28,7 @@ ALLOWED = {
 def test_single_partition_only_where_bounded(spark):
     offenders = []
     for name, fn in E.queries().items():
-        if name in STREAMING or name in ML_FITS or name not in QUERIES:  # tests/llm sees to its own
+        if name in STREAMING or name not in QUERIES:  # tests/llm sees to its own
             continue
         df = fn(spark, SF)
         df.collect()

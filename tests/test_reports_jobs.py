@@ -61,15 +61,39 @@ def test_job_portfolio(spark, tmpdir_path):
     assert out["portfolio"].count() == 60 and out["correlation"].count() == 25
 
 
-def test_job_learning(spark, tmpdir_path):
-    from tidemark.sources.adapters import dataset_from_lineitem, table
+def test_job_learning_goes_on_where_it_stopped(spark, tmpdir_path, monkeypatch):
+    import numpy as np
 
-    d = dataset_from_lineitem(table(spark, SF, "lineitem")).withColumn(
-        "time", F.timestamp_seconds(F.col("l_orderkey") * 60 + F.col("l_linenumber")))
-    rep = X.job_learning(d, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "label", tmpdir_path, k=3,
-                         estimators=("LogisticRegression",))
-    labels = {r["label"] for r in rep.collect()}
-    assert {"accuracy", "macro avg", "weighted avg"} <= labels
+    from tidemark.operators.ml import train as MT
+
+    rng = np.random.default_rng(3)
+    rows = [(i, float(a), float(b), float(c), int(a + 0.2 * b > 0)) for i, (a, b, c) in enumerate(rng.normal(size=(600, 3)))]
+    d = spark.createDataFrame([*rows, (600, float("inf"), 0.0, 0.0, 1)], "i long, good double, some double, noise double, label int")
+    d = d.withColumn("time", F.timestamp_seconds(F.col("i") * 60))
+    bt = spark.createDataFrame([("ALL", "2024-01-05", 7, 2.5)], "instrument string, end_date string, number_of_trades long, sharp_ratio double")
+    args = (d, ["good", "some", "noise"], "label", tmpdir_path)
+    kw = dict(k=1, estimators=("LogisticRegression", "DecisionTreeClassifier"), ties="i", rounds=5, backtests=bt)
+    real, fits = MT.train, []
+
+    def train(df, features, label, name, *a, **k):
+        fits.append((name, list(features)))
+        if name == "DecisionTreeClassifier" and len(fits) == 2:
+            raise RuntimeError("lost")
+        return real(df, features, label, name, *a, **k)
+
+    monkeypatch.setattr(MT, "train", train)
+    with pytest.raises(RuntimeError):
+        X.job_learning(*args, **kw)
+    rep = X.job_learning(*args, **kw)
+    assert [n for n, _ in fits] == ["LogisticRegression", "DecisionTreeClassifier", "DecisionTreeClassifier"]
+    assert all("good" in f and "noise" not in f for _, f in fits)
+    got = {(r["estimator"], r["label"]): r["f1_score"] for r in rep.collect()}
+    assert len(got) == 10 and min(got[e, "accuracy"] for e in ("LogisticRegression", "DecisionTreeClassifier")) > 0.85
+    # the scaler comes from the train part (420 of 600 complete rows)
+    low = spark.read.parquet(f"{tmpdir_path}/scaler").first()["good_min"]
+    assert low == min(r[1] for r in rows[:420])
+    summary = spark.read.parquet(f"{tmpdir_path}/learning_summary").collect()
+    assert len(summary) == 2 and summary[0]["number_of_trades"] == 7
 
 
 @pytest.mark.parametrize("name", ["resample_last", "ohlc", "rolling_data", "seq_gaps", "portfolio", "chrono_split"])

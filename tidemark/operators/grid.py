@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions import bucket, seconds_to_ts
+from tidemark.functions import bucket, epoch_micros, seconds_to_ts
 from tidemark.plans.chunking import CHUNK, auto_span, chunk_of, explode_points, segmented_prev
 from tidemark.schema import KEYS
 
@@ -17,6 +19,24 @@ def _last_non_null(c: str, order: Column) -> Column:
     return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order))
 
 
+_INTEGERS = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+
+
+def _packed_order(time_col: str, tiebreak: str) -> Column:
+    """(time in microseconds, tie-break) as one decimal(38): the tie-break takes the lower 65 bits, null lowest."""
+    low = F.coalesce(F.col(tiebreak).cast("decimal(20,0)"), F.lit(Decimal(-(1 << 63) - 1)))
+    return (epoch_micros(time_col).cast("decimal(17,0)") * F.lit(Decimal(1 << 65)) + low).cast("decimal(38,0)")
+
+
+def _ordered(df: DataFrame, time_col: str, tiebreak: str | None) -> tuple[DataFrame, Column]:
+    """(frame, order of its rows): the packed number where the tie-break is an integer, else time or a struct."""
+    if not tiebreak:
+        return df, F.col(time_col)
+    if df.schema[tiebreak].dataType in _INTEGERS:
+        return df.withColumn("_order", _packed_order(time_col, tiebreak)), F.col("_order")
+    return df, F.struct(F.col(time_col), F.col(tiebreak))
+
+
 def _first_non_null(c: str, order: Column) -> Column:
     return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order))
 
@@ -33,14 +53,12 @@ def bucket_last(
 
     "Last" is by time, then by ``tiebreak`` (the feed sequence), so the
     result does not depend on file order. Partial aggregation runs before
-    the shuffle, so hot instruments are pre-reduced map-side.
+    the shuffle, so hot instruments are pre-reduced map-side. An integer
+    tie-break is packed with the time into one fixed-width number, which the
+    hash aggregate can hold (a struct would sort all rows first).
     """
-    order = F.struct(F.col(time_col), F.col(tiebreak)) if tiebreak else F.col(time_col)
-    return (
-        df.withColumn("g", bucket(time_col, freq))
-        .groupBy(*keys, "g")
-        .agg(*[_last_non_null(c, order).alias(c) for c in columns])
-    )
+    d, order = _ordered(df.withColumn("g", bucket(time_col, freq)), time_col, tiebreak)
+    return d.groupBy(*keys, "g").agg(*[_last_non_null(c, order).alias(c) for c in columns])
 
 
 def resample_last(
@@ -200,11 +218,10 @@ def candles(
 
     open/close = first/last non-null value by (time, tiebreak).
     """
-    order = F.struct(F.col(time_col), F.col(tiebreak)) if tiebreak else F.col(time_col)
+    d, order = _ordered(df.withColumn("g", bucket(time_col, freq)), time_col, tiebreak)
     nn = F.col(column).isNotNull()
     return (
-        df.withColumn("g", bucket(time_col, freq))
-        .groupBy(*keys, "g")
+        d.groupBy(*keys, "g")
         .agg(
             F.min_by(F.col(column), F.when(nn, order)).alias("open"),
             F.max(column).alias("high"),
@@ -234,4 +251,13 @@ def align_feeds(long_df: DataFrame, feeds: Sequence[str], keys: Sequence[str] =
         F.first(F.when(F.col(feed_col) == F.lit(f), F.col(value_col)), ignorenulls=True).alias(f) for f in feeds])
 
 
-__all__ = ["bucket_last", "resample_last", "resample_asof_next", "candles", "stream_candles", "align_feeds"]
+def align_asof_next(long_df: DataFrame, feeds: Sequence[str], freq: int = 1, feed_col: str = "feed", value_col: str = "value",
+                    time_col: str = "time", dropna: bool = True) -> DataFrame:
+    """Raw feeds outer-aligned on their times (a column a feed), then G2: at each grid point the whole first aligned
+    row at or after it; rows in which a feed is missing are dropped, as G2 does. Output: ``g, time``, a column a feed."""
+    wide = align_feeds(long_df, feeds, (time_col,), feed_col, value_col)
+    wide = wide.withColumn("_all", F.lit("all")).withColumn("_one", F.lit(0))
+    return resample_asof_next(wide, freq, list(feeds), ("_all",), time_col, "_one", dropna=dropna).drop("_all")
+
+
+__all__ = ["align_asof_next", "bucket_last", "resample_last", "resample_asof_next", "candles", "stream_candles", "align_feeds"]

@@ -53,10 +53,16 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
 
 
+PREPROCESSORS = ("Binarizer", "MaxAbsScaler", "MinMaxScaler", "Normalizer", "PCA", "PolynomialFeatures", "RobustScaler",
+                 "StandardScaler", "OneHotEncoder", "ZeroCount")
+
+
 def preprocessor(name: str, input_col: str = "features", output_col: str = "scaled"):
     """Search-space preprocessors as MLlib stages (by name)."""
     from pyspark.ml import feature as MF
 
+    from tidemark.operators.ml import stages as ST
+
     table: Mapping[str, Callable[[], object]] = {
         "Binarizer": lambda: MF.Binarizer(threshold=0.0, inputCol=input_col, outputCol=output_col),
         "MaxAbsScaler": lambda: MF.MaxAbsScaler(inputCol=input_col, outputCol=output_col),
@@ -67,7 +73,8 @@ def preprocessor(name: str, input_col: str = "features", output_col: str = "scal
         "RobustScaler": lambda: MF.RobustScaler(inputCol=input_col, outputCol=output_col),
         "StandardScaler": lambda: MF.StandardScaler(withMean=True, withStd=True, inputCol=input_col,
                                                     outputCol=output_col),
-        "OneHotEncoder": lambda: MF.OneHotEncoder(inputCol=input_col, outputCol=output_col),
+        "OneHotEncoder": lambda: ST.VectorOneHot(inputCol=input_col, outputCol=output_col),
+        "ZeroCount": lambda: ST.ZeroCount(inputCol=input_col, outputCol=output_col),
     }
     if name not in table:
         raise KeyError(f"unknown preprocessor {name!r}; known: {sorted(table)}")

@@ -5,10 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import safe_div
+from tidemark.session import landed
 
 
 def chi2_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -80,32 +83,57 @@ def rfe_ranking(df: DataFrame, features: Sequence[str], label: str, n_select: in
     return df.sparkSession.createDataFrame(sorted(ranking.items()), "feature string, ranking int")
 
 
-def _permuted(base: DataFrame, f: str, seed: int) -> DataFrame:
-    """Column ``shadow_<f>``: a seeded permutation of ``f`` over the rows of ``base``.
+#: Values of a block whose rows are permuted together.
+BLOCK_VALUES = 1 << 21
 
-    Rows are ranked twice — by row id and by a seeded hash — with the
-    two-level exact rank (per-chunk counts + in-chunk row_number), then the
-    ranks are joined: no global window, no collect.
+
+def _row_blocks(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """The rows with all features and the label, dealt at random to blocks of bounded size: ``block, rows`` (arrays).
+
+    The table is landed first; a row's block follows from its place there, so rows that repeat are spread.
     """
-    from tidemark.operators.reports import _rank_from_end
+    feats = [F.col(f"`{f}`").cast("double").alias(f"x{i}") for i, f in enumerate(features)]
+    d = df.select(*feats, F.col(f"`{label}`").cast("double").alias("y")).na.drop()
+    d = landed(d, "boruta").withColumn("id", F.monotonically_increasing_id())
+    each = max(1, BLOCK_VALUES // (2 * len(features) + 1))
+    n = max(1, math.ceil(d.count() / each))
+    d = d.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)))
+    rows = F.array_sort(F.collect_list(F.struct("id", *[f"x{i}" for i in range(len(features))], "y")))
+    return landed(d.groupBy("block").agg(rows.alias("rows")), "boruta")
+
 
-    by_id = _rank_from_end(base, (), F.col("_rid"), F.shiftright(F.col("_rid"), 33)).drop("_n")
-    h = F.xxhash64(F.col("_rid"), F.lit(int(seed)))
-    hb = F.floor((h.cast("double") / F.lit(float(2 ** 64)) + F.lit(0.5)) * F.lit(4096)).cast("long")
-    by_h = _rank_from_end(base.select("_rid", F.col(f).alias(f"shadow_{f}")), (), F.struct(h, F.col("_rid")), hb)
-    return by_id.join(by_h.select("_rank", f"shadow_{f}"), on="_rank").drop("_rank")
+def with_shadows(blocks: DataFrame, n: int, seed: int) -> DataFrame:
+    """``x0..`` the features, ``s0..`` their shadows and ``y``: every feature permuted on its own, in one narrow pass.
+
+    A block is a random part of the rows, so a permutation within blocks breaks what ties a feature to the label
+    just as one over all rows does, and keeps its values.
+    """
+    names = [f"x{i}" for i in range(n)]
 
+    def permute(batches):
+        for batch in batches:
+            for block, rows in zip(batch.column("block").to_pylist(), batch.column("rows")):
+                rows = rows.values
+                columns = {c: rows.field(c) for c in [*names, "y"]}
+                for i in range(n):
+                    order = np.random.default_rng((seed, block, i)).permutation(len(rows))
+                    columns[f"s{i}"] = columns[f"x{i}"].take(pa.array(order))
+                for at in range(0, len(rows), 1 << 16):
+                    yield pa.record_batch({c: v.slice(at, 1 << 16) for c, v in columns.items()})
 
-def boruta(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str], rounds: int = 10, seed: int = 42,
-           alpha: float = 0.05) -> DataFrame:
+    schema = ", ".join(f"{c} double" for c in [*names, "y", *[f"s{i}" for i in range(n)]])
+    return blocks.mapInArrow(permute, schema)
+
+
+def boruta(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str] = (), rounds: int = 10, seed: int = 42,
+           alpha: float = 0.05, trees: int = 20, depth: int = 5) -> DataFrame:
     """Boruta with random-forest importances.
 
-    Shadow features are per-column seeded permutations; a feature scores a
-    hit when its importance beats the best shadow. A binomial test over
-    ``rounds`` (p = 1/2), corrected for the number of features, decides: confirmed /
-    rejected / tentative. ``key``: columns that identify a row, so shadows meet the same rows
-    however often the table is read. Forests are shallow (depth 5), as
-    importances of deep trees favour noise. Output: feature, hits, decision.
+    Every round trains a shallow forest (depth 5, classes weighted to balance) on the features and a permuted shadow of
+    each; a feature scores a hit when its importance beats the best shadow. A binomial test over ``rounds``
+    (p = 1/2), corrected for the number of features, decides: confirmed / rejected / tentative. The table is shuffled
+    once, into blocks; a round permutes within them. Rows with a null feature or label take no part; ``key`` is not
+    needed any more. Output: feature, hits, decision.
     """
     from pyspark.ml.classification import RandomForestClassifier
 
@@ -113,34 +141,29 @@ def boruta(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str
 
     feats = list(features)
     alpha = alpha / max(1, len(feats))
-    base = df.select(*feats, label, F.xxhash64(*[F.col(c) for c in key]).alias("_rid"))
+    blocks = _row_blocks(df, feats, label)
+    counts = blocks.select(F.explode("rows.y").alias("y")).groupBy("y").count().collect()   # a row a class
+    total = sum(r["count"] for r in counts)
+    weight = F.create_map(*[F.lit(v) for r in counts for v in (r["y"], total / (len(counts) * r["count"]))])[F.col("y")] if counts else F.lit(1.0)
     hits = {f: 0 for f in feats}
-    for r in range(int(rounds)):
-        d = base
-        for i, f in enumerate(feats):
-            sh = _permuted(base, f, seed + 1000 * r + i).select("_rid", f"shadow_{f}")
-            d = d.join(sh, on="_rid")
-        cols = feats + [f"shadow_{f}" for f in feats]
-        model = RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed + r, numTrees=20, maxDepth=5).fit(
-            assemble(d, cols))
+    for r in range(int(rounds) if len(counts) > 1 else 0):
+        d = with_shadows(blocks, len(feats), seed + r).withColumn("w", weight)
+        cols = [f"{x}{i}" for x in "xs" for i in range(len(feats))]
+        model = RandomForestClassifier(featuresCol="features", labelCol="y", weightCol="w", seed=seed + r, numTrees=trees,
+                                       maxDepth=depth).fit(assemble(d, cols))
         imp = model.featureImportances.toArray().tolist()
-        best_shadow = max(imp[len(feats):]) if len(imp) > len(feats) else 0.0
+        best_shadow = max(imp[len(feats):])
         for i, f in enumerate(feats):
-            if imp[i] > best_shadow:
-                hits[f] += 1
+            hits[f] += imp[i] > best_shadow
     n = int(rounds)
 
-    def sf(k: int) -> float:  # P(X >= k), X ~ Binomial(n, 1/2)
+    def at_least(k: int) -> float:  # P(X >= k), X ~ Binomial(n, 1/2)
         return sum(math.comb(n, j) for j in range(k, n + 1)) / 2 ** n
 
-    def cdf(k: int) -> float:  # P(X <= k)
-        return sum(math.comb(n, j) for j in range(0, k + 1)) / 2 ** n
-
     rows = []
     for f in feats:
-        h = hits[f]
-        decision = "confirmed" if sf(h) < alpha else ("rejected" if cdf(h) < alpha else "tentative")
-        rows.append((f, h, decision))
+        sure, not_at_all = at_least(hits[f]) < alpha, 1 - at_least(hits[f] + 1) < alpha
+        rows.append((f, hits[f], "confirmed" if sure else "rejected" if not_at_all else "tentative"))
     return df.sparkSession.createDataFrame(rows, "feature string, hits int, decision string")
 
 

@@ -35,13 +35,15 @@ def confusion_margins(pred: DataFrame, actual: str = "actual", predicted: str =
     )
 
 
-def confusion_counts(pred: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
-    """Per class: tp, fp, fn, support and n, from one grouped count of (actual, predicted).
+def confusion_counts(pred: DataFrame, actual: str = "actual", predicted: str = "predicted", weight: str | None = None,
+                     by: Sequence[str] = ()) -> DataFrame:
+    """Per class (and ``by``): tp, fp, fn, support and n, from one grouped count of (actual, predicted).
 
     Each confusion cell credits at most two classes (its actual and its
-    predicted class), so the per-class sums need no join.
+    predicted class), so the per-class sums need no join. ``weight``: a column that counts the rows.
     """
-    cm = pred.groupBy(actual, predicted).agg(F.count(F.lit(1)).alias("k"))
+    by = list(by)
+    cm = pred.groupBy(*by, actual, predicted).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("k"))
     k = F.col("k")
     same = F.col(actual) == F.col(predicted)
     zero = F.lit(0).cast("long")
@@ -51,41 +53,43 @@ def confusion_counts(pred: DataFrame, actual: str = "actual", predicted: str = "
         F.struct(F.col(predicted).alias("label"), zero.alias("tp"), F.when(same, zero).otherwise(k).alias("fp"),
                  zero.alias("fn"), zero.alias("support")),
     )
-    per = cm.select(F.explode(rows).alias("r")).select("r.*").groupBy("label").agg(
+    per = cm.select(*by, F.explode(rows).alias("r")).select(*by, "r.*").groupBy(*by, "label").agg(
         *[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "support")])
-    return per.withColumn("n", F.sum("support").over(Window.partitionBy()))
+    return per.withColumn("n", F.sum("support").over(Window.partitionBy(*by)))
 
 
-def classification_report(pred: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
-    """A2: precision/recall/f1/support per class, then accuracy, macro avg, weighted avg.
+def classification_report(pred: DataFrame, actual: str = "actual", predicted: str = "predicted", weight: str | None = None,
+                          by: Sequence[str] = ()) -> DataFrame:
+    """A2: precision/recall/f1/support per class, then accuracy, macro avg, weighted avg (all per ``by``).
 
     Output: label STRING, precision, recall, f1_score, support (accuracy row:
     precision/recall NULL, f1_score = accuracy).
     """
-    cc = confusion_counts(pred, actual, predicted)
+    by = list(by)
+    cc = confusion_counts(pred, actual, predicted, weight, by)
     per = cc.select(
-        F.col("label").cast("string").alias("label"),
+        *by, F.col("label").cast("string").alias("label"),
         _z(safe_div(F.col("tp").cast("double"), (F.col("tp") + F.col("fp")).cast("double"))).alias("precision"),
         _z(safe_div(F.col("tp").cast("double"), (F.col("tp") + F.col("fn")).cast("double"))).alias("recall"),
         F.col("support").cast("long").alias("support"), F.col("tp"), F.col("n"),
     ).withColumn("f1_score", _z(safe_div(2 * F.col("precision") * F.col("recall"),
                                          F.col("precision") + F.col("recall"))))
-    tot = per.agg(
+    tot = per.groupBy(*by).agg(
         F.sum("tp").alias("tp"), F.max("n").alias("n"), F.count(F.lit(1)).alias("k"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1_score").alias("mf"),
         F.sum(F.col("precision") * F.col("support")).alias("wp"), F.sum(F.col("recall") * F.col("support")).alias("wr"),
         F.sum(F.col("f1_score") * F.col("support")).alias("wf"),
     )
     n = F.col("n").cast("double")
-    acc = tot.select(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
+    acc = tot.select(*by, F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
                      F.lit(None).cast("double").alias("recall"), (F.col("tp") / n).alias("f1_score"),
                      F.col("n").cast("long").alias("support"))
-    macro = tot.select(F.lit("macro avg").alias("label"), F.col("mp").alias("precision"),
+    macro = tot.select(*by, F.lit("macro avg").alias("label"), F.col("mp").alias("precision"),
                        F.col("mr").alias("recall"), F.col("mf").alias("f1_score"), F.col("n").cast("long").alias("support"))
-    weighted = tot.select(F.lit("weighted avg").alias("label"), (F.col("wp") / n).alias("precision"),
+    weighted = tot.select(*by, F.lit("weighted avg").alias("label"), (F.col("wp") / n).alias("precision"),
                           (F.col("wr") / n).alias("recall"), (F.col("wf") / n).alias("f1_score"),
                           F.col("n").cast("long").alias("support"))
-    cols = ["label", "precision", "recall", "f1_score", "support"]
+    cols = [*by, "label", "precision", "recall", "f1_score", "support"]
     return per.select(*cols).unionByName(acc).unionByName(macro).unionByName(weighted)
 
 

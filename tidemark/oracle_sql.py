@@ -980,3 +980,89 @@ SQL.update({
     "shuffled_split": sql_shuffled_split(),
     "ar1_forecast": sql_ar1(),
 })
+
+
+# --- learners and their life cycle -----------------------------------------------------------
+
+def sql_knn_predict() -> str:
+    dist = " + ".join(f"(t.{c} - r.{c}) * (t.{c} - r.{c})" for c in LI)
+    return f"""WITH {_scaled_cte()},
+ranked AS (SELECT *, row_number() OVER (ORDER BY md5(l_orderkey || '|' || l_linenumber || '|42') DESC,
+           l_orderkey DESC, l_linenumber DESC) AS rank, count(*) OVER () AS n FROM sc),
+s AS (SELECT *, rank <= ceil(n * {P["knn_test"]}) AS test FROM ranked),
+best AS (SELECT t.rank, min({{'d': {dist}, 'o': r.l_orderkey, 'l': r.l_linenumber, 'y': r.label}}, {P["knn_k"]}) AS near
+         FROM s t, s r WHERE t.test AND NOT r.test GROUP BY t.rank),
+votes AS (SELECT rank, y, count(*) AS v FROM (SELECT rank, unnest([x.y FOR x IN near]) AS y FROM best) GROUP BY ALL),
+won AS (SELECT rank, y FROM votes QUALIFY row_number() OVER (PARTITION BY rank ORDER BY v DESC, y) = 1)
+SELECT l_orderkey, l_linenumber, label, CAST(y AS INTEGER) AS prediction FROM s JOIN won USING (rank)"""
+
+
+def sql_adaboost_predict() -> str:
+    """Each round: weighted class sums on both sides of every split, the least error, the rows' new weights."""
+    cuts = [(i, c, v) for i, c in enumerate(LI) for v in sorted(P["boost_splits"][c])]
+    parts, last = [f"w0 AS (SELECT *, row_number() OVER () AS rid, 1.0::DOUBLE AS w FROM ds)"], "w0"
+    x = "CASE e.f " + " ".join(f"WHEN {i} THEN {{t}}.{c}" for i, c in enumerate(LI)) + " END"
+    says = []
+    for r in range(1, P["boost_rounds"] + 1):
+        sums = " UNION ALL ".join(
+            f"SELECT {i} AS f, {v}::DOUBLE AS s, " + ", ".join(
+                f"coalesce(sum(w) FILTER (WHERE {c} {op} {v} AND label = {y}), 0) AS {side}{y}" for side, op in (("l", "<="), ("r", ">")) for y in (0, 1))
+            + f" FROM {last}" for i, c, v in cuts)
+        parts.append(f"c{r} AS ({sums})")
+        parts.append(f"""e{r} AS (SELECT f, s, (l1 > l0)::INTEGER AS l, (r1 > r0)::INTEGER AS r,
+  round(1 - (greatest(l0, l1) + greatest(r0, r1)) / (l0 + l1 + r0 + r1), 12) AS err FROM c{r} ORDER BY err, f, s LIMIT 1)""")
+        said = f"CASE WHEN {x.format(t='b')} <= e.s THEN e.l ELSE e.r END"
+        parts.append(f"w{r} AS (SELECT b.* REPLACE (CASE WHEN {said} = b.label THEN b.w ELSE b.w * exp(ln((1 - e.err) / e.err)) END AS w) FROM {last} b, e{r} e)")
+        says.append(f"(SELECT CASE WHEN ({said}) = {{y}} THEN ln((1 - e.err) / e.err) ELSE 0 END FROM e{r} e)")
+        last = f"w{r}"
+    votes = [" + ".join(s.format(y=y) for s in says) for y in (0, 1)]
+    return f"""WITH {LI_DS}, {", ".join(parts)}
+SELECT l_orderkey, l_linenumber, label, CASE WHEN {votes[1]} > {votes[0]} THEN 1 ELSE 0 END AS prediction FROM w0 b"""
+
+
+def report_sql(rows: str, by: Sequence[str]) -> str:
+    """The classification report of ``rows`` (columns ``by``, actual, predicted) per ``by``."""
+    k = ", ".join(by)
+    using = f"USING ({k})"
+    return f"""cls AS (SELECT DISTINCT {k}, actual AS c FROM {rows} UNION SELECT DISTINCT {k}, predicted FROM {rows}),
+per AS (SELECT {k}, c, count(*) FILTER (WHERE actual = c AND predicted = c) AS tp, count(*) FILTER (WHERE predicted = c) AS p,
+        count(*) FILTER (WHERE actual = c) AS support, count(*) AS n FROM {rows} JOIN cls {using} GROUP BY {k}, c),
+m AS (SELECT *, CASE WHEN p = 0 THEN 0.0 ELSE tp / p END AS pr, CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS re FROM per),
+f AS (SELECT *, CASE WHEN pr + re = 0 THEN 0.0 ELSE 2 * pr * re / (pr + re) END AS f1 FROM m),
+rep AS (SELECT {k}, CAST(c AS VARCHAR) AS label, pr AS precision, re AS recall, f1 AS f1_score, support FROM f
+  UNION ALL SELECT {k}, 'accuracy', NULL, NULL, sum(tp) / max(n), max(n) FROM f GROUP BY {k}
+  UNION ALL SELECT {k}, 'macro avg', avg(pr), avg(re), avg(f1), max(n) FROM f GROUP BY {k}
+  UNION ALL SELECT {k}, 'weighted avg', sum(pr * support) / max(n), sum(re * support) / max(n), sum(f1 * support) / max(n), max(n) FROM f GROUP BY {k})"""
+
+
+def sql_model_testing() -> str:
+    judged = " UNION ALL ".join(
+        f"SELECT 'SIM' AS exchange, symbol, 'label' AS target, 'LinearRule' AS type, '{m['run_id']}' AS run_id, (bid_qty > {P['holdout_qty']})::INTEGER AS actual, "
+        f"({m['intercept']} + " + " + ".join(f"{w} * {c}" for c, w in m["weights"].items()) + " > 0)::INTEGER AS predicted "
+        f"FROM q WHERE symbol = '{m['symbol']}' AND time > TIMESTAMP '{m['end_date']}'" for m in P["holdout_models"])
+    by = ("exchange", "symbol", "target", "type", "run_id")
+    return f"""WITH {Q_CTE},
+j AS (SELECT * FROM ({judged}) WHERE actual IS NOT NULL AND predicted IS NOT NULL),
+{report_sql("j", by)}
+SELECT {", ".join(by)}, label, {r6(["precision", "recall", "f1_score"])}, support::BIGINT AS support FROM rep
+WHERE (SELECT count(*) FROM j WHERE j.symbol = rep.symbol AND j.run_id = rep.run_id) >= 2"""
+
+
+SQL.update({
+    "knn_predict": sql_knn_predict(),
+    "adaboost_predict": sql_adaboost_predict(),
+    "model_testing": sql_model_testing(),
+})
+
+
+def sql_stream_predict_scaled() -> str:
+    score = " + ".join([str(P["online_intercept"])] + [
+        f"{w} * (({c} - {P['online_scaler'][c][0]}) / ({P['online_scaler'][c][1]} - {P['online_scaler'][c][0]}))" for c, w in P["online_weights"].items()])
+    return f"""WITH {Q_CTE},
+t AS (SELECT exchange, symbol, epoch_us(time) AS time_us, arg_max(bid_price, seq) AS bid_price, arg_max(ask_price, seq) AS ask_price FROM q GROUP BY ALL),
+l AS (SELECT *, max(time_us) OVER (PARTITION BY exchange, symbol) AS newest, max(time_us) OVER () // 1000 AS watermark FROM t)
+SELECT exchange, symbol, time_us, CASE WHEN {score} > 0 THEN 1 ELSE 0 END AS prediction FROM l
+WHERE time_us < newest OR newest // 1000 + {P["online_expire"]} * 1000 < watermark"""
+
+
+SQL["stream_predict_scaled"] = sql_stream_predict_scaled()

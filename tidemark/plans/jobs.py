@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import align as J
 from tidemark.operators import grid as G
 from tidemark.operators import portfolio as PF
 from tidemark.operators import quality as Q
@@ -20,6 +21,7 @@ from tidemark.operators import reports as R
 from tidemark.operators.ml import prep as MP
 from tidemark.operators.ml import select as MS
 from tidemark.operators.ml import train as MT
+from tidemark.plans import models as LC
 from tidemark.session import materialize
 from tidemark.sinks import writers as K
 from tidemark.sources import metrics as S6
@@ -33,8 +35,8 @@ def job_backup(spark: SparkSession, export_path: str, ticks_root: str) -> bool:
 
 
 def job_features_importance(df: DataFrame, features: Sequence[str], label: str, out_dir: str, k: int = 10,
-                            seed: int = 42) -> dict[str, DataFrame]:
-    """Profile nulls, drop incomplete rows, score features with each selector, one CSV per selector."""
+                            seed: int = 42, rounds: int = 10) -> dict[str, DataFrame]:
+    """Profile nulls, drop incomplete rows, score features with each selector (E4-E7), one CSV per selector."""
     feats = list(features)
     K.overwrite_table(Q.null_profile(df, feats + [label]), f"{out_dir}/null_profile")
     clean = materialize(Q.clean_numeric(df.select(*feats, label), feats))
@@ -43,6 +45,7 @@ def job_features_importance(df: DataFrame, features: Sequence[str], label: str,
         "chi2": MS.k_best(MS.chi2_scores(scaled, feats, label), k),
         "gbt": MS.gbt_importances(clean, feats, label, seed),
         "rfe": MS.rfe_ranking(clean, feats, label),
+        "boruta": MS.boruta(clean, feats, label, rounds=rounds, seed=seed),
     }
     for name, d in out.items():
         d.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out_dir}/{name}")
@@ -50,54 +53,22 @@ def job_features_importance(df: DataFrame, features: Sequence[str], label: str,
 
 
 def job_training(df: DataFrame, features: Sequence[str], label: str, out_dir: str, estimator: str = "LogisticRegression",
-                 test_size: float = 0.25, time_col: str = "time", meta: dict | None = None,
-                 keys: Sequence[str] = ("exchange", "symbol")) -> dict[str, DataFrame]:
-    """Clean -> chronological split -> fit -> predict -> reports -> model + registry row."""
-    feats = list(features)
-    clean = Q.clean_numeric(df, feats)
-    split = materialize(R.chrono_split(clean, test_size, time_col=time_col))
-    train, test = split.where("split = 'train'"), split.where("split = 'test'")
-    model = MT.train(train, feats, label, estimator)
-    pred = model.transform(test).select(F.col(label).cast("int").alias("actual"),
-                                        F.col("prediction").cast("int").alias("predicted"))
-    reports = {
-        "classification_report": R.classification_report(pred),
-        "confusion": R.confusion_margins(pred),
-        "split_summary": R.split_summary(split, time_col=time_col),
-    }
-    for name, d in reports.items():
-        K.overwrite_table(d, f"{out_dir}/{name}")
-    first = df.select(*keys).first() if keys else None
-    K.save_model(model, f"{out_dir}/models", f"{out_dir}/registry",
-                 exchange=str(first[0]) if first else "ALL", symbol=str(first[1]) if first else "ALL",
-                 target=label, type_=estimator, run_id=str((meta or {}).get("run_id", "run")),
-                 meta={"features": feats, "target": label, **(meta or {})})
-    return reports
+                 test_size: float = 0.25, time_col: str = "time", run_id: str = "run", keys: Sequence[str] = ("exchange", "symbol"),
+                 ties: str | None = None, **params) -> DataFrame:
+    """A model for every instrument (clean -> split -> scaler and fit on the train part -> reports -> published).
 
+    A run that is repeated under the same ``run_id`` replaces its models. Returns the registry's rows of the run.
+    """
+    return LC.train_models(df, features, label, out_dir, run_id, estimator, test_size, time_col, keys, ties, **params)
 
-def job_model_testing(spark: SparkSession, registry_path: str, df: DataFrame, features: Sequence[str], label: str,
-                      end_date: str, time_col: str = "time", **wildcards) -> DataFrame:
-    """Every registered model matching the wildcards, tested on rows after ``end_date``.
 
-    Fewer than two rows after the end date -> no test (empty report).
-    """
-    from pyspark.ml import PipelineModel
-
-    models = S.list_models(spark.read.parquet(registry_path), **wildcards).select("path", "type").collect()
-    test = Q.after(df, end_date, time_col)
-    reports = []
-    if test.limit(2).count() < 2:
-        return spark.createDataFrame([], "model string, label string, precision double, recall double, "
-                                         "f1_score double, support long")
-    for m in models:
-        model = PipelineModel.load(m["path"])
-        pred = model.transform(test).select(F.col(label).cast("int").alias("actual"),
-                                            F.col("prediction").cast("int").alias("predicted"))
-        reports.append(R.classification_report(pred).withColumn("model", F.lit(m["path"])))
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+def job_model_testing(spark: SparkSession, root: str, df: DataFrame, out_dir: str | None = None, time_col: str = "time",
+                      **wildcards) -> DataFrame:
+    """Every registered model matching the wildcards, tested on its instrument's rows after its own end date."""
+    report = LC.holdout_reports(spark, root, df, time_col, **wildcards)
+    if out_dir:
+        K.overwrite_table(report, f"{out_dir}/model_testing")
+    return report
 
 
 def job_portfolio(quotes: DataFrame, instruments: Sequence[str], out_dir: str, window: int = 14400,
@@ -112,25 +83,64 @@ def job_portfolio(quotes: DataFrame, instruments: Sequence[str], out_dir: str, w
     return out
 
 
+def step(spark: SparkSession, path: str, make) -> DataFrame:
+    """A step's landed output: made once, read again by a run that is started over (a write that was killed leaves no
+    ``_SUCCESS`` mark and is made again)."""
+    fs, mark = K._hadoop_fs(spark, f"{path}/_SUCCESS")
+    if not fs.exists(mark):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def select_by_vote(df: DataFrame, features: Sequence[str], label: str, k: int, seed: int = 42, rounds: int = 10) -> DataFrame:
+    """E4-E7 together: ``feature, chi2, boosting, elimination, boruta`` (whether each selector takes it) and ``votes``.
+
+    ``df`` is scaled to [0, 1] (chi-squared needs that). The best ``k`` by chi-squared and by boosting importances (of
+    those above zero), the last ``k`` that elimination leaves, and what Boruta doesn't reject.
+    """
+    feats = list(features)
+    chosen = {
+        "chi2": MS.k_best(MS.chi2_scores(df, feats, label), k),
+        "boosting": MS.drop_zero_importance(MS.gbt_importances(df, feats, label, seed)).orderBy(F.col("importance").desc(), "feature").limit(k),
+        "elimination": MS.rfe_ranking(df, feats, label, min(k, len(feats))).where("ranking = 1"),
+        "boruta": MS.boruta(df, feats, label, rounds=rounds, seed=seed).where("decision <> 'rejected'"),
+    }
+    took = {name: {r["feature"] for r in d.select("feature").collect()} for name, d in chosen.items()}     # a row a feature
+    rows = [(f, *[f in took[n] for n in took], sum(f in took[n] for n in took)) for f in feats]
+    return df.sparkSession.createDataFrame(rows, "feature string, " + ", ".join(f"{n} boolean" for n in took) + ", votes int")
+
+
 def job_learning(df: DataFrame, features: Sequence[str], label: str, out_dir: str, k: int = 5,
                  estimators: Sequence[str] = ("LogisticRegression", "RandomForestClassifier"),
-                 test_size: float = 0.3, time_col: str = "time") -> DataFrame:
-    """Scale -> chi2 selection -> chronological split -> several estimators -> one report table."""
-    feats = list(features)
-    clean = Q.clean_numeric(df, feats)
-    scaled, _ = MP.minmax_scale(clean, feats)
-    chosen = [r["feature"] for r in MS.k_best(MS.chi2_scores(scaled, feats, label), k).collect()]
-    split = materialize(R.chrono_split(scaled, test_size, time_col=time_col))
-    train, test = split.where("split = 'train'"), split.where("split = 'test'")
-    rows = None
-    for name in estimators:
-        model = MT.train(train, chosen, label, name)
-        pred = model.transform(test).select(F.col(label).cast("int").alias("actual"),
+                 test_size: float = 0.3, time_col: str = "time", keys: Sequence[str] = (), ties: str | None = None,
+                 votes: int = 2, seed: int = 42, rounds: int = 10, backtests: DataFrame | None = None) -> DataFrame:
+    """Clean -> chronological split -> scaler of the train part -> selection by vote -> several estimators -> reports.
+
+    Every step lands under ``out_dir``: a run that is started over after a failure goes on with the first step that
+    isn't complete. Scaler and selection see the train part only. Features with at least ``votes`` of the four selectors
+    stay (all of them if none has). Returns a row per estimator and class (``learning_report``); with ``backtests``
+    the summary (A4) lands as ``learning_summary``.
+    """
+    spark, feats = df.sparkSession, list(features)
+    split = step(spark, f"{out_dir}/split", lambda: R.chrono_split(Q.clean_numeric(df, feats), test_size, keys=keys, time_col=time_col, tiebreak=ties))
+    scaler = step(spark, f"{out_dir}/scaler", lambda: MP.minmax_scale(split.where("split = 'train'"), feats)[1])
+    data = MP.apply_minmax(split, scaler, feats)
+    train, test = data.where("split = 'train'"), data.where("split = 'test'")
+    selection = step(spark, f"{out_dir}/selection", lambda: select_by_vote(train, feats, label, k, seed, rounds))
+    taken = {r["feature"] for r in selection.where(F.col("votes") >= votes).collect()} or set(feats)
+    chosen = [f for f in feats if f in taken]
+
+    def judged(name):
+        model = MT.train(train, chosen, label, name, seed)
+        return model.transform(test).select(F.lit(name).alias("estimator"), F.col(label).cast("int").alias("actual"),
                                             F.col("prediction").cast("int").alias("predicted"))
-        rep = R.classification_report(pred).withColumn("estimator", F.lit(name))
-        rows = rep if rows is None else rows.unionByName(rep)
-    K.overwrite_table(rows, f"{out_dir}/learning_report")
-    return rows
+
+    pred = J.union_feeds([step(spark, f"{out_dir}/predictions/{name}", lambda name=name: judged(name)) for name in estimators])
+    K.overwrite_table(R.classification_report(pred, by=["estimator"]), f"{out_dir}/learning_report")
+    report = spark.read.parquet(f"{out_dir}/learning_report")
+    if backtests is not None:
+        K.overwrite_table(R.learning_summary(report.withColumn("instrument", F.lit("ALL")), backtests), f"{out_dir}/learning_summary")
+    return report
 
 
 def job_backtest_report(spark: SparkSession, trades_csv: str, out_dir: str, signal_col: str = "signal") -> DataFrame:

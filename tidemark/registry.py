@@ -29,7 +29,7 @@ from tidemark.operators.ml import train as MT
 from tidemark.plans import datasets as B
 from tidemark.plans import jobs as X_
 from tidemark.plans.chunking import segmented_prev
-from tidemark.schema import KEYS, QUOTE_COLUMNS
+from tidemark.schema import KEYS, MODEL_META, QUOTE_COLUMNS
 from tidemark.sources.adapters import (
     LINEITEM_FEATURES,
     dataset_from_lineitem,
@@ -86,6 +86,22 @@ P = {
     "buffer_seconds": 6 * HOUR,
     "rule_weights": {"bid_price": -1.0, "ask_price": 0.5},
     "rule_intercept": 25.0,
+    "online_weights": {"bid_price": -1.0, "ask_price": 0.5},
+    "online_intercept": 0.125,
+    "online_scaler": {"bid_price": (0.0, 100.0), "ask_price": (0.5, 80.5)},
+    "online_expire": 600,
+    "knn_k": 5,
+    "knn_test": 0.05,
+    "boost_rounds": 4,
+    "boost_splits": {"l_quantity": (10.0, 20.0, 30.0, 40.0), "l_extendedprice": (20000.0, 40000.0, 60000.0, 80000.0),
+                     "l_discount": (0.015, 0.035, 0.055, 0.075), "l_tax": (0.015, 0.035, 0.055)},
+    "holdout_qty": 50.0,
+    "holdout_models": (
+        {"symbol": "click", "run_id": "steep", "weights": {"bid_price": 0.02, "ask_qty": -0.01}, "intercept": 0.0, "end_date": "2024-01-10 00:00:00"},
+        {"symbol": "click", "run_id": "flat", "weights": {"bid_price": 0.001, "ask_qty": -0.02}, "intercept": 0.9, "end_date": "2024-01-20 12:00:00"},
+        {"symbol": "view", "run_id": "steep", "weights": {"bid_price": -0.01}, "intercept": 0.3, "end_date": "2024-01-25 00:00:00"},
+        {"symbol": "view", "run_id": "never", "weights": {"bid_price": 1.0}, "intercept": 0.0, "end_date": "2030-01-01 00:00:00"},
+    ),
     "scan_instrument": "SIM_click",
     "scan_start": "2024-01-05",
     "scan_end": "2024-01-15",
@@ -391,6 +407,50 @@ def q_nearest_centroid(spark, sf):
     return model.transform(d).select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
+def _knn_split(spark, sf):
+    scaled, _ = MP.minmax_scale(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES))
+    return R.shuffled_split(scaled, ["l_orderkey", "l_linenumber"], P["knn_test"], 42)
+
+
+def q_knn_predict(spark, sf):
+    """Five nearest neighbours of the held-out rows among all others, on scaled features."""
+    d = _knn_split(spark, sf)
+    model = MT.KNeighborsClassifier(list(LINEITEM_FEATURES), "label", P["knn_k"], ["l_orderkey", "l_linenumber"])
+    out = model.fit(d.where("split = 'train'")).transform(d.where("split = 'test'"))
+    return out.select("l_orderkey", "l_linenumber", "label", "prediction")
+
+
+def q_adaboost_predict(spark, sf):
+    """AdaBoost with stumps at fixed split points, fitted on all rows; every row's vote."""
+    d = _lineitem_ds(spark, sf)
+    model = MT.AdaBoost(list(LINEITEM_FEATURES), "label", P["boost_rounds"], P["boost_splits"]).fit(d)
+    return model.transform(d).select("l_orderkey", "l_linenumber", "label", "prediction")
+
+
+def q_model_testing(spark, sf):
+    """Linear models published for some instruments, each tested on the quotes after its own end date."""
+    from tidemark.plans import models as LC
+
+    root = _stream_dir(spark, "models")
+    for m in P["holdout_models"]:
+        key = {"exchange": "SIM", "symbol": m["symbol"], "target": "label", "type": LC.LINEAR_RULE, "run_id": m["run_id"]}
+        LC.publish_model(spark, root, key, {"features": list(m["weights"]), "target": "label", "weights": m["weights"],
+                                            "intercept": m["intercept"], "end_date": m["end_date"]})
+    rows = _q(spark, sf).withColumn("label", (F.col("bid_qty") > P["holdout_qty"]).cast("int"))
+    return round6(LC.holdout_reports(spark, root, rows))
+
+
+def q_train_models(spark, sf):
+    """A logistic model for every instrument, published and listed; its test part's report from the registry."""
+    from tidemark.plans import models as LC
+
+    rows = _q(spark, sf).withColumn("label", (F.col("bid_qty") > P["holdout_qty"]).cast("int"))
+    got = LC.train_models(rows, ["bid_price", "ask_qty"], "label", _stream_dir(spark, "models"), "r1", ties="seq")
+    meta = F.from_json("meta", MODEL_META)
+    return got.select("exchange", "symbol", "type", "run_id", F.explode(meta["report"]).alias("r")).select(
+        "exchange", "symbol", "type", "run_id", "r.*")
+
+
 # --- sources / alignment (data derived from the test tables) -------------------------------
 
 def q_metrics_to_ticks(spark, sf):
@@ -660,6 +720,23 @@ def q_stream_predict(spark, sf):
     return out.select("exchange", "symbol", "time_us", "prediction")
 
 
+def q_stream_predict_scaled(spark, sf):
+    """R3 with a published model: bars from the tick stream, scaled by the registry row's scaler and judged by its rule;
+    instruments that fall silent are closed by the watermark."""
+    from tidemark.plans import models as LC
+    from tidemark.sources.adapters import quotes_from_events
+    from tidemark.streaming.state import closed_bars_stream
+
+    root = _stream_dir(spark, "models")
+    LC.publish_model(spark, root, {"exchange": "ALL", "symbol": "ALL", "target": "up", "type": LC.LINEAR_RULE, "run_id": "r1"}, {
+        "features": list(P["online_weights"]), "target": "up", "weights": P["online_weights"], "intercept": P["online_intercept"],
+        "scaler": [{"feature": f, "low": low, "high": high} for f, (low, high) in P["online_scaler"].items()]})
+    row = LC.read_registry(spark, root).first()
+    bars = closed_bars_stream(quotes_from_events(_events_stream(spark, sf)), P["online_expire"])
+    got = _run_stream(spark, LC.predict_with(bars, row), "stream_scaled")
+    return got.select("exchange", "symbol", "time_us", "prediction")
+
+
 def q_stream_predict_logistic(spark, sf):
     """The same bars scored by a logistic model fitted on the batch bars, whose label looks one bar ahead."""
     from tidemark.sources.adapters import quotes_from_events
@@ -741,8 +818,24 @@ def q_stream_candles(spark, sf):
                              "open", "high", "low", "close"))
 
 
+def q_learning(spark, sf):
+    """Hourly feeds of all instruments aligned on time (G4, G2), features of them (E0), and whether the clicks' bid
+    rises in the next step, learned by two estimators on the features that the selectors vote for."""
+    feeds = sorted(r[0] for r in table(spark, sf, "events").select("event_type").distinct().collect())
+    hours = G.bucket_last(_q(spark, sf), HOUR, ("bid_price",)).select(F.timestamp_seconds("g").alias("time"), F.col("symbol").alias("feed"),
+                                                                      F.col("bid_price").alias("value"))
+    wide = G.align_asof_next(hours, feeds, 2 * HOUR)
+    for f in feeds[1:]:
+        MP.register_feature(f"{f}_to_{feeds[0]}", lambda df, f=f: F.try_divide(F.col(f), F.col(feeds[0])))
+    data = MP.apply_features(wide, [f"{f}_to_{feeds[0]}" for f in feeds[1:]]).withColumn("all", F.lit("all"))
+    ahead = segmented_prev(data, ["all"], F.struct((-F.col("g")).alias("g")), F.col(feeds[0]), "next", span=DAY * 30, chunk_source=-F.col("g"))
+    data = ahead.where("next is not null").withColumn("label", (F.col("next") > F.col(feeds[0])).cast("int")).drop("next", "all")
+    features = [*feeds, *[f"{f}_to_{feeds[0]}" for f in feeds[1:]]]
+    return X_.job_learning(data, features, "label", _stream_dir(spark, "learning"), k=4, rounds=5, ties="g")
+
+
 def q_boruta(spark, sf):
-    return MS.boruta(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", ["l_orderkey", "l_linenumber"], seed=7)
+    return MS.boruta(_lineitem_ds(spark, sf), list(LINEITEM_FEATURES), "label", seed=7)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -808,11 +901,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tick_buffer": q_tick_buffer,
     "closed_bars": q_closed_bars,
     "train_logistic": q_train_logistic,
+    "knn_predict": q_knn_predict,
+    "adaboost_predict": q_adaboost_predict,
+    "model_testing": q_model_testing,
+    "train_models": q_train_models,
     "gbt_importances": q_gbt_importances,
     "rfe": q_rfe,
     "leaderboard": q_leaderboard,
     "ar_forecast": q_ar_forecast,
     "boruta": q_boruta,
+    "learning": q_learning,
     "stream_dedupe": q_stream_dedupe,
     "robust_open_close": q_robust_open_close,
     "feed_catalog": q_feed_catalog,
@@ -821,6 +919,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_buffer": q_stream_buffer,
     "stream_signal": q_stream_signal,
     "stream_predict": q_stream_predict,
+    "stream_predict_scaled": q_stream_predict_scaled,
     "replay": q_replay,
     "stream_predict_logistic": q_stream_predict_logistic,
     "ar1_forecast": q_ar1_forecast,

@@ -81,49 +81,26 @@ BACKTEST_TRADES = T.StructType(
     ]
 )
 
-MODEL_META = T.StructType(
-    [
-        T.StructField("features", T.ArrayType(T.StringType()), True),
-        T.StructField("target", T.StringType(), True),
-        T.StructField(
-            "dataset",
-            T.StructType(
-                [
-                    T.StructField("start_date", T.StringType(), True),
-                    T.StructField("end_date", T.StringType(), True),
-                    T.StructField("size", T.LongType(), True),
-                    T.StructField("shuffle", T.BooleanType(), True),
-                    T.StructField(
-                        "training",
-                        T.StructType(
-                            [
-                                T.StructField("start_date", T.StringType(), True),
-                                T.StructField("end_date", T.StringType(), True),
-                                T.StructField("size", T.LongType(), True),
-                            ]
-                        ),
-                        True,
-                    ),
-                    T.StructField(
-                        "testing",
-                        T.StructType(
-                            [
-                                T.StructField("start_date", T.StringType(), True),
-                                T.StructField("end_date", T.StringType(), True),
-                                T.StructField("size", T.LongType(), True),
-                            ]
-                        ),
-                        True,
-                    ),
-                ]
-            ),
-            True,
-        ),
-        T.StructField("classification_report", T.StringType(), True),
-        T.StructField("confusion_matrix", T.StringType(), True),
-    ]
+# A model's key in the registry, its meta document as ``publish_model`` writes it, and its registry row.
+MODEL_KEY = ("exchange", "symbol", "target", "type", "run_id")
+
+
+def _fields(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in types.items()])
+
+
+_S, _D, _L = T.StringType(), T.DoubleType(), T.LongType()
+
+MODEL_META = _fields(
+    features=T.ArrayType(_S), target=_S, estimator=_S, end_date=_S, weights=T.MapType(_S, _D), intercept=_D,
+    scaler=T.ArrayType(_fields(feature=_S, low=_D, high=_D)),
+    parts=T.ArrayType(_fields(split=_S, start_date=_S, end_date=_S, size=_L)),
+    report=T.ArrayType(_fields(label=_S, precision=_D, recall=_D, f1_score=_D, support=_L)),
+    confusion=T.ArrayType(_fields(actual=T.IntegerType(), predicted=T.IntegerType(), count=_L)),
 )
 
+MODEL_ROW = _fields(path=_S, end_date=_S, meta=_S, **{k: _S for k in MODEL_KEY})
+
 RUN_CONTEXT = T.StructType(
     [T.StructField("run_id", T.StringType(), False), T.StructField("context", T.StringType(), True)]
 )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,6 +82,14 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder and read back: cuts the lineage, and
+    what is not deterministic (row numbers, samples) is fixed. The folder is new for each call."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Suggested settings for a large run (apply at session build time).
 

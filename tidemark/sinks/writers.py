@@ -69,13 +69,16 @@ def write_dataset_csv(df: DataFrame, path: str, meta: dict | None = None) -> Non
 
 def append_report(df: DataFrame, table: str, created_at: int, jdbc_url: str | None = None,
                   properties: dict | None = None) -> None:
-    """K4: append report rows with ``created_at`` (epoch seconds, a parameter).
+    """K4: append report rows with ``created_at`` (epoch seconds, a parameter) to a table, or to Parquet files where
+    ``table`` is a path.
 
     Failures propagate: no silent replace of the whole table.
     """
     d = df.withColumn("created_at", F.lit(int(created_at)).cast("long"))
     if jdbc_url:
         d.write.jdbc(jdbc_url, table, mode="append", properties=properties or {})
+    elif "/" in table:
+        d.write.mode("append").parquet(table)
     else:
         d.write.mode("append").saveAsTable(table)
 
@@ -166,18 +169,6 @@ def purge_partitions(spark: SparkSession, path: str, exchange: str, symbol: str,
     return found
 
 
-def save_model(model, path: str, registry_path: str, exchange: str, symbol: str, target: str, type_: str,
-               run_id: str, meta: dict) -> None:
-    """Persist a fitted MLlib model and append its registry row (meta as JSON)."""
-    spark = SparkSession.getActiveSession()
-    key = f"exchange={exchange}/symbol={symbol}/target={target}/type={type_}/run_id={run_id}"
-    model.write().overwrite().save(f"{path.rstrip('/')}/{key}")
-    row = [(exchange, symbol, target, type_, run_id, f"{path.rstrip('/')}/{key}", json.dumps(meta, sort_keys=True))]
-    spark.createDataFrame(row, "exchange string, symbol string, target string, type string, run_id string, "
-                               "path string, meta string").write.mode("append").partitionBy(
-        "exchange", "symbol", "target", "type", "run_id").parquet(registry_path)
-
-
 def write_predictions(pred: DataFrame, path: str, keys: Sequence[str] = ("time",)) -> None:
     """Prediction output (keys, prediction)."""
     pred.select(*keys, "prediction").write.mode("overwrite").parquet(path)

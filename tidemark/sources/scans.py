@@ -151,7 +151,7 @@ def scan_features(spark: SparkSession, root: str, features: Sequence[str], instr
     One pruned scan (``feature IN list`` is a partition filter) and one
     pivot with a fixed value list (a single shuffle), outer-aligned on time.
     """
-    df = _read(spark, root, FEATURES_LONG)
+    df = _read(spark, root, FEATURES_LONG, instrument_id)
     df = df.where(_partition_filter(instrument_id, start_date, end_date, date) & F.col("feature").isin(list(features)))
     return features_wide(df, features, keys)
 
@@ -199,11 +199,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def read_meta(spark: SparkSession, path: str, schema: T.StructType = MODEL_META) -> DataFrame:
-    """Model meta JSON; malformed documents are skipped (PERMISSIVE + corrupt column)."""
+    """Model meta documents (one JSON file each, as K11 writes them); malformed ones are skipped."""
     s = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType(), True)])
-    df = (spark.read.schema(s).option("mode", "PERMISSIVE").option("multiLine", True)
-          .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    return df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    raw = spark.read.option("wholetext", True).text(path)
+    doc = F.from_json("value", s, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    d = raw.select(doc.alias("m")).where("m is not null and m._corrupt_record is null")
+    return d.select(*[F.col(f"m.`{f.name}`").alias(f.name) for f in schema.fields])
 
 
 def list_models(registry: DataFrame, exchange: str = "*", symbol: str = "*", target: str = "*", type_: str = "*",

@@ -181,30 +181,54 @@ BAR_OUT = "exchange string, symbol string, time_us long, bid_price double, ask_p
 BAR_STATE = "newest long, bid double, ask double, size long"
 
 
-def _bar_fn():
+def _bar_fn(expire_ms: int | None = None):
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        newest, bid, ask, size = state.get if state.exists else (None, None, None, 0)
-        out = []
+        import numpy as np
+
+        newest, bid, ask = state.get[:3] if state.exists else (None, None, None)
+        names = ["exchange", "symbol", "time_us", "bid_price", "ask_price"]
+        if state.hasTimedOut:       # silent beyond the horizon: its open bar is closed by time, nothing is held
+            state.remove()
+            yield pd.DataFrame([(key[0], key[1], newest, bid, ask)], columns=names)
+            return
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["time_us", "seq"], kind="stable")
-        for t, b, a in zip(pdf["time_us"].tolist(), pdf["bid_price"].tolist(), pdf["ask_price"].tolist()):
-            if newest is not None and t < newest:
-                continue  # older than the newest bar: dropped
-            if newest is not None and t > newest and size >= 1:
-                out.append((key[0], key[1], newest, bid, ask))  # the previous bar is closed
-            if newest is None or t > newest:
-                size += 1
-            newest, bid, ask = t, b, a  # same time: the bar is updated
-        state.update((newest, bid, ask, size))
-        if out:
-            yield pd.DataFrame(out, columns=["exchange", "symbol", "time_us", "bid_price", "ask_price"])
+        if newest is not None:      # older than the newest bar: dropped
+            pdf = pdf[pdf["time_us"] >= newest]
+        if len(pdf):
+            t = pdf["time_us"].to_numpy(dtype="int64")
+            last = np.append(np.flatnonzero(np.diff(t)), len(t) - 1)        # the last tick of every time
+            bars = pdf.iloc[last][["time_us", "bid_price", "ask_price"]]
+            if newest is not None and t[0] > newest:
+                held = pd.DataFrame({"time_us": [newest], "bid_price": [bid], "ask_price": [ask]})
+                bars = pd.concat([held.astype(bars.dtypes.to_dict()), bars], ignore_index=True)
+            size = (state.get[3] if state.exists else 0) + len(last) - (newest is not None and t[0] == newest)
+            end = bars.iloc[-1]
+            value = [None if pd.isna(x) else float(x) for x in (end["bid_price"], end["ask_price"])]
+            state.update((int(end["time_us"]), *value, int(size)))
+            closed = bars.iloc[:-1]
+            if len(closed):
+                yield closed.assign(exchange=key[0], symbol=key[1])[names]
+        if expire_ms is not None and state.exists:
+            # a timeout must lie beyond the watermark
+            at = max(state.get[0] // 1000 + expire_ms, state.getCurrentWatermarkMs() + 1)
+            state.setTimeoutTimestamp(at)
     return fn
 
 
-def closed_bars_stream(ticks: DataFrame) -> DataFrame:
-    """R3 (stream): emit a bar when a newer time arrives (the second-to-last row = last closed bar)."""
-    d = ticks.select("exchange", "symbol", epoch_micros("time").alias("time_us"), "seq", "bid_price", "ask_price")
-    return d.groupBy("exchange", "symbol").applyInPandasWithState(_bar_fn(), BAR_OUT, BAR_STATE, "append",
-                                                                  GroupStateTimeout.NoTimeout)
+def closed_bars_stream(ticks: DataFrame, expire_seconds: int | None = None, watermark: str = "0 seconds") -> DataFrame:
+    """R3 (stream): emit a bar when a newer time arrives (the second-to-last row = last closed bar).
+
+    With ``expire_seconds`` an instrument that has been silent for so long (by the watermark) is closed by time: its
+    last bar is emitted and its state removed, so the state doesn't grow with instruments that are gone.
+    """
+    if expire_seconds is not None:
+        ticks = ticks.withWatermark("time", watermark)
+    d = ticks.select("exchange", "symbol", "time", epoch_micros("time").alias("time_us"), "seq", "bid_price", "ask_price")
+    if expire_seconds is None:
+        return d.drop("time").groupBy("exchange", "symbol").applyInPandasWithState(
+            _bar_fn(), BAR_OUT, BAR_STATE, "append", GroupStateTimeout.NoTimeout)
+    return d.groupBy("exchange", "symbol").applyInPandasWithState(
+        _bar_fn(int(expire_seconds) * 1000), BAR_OUT, BAR_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def closed_bars(ticks: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
