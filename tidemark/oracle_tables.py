@@ -102,9 +102,9 @@ SELECT l_orderkey, {r6(LI)}, profit FROM x JOIN y USING (l_orderkey)"""
 
 
 def listing() -> str:
-    n = "(SELECT count(DISTINCT event_type) FROM events)"
-    return f"""SELECT DISTINCT 'SIM' AS exchange, event_type AS symbol, 'LinearRule' AS type, {n}::DOUBLE AS weight, {n} AS models_of_weight
-FROM events WHERE event_type LIKE '%i%'"""
+    return """WITH m AS (SELECT DISTINCT event_type AS symbol, length(event_type)::DOUBLE AS weight FROM events),
+n AS (SELECT weight, count(*) AS models_of_weight FROM m GROUP BY weight)
+SELECT 'SIM' AS exchange, symbol, 'LinearRule' AS type, weight, models_of_weight FROM m JOIN n USING (weight) WHERE symbol LIKE '%i%'"""
 
 
 def rule(cols: str, rows: str) -> str:
@@ -122,7 +122,7 @@ SQL = {
     "select_regex": "SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice FROM lineitem",
     "concat_xy": concat_xy(),
     "fill_qty": f"WITH {HOLEY}\nSELECT exchange, symbol, seq, epoch_us(time) AS time_us, {r6(BA)}, "
-                f"coalesce({rnd('bid_qty', 'bid_qty')}, 0.0) AS bid_qty, coalesce({rnd('ask_qty', 'ask_qty')}, 0.0) AS ask_qty FROM h",
+                f"{rnd('coalesce(bid_qty, 0)', 'bid_qty')} AS bid_qty, {rnd('coalesce(ask_qty, 0)', 'ask_qty')} AS ask_qty FROM h",
     "after_end": f"WITH {Q_CTE}\nSELECT {QUOTE_ROW} FROM q WHERE time > TIMESTAMP '{T['after']}'",
     "to_float32": f"SELECT l_orderkey, l_linenumber, {', '.join(f'CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}' for c in LI)} FROM lineitem",
     "dropped_rows": f"WITH {HOLEY}\nSELECT count(*) AS rows, count(*) FILTER (WHERE bid_price IS NULL OR bid_qty IS NULL) AS dropped FROM h",
