@@ -67,3 +67,21 @@ def test_rows(spark):
     got = sorted((r.page_id or 0, r.url, len(r.text)) for r in extract_main_text(df).collect())
     assert got == [(0, None, 0), (1, "u", 3), (1, "u", 3), (2, "v", 0), (3, "w", 999_999)]
     assert extract_main_text(df.limit(0)).collect() == []
+
+
+TALE = ("It was on the night of the fair that the old man went to the river and saw that the boats were not there, for they had been "
+         "taken by the men of the other town, and he was not to see them again until the year was at its end. ") * 2
+
+
+def test_a_form_around_the_page_is_not_boilerplate():
+    for inner in (f"<article><p>{TALE}</p></article>", f"<div><p>{TALE}</p></div>"):
+        page = f"<body><form action='/page'><div class='menu'><a href='/'>Home</a></div>{inner}</form></body>"
+        assert main_text(page) == TALE.strip()
+    small = f"<body><article><p>{TALE}</p><form><p>Leave your address and we will write to you when there is news</p></form></article></body>"
+    assert main_text(small) == TALE.strip()
+
+
+def test_end_tags_left_out_and_scripts_inside_words():
+    page = f"<article><p style='display:none'>hidden words<p>{TALE}<ul><li hidden>gone<li>{TALE}</ul></article>"
+    assert main_text(page) == TALE.strip() + " " + TALE.strip()
+    assert main_text(f"<article><p>{TALE}unbeliev<script>x()</script>able<style>p{{}}</style> end</p></article>") == TALE + "unbelievable end"

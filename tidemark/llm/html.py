@@ -18,10 +18,15 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidemark.llm.common import slices
+
+#: Bytes of html that a task holds as strings at once.
+SLICE_BYTES = 8 << 20
+
 # fixed values: tags, roles and class words by their meaning in HTML and common page templates
 SKIPPED = frozenset("head script style noscript template svg math iframe object canvas select textarea button datalist".split())
-BOILER_TAGS = frozenset("nav footer aside form dialog menu".split())
-BOILER_ROLES = frozenset("navigation contentinfo complementary search form alert dialog alertdialog menu menubar".split())
+BOILER_TAGS = frozenset("nav footer aside dialog menu".split())
+BOILER_ROLES = frozenset("navigation contentinfo complementary search alert dialog alertdialog menu menubar".split())
 BOILER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist "
     "consent cookie cookies copyright disclaimer disqus footer gdpr login menu modal nav navbar navigation newsletter "
@@ -37,6 +42,10 @@ BLOCK_TAGS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table "
     "tbody td tfoot th thead title tr ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Start tags that end an open element of the tags named, as HTML lets their end tags be left out.
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "option": ("option",)}
+#: Elements without a place on the page: what stands on both sides of one is one text.
+UNSEEN = frozenset("script style noscript template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Frequent words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
@@ -86,6 +95,11 @@ class _Blocks(HTMLParser):
         if block:
             self.flush()
             self.heading = tag in HEADINGS
+            if self.stack and self.stack[-1][0] == "p":
+                self._pop()
+            while self.stack and self.stack[-1][0] in ENDS.get(tag, ()):
+                if self._pop() == tag:
+                    break
         if tag == "body":
             while self.stack:
                 self._pop()
@@ -99,20 +113,22 @@ class _Blocks(HTMLParser):
                 by_class, main = (), True    # a wrapper's class says nothing about the article in it
         elif tag in BOILER_TAGS or tag == "header" and not main:
             firm = True
-        named = set()
+        named = {"form"} if tag == "form" else set()     # a form may be the whole page
         if attrs and tag not in ("html", "body"):
             for k, v in attrs:
                 if k in ("class", "id") and v:
                     for name in v.split():
                         words = _SPLIT.split(_CAMEL.sub("-", name).lower())
                         if words[0] not in LAYOUT_WORDS:
-                            named.update(words)
+                            named.update(w for w in words if w != "form")
+                elif k == "role" and v and v.lower() == "form":
+                    named.add("form")
                 elif k == "role" and v:
                     firm = firm or v.lower() in BOILER_ROLES or v.lower() == "banner" and not main
                     main = main or v.lower() in ("main", "article")
                 elif k == "hidden" or k == "style" and v and _HIDDEN.search(v):
                     skipped = True
-        if not BOILER_WORDS.isdisjoint(named) or "header" in named and not main:
+        if "form" in named or not BOILER_WORDS.isdisjoint(named) or "header" in named and not main:
             self.classed += 1
             by_class = (*by_class, self.classed)
             if not ANSWER_WORDS.isdisjoint(named):
@@ -133,10 +149,11 @@ class _Blocks(HTMLParser):
         if tag == "a":
             self.link = False
         if tag in BLOCK_TAGS or tag in SKIPPED:
-            self.flush()
-            self.heading = False
-            if tag != "p":
-                self.link = False
+            if tag not in UNSEEN:
+                self.flush()
+                self.heading = False
+                if tag != "p":
+                    self.link = False
             if any(t[0] == tag for t in self.stack):
                 while self._pop() != tag:
                     pass
@@ -251,8 +268,9 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = pa.array([main_text(h) for h in batch.column("html").to_pylist()], pa.string())
-            yield pa.record_batch([batch.column("page_id"), batch.column("url"), text], names=["page_id", "url", "text"])
+            for part in slices(batch, ["html"], SLICE_BYTES):
+                text = pa.array([main_text(h) for h in part.column("html").to_pylist()], pa.string())
+                yield pa.record_batch([part.column("page_id"), part.column("url"), text], names=["page_id", "url", "text"])
 
     return pages.mapInArrow(run, schema)
 
