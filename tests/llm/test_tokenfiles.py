@@ -64,3 +64,55 @@ def test_any_zstandard_reader_and_checksums(spark, tmpdir_path):
 
 def test_no_rows(no_docs, tmpdir_path):
     assert S.read_tokens(S.write_tokens(no_docs, tmpdir_path + "/out", PATH)).collect() == []
+
+
+def test_other_tokenizers_encode_whole_texts(spark, tmpdir_path):
+    import json
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    t = Tokenizer(models.WordLevel({"Ab": 0, "ab": 1, "?": 2}, unk_token="?"))
+    t.pre_tokenizer = pre_tokenizers.Whitespace()
+    t.enable_truncation(3)
+    path = tmpdir_path + "/two.json"
+    t.save(path)
+    assert not S.goes_by_pieces(path) and S.goes_by_pieces(PATH)
+    ids, n = S.Encoder(path)(pa.array(["Ab ab", None, "ab AB ab Ab ab"]))
+    assert ids.tolist() == [0, 1, 1, 2, 1, 0, 1] and n.tolist() == [2, 0, 5]
+    told = json.load(open(PATH, encoding="utf-8"))
+    told["normalizer"]["normalizers"].pop()                  # keeps capitals
+    json.dump(told, open(path, "w", encoding="utf-8"))
+    text = "The The the"
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert S.Encoder(path)(pa.array([text]))[0].tolist() == want != plain_ids(text)[:-1]
+
+
+def test_requested_documents_alone_are_read(spark, tmpdir_path):
+    import random
+
+    rnd = random.Random(1)
+    rows = [(i, " ".join(rnd.choice("alpha beta gamma delta".split()) + str(rnd.randrange(1000)) for _ in range(400))) for i in range(100)]
+    rows += [(7, "seven again"), (None, "nobody")]
+    manifest = S.write_tokens(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), tmpdir_path + "/out", PATH)
+    got = sorted((r.doc_id, r.ids) for r in S.read_documents(manifest, [7, 63, 1000]).collect())
+    assert got == sorted([(7, plain_ids(rows[7][1])), (7, plain_ids("seven again")), (63, plain_ids(rows[63][1]))])
+    row = manifest.first()
+
+    class Counted:
+        def __init__(self, f):
+            self.f, self.read_bytes = f, 0
+
+        def seek(self, at):
+            self.f.seek(at)
+
+        def read(self, n):
+            self.read_bytes += n
+            return self.f.read(n)
+
+    import os
+
+    with open(row.file, "rb") as f:
+        c, size = Counted(f), os.path.getsize(row.file)
+        assert [d for d, _ in S.requested(c, size, np.array([63]))] == [63]
+        assert c.read_bytes < size // 10

@@ -9,10 +9,11 @@ reader that wants some documents reads the table from the end, then only their f
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,29 @@ END_ID = 2
 _NULL_ID = -(1 << 63)
 
 
+#: What a tokenizer file must say for its pieces to be encoded on their own (fixed values of the public 49k word BPE).
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def goes_by_pieces(path: str) -> bool:
+    """Whether the tokenizer lower-cases, cuts texts into PIECES and marks a piece's last id."""
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+
+    def parts(node: dict | None, inner: str) -> list:
+        return [] if node is None else node[inner] if node.get("type") == "Sequence" else [node]
+
+    cut = parts(told.get("pre_tokenizer"), "pretokenizers")
+    return (parts(told.get("normalizer"), "normalizers") == NORMALIZERS and len(cut) == 2
+            and (cut[0].get("pattern"), cut[0].get("behavior"), cut[0].get("invert")) == ({"Regex": PIECES}, "Removed", True)
+            and cut[1].get("type") == "ByteLevel" and not cut[1].get("add_prefix_space") and not cut[1].get("use_regex")
+            and told["model"].get("end_of_word_suffix") == "</w>" and not told["model"].get("dropout")
+            and all(t["content"].startswith("<|") for t in told.get("added_tokens", [])))
+
+
 class Encoder:
-    """Ids of whole texts. White space only separates words for this tokenizer, letters and punctuation are
+    """Ids of whole texts. A tokenizer that doesn't go by pieces encodes them as they are; for one that does, white space only separates words for this tokenizer, letters and punctuation are
     pieces of their own, and capitals don't count; so each distinct piece of a step is encoded once and the
     texts are put together from those. Pieces of other kinds (digits, quotes, other scripts) go whole."""
 
@@ -53,6 +75,9 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.by_pieces = goes_by_pieces(path)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)     # ids that end a piece
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -100,6 +125,9 @@ class Encoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
+        if not self.by_pieces:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts.fill_null("").to_pylist(), add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
         lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         coded = lists.flatten().dictionary_encode()
         if len(self.known) > KNOWN_WORDS:
@@ -179,9 +207,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         out.write(_skippable(SKIPPABLE_TABLE, body))
         out.close()
         fs.move(draft, name)
-        yield pa.record_batch({"part": pa.array([part], pa.int32()), "file": [name], "n_docs": [len(table)], "n_tokens": [tokens]})
+        yield pa.record_batch({"part": pa.array([part], pa.int32()), "file": [name], "n_docs": [len(table)], "n_tokens": [tokens],
+                               "first_id": [int(ids[0][0])], "last_id": [int(ids[-1][-1])]})
 
-    manifest = landed(docs.mapInArrow(write, "part int, file string, n_docs long, n_tokens long"), "manifest")
+    manifest = landed(docs.mapInArrow(write, "part int, file string, n_docs long, n_tokens long, first_id long, last_id long"), "manifest")
     return manifest.withColumn("folder", F.lit(path))
 
 
@@ -246,6 +275,36 @@ def read_tokens(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
     return jobs.repartition("file", "first").mapInArrow(read, schema)
 
 
+def requested(stream, size: int, wanted: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(doc_id, plain bytes) of the wanted documents of an open file: its index from the end, then their frames alone."""
+    table, ids = read_table(stream, size)
+    for at in np.flatnonzero(np.isin(ids, wanted)).tolist():
+        yield int(ids[at]), next(read_frames(stream, table, at, at + 1))
+
+
+def read_documents(manifest: DataFrame, doc_ids: Sequence[int]) -> DataFrame:
+    """``doc_id, ids`` of the documents asked for (an id as often as it was written; one that wasn't, not at all).
+
+    Files go by document id, so the manifest tells which may hold one; those are opened, and only the frames asked for are
+    read and decompressed. ``doc_ids`` is a request a driver can hold; a table of documents is read by ``read_tokens``.
+    """
+    wanted = np.unique(np.array(list(doc_ids), np.int64))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for job in batch.to_pylist():
+                mine = wanted[(wanted >= job["first_id"]) & (wanted <= job["last_id"])]
+                if not len(mine):
+                    continue
+                fs, _ = _filesystem(job["folder"])
+                with fs.open_input_file(job["file"]) as stream:
+                    for doc, plain in requested(stream, stream.size(), mine):
+                        ids = pa.array([np.frombuffer(plain, "<u4").astype(np.int64)], pa.list_(pa.int64()))
+                        yield pa.record_batch({"doc_id": pa.array([doc], pa.int64()), "ids": ids})
+
+    return manifest.repartition("file").mapInArrow(read, "doc_id long, ids array<long>")
+
+
 def op9_tokenfiles(spark, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """The digest that op 9's contract asks for, over all documents, read back from the files."""
     from tidemark.llm.common import table
