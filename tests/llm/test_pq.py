@@ -70,3 +70,13 @@ def test_no_links(spark):
     df = spark.createDataFrame([(1, None, 1), (None, [1.0], 1), (2, [1.0], None)], schema)
     got = sorted(((r.vec_id or 0), r.n_links, r.component_id, r.kept) for r in P.near_duplicate_vectors(df).collect())
     assert got == [(0, 0, None, True), (1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_doubles_keep_their_precision_and_repeated_rows_count_once(spark):
+    c = 0.93
+    near, below = [c + 1e-9, float(np.sqrt(1 - c * c))], [c - 1e-9, float(np.sqrt(1 - c * c))]
+    rows = [(1, [1.0, 0.0], 1), (2, near, 1), (3, [1.0, 0.0], 2), (4, below, 2), (5, [1e39, 0.0], 3), (6, [1e39, 1.0], 3),
+            (7, [0.0, 2.0], 4), (7, [0.0, 2.0], 4), (8, [0.0, 3.0], 4), (9, [1.0, 1e-12], 5), (10, [1.0, 2e-12], 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in P.near_duplicate_vectors(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4), 5: (1, 5), 6: (1, 5), 7: (1, 7), 8: (1, 7), 9: (1, 9), 10: (1, 9)}

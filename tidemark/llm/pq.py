@@ -74,24 +74,30 @@ class Index:
         return np.sqrt(total)
 
 
+def _scaled(raw: list[bytes], dim: int) -> np.ndarray:
+    """The vectors as doubles, each divided by a power of two near its largest component: nothing is rounded."""
+    x = np.frombuffer(b"".join(raw), "<f4" if raw and len(raw[0]) == 4 * dim else "<f8").reshape(len(raw), dim).astype(np.float64)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0.0))[1][:, None])
+
+
 def _units(raw: list[bytes], dim: int) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), "<f4").reshape(len(raw), dim).astype(np.float64)
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x = _scaled(raw, dim)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
 def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The vectors that can link, as bytes."""
+    """The vectors that can link, as bytes of their own element type."""
     for batch in batches:
         ids, labels, raw, dims = [], [], [], []
         rows = batch.column("embedding")
+        kind = "<f4" if pa.types.is_float32(rows.type.value_type) else "<f8"
         for i, label, v in zip(batch.column("vec_id").to_pylist(), batch.column("label").to_pylist(), rows):
             v = v.values if v.is_valid else None
             if i is None or label is None or v is None or not len(v) or v.null_count:
                 continue
-            x = v.to_numpy(zero_copy_only=False).astype("<f4")
+            x = v.to_numpy(zero_copy_only=False).astype(kind)
             if np.isfinite(x).all() and x.any():
-                ids.append(i), labels.append(label), raw.append((x + np.float32(0)).tobytes()), dims.append(len(x))
+                ids.append(i), labels.append(label), raw.append((x + x.dtype.type(0)).tobytes()), dims.append(len(x))
         yield pa.record_batch({"vec_id": pa.array(ids, pa.int64()), "label": pa.array(labels, pa.int64()),
                                "dim": pa.array(dims, pa.int32()), "vec": pa.array(raw, pa.binary())})
 
@@ -135,17 +141,29 @@ def _spanning(same: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarra
     return names[child], names[low[child]]
 
 
-def _same(x: np.ndarray, y: np.ndarray, near: np.ndarray, cosine: float) -> np.ndarray:
-    """Which of the pairs marked in ``near`` have the cosine, exactly; where many are marked, a product decides the clear ones."""
+#: A cosine of doubles that is this near to the threshold is decided on the vectors themselves in extended precision.
+DOUBT = 1e-12
+
+
+def _exactly(a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
+    a, b = a.astype(np.longdouble), b.astype(np.longdouble)
+    return (a * b).sum(axis=1) >= np.longdouble(cosine) * np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1))
+
+
+def _same(x: np.ndarray, y: np.ndarray, near: np.ndarray, cosine: float, plain_x: np.ndarray, plain_y: np.ndarray) -> np.ndarray:
+    """Which of the pairs marked in ``near`` have the cosine; where many are marked, a product decides the clear ones."""
     same = np.zeros(near.shape, bool)
     if near.sum() > near.size // 64:
         product = x @ y.T
-        same = near & (product >= cosine)
-        near = near & (np.abs(product - cosine) < 1e-12)
+        same = near & (product >= cosine + DOUBT)
+        near = near & (np.abs(product - cosine) < DOUBT)
     a, b = np.nonzero(near)
     for s in range(0, len(a), 1 << 16):                       # some pairs at a time
         i, j = a[s : s + (1 << 16)], b[s : s + (1 << 16)]
-        same[i, j] = np.einsum("ij,ij->i", x[i], y[j]) >= cosine - 1e-15
+        value = np.einsum("ij,ij->i", x[i], y[j])
+        same[i, j] = value >= cosine + DOUBT
+        doubt = np.flatnonzero(np.abs(value - cosine) < DOUBT)
+        same[i[doubt], j[doubt]] = _exactly(plain_x[i[doubt]], plain_y[j[doubt]], cosine)
     return same
 
 
@@ -156,11 +174,12 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFr
     ignored, whatever their names. Returns one row per input row: ``vec_id, n_links`` (other vectors linked
     directly), ``component_id`` (least vec_id reachable, itself included), ``kept``. Vectors that are null, empty or
     zero, or have null or non-finite components, and those without label, link with nothing; nor do vectors
-    of different length. Rows that repeat a vec_id are one node. A null vec_id links with nothing and has a
+    of different length. Rows that repeat a vec_id and its vector count once; a vec_id with several vectors is one node of
+    its component, and each of its vectors a link of its own to count. A null vec_id links with nothing and has a
     null component. An empty table gives no rows.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.col("label").cast("long").alias("label"))
-    good = landed(rows.mapInArrow(_usable, "vec_id long, label long, dim int, vec binary"), "vectors")
+    good = landed(rows.mapInArrow(_usable, "vec_id long, label long, dim int, vec binary").distinct(), "vectors")
     nodes = landed(good.groupBy("label", "dim", "vec").agg(
         F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("n")), "nodes")
     edges, counts = None, None
@@ -238,7 +257,8 @@ def _search(nodes: DataFrame, dim: int, cosine: float) -> DataFrame:
         none = np.zeros(0, np.int64)
         node, other, links = [none], [none], [none]
         if ask.num_rows and held.num_rows:
-            x, y = _units(ask["a_vec"].to_pylist(), dim), _units(held["vec"].to_pylist(), dim)
+            plain_x, plain_y = _scaled(ask["a_vec"].to_pylist(), dim), _scaled(held["vec"].to_pylist(), dim)
+            x, y = (v / np.sqrt((v * v).sum(axis=1, keepdims=True)) for v in (plain_x, plain_y))
             code = np.frombuffer(b"".join(held["code"].to_pylist()), np.uint8).reshape(len(y), -1)
             here = held["list"][0].as_py()
             miss, p, q = held["miss"].to_numpy(), ask["a_node"].to_numpy(), held["node"].to_numpy()
@@ -249,7 +269,7 @@ def _search(nodes: DataFrame, dim: int, cosine: float) -> DataFrame:
                 part = slice(s, s + step)
                 near = index.distances(x[part], here, code) <= reach + miss[None, :] + 1e-4
                 near &= p[part][:, None] != q[None, :]
-                same = _same(x[part], y, near, cosine)
+                same = _same(x[part], y, near, cosine, plain_x[part], plain_y)
                 if same.any():
                     one = same.astype(np.float64)
                     total = (one @ m).astype(np.int64)
@@ -272,3 +292,19 @@ def op7_pq(spark, sf_dir: str) -> DataFrame:
     from tidemark.llm.common import table
 
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP7_SQL = f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+link AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= {COSINE}),
+reach(u, w) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.u, link.w FROM reach JOIN link ON reach.w = link.u),
+low AS (SELECT u, min(w) AS component_id FROM reach GROUP BY u),
+n AS (SELECT u, count(*) AS n_links FROM link GROUP BY u)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN low ON vec_id = low.u LEFT JOIN n ON vec_id = n.u
+"""

@@ -8,7 +8,7 @@ from tidemark.llm.chat import op2_chat
 from tidemark.llm.hardneg import OP11_SQL, op11_threshold
 from tidemark.llm.html import op1_html
 from tidemark.llm.mixing import op5_mixing
-from tidemark.llm.pq import op7_pq
+from tidemark.llm.pq import OP7_SQL, op7_pq
 from tidemark.llm.quality import op3_quality
 from tidemark.llm.repair import op12_repair
 from tidemark.llm.substrings import OP4_SQL, op4_substrings
@@ -36,6 +36,7 @@ QUERIES = {
 
 SQL = {
     "op4_substrings": OP4_SQL,
+    "op7_pq": OP7_SQL,
     "op8_winnowing": OP8_SQL,
     "op11_threshold": OP11_SQL,
     "op13_warc": OP13_SQL,
