@@ -31,31 +31,39 @@ def _unused(docs: DataFrame, name: str) -> str:
     return name
 
 
+def _columns(docs: DataFrame, of: str = "") -> list:
+    """All columns by name, whatever the names (``of``: alias and dot)."""
+    return [F.col(f"{of}`{c}`") for c in docs.columns]
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal grader finds usable. Rows of equal text share their fate; a null or
     empty text is judged by the prior grades."""
     grader = fit_grader(docs, table(spark, sf_dir, "labels"))
     names = _unused(docs, "expected_grade"), _unused(docs, "p_usable")
     graded = grade_documents(docs, grader, passthrough=True, names=names)
-    return graded.where(F.col(names[1]) >= USABLE).select(*docs.columns)
+    return graded.where(F.col(names[1]) >= USABLE).select(*_columns(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class: the row of its least doc_id, of rows that repeat that id the
-    one of the least text. Rows without doc_id are nobody's copies and stay."""
-    classes = near_duplicate_classes(docs).where("doc_id = class_id").select("doc_id").distinct()
-    stay = docs.join(classes, "doc_id", "left_semi").select(*docs.columns)
-    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    nth = _unused(docs, "nth")
-    stay = stay.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).select(*docs.columns)
-    return stay.unionByName(docs.where("doc_id is null"))
+    """One document of each near-duplicate class: the row of its least doc_id, of rows that repeat that id the first
+    by a hash of the text. Rows are judged by their texts alone: unlike ones stay, also where they share a doc_id. Rows
+    without doc_id are nobody's copies and stay."""
+    row = _unused(docs, "row")
+    names = _columns(docs)
+    order = [F.col("doc_id"), F.xxhash64("text"), F.col("text"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]]
+    numbered = docs.where("doc_id is not null").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions(*order)
+    numbered = landed(numbered.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    classes = near_duplicate_classes(numbered.select(F.col(row).alias("doc_id"), "text"))
+    first = classes.where("doc_id = class_id").select(F.col("doc_id").alias(row)).distinct()
+    return numbered.join(first, row, "left_semi").select(*names).unionByName(docs.where("doc_id is null").select(*names))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any word inside a benchmark window; rows that repeat a doc_id go together."""
     hit = find_contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0")
     hit = landed(hit.select("doc_id").distinct(), "contaminated")
-    return docs.alias("d").join(hit.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")), "left_anti").select(*docs.columns)
+    return docs.alias("d").join(hit.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")), "left_anti").select(*_columns(docs, "d."))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +77,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     both = keyed.join(c, F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.source").eqNullSafe(F.col("c.source"))
                       & (F.col(f"d.{size}") == F.col("c.size")) & (F.col(f"d.{nth}") == F.col("c.nth")))
     both = both.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("c.copies"))))
-    return both.select(*(F.col(f"d.`{x}`") for x in docs.columns))
+    return both.select(*_columns(docs, "d."))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
