@@ -276,3 +276,16 @@ def op6_bagminhash(spark, sf_dir: str) -> DataFrame:
 
     out = near_duplicate_classes(table(spark, sf_dir, "documents"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM documents WHERE doc_id IS NOT NULL),
+s AS (SELECT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN [array_to_string(ws[i : i + 4], ' ') FOR i IN range(1, len(ws) - 3)]
+                                 WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+b AS (SELECT doc_id, g, count(*) AS c FROM s GROUP BY ALL),
+n AS (SELECT doc_id, sum(c) AS n FROM b GROUP BY doc_id),
+o AS (SELECT x.doc_id AS u, y.doc_id AS v, sum(least(x.c, y.c)) AS k FROM b x JOIN b y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+link AS (SELECT u, v FROM o JOIN n p ON p.doc_id = u JOIN n q ON q.doc_id = v WHERE 5 * k >= 4 * (p.n + q.n - k)),
+reach(u, v) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.u, link.v FROM reach JOIN link ON reach.v = link.u)
+SELECT u AS doc_id, min(v) AS class_id, u = min(v) AS kept FROM reach GROUP BY u
+"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemark.llm.bagminhash import op6_bagminhash
+from tidemark.llm.bagminhash import OP6_SQL, op6_bagminhash
 from tidemark.llm.chat import op2_chat
 from tidemark.llm.hardneg import OP11_SQL, op11_threshold
 from tidemark.llm.html import op1_html
@@ -36,6 +36,7 @@ QUERIES = {
 
 SQL = {
     "op4_substrings": OP4_SQL,
+    "op6_bagminhash": OP6_SQL,
     "op7_pq": OP7_SQL,
     "op8_winnowing": OP8_SQL,
     "op11_threshold": OP11_SQL,
