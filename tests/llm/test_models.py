@@ -104,3 +104,20 @@ def test_no_labels(tables):
     none = labels.limit(0)
     assert all(0 <= r.score <= 1 for r in X.score_toxicity(docs.limit(5), X.train_field(docs, none)).collect())
     assert Q.grade_documents(docs.limit(5), Q.fit_grader(docs, none)).count() == 5
+
+
+def test_a_fit_takes_a_bounded_part_of_the_labelled_texts(spark, monkeypatch):
+    from tidemark.llm import common
+    from tidemark.llm.quality import fit_grader
+
+    rows = [(1, f"text number {i} " * 20) for i in range(200)] + [(2, "long " * 60_000), (3, None), (4, "a b c"), (5, "d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(1, 7)], "doc_id long, grade int")
+    got = common.labelled_texts(docs, known, "grade")
+    assert [r.doc_id for r in got] == [1, 3, 4, 5]                   # one row for 1, none for the long text
+    assert got[0].text in {t for _, t in rows} and got[1].text == ""
+    monkeypatch.setattr(common, "TRAIN_BYTES", 5)
+    assert [len(r.text) for r in common.labelled_texts(docs, known, "grade")] in ([0, 5], [5], [0], [5, 0], [])
+    monkeypatch.undo()
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0), (3, 1, 1), (4, 1, 0), (5, 0, 0)], "doc_id long, quality int, toxic int")
+    assert fit_grader(docs, labels).thresholds.size == 2

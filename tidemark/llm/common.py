@@ -9,12 +9,29 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_dir, materialize
 
-__all__ = ["bucket_of", "buckets_for", "checkpoint_dir", "landed", "materialize", "slices", "table", "text_bytes"]
+__all__ = ["bucket_of", "buckets_for", "checkpoint_dir", "labelled_texts", "landed", "materialize", "slices", "table", "text_bytes"]
+
+
+#: Bounds on what a fit on the driver takes: bytes of a text, and of all texts.
+TRAIN_TEXT_BYTES, TRAIN_BYTES = 256 << 10, 32 << 20
+
+
+def labelled_texts(docs: DataFrame, known: DataFrame, label: str) -> list[Row]:
+    """``doc_id, label, text`` of the documents in ``known`` (a bounded number of rows doc_id, label), for a fit on the driver.
+
+    Of rows that repeat a doc_id the one whose text has the least hash is taken; texts longer than TRAIN_TEXT_BYTES aren't
+    learned from; rows are taken by hash of the doc_id as long as they hold TRAIN_BYTES together. Null texts are empty.
+    """
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= TRAIN_TEXT_BYTES)
+    rows = docs.join(F.broadcast(known), "doc_id").groupBy("doc_id", label).agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    # one task sees as many rows as ``known`` has
+    taken = F.sum(F.octet_length("text")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", label))
+    return rows.withColumn("taken", taken).where(F.col("taken") <= TRAIN_BYTES).select("doc_id", label, "text").orderBy("doc_id", "text", label).collect()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

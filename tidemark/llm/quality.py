@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textnum as T
-from tidemark.llm.common import slices
+from tidemark.llm.common import labelled_texts, slices
 
 #: Bound on the rated documents that the model is fitted to, by hash of doc_id.
 TRAIN_ROWS = 4000
@@ -110,12 +110,13 @@ def fit_grader(docs: DataFrame, labels: DataFrame) -> Grader:
     """Fit to rated documents: grade 0 for quality 0; else 1 if marked toxic, and 2 if not.
 
     ``docs``: doc_id, text; ``labels``: doc_id, quality, toxic. Rows without quality are left out; a null
-    toxic counts as 0. At most TRAIN_ROWS ratings, the first by hash of doc_id, are used.
+    toxic counts as 0. At most TRAIN_ROWS ratings, the first by hash of doc_id, are used, and of their texts
+    what ``labelled_texts`` takes (a row a document, bounded bytes).
     """
     grade = F.when(F.col("quality") == 0, 0).otherwise(F.when(F.coalesce("toxic", F.lit(0)) == 1, 1).otherwise(2))
     known = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", grade.alias("grade")).distinct()
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(TRAIN_ROWS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").orderBy("doc_id", "text", "grade").collect()
+    rows = labelled_texts(docs, known, "grade")
     return fit([r["text"] for r in rows], np.array([r["grade"] for r in rows], np.int64))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textnum as T
-from tidemark.llm.common import slices
+from tidemark.llm.common import labelled_texts, slices
 
 #: Bound on the labelled documents that the field is trained on: so many of each label, by hash of doc_id.
 TRAIN_TOXIC, TRAIN_CLEAN = 1000, 2000
@@ -229,12 +229,13 @@ def train(texts: list[str | None], toxic: np.ndarray) -> Field:
 
 
 def train_field(docs: DataFrame, labels: DataFrame) -> Field:
-    """A field from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic 0/1; null labels are left out)."""
+    """A field from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic 0/1; null labels are left out): at most
+    TRAIN_TOXIC and TRAIN_CLEAN documents, and of their texts what ``labelled_texts`` takes (a row a document, bounded bytes)."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", "toxic").distinct()
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     some = known.where("toxic = 1").orderBy(*order).limit(TRAIN_TOXIC).unionByName(
         known.where("toxic = 0").orderBy(*order).limit(TRAIN_CLEAN))
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").orderBy("doc_id", "text", "toxic").collect()
+    rows = labelled_texts(docs, some, "toxic")
     return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], float))
 
 
