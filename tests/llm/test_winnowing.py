@@ -66,6 +66,11 @@ def test_shuffled_joins_give_the_same(spark, monkeypatch, odd_docs):
     want = got(S.find_contamination(odd_docs, b))
     monkeypatch.setattr(S, "BROADCAST_ROWS", 0)
     assert got(S.find_contamination(odd_docs, b)) == want
+    monkeypatch.setattr(S, "BROADCAST_ROWS", 1000)
+    monkeypatch.setattr(S, "BROADCAST_BYTES", 0)               # words count too, whatever the rows
+    assert not S._small(b, ["text"])._jdf.queryExecution().logical().toString().startswith("UnresolvedHint")
+    assert S._small(b)._jdf.queryExecution().logical().toString().startswith("UnresolvedHint")
+    assert got(S.find_contamination(odd_docs, b)) == want
     assert sum(x[2] > 0 for x in want) == 4
 
 

@@ -10,6 +10,7 @@ hash is sought among all grams of that length.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,9 +23,9 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of a fingerprinted gram.
 K = 5
-#: Rows up to which a table of fingerprints or document keys (some 16 bytes a row) may be broadcast; it
-#: is counted first, and larger ones join by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Rows up to which a table of fingerprints or document keys (some 16 bytes a row) may be broadcast, and bytes of the words
+#: and ids it may hold besides; both are counted first, and larger tables join by a shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def _words(text: Column) -> Column:
@@ -82,9 +83,12 @@ def _chosen(df: DataFrame, window: int, short: list[int]) -> DataFrame:
         *[c for c in df.columns if c in ("doc_id", "key", "item_id", "n")], "at.*")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if its counted size allows it."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def _small(df: DataFrame, words: Sequence[str] = ()) -> DataFrame:
+    """``df`` marked for broadcast if its counted size allows it; ``words``: columns of strings or arrays of them."""
+    held = [F.octet_length(F.array_join(c, "")) if t.startswith("array") else F.octet_length(c) for c, t in df.dtypes if c in words]
+    size = sum((F.coalesce(b, F.lit(0)) for b in held), F.lit(0)).cast("long")
+    r = df.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if r["rows"] <= BROADCAST_ROWS and r["bytes"] <= BROADCAST_BYTES else df
 
 
 def _run(pairs: list[Column]) -> Column:
@@ -132,7 +136,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     near = docs.alias("d").join(again.alias("a"), F.col("d.doc_id").eqNullSafe(F.col("a.doc_id"))
                                 & (F.col("d.key") == F.col("a.key")), "left_semi").distinct()
     near = _chosen(_hashed(near, exact_words("text")), window, short)
-    hit = near.join(_small(prints.select("fp", "size", "item_id", F.col("near").alias("theirs"))), ["fp", "size"])
+    hit = near.join(_small(prints.select("fp", "size", "item_id", F.col("near").alias("theirs")), ["item_id", "theirs"]), ["fp", "size"])
     side = window - K
     same = [F.get("near", F.lit(i)) == F.get("theirs", F.lit(i)) for i in range(2 * side + K)]
     middle = reduce(lambda a, b: a & b, same[side : side + K])
