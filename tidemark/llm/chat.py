@@ -1,6 +1,7 @@
 """Chat conversations as budgeted training windows, in DataFrame functions only.
 
-Every turn becomes ``<|im_start|>role newline text <|im_end|> newline``. Prefix sums of turn sizes (tokens)
+Every turn becomes ``<|im_start|>role newline text <|im_end|> newline``. A turn counts as many tokens as that has UTF-8
+bytes, which no byte-level tokenizer exceeds in any script. Prefix sums of those
 place every turn on its conversation's axis; the axis is cut every ``stride`` tokens and a turn belongs to the
 cut it lies in. A turn that crosses a cut is a window of its own, so a window holds one turn, or turns
 that fit into the stride. Before its own turns a window repeats the leading system turn, and as many of
@@ -16,10 +17,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import landed
 
 BEGIN, END = "<|im_start|>", "<|im_end|>"
-#: Tokens of a window's own turns, and of the history it repeats.
-STRIDE, HISTORY = 1024, 256
-#: Characters counted as one token, and tokens counted for a turn's marks.
-TOKEN_CHARS, MARKS = 4, 6
+#: Tokens (bytes) of a window's own turns, and of the history it repeats; the system turn comes on top.
+STRIDE, HISTORY = 4096, 1024
 #: Turns summed as one block before the blocks are.
 TURNS = 256
 
@@ -45,7 +44,8 @@ def _turns(conversations: DataFrame) -> DataFrame:
     t = conversations.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"))
-    t = t.withColumn("tokens", F.ceil(F.length("text") / TOKEN_CHARS) + MARKS)
+    marks = len(BEGIN) + len(END) + 2
+    t = t.withColumn("tokens", (F.octet_length(F.url_encode("role")) + F.octet_length(escape(F.col("text"))) + marks).cast("long"))
     t = t.withColumn("block", F.floor(F.col("turn") / TURNS))
     inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
     t = t.withColumn("end", F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
