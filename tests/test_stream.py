@@ -157,3 +157,22 @@ def test_stream_signal_runs_a_batch_for_each_file(spark, monkeypatch):
     assert registry.q_stream_signal(spark, "/root/testdata/sf0.001").count() > 0
     folder = made["stream_signal"].removeprefix("file:")
     assert len(glob.glob(f"{folder}/ckpt/commits/[0-9]*")) == registry.STREAM_FILES
+
+
+def test_silent_instruments_expire(spark, tmpdir_path):
+    """An instrument that is silent beyond the horizon is closed by time and leaves no state."""
+    from tidemark.registry import _file_stream
+    from tidemark.streaming.state import closed_bars_stream
+
+    rows = [("SIM", "A", i, ts(i * 100), float(i), i + 1.0) for i in range(100)]
+    rows += [("SIM", "B", 1000, ts(0), 5.0, 6.0), ("SIM", "B", 1001, ts(0), 7.0, 8.0), ("SIM", "C", 1002, ts(10), 1.0, None)]
+    df = spark.createDataFrame(rows, "exchange string, symbol string, seq long, time timestamp, bid_price double, ask_price double")
+    src = _file_stream(spark, df, f"{tmpdir_path}/ticks", ["time", "seq"])
+    q = (closed_bars_stream(src, 600).writeStream.format("parquet").option("path", f"{tmpdir_path}/out")
+         .option("checkpointLocation", f"{tmpdir_path}/ckpt").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(f"{tmpdir_path}/out").collect()
+    by = {s: sorted(r["bid_price"] for r in got if r["symbol"] == s) for s in "ABC"}
+    assert by == {"A": [float(i) for i in range(99)], "B": [7.0], "C": [1.0]}
+    last = [p for p in q.recentProgress if p["stateOperators"]][-1]
+    assert last["stateOperators"][0]["numRowsTotal"] == 1                # A alone is still held

@@ -119,7 +119,8 @@ def portfolio_report(merged: DataFrame, instruments: Sequence[str], size: int =
 
     Every partition reduces its rows to one row per member set (count, sum, squared deviations,
     wins), sets taken some thousands at a time; those are added up by set, and the orders of a
-    set share its numbers. Nothing is listed on the driver and the plan does not grow
+    set share its numbers. Partitions are rebalanced to the advisory size first (64 MB by default), so there are as many
+    sums of a set as the merged table has pieces of that size, however it was partitioned. Nothing is listed on the driver and the plan does not grow
     with the number of instruments.
     """
     inst = sorted(instruments)
@@ -142,7 +143,8 @@ def portfolio_report(merged: DataFrame, instruments: Sequence[str], size: int =
                 "members": pa.FixedSizeListArray.from_arrays(pa.array(at.ravel()), size).cast(pa.list_(pa.int32())),
                 "n": np.full(len(at), float(len(x))), "s": s, "q": (r * r).sum(axis=0) + s * s / len(x), "w": wins.astype(float)})
 
-    parts = merged.select(*[F.col(f"`{c}`") for c in inst]).mapInArrow(reduce, "members array<int>, n double, s double, q double, w double")
+    rows = merged.select(*[F.col(f"`{c}`") for c in inst]).hint("rebalance")
+    parts = rows.mapInArrow(reduce, "members array<int>, n double, s double, q double, w double")
     t = parts.groupBy("members").agg(*[F.sum(c).alias(c) for c in ("n", "s", "q", "w")])
     std = F.sqrt(F.greatest(F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.lit(0.0)) / F.when(F.col("n") > 1, F.col("n") - 1))
     stats = t.select("members", (safe_div(F.col("s") / F.col("n"), std) * F.sqrt("n")).alias("sharpe_ratio"),

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions import as_ts, epoch_micros, inf_to_null, week_of_year_sunday, yyyymmdd
 from tidemark.plans.chunking import segmented_prev
 from tidemark.schema import KEYS, QTY_COLUMNS
+from tidemark.session import landed
 
 
 # --- dedupe ---------------------------------------------------------------------------------
@@ -175,11 +176,17 @@ def length_guard(df: DataFrame, min_rows: int, keys: Sequence[str] = KEYS) -> Da
 def label_encode(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
     """Classes -> 0..k-1 in sorted order.
 
-    The ranking runs on the distinct classes only (one row per class).
+    The ranking runs on the distinct classes only (one row per class), cut into ranges: a class's index is its place
+    in its range plus the classes in the ranges before, so any number of classes is ranked in parallel.
     """
     out = out or f"{column}_index"
-    classes = df.select(column).distinct().where(F.col(column).isNotNull())
-    ranked = classes.select(column, (F.dense_rank().over(Window.orderBy(column)) - 1).alias(out))
+    name = F.col(f"`{column}`")
+    classes = df.select(name).distinct().where(name.isNotNull()).repartitionByRange(name)
+    classes = landed(classes.withColumn("_part", F.spark_partition_id()), "classes")
+    before = Window.partitionBy().orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)      # a row a range
+    sizes = classes.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(name))
+    ranked = classes.join(sizes, "_part").select(name, (F.col("_before") + place - 1).cast("int").alias(out))
     return df.join(ranked, on=column, how="left")
 
 
