@@ -106,3 +106,18 @@ def test_leaderboard_halves_settings_and_scores_all_folds(spark, ds):
     assert sum(r["share"] < 1 for r in s) == 3 and sum(r["share"] == 1 for r in s) == 6
     final = {r["setting"] for r in s if r["estimator"] == "LogisticRegression" and r["share"] == 1}
     assert len(final) == 1 and final == {next(r["setting"] for r in rows if r["estimator"] == "LogisticRegression")}
+
+
+def test_own_learners_in_searches_comparisons_and_the_registry(spark, ds, tmpdir_path):
+    from tidemark.operators.ml import train as MT
+
+    d = ds.where("symbol = 'A' and a is not null")
+    cv = MT.grid_search(d, ["a", "b"], "label", "KNeighborsClassifier", {"k": [1, 9]}, ["seq"], folds=2)
+    assert cv.avgMetrics[1] > cv.avgMetrics[0] > 0.7 and cv.bestModel.stages[-1].fitted.index.k == 9
+    board, _ = C.compare(d, ["a", "b"], "label", ["seq"], {"AdaBoostClassifier": {"maxIter": (5,)}, "KNeighborsClassifier": {"k": (5,)}}, folds=2, shares=())
+    assert {r["estimator"]: r["precision"] > 0.8 for r in board.collect()} == {"AdaBoostClassifier": True, "KNeighborsClassifier": True}
+    got = X.job_training(ds, ["a", "b"], "label", tmpdir_path, "AdaBoostClassifier", 0.25, run_id="r1", ties="seq", maxIter=5)
+    assert got.count() == 2
+    later = ds.withColumn("time", F.col("time") + F.expr("interval 5 hours"))
+    acc = X.job_model_testing(spark, tmpdir_path, later, type_="Ada*").where("label = 'accuracy'").collect()
+    assert len(acc) == 2 and min(r["f1_score"] for r in acc) > 0.8
