@@ -14,7 +14,7 @@ STREAMING = {"stream_buffer", "stream_signal", "stream_predict", "replay", "stre
 ALLOWED = {
     "missing_partitions": "scalar subquery over distinct days (calendar-bounded)",
     "null_profile": "one-row global aggregate",
-    "label_encode": "rank over distinct classes",
+    "label_encode": "window over the classes' ranges (a row a partition)",
     "classification_report": "windows over the per-class table (k rows)",
     "imbalanced_report": "windows over the per-class table (k rows)",
     "shuffled_split": "window over per-bucket counts (one row for a million rows, 256 at least)",
@@ -22,6 +22,12 @@ ALLOWED = {
     "minmax_scale": "one-row scaler as a scalar subquery",
     "chi2_kbest": "window over the per-class table (k rows)",
     "params_matrix": "one-row aggregate of distinct parameter values",
+    "knn_predict": "one-row scaler; window over per-bucket counts of the split",
+    "align_asof_next": "window over per-chunk summaries of the one aligned series (calendar-bounded)",
+    "missing_days": "scalar subquery over distinct days (calendar-bounded)",
+    "dropped_rows": "one-row global aggregate",
+    "select_columns": "one-row scaler; window over the per-class table (k rows)",
+    "top_features": "one-row scaler; window over the per-class table (k rows)",
 }
 
 

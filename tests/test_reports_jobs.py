@@ -92,6 +92,7 @@ def test_job_learning_goes_on_where_it_stopped(spark, tmpdir_path, monkeypatch):
     # the scaler comes from the train part (420 of 600 complete rows)
     low = spark.read.parquet(f"{tmpdir_path}/scaler").first()["good_min"]
     assert low == min(r[1] for r in rows[:420])
+    assert X.job_learning(d.limit(0), ["good"], "label", f"{tmpdir_path}/none").count() == 0
     summary = spark.read.parquet(f"{tmpdir_path}/learning_summary").collect()
     assert len(summary) == 2 and summary[0]["number_of_trades"] == 7
 

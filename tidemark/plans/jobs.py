@@ -118,12 +118,15 @@ def job_learning(df: DataFrame, features: Sequence[str], label: str, out_dir: st
 
     Every step lands under ``out_dir``: a run that is started over after a failure goes on with the first step that
     isn't complete. Scaler and selection see the train part only. Features with at least ``votes`` of the four selectors
-    stay (all of them if none has). Returns a row per estimator and class (``learning_report``); with ``backtests``
+    stay (all of them if none has). A train part without two classes gives an empty report. Returns a row per estimator and class (``learning_report``); with ``backtests``
     the summary (A4) lands as ``learning_summary``.
     """
     spark, feats = df.sparkSession, list(features)
     split = step(spark, f"{out_dir}/split", lambda: R.chrono_split(Q.clean_numeric(df, feats), test_size, keys=keys, time_col=time_col, tiebreak=ties))
     scaler = step(spark, f"{out_dir}/scaler", lambda: MP.minmax_scale(split.where("split = 'train'"), feats)[1])
+    if split.where("split = 'train'").select(label).distinct().limit(2).count() < 2:
+        K.overwrite_table(spark.createDataFrame([], f"estimator string, {LC.REPORT}"), f"{out_dir}/learning_report")
+        return spark.read.parquet(f"{out_dir}/learning_report")      # nothing to learn from: an empty report
     data = MP.apply_minmax(split, scaler, feats)
     train, test = data.where("split = 'train'"), data.where("split = 'test'")
     selection = step(spark, f"{out_dir}/selection", lambda: select_by_vote(train, feats, label, k, seed, rounds))
