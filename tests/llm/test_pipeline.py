@@ -58,3 +58,15 @@ def test_odd_rows(spark, odd_docs, no_docs):
                 docs = spark.createDataFrame(out.collect(), docs.schema)
             else:
                 assert out.count() == docs.count()
+
+
+def test_unlike_texts_that_share_a_doc_id_stay(spark):
+    import corpus_pipeline as C
+
+    one, two = "alpha beta gamma delta epsilon zeta eta theta " * 5, "some other words that nobody else has written here at all " * 5
+    rows = [(1, one, "x"), (1, two, "y"), (2, one, "z"), (3, two + "again", "z"), (None, one, "n"), (4, "", "e"), (4, None, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string")
+    got = sorted(((r.doc_id or 0), r.text or "") for r in C.near_duplicates(spark, docs, SF).collect())
+    assert got == sorted([(1, one), (1, two), (0, one), (4, ""), (4, "")])
+    got = C.near_duplicates(spark, docs.where("doc_id <> 1 and doc_id <> 4 or doc_id is null"), SF)
+    assert got.columns == docs.columns and got.count() == 3
