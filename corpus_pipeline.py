@@ -49,14 +49,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each near-duplicate class: the row of its least doc_id, of rows that repeat that id the first
     by a hash of the text. Rows are judged by their texts alone: unlike ones stay, also where they share a doc_id. Rows
     without doc_id are nobody's copies and stay."""
+    known, names = docs.where("doc_id is not null"), _columns(docs)
+    alone = docs.where("doc_id is null").select(*names)
+    repeated = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty():      # the doc_id tells the rows
+        first = near_duplicate_classes(known).where("doc_id = class_id").select("doc_id").distinct()
+        return known.join(first, "doc_id", "left_semi").select(*names).unionByName(alone)
     row = _unused(docs, "row")
-    names = _columns(docs)
     order = [F.col("doc_id"), F.xxhash64("text"), F.col("text"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]]
-    numbered = docs.where("doc_id is not null").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions(*order)
+    numbered = known.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions(*order)
     numbered = landed(numbered.withColumn(row, F.monotonically_increasing_id()), "numbered")
     classes = near_duplicate_classes(numbered.select(F.col(row).alias("doc_id"), "text"))
     first = classes.where("doc_id = class_id").select(F.col("doc_id").alias(row)).distinct()
-    return numbered.join(first, row, "left_semi").select(*names).unionByName(docs.where("doc_id is null").select(*names))
+    return numbered.join(first, row, "left_semi").select(*names).unionByName(alone)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
