@@ -18,7 +18,7 @@ def test_pandas_and_stream_queries_from_foreign_cwd(tmp_path):
         import sys
         sys.path.insert(0, {REPO!r})
         from pyspark.sql import SparkSession
-        spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+        spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
                  .config("spark.ui.showConsoleProgress", "false").getOrCreate())
         spark.sparkContext.setLogLevel("OFF")
         import __spark_entry__ as E
