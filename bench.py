@@ -7,7 +7,7 @@ builders. Each query runs to completion through the ``noop`` sink (no
 collect); the value per query is the median of 3 warm runs.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3).
+BENCH_RUNS (default 3), BENCH_1S=0 (leave out the one-second grid, which runs once).
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+ONE_SECOND = os.environ.get("BENCH_1S", "1") == "1"
 
 FREQ = 60                    # grid step (s)
 WINDOW = 3600                # rolling window (s) = 60 grid rows
@@ -92,7 +93,7 @@ def main() -> None:
         rows[name] = build().count()
     total = round(sum(times.values()), 3)
     spark.conf.set("spark.sql.shuffle.partitions", "64")
-    seconds = {name: round(run(build), 3) for name, build in once.items()}
+    seconds = {name: round(run(build), 3) for name, build in once.items()} if ONE_SECOND else {}
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": total,
