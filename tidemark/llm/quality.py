@@ -28,6 +28,8 @@ BITS = 18
 N_WEIGHTS = (1 << BITS) + 5
 ROUNDS, RATE, RIDGE = 80, 0.5, 0.1
 SLICE_BYTES = 4 << 20
+#: Characters of the texts that a fit turns into features at once.
+FIT_CHARS = 1 << 20
 
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[0x30:0x3A], _CLASS[0x41:0x5B], _CLASS[0x61:0x7B], _CLASS[0x80:] = 0x30, 0x41, 0x61, 0x61
@@ -58,7 +60,7 @@ class Grader:
     weights: np.ndarray
     thresholds: np.ndarray   # ascending; one less than there are grades
 
-    def scores(self, f: np.ndarray, w: T.Words) -> np.ndarray:
+    def scores(self, f: np.ndarray, w: T.Words | _Docs) -> np.ndarray:
         """Mean weight of each document's words; 0 without words."""
         total = np.bincount(w.doc, weights=self.weights[f].sum(axis=1), minlength=len(w.n))
         return total / np.maximum(w.n, 1)
@@ -68,9 +70,26 @@ class Grader:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -60, 60)))
 
 
+@dataclass
+class _Docs:
+    doc: np.ndarray     # document of each word
+    n: np.ndarray       # words of each document
+
+
+def _sliced(texts: list[str | None]) -> tuple[_Docs, np.ndarray]:
+    """Features of all texts, made some texts at a time: what a step holds besides its result is bounded."""
+    size = np.cumsum([len(t or "") for t in texts])
+    cuts = [0, *(np.flatnonzero(np.diff(size // FIT_CHARS)) + 1).tolist(), len(texts)]
+    doc, n, f = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros((0, 3), np.int32)]
+    for i, j in zip(cuts, cuts[1:]):
+        w, part = features(pa.array(texts[i:j], pa.large_string()))
+        doc.append((w.doc + i).astype(np.int32)), n.append(w.n), f.append(part.astype(np.int32))
+    return _Docs(np.concatenate(doc), np.concatenate(n)), np.concatenate(f)
+
+
 def fit(texts: list[str | None], grade: np.ndarray) -> Grader:
     """Maximum likelihood of the grades (0, 1, ...) with a ridge, by full gradient steps on the bounded sample."""
-    w, f = features(pa.array(texts, pa.large_string()))
+    w, f = _sliced(texts)
     n_grades = int(grade.max()) + 1 if len(grade) else 2
     share = np.array([(np.sum(grade > k) + 0.5) / (len(grade) + 1) for k in range(max(1, n_grades - 1))])
     start = np.maximum.accumulate(-np.log(share / (1 - share)) + 1e-3 * np.arange(len(share)))
