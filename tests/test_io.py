@@ -62,6 +62,26 @@ def test_metrics_round_trip(spark):
     assert [r["ask_price"] for r in ticks] == [2.0, None, 4.0]
 
 
+def test_metric_values_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    """One task's share is bounded: ten times the values are ten times the tasks; what merges is unchanged."""
+    monkeypatch.setattr(S6, "TASK_TICKS", 20)
+    monkeypatch.setattr(S6, "TASK_VALUES", 50)
+    rows = [(float(i % 300), float(i), None if i % 7 == 0 else float(-i)) for i in range(600)]
+    q = quotes_df(spark, rows, "EUR_USD").unionByName(quotes_df(spark, rows[:5], "X"))
+    exp = S6.ticks_to_metrics(q, ("bid_price", "ask_price"), chunk_seconds=10)
+    assert exp.rdd.getNumPartitions() == 31                     # 605 ticks by 20
+    got = {r["metric"] + str(r["timestamps"][0]): r for r in exp.collect()}
+    assert len(got) == 62 and all(r["timestamps"] == sorted(r["timestamps"]) and None not in r["values"] for r in got.values())
+    ticks = S6.metrics_to_ticks(exp, ("bid_price", "ask_price"))
+    values = sum(len(r["values"]) for r in got.values())
+    assert ticks.rdd.getNumPartitions() == -(-values // 50)
+    at = {(r["symbol"], r["time"].second + 60 * r["time"].minute): (r["bid_price"], r["ask_price"]) for r in ticks.collect()}
+    assert len(at) == 305
+    for i in range(300):        # of a repeated timestamp the later place, that is the larger value
+        asks = [-float(j) for j in (i, i + 300) if j % 7]
+        assert at["EUR_USD", i] == (float(i + 300), max(asks) if asks else None)
+
+
 def test_instrument_catalog(spark):
     names = spark.createDataFrame([("OANDA_EUR_USD_bid_price",), ("OANDA_EUR_USD_seq",), ("KRAKEN_BTC_EUR_seq",)],
                                   "metric string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import anchored, as_ts, yyyymmdd
 from tidemark.schema import METRIC_EXPORT, METRIC_FIELDS
+from tidemark.session import landed
+
+#: Ticks, or single metric values, that one task merges: the number of partitions grows with the rows, so a task's memory doesn't.
+TASK_TICKS, TASK_VALUES, LEAST_TASKS = 1 << 18, 1 << 20, 8
 
 
 def read_metric_export(spark: SparkSession, path: str) -> DataFrame:
@@ -38,11 +43,16 @@ def metrics_to_ticks(export: DataFrame, fields: Sequence[str] = METRIC_FIELDS) -
     """Merge the per-metric series of each instrument by timestamp into wide ticks.
 
     A metric absent at a timestamp is NULL; a repeated (metric, timestamp)
-    keeps the later array position. One pivot with a fixed field list.
+    keeps the later array position. The export is landed, which tells how many
+    values there are; they are dealt by instrument and timestamp to as many
+    tasks as they need, and each merges its own in one aggregate.
     """
+    export = landed(export.select("metric", "timestamps", "values"), "export")
     lng = metrics_long(export, fields)
-    wide = (lng.groupBy("exchange", "symbol", "ts_ms").pivot("field", list(fields))
-            .agg(F.max_by("value", "pos")))
+    total = export.agg(F.sum(F.size("timestamps").cast("long"))).first()[0] or 0
+    dealt = lng.repartition(max(LEAST_TASKS, math.ceil(total / TASK_VALUES)), "symbol", "ts_ms")
+    of = lambda f, c: F.when(F.col("field") == f, F.col(c))
+    wide = dealt.groupBy("exchange", "symbol", "ts_ms").agg(*[F.max_by(of(f, "value"), of(f, "pos")).alias(f) for f in fields])
     return wide.select("exchange", "symbol", F.timestamp_millis("ts_ms").alias("time"),
                        *[F.col(f).alias(f) for f in fields]).withColumn("date", yyyymmdd("time"))
 
@@ -55,14 +65,21 @@ def ticks_to_metrics(ticks: DataFrame, fields: Sequence[str] = METRIC_FIELDS,
     with the data: a hot instrument yields more rows, not bigger ones.
     """
     present = [f for f in fields if f in ticks.columns]
-    stack = ", ".join(f"'{f}', CAST(`{f}` AS DOUBLE)" for f in present)
-    lng = ticks.selectExpr("exchange", "symbol", "unix_millis(CAST(time AS TIMESTAMP)) AS ts",
-                           f"stack({len(present)}, {stack}) AS (field, v)").where(F.col("v").isNotNull())
-    lng = lng.withColumn("_chunk", F.floor(F.col("ts") / F.lit(int(chunk_seconds) * 1000)))
-    g = lng.groupBy("exchange", "symbol", "field", "_chunk").agg(
-        F.sort_array(F.collect_list(F.struct("ts", "v"))).alias("s"))
-    return g.select(F.concat_ws("_", "exchange", "symbol", "field").alias("metric"),
-                    F.col("s.ts").alias("timestamps"), F.col("s.v").alias("values"))
+    d = ticks.select("exchange", "symbol", F.unix_millis(F.col("time").cast("timestamp")).alias("_ts"),
+                     *[F.col(f"`{f}`").cast("double").alias(f"_v{i}") for i, f in enumerate(present)])
+    d = d.withColumn("_chunk", F.floor(F.col("_ts") / F.lit(int(chunk_seconds) * 1000)))
+    # a chunk's ticks meet once, in as many tasks as the ticks need, and give one array per metric
+    d = d.repartition(max(LEAST_TASKS, math.ceil(ticks.count() / TASK_TICKS)), "symbol", "_chunk")
+    g = d.groupBy("exchange", "symbol", "_chunk").agg(
+        F.collect_list(F.struct("_ts", *[f"_v{i}" for i in range(len(present))])).alias("_rows"))
+
+    def series(f: str, v: str):
+        known = F.filter("_rows", lambda r: r[v].isNotNull())
+        return F.struct(F.lit(f).alias("field"), F.sort_array(F.transform(known, lambda r: F.struct(r["_ts"].alias("ts"), r[v].alias("v")))).alias("s"))
+
+    g = g.select("exchange", "symbol", F.explode(F.array(*[series(f, f"_v{i}") for i, f in enumerate(present)])).alias("m")).where(F.size("m.s") > 0)
+    return g.select(F.concat_ws("_", "exchange", "symbol", "m.field").alias("metric"),
+                    F.col("m.s.ts").alias("timestamps"), F.col("m.s.v").alias("values"))
 
 
 def normalize_points(points: DataFrame) -> DataFrame:
