@@ -2,6 +2,7 @@
 
 import tempfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,24 @@ def test_replay_stream_counts_every_row(spark, tmpdir_path):
     assert sum(seen) == q.count() and len(seen) > 1
     r = replay([q.where("symbol = 'view'"), q.where("symbol = 'click'").drop("bid_qty")])
     assert r.count() == q.where("symbol in ('view', 'click')").count() and "bid_qty" in r.columns
+
+
+def test_boosting_over_counted_bins_finds_what_it_finds_on_the_rows(spark, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+
+    from tidemark.operators.ml.prep import assemble
+
+    rng = np.random.default_rng(3)
+    a, b, c = rng.normal(size=30000), rng.integers(0, 4, 30000), rng.integers(0, 60, 30000)
+    y = ((a + b / 2 + rng.normal(size=30000)) > 1).astype(int)
+    rows = [(float(p), float(q), float(r), int(s)) for p, q, r, s in zip(a, b, c, y)]       # enough rows for MLlib to sample
+    d = spark.createDataFrame([*rows, (None, 1.0, 1.0, 1)], "a double, b double, c double, label int").repartition(3)
+    d.write.parquet(path := tempfile.mkdtemp(prefix="tidemark-test-", dir="/tmp") + "/rows")
+    d = spark.read.parquet(path)
+    plain = GBTClassifier(labelCol="label", seed=5, maxIter=3).fit(assemble(d, ["a", "b", "c"])).featureImportances.toArray()
+    fitted = []
+    real = GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df, *k: fitted.append(df.count()) or real(self, df, *k))
+    got = {r["feature"]: r["importance"] for r in MS.gbt_importances(d, ["a", "b", "c"], "label", seed=5, max_iter=3).collect()}
+    assert [got[f] for f in "abc"] == pytest.approx(plain.tolist(), abs=1e-6)
+    assert fitted[0] < 16000                                       # cells (32 x 4 x 32 bins x 2 labels at most), not rows

@@ -45,13 +45,18 @@ def k_best(scores: DataFrame, k: int) -> DataFrame:
 
 
 def gbt_importances(df: DataFrame, features: Sequence[str], label: str, seed: int = 42, max_iter: int = 20) -> DataFrame:
-    """Tree-boosting importances (feature, importance)."""
+    """Tree-boosting importances (feature, importance).
+
+    The rows are counted by bins once (see ``cells``); the trees' passes run over the counts.
+    """
     from pyspark.ml.classification import GBTClassifier
 
+    from tidemark.operators.ml import cells as CL
     from tidemark.operators.ml.prep import assemble
 
-    model = GBTClassifier(featuresCol="features", labelCol=label, seed=seed, maxIter=max_iter).fit(
-        assemble(df, features))
+    table = CL.cells(df, features, label, CL.tree_splits(df, features, seed))
+    model = GBTClassifier(featuresCol="features", labelCol=label, weightCol="n", seed=seed, maxIter=max_iter,
+                          maxBins=CL.all_bins(table)).fit(assemble(table, features))
     imp = model.featureImportances.toArray().tolist()
     return df.sparkSession.createDataFrame(list(zip(list(features), [float(x) for x in imp])),
                                            "feature string, importance double")
