@@ -108,6 +108,28 @@ def test_leaderboard_halves_settings_and_scores_all_folds(spark, ds):
     assert len(final) == 1 and final == {next(r["setting"] for r in rows if r["estimator"] == "LogisticRegression")}
 
 
+def test_trees_and_boosting_score_on_counted_rows_as_on_the_rows(spark, tmpdir_path, monkeypatch):
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    rng = np.random.default_rng(4)
+    a, b = rng.normal(size=25000), rng.integers(0, 3, 25000)
+    y = (a + b + rng.normal(size=25000) > 1.5).astype(int)
+    rows = [(i, float(p), float(q), int(r)) for i, (p, q, r) in enumerate(zip(a, b, y))] + [(25000, None, 1.0, 1)]
+    spark.createDataFrame(rows, "id int, a double, b double, label int").repartition(3).write.parquet(f"{tmpdir_path}/rows")
+    d = spark.read.parquet(f"{tmpdir_path}/rows").withColumn("_fold", F.col("id") % 4).withColumn("_share", F.lit(0.0))
+    tries = [("DecisionTreeClassifier", {"maxDepth": 4}, 1.0, 1), ("GradientBoostingClassifier", {"maxIter": 2, "maxDepth": 3}, 1.0, 1)]
+    with monkeypatch.context() as m:
+        m.setattr(C, "COUNTED", (), raising=False)
+        plain = C.fold_scores(d, ["a", "b"], "label", tries, 42)
+    fitted = []
+    real = DecisionTreeClassifier.fit
+    monkeypatch.setattr(DecisionTreeClassifier, "fit", lambda self, df, *k: fitted.append(df.count()) or real(self, df, *k))
+    got = C.fold_scores(d, ["a", "b"], "label", tries, 42)
+    assert [g[:4] for g in got] == [p[:4] for p in plain]
+    assert [g[4:] for g in got] == [pytest.approx(p[4:]) for p in plain] and got[0][6] > 0.7
+    assert fitted and max(fitted) <= 32 * 3 * 2
+
+
 def test_own_learners_in_searches_comparisons_and_the_registry(spark, ds, tmpdir_path):
     from tidemark.operators.ml import train as MT
 
