@@ -141,3 +141,25 @@ def test_boosting_over_counted_bins_finds_what_it_finds_on_the_rows(spark, monke
     got = {r["feature"]: r["importance"] for r in MS.gbt_importances(d, ["a", "b", "c"], "label", seed=5, max_iter=3).collect()}
     assert [got[f] for f in "abc"] == pytest.approx(plain.tolist(), abs=1e-6)
     assert fitted[0] < 16000                                       # cells (32 x 4 x 32 bins x 2 labels at most), not rows
+
+
+def test_a_round_of_boruta_makes_its_rows_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+    real = MS.with_shadows
+
+    def counted(blocks, n, seed):
+        d = real(blocks, n, seed)
+
+        def count(batches):
+            for batch in batches:
+                made.add(batch.num_rows)
+                yield batch
+
+        return d.mapInArrow(count, d.schema)
+
+    monkeypatch.setattr(MS, "with_shadows", counted)
+    d = spark.range(2000).select((F.col("id") % 37).cast("double").alias("a"), (F.col("id") % 2).cast("int").alias("label"))
+    held = set(spark.sparkContext._jsc.getPersistentRDDs())
+    MS.boruta(d, ["a"], "label", rounds=1, trees=2, depth=2)
+    assert made.value == 2000
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= held

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,10 +153,12 @@ def boruta(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str
     weight = F.create_map(*[F.lit(v) for r in counts for v in (r["y"], total / (len(counts) * r["count"]))])[F.col("y")] if counts else F.lit(1.0)
     hits = {f: 0 for f in feats}
     for r in range(int(rounds) if len(counts) > 1 else 0):
-        d = with_shadows(blocks, len(feats), seed + r).withColumn("w", weight)
+        # kept: the fit's passes over its rows read them, they don't permute again
+        made = with_shadows(blocks, len(feats), seed + r).persist(StorageLevel.DISK_ONLY)
         cols = [f"{x}{i}" for x in "xs" for i in range(len(feats))]
         model = RandomForestClassifier(featuresCol="features", labelCol="y", weightCol="w", seed=seed + r, numTrees=trees,
-                                       maxDepth=depth).fit(assemble(d, cols))
+                                       maxDepth=depth).fit(assemble(made.withColumn("w", weight), cols))
+        made.unpersist(blocking=True)
         imp = model.featureImportances.toArray().tolist()
         best_shadow = max(imp[len(feats):])
         for i, f in enumerate(feats):
