@@ -137,29 +137,29 @@ def boruta(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str
 
     Every round trains a shallow forest (depth 5, classes weighted to balance) on the features and a permuted shadow of
     each; a feature scores a hit when its importance beats the best shadow. A binomial test over ``rounds``
-    (p = 1/2), corrected for the number of features, decides: confirmed / rejected / tentative. The table is shuffled
-    once, into blocks; a round permutes within them. Rows with a null feature or label take no part; ``key`` is not
-    needed any more. Output: feature, hits, decision.
+    (p = 1/2), corrected for the number of features, decides: confirmed / rejected / tentative. The rows are told by
+    bins, whose split points come from all of them, and shuffled once, into blocks; a round permutes within them. Rows
+    with a null or NaN feature or label take no part; ``key`` is not needed any more. Output: feature, hits, decision.
     """
-    from pyspark.ml.classification import RandomForestClassifier
-
-    from tidemark.operators.ml.prep import assemble
+    from tidemark.operators.ml import cells as CL
+    from tidemark.operators.ml import forest as FO
 
     feats = list(features)
     alpha = alpha / max(1, len(feats))
-    blocks = _row_blocks(df, feats, label)
-    counts = blocks.select(F.explode("rows.y").alias("y")).groupBy("y").count().collect()   # a row a class
-    total = sum(r["count"] for r in counts)
-    weight = F.create_map(*[F.lit(v) for r in counts for v in (r["y"], total / (len(counts) * r["count"]))])[F.col("y")] if counts else F.lit(1.0)
+    names = [f"x{i}" for i in range(len(feats))]
+    rows = df.select(*[F.col(f"`{f}`").cast("double").alias(x) for f, x in zip(feats, names)], F.col(f"`{label}`").cast("double").alias("y"))
+    rows = landed(rows.na.drop(), "boruta")
+    blocks = _row_blocks(CL.binned(rows, names, "y", CL.row_splits(rows, names)), names, "y")
+    counts = rows.groupBy("y").count().orderBy("y").collect()   # a row a class
+    classes, total = [r["y"] for r in counts], sum(r["count"] for r in counts)
+    weights = [total / (len(counts) * r["count"]) for r in counts]
     hits = {f: 0 for f in feats}
     for r in range(int(rounds) if len(counts) > 1 else 0):
-        # kept: the fit's passes over its rows read them, they don't permute again
-        made = with_shadows(blocks, len(feats), seed + r).persist(StorageLevel.DISK_ONLY)
-        cols = [f"{x}{i}" for x in "xs" for i in range(len(feats))]
-        model = RandomForestClassifier(featuresCol="features", labelCol="y", weightCol="w", seed=seed + r, numTrees=trees,
-                                       maxDepth=depth).fit(assemble(made.withColumn("w", weight), cols))
+        # kept: the passes over a round's rows read them, they don't permute again
+        made = FO.pack(with_shadows(blocks, len(feats), seed + r), [f"{x}{i}" for x in "xs" for i in range(len(feats))], "y", classes)
+        made = FO.dealt(made, total, 2 * len(feats)).persist(StorageLevel.DISK_ONLY)
+        imp = FO.importances(FO.grow(made, 2 * len(feats), weights, trees, depth, seed + r), 2 * len(feats))
         made.unpersist(blocking=True)
-        imp = model.featureImportances.toArray().tolist()
         best_shadow = max(imp[len(feats):])
         for i, f in enumerate(feats):
             hits[f] += imp[i] > best_shadow
