@@ -18,7 +18,6 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -96,9 +95,15 @@ def _insertions() -> Cell:
 EMPTY = _insertions()
 
 
-@lru_cache(maxsize=None)
+#: Cells already found, in each worker. Plain dicts: a function under ``lru_cache`` doesn't travel with its task.
+_ROWS: dict = {}
+_PARSED: dict = {}
+
+
 def _row(token: str) -> Cell:
     """The cell of one row: ``token`` is its initial and its fault (``.`` none, ``~`` truncated, ``!`` must go)."""
+    if token in _ROWS:
+        return _ROWS[token]
     initial, fault = token
     cell: list = [None] * len(SYMBOLS)
     for p, moves in PATTERN.items():
@@ -110,19 +115,24 @@ def _row(token: str) -> Cell:
         for q, way in edits:
             at = _AT[p, q]
             cell[at] = way if cell[at] is None else min(cell[at], way)
-    return join(join(EMPTY, tuple(cell)), EMPTY)
+    _ROWS[token] = join(join(EMPTY, tuple(cell)), EMPTY)
+    return _ROWS[token]
 
 
-@lru_cache(maxsize=1 << 16)
 def parse(tokens: str) -> Cell:
     """The cell of a whole segment (two letters a row): all its spans, bottom-up by length."""
+    if tokens in _PARSED:
+        return _PARSED[tokens]
     rows = [_row(tokens[i : i + 2]) for i in range(0, len(tokens), 2)]
     spans = {(i, i + 1): cell for i, cell in enumerate(rows)}
     for length in range(2, len(rows) + 1):
         for i in range(len(rows) - length + 1):
             j = i + length
             spans[i, j] = _least(*(join(spans[i, k], spans[k, j]) for k in range(i + 1, j)))
-    return spans[0, len(rows)] if rows else EMPTY
+    if len(_PARSED) >= 1 << 16:
+        _PARSED.clear()
+    _PARSED[tokens] = spans[0, len(rows)] if rows else EMPTY
+    return _PARSED[tokens]
 
 
 def best(cell: Cell) -> tuple[int, str]:
